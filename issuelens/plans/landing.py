@@ -1,0 +1,159 @@
+"""Landed issue pages derived from the provided relational tables.
+
+The reference reads issue-tracker pages; the test tables are relational.  These helpers
+write each order as an issue document (JSON text, the form pages land in) so that the
+nested operators are exercised on real, growing data.  Every document is built from one
+row's columns; a page gathers at most ``PAGE_SIZE`` consecutive order keys, so no group
+is larger than a page whatever the data size.
+
+Mapping: order = issue (``o_orderkey`` = id, ``o_orderdate`` = created), customer =
+assignee/reporter, nation = department, order status/priority = status/priority.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+PAGE_SIZE = 100
+
+# Fixed field catalogue of the landed project: field id -> display name, in page order.
+# Two ids share the display name "Department" (the duplicate-name case).
+FIELD_NAMES = [
+    ("status", "Status"),
+    ("priority", "Priority"),
+    ("assignee", "Assignee"),
+    ("customfield_10010", "Request Type"),
+    ("customfield_10020", "Department"),
+    ("customfield_10021", "Department"),
+    ("customfield_10030", "Request participants"),
+    ("created", "Created"),
+    ("resolutiondate", "Resolved"),
+    ("customfield_10040", "Ministry/BPS Organization"),
+    ("description", "Description"),
+]
+
+
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def _obj(**fields: Column) -> Column:
+    args = []
+    for k, v in fields.items():
+        args += [F.lit(k), v]
+    return F.to_variant_object(F.named_struct(*args))
+
+
+def _iso(ts: Column, offset: str = "+0000") -> Column:
+    return F.date_format(ts, f"yyyy-MM-dd'T'HH:mm:ss.SSS'{offset}'")
+
+
+def _rich_text(text: Column) -> Column:
+    para = _obj(type=F.lit("paragraph"), content=F.array(_obj(type=F.lit("text"), text=text)))
+    return _obj(type=F.lit("doc"), version=F.lit(1), content=F.array(para))
+
+
+def _status_item(from_s: Column, to_s: Column, field: str = "status") -> Column:
+    return _obj(field=F.lit(field), fieldtype=F.lit("jira"), fromString=from_s, toString=to_s)
+
+
+def issue_histories(o: DataFrame) -> Column:
+    """Change history built from the order's own columns (bounded by construction).
+
+    * ``5-LOW`` orders: no history at all (the issue keeps NULL durations);
+    * status ``P``: one priority change only (no status item -> synthetic No-Change row);
+    * status ``O``: ``Open -> In Progress`` after 1 day + up to 23 hours;
+    * status ``F``: as ``O``, then an assignee change and ``in progress -> Done`` at 3 days
+      (lower-case spelling, merged by title case).
+    """
+    created = F.col("o_orderdate").cast("timestamp")
+    hours = F.least(F.lit(23), F.floor(F.col("o_totalprice") / 25000)).cast("int")
+    t1 = created + F.make_dt_interval(F.lit(1), hours)
+    t2 = created + F.make_dt_interval(F.lit(3))
+    h_prio = _obj(id=F.lit("1"), created=_iso(created + F.make_dt_interval(F.lit(2))),
+                  items=F.array(_status_item(F.lit("Low"), F.lit("High"), "priority")))
+    h1 = _obj(id=F.lit("1"), created=_iso(t1),
+              items=F.array(_status_item(F.lit("Open"), F.lit("In Progress"))))
+    h2 = _obj(id=F.lit("2"), created=_iso(t2),
+              items=F.array(_status_item(F.lit("Ann"), F.lit("Bob"), "assignee"),
+                            _status_item(F.lit("in progress"), F.lit("Done"))))
+    status = F.col("o_orderstatus")
+    return (F.when(F.col("o_orderpriority") == "5-LOW", F.array().cast("array<variant>"))
+            .when(status == "P", F.array(h_prio))
+            .when(status == "O", F.array(h1))
+            .otherwise(F.array(h1, h2)))
+
+
+def issue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON issue document per order: (o_orderkey, o_orderstatus, doc)."""
+    o = load(spark, sf_dir, "orders")
+    c = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    n = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    j = o.join(c, o.o_custkey == c.c_custkey, "left").join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    created = F.col("o_orderdate").cast("timestamp")
+    resolved = F.when(F.col("o_orderstatus") == "F", _iso(created + F.make_dt_interval(F.lit(3))))
+    segment = F.col("c_mktsegment")
+    assignee = (F.when(segment == "BUILDING", F.parse_json(F.lit("null")))
+                .when(segment == "AUTOMOBILE", F.col("c_name").cast("variant"))
+                .otherwise(_obj(displayName=F.col("c_name"))))
+    participants = F.array(_obj(displayName=F.col("c_name")), _obj(displayName=F.col("n_name")))
+    fields = _obj(**{
+        "status": _obj(name=F.col("o_orderstatus")),
+        "priority": _obj(name=F.col("o_orderpriority")),
+        "assignee": assignee,
+        "customfield_10010": _obj(requestType=_obj(name=segment)),
+        "customfield_10020": _obj(value=F.col("n_name")),
+        "customfield_10021": F.parse_json(F.lit("null")),
+        "customfield_10030": participants,
+        "created": _iso(created),
+        "resolutiondate": resolved,
+        "customfield_10040": _obj(value=F.concat(F.lit(" "), F.col("n_name"), F.lit(", Branch "))),
+        "description": _rich_text(F.col("c_name")),
+    })
+    issue = _obj(id=F.col("o_orderkey").cast("string"),
+                 key=F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string")),
+                 fields=fields,
+                 changelog=_obj(startAt=F.lit(0), histories=issue_histories(j)))
+    return j.select("o_orderkey", "o_orderstatus", F.to_json(issue).alias("doc"))
+
+
+def _names_json() -> str:
+    import json
+    return json.dumps(dict(FIELD_NAMES))
+
+
+def landed_pages(spark: SparkSession, sf_dir: str, by_project: bool = False) -> DataFrame:
+    """Issue documents gathered into page texts of at most ``PAGE_SIZE`` issues.
+
+    Columns: project, page_no, raw (the page JSON).  Pages carry ``startAt``,
+    ``maxResults``, ``names`` and, except on each project's last page, ``nextPageToken``;
+    ``total`` is the project's issue count.  With ``by_project`` the order status is the
+    project and every project also gets one trailing empty page.
+    """
+    docs = issue_documents(spark, sf_dir)
+    project = F.col("o_orderstatus") if by_project else F.lit("ORD")
+    page_no = F.floor(F.col("o_orderkey") / PAGE_SIZE).cast("bigint")
+    pages = (docs.select(project.alias("project"), page_no.alias("page_no"), "o_orderkey", "doc")
+             .groupBy("project", "page_no")
+             .agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "doc"))).alias("_issues")))
+    totals = docs.groupBy(project.alias("project")).agg(F.count(F.lit(1)).alias("total"),
+                                                         F.max(page_no).alias("last_page"))
+    pages = pages.join(totals, "project")
+    token = F.when(F.col("page_no") < F.col("last_page"),
+                   F.concat(F.lit("tok-"), (F.col("page_no") + 1).cast("string")))
+    body = F.concat(
+        F.lit('{"startAt":'), (F.col("page_no") * PAGE_SIZE).cast("string"),
+        F.lit(f',"maxResults":{PAGE_SIZE},"total":'), F.col("total").cast("string"),
+        F.coalesce(F.concat(F.lit(',"nextPageToken":"'), token, F.lit('"')), F.lit("")),
+        F.lit(',"names":'), F.lit(_names_json()),
+        F.lit(',"issues":['), F.array_join(F.transform("_issues", lambda x: x["doc"]), ","), F.lit("]}"))
+    out = pages.select("project", "page_no", body.alias("raw"))
+    if by_project:
+        empty = totals.select(
+            "project", (F.col("last_page") + 1).alias("page_no"),
+            F.concat(F.lit('{"startAt":'), ((F.col("last_page") + 1) * PAGE_SIZE).cast("string"),
+                     F.lit(f',"maxResults":{PAGE_SIZE},"total":'), F.col("total").cast("string"),
+                     F.lit(',"issues":[]}')).alias("raw"))
+        out = out.unionByName(empty)
+    return out
