@@ -46,7 +46,7 @@ def paste0(*cols: Column | str) -> Column:
 def r_date(c: Column | str) -> Column:
     """F5 ``as.Date(x, "%Y-%m-%d")``: the leading calendar date as written, else NULL."""
     head = F.regexp_extract(_c(c), r"^\s*(\d{4}-\d{1,2}-\d{1,2})", 1)
-    return F.try_to_date(head, F.lit("yyyy-M-d"))
+    return F.try_to_date(head, "yyyy-M-d")
 
 
 def r_timestamp(c: Column | str) -> Column:

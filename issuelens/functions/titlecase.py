@@ -43,11 +43,18 @@ _AFTER_COLON_PATTERN = "[-:]$"
 _WORD_START_PATTERN = "^['\\p{L}\\p{Nd}]"
 
 
+def _upper_char(ch: Column) -> Column:
+    # R's toupper maps one character to one character (simple case mapping); a letter
+    # whose upper case is longer (German sharp s -> "SS") stays as it is.
+    up = F.upper(ch)
+    return F.when(F.char_length(up) == 1, up).otherwise(ch)
+
+
 def _capitalise(w: Column) -> Column:
     first = F.substring(w, 1, 1)
     quoted = (F.char_length(w) >= 3) & first.isin("'", '"')
-    return F.when(quoted, F.concat(first, F.upper(F.substring(w, 2, 1)), w.substr(F.lit(3), F.char_length(w)))) \
-        .otherwise(F.concat(F.upper(first), w.substr(F.lit(2), F.char_length(w))))
+    return F.when(quoted, F.concat(first, _upper_char(F.substring(w, 2, 1)), w.substr(F.lit(3), F.char_length(w)))) \
+        .otherwise(F.concat(_upper_char(first), w.substr(F.lit(2), F.char_length(w))))
 
 
 def _token(w: Column, i: Column, toks: Column) -> Column:

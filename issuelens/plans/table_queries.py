@@ -505,7 +505,9 @@ SELECT doc_id, text, lang, source,
            OR regexp_matches(w, '^''.*''$')
         THEN w
       WHEN length(w) >= 3 AND substr(w, 1, 1) IN ('''', '"')
-        THEN substr(w, 1, 1) || upper(substr(w, 2, 1)) || substr(w, 3)
+        THEN substr(w, 1, 1) || (CASE WHEN substr(w, 2, 1) = 'ß' THEN 'ß' ELSE upper(substr(w, 2, 1)) END) || substr(w, 3)
+      -- one character to one character, as R's toupper: sharp s has no one-letter upper case
+      WHEN substr(w, 1, 1) = 'ß' THEN w
       ELSE upper(substr(w, 1, 1)) || substr(w, 2)
     END), '') AS title,
   source || '-' || lang AS label
