@@ -76,3 +76,30 @@ def dictionary_map(dictionary: DataFrame, key_cols: Sequence[str] = ("project",)
     """N3 ``deframe`` kept distributed: one ``map<field_id, name>`` per project."""
     return dictionary.groupBy(*key_cols).agg(
         F.map_from_entries(F.collect_list(F.struct(F.col(id_col), F.col(name_col)))).alias("names"))
+
+
+class FieldCatalog:
+    """A field dictionary collected to the driver once, for building projections.
+
+    A dictionary lists a tracker's fields (hundreds to thousands per project), never
+    issues, so it is bounded; more than ``MAX_DICTIONARY_ENTRIES`` entries is refused.
+    """
+
+    def __init__(self, dictionary: DataFrame, name_col: str = "name", id_col: str = "field_id",
+                 project_col: str = "project"):
+        rows = dictionary.select(project_col, id_col, name_col).limit(MAX_DICTIONARY_ENTRIES + 1).collect()
+        if len(rows) > MAX_DICTIONARY_ENTRIES:
+            raise ValueError("field dictionary larger than a field catalogue")
+        self.entries = sorted((r[0], r[1], r[2]) for r in rows)
+
+    def ids(self, wanted: Sequence[str], project: str | None = None, strip_spaces: bool = False) -> dict[str, str]:
+        """Display name -> field id for the wanted names (N3 deframe + N13 rename)."""
+        wanted = set(wanted)
+        out: dict[str, str] = {}
+        for proj, fid, name in self.entries:
+            if project is not None and proj != project:
+                continue
+            key = name.replace(" ", "") if (strip_spaces and name is not None) else name
+            if key in wanted:
+                out[key] = fid
+        return out

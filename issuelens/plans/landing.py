@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from issuelens.session import spread
+
 PAGE_SIZE = 100
 
 # Fixed field catalogue of the landed project: field id -> display name, in page order.
@@ -38,11 +40,20 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _obj(**fields: Column) -> Column:
-    args = []
-    for k, v in fields.items():
-        args += [F.lit(k), v]
-    return F.to_variant_object(F.named_struct(*args))
+def _rec(**fields: Column) -> Column:
+    """A JSON object with a fixed shape (``to_json`` drops NULL members)."""
+    return F.struct(*[v.alias(k) for k, v in fields.items()])
+
+
+def _json_text(c: Column) -> Column:
+    """A string column as a JSON string literal (quoted, escaped)."""
+    return F.regexp_extract(F.to_json(F.array(c)), r"^\[(.*)\]$", 1)
+
+
+def _splice(obj_json: Column, key: str, value_json: Column) -> Column:
+    """Add ``"key": <value_json>`` to a JSON object text; used where a member changes
+    JSON type from row to row (object, scalar or null), which a struct cannot express."""
+    return F.concat(F.regexp_replace(obj_json, r"\}$", ""), F.lit(f',"{key}":'), value_json, F.lit("}"))
 
 
 def _iso(ts: Column, offset: str = "+0000") -> Column:
@@ -50,15 +61,15 @@ def _iso(ts: Column, offset: str = "+0000") -> Column:
 
 
 def _rich_text(text: Column) -> Column:
-    para = _obj(type=F.lit("paragraph"), content=F.array(_obj(type=F.lit("text"), text=text)))
-    return _obj(type=F.lit("doc"), version=F.lit(1), content=F.array(para))
+    para = _rec(type=F.lit("paragraph"), content=F.array(_rec(type=F.lit("text"), text=text)))
+    return _rec(type=F.lit("doc"), version=F.lit(1), content=F.array(para))
 
 
-def _status_item(from_s: Column, to_s: Column, field: str = "status") -> Column:
-    return _obj(field=F.lit(field), fieldtype=F.lit("jira"), fromString=from_s, toString=to_s)
+def _item(field: str, from_s: str, to_s: str) -> Column:
+    return _rec(field=F.lit(field), fieldtype=F.lit("jira"), fromString=F.lit(from_s), toString=F.lit(to_s))
 
 
-def issue_histories(o: DataFrame) -> Column:
+def issue_histories() -> Column:
     """Change history built from the order's own columns (bounded by construction).
 
     * ``5-LOW`` orders: no history at all (the issue keeps NULL durations);
@@ -71,15 +82,13 @@ def issue_histories(o: DataFrame) -> Column:
     hours = F.least(F.lit(23), F.floor(F.col("o_totalprice") / 25000)).cast("int")
     t1 = created + F.make_dt_interval(F.lit(1), hours)
     t2 = created + F.make_dt_interval(F.lit(3))
-    h_prio = _obj(id=F.lit("1"), created=_iso(created + F.make_dt_interval(F.lit(2))),
-                  items=F.array(_status_item(F.lit("Low"), F.lit("High"), "priority")))
-    h1 = _obj(id=F.lit("1"), created=_iso(t1),
-              items=F.array(_status_item(F.lit("Open"), F.lit("In Progress"))))
-    h2 = _obj(id=F.lit("2"), created=_iso(t2),
-              items=F.array(_status_item(F.lit("Ann"), F.lit("Bob"), "assignee"),
-                            _status_item(F.lit("in progress"), F.lit("Done"))))
+    h_prio = _rec(id=F.lit("1"), created=_iso(created + F.make_dt_interval(F.lit(2))),
+                  items=F.array(_item("priority", "Low", "High")))
+    h1 = _rec(id=F.lit("1"), created=_iso(t1), items=F.array(_item("status", "Open", "In Progress")))
+    h2 = _rec(id=F.lit("2"), created=_iso(t2),
+              items=F.array(_item("assignee", "Ann", "Bob"), _item("status", "in progress", "Done")))
     status = F.col("o_orderstatus")
-    return (F.when(F.col("o_orderpriority") == "5-LOW", F.array().cast("array<variant>"))
+    return (F.when(F.col("o_orderpriority") == "5-LOW", F.slice(F.array(h1), 1, 0))
             .when(status == "P", F.array(h_prio))
             .when(status == "O", F.array(h1))
             .otherwise(F.array(h1, h2)))
@@ -87,35 +96,35 @@ def issue_histories(o: DataFrame) -> Column:
 
 def issue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON issue document per order: (o_orderkey, o_orderstatus, doc)."""
-    o = load(spark, sf_dir, "orders")
+    o = spread(load(spark, sf_dir, "orders"))
     c = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = o.join(c, o.o_custkey == c.c_custkey, "left").join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     created = F.col("o_orderdate").cast("timestamp")
     resolved = F.when(F.col("o_orderstatus") == "F", _iso(created + F.make_dt_interval(F.lit(3))))
     segment = F.col("c_mktsegment")
-    assignee = (F.when(segment == "BUILDING", F.parse_json(F.lit("null")))
-                .when(segment == "AUTOMOBILE", F.col("c_name").cast("variant"))
-                .otherwise(_obj(displayName=F.col("c_name"))))
-    participants = F.array(_obj(displayName=F.col("c_name")), _obj(displayName=F.col("n_name")))
-    fields = _obj(**{
-        "status": _obj(name=F.col("o_orderstatus")),
-        "priority": _obj(name=F.col("o_orderpriority")),
-        "assignee": assignee,
-        "customfield_10010": _obj(requestType=_obj(name=segment)),
-        "customfield_10020": _obj(value=F.col("n_name")),
-        "customfield_10021": F.parse_json(F.lit("null")),
+    # The assignee is an object, a bare string or JSON null depending on the segment.
+    assignee = (F.when(segment == "BUILDING", F.lit("null"))
+                .when(segment == "AUTOMOBILE", _json_text(F.col("c_name")))
+                .otherwise(F.to_json(_rec(displayName=F.col("c_name")))))
+    participants = F.array(_rec(displayName=F.col("c_name")), _rec(displayName=F.col("n_name")))
+    fields = _rec(**{
+        "status": _rec(name=F.col("o_orderstatus")),
+        "priority": _rec(name=F.col("o_orderpriority")),
+        "customfield_10010": _rec(requestType=_rec(name=segment)),
+        "customfield_10020": _rec(value=F.col("n_name")),
         "customfield_10030": participants,
         "created": _iso(created),
         "resolutiondate": resolved,
-        "customfield_10040": _obj(value=F.concat(F.lit(" "), F.col("n_name"), F.lit(", Branch "))),
+        "customfield_10040": _rec(value=F.concat(F.lit(" "), F.col("n_name"), F.lit(", Branch "))),
         "description": _rich_text(F.col("c_name")),
     })
-    issue = _obj(id=F.col("o_orderkey").cast("string"),
-                 key=F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string")),
-                 fields=fields,
-                 changelog=_obj(startAt=F.lit(0), histories=issue_histories(j)))
-    return j.select("o_orderkey", "o_orderstatus", F.to_json(issue).alias("doc"))
+    fields_json = _splice(_splice(F.to_json(fields), "assignee", assignee), "customfield_10021", F.lit("null"))
+    head = F.to_json(_rec(id=F.col("o_orderkey").cast("string"),
+                          key=F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string"))))
+    changelog = F.to_json(_rec(startAt=F.lit(0), histories=issue_histories()))
+    doc = _splice(_splice(head, "fields", fields_json), "changelog", changelog)
+    return j.select("o_orderkey", "o_orderstatus", doc.alias("doc"))
 
 
 def _names_json() -> str:

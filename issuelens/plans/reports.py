@@ -23,11 +23,10 @@ from issuelens.functions.scalars import (hours_between, millis_to_minutes, nan_i
                                          r_timestamp, strip_commas, strip_spaces, trim_ws)
 from issuelens.operators.columns import across, string_columns
 from issuelens.operators.extract import hoist_all_expr
-from issuelens.operators.fields import (dictionary_entries, disambiguate, project_dictionary,
-                                        resolve)
+from issuelens.operators.fields import (FieldCatalog, dictionary_entries, disambiguate,
+                                        project_dictionary)
 from issuelens.operators.history import time_in_status
 from issuelens.operators.sequence import DEFAULT_POLICY, SkewPolicy
-from issuelens.operators.tables import indicator_matrix, option_values, row_sum
 from issuelens.plans.landing import landed_pages
 from issuelens.sources.pages import explode_issues, pages_from_text
 
@@ -57,9 +56,23 @@ class ReportSpec:
     derived: tuple[tuple[str, Callable[[], Column]], ...] = field(default_factory=tuple)
 
 
-def field_dictionary(pages: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """N12 over every page of every project: (project, field_id, display, pos, name)."""
-    return disambiguate(project_dictionary(dictionary_entries(pages)), policy=policy)
+# The per-project dictionary is a field catalogue (one row per field id after the first
+# aggregate), so numbering duplicate names needs no hot-group split.
+CATALOG_POLICY = SkewPolicy(enabled=False)
+
+
+def field_dictionary(pages: DataFrame) -> DataFrame:
+    """N12 over every page of every project: (project, field_id, display, pos, name).
+
+    Page entries are first reduced per (project, field id) -- a partial aggregate, so a
+    project with millions of pages is combined map-side -- then duplicates are numbered.
+    """
+    return disambiguate(project_dictionary(dictionary_entries(pages)), policy=CATALOG_POLICY)
+
+
+def field_catalog(pages: DataFrame) -> FieldCatalog:
+    """The field dictionary of landed pages, collected once."""
+    return FieldCatalog(field_dictionary(pages))
 
 
 def _source_expr(c: Col, fid: str | None) -> Column:
@@ -75,11 +88,10 @@ def _source_expr(c: Col, fid: str | None) -> Column:
     return F.try_variant_get(F.col("fields"), base + variant_path(c.path)[1:], c.dtype)
 
 
-def build_report(issues: DataFrame, dictionary: DataFrame, spec: ReportSpec, project: str | None = None) -> DataFrame:
+def build_report(issues: DataFrame, catalog: FieldCatalog, spec: ReportSpec, project: str | None = None) -> DataFrame:
     """Issues (from :func:`explode_issues`) -> the flat report of ``spec``."""
     wanted = sorted({c.source for c in spec.columns if c.source not in BUILTIN})
-    d = dictionary if project is None else dictionary.where(F.col("project") == project)
-    ids = resolve(d, wanted, normalise=strip_spaces if spec.strip_name_spaces else None)
+    ids = catalog.ids(wanted, project=project, strip_spaces=spec.strip_name_spaces)
     out = issues.select(*[_source_expr(c, ids.get(c.source)).alias(c.out) for c in spec.columns])
     for name, fn in spec.derived:
         out = out.withColumn(name, fn())
@@ -254,28 +266,35 @@ def history_items(issues: DataFrame, key_col: str = "key", created_col: str = "C
 
 
 def sbp_report(pages: DataFrame, as_of: str | None = None, statuses: Sequence[str] | None = None,
-               spec: ReportSpec = SBP, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+               spec: ReportSpec = SBP, catalog: FieldCatalog | None = None,
+               policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """Q4 + Q5 + Q6: issues with one day-count column per status left, strings cleaned.
 
     The report projection and the change-history items are two narrow reads of the same
     exploded issues; only the history side is shuffled (by issue), and the final left join
-    brings the durations back.  For repeated reports, land the exploded issues once as a
-    table (:func:`write_bronze`) and pass that instead of re-parsing the pages.
+    brings the durations back.  Pass pages that are already materialised (a landed table,
+    or :func:`settle_pages`) so that the two reads do not parse the pages twice.
     """
-    issues = explode_issues(pages) if "body" in pages.columns else pages
-    dictionary = field_dictionary(pages, policy) if "body" in pages.columns else None
-    if dictionary is None:
-        raise ValueError("sbp_report needs landed pages (with their field dictionary)")
-    report = clean_report_strings(build_report(issues, dictionary, spec))
-    created = F.try_variant_get(F.col("fields"), variant_path((_field_id(dictionary, "Created", spec),)), "string")
+    catalog = catalog or field_catalog(pages)
+    issues = explode_issues(pages)
+    report = clean_report_strings(build_report(issues, catalog, spec))
+    created_id = catalog.ids(["Created"], strip_spaces=spec.strip_name_spaces).get("Created", "created")
+    created = F.try_variant_get(F.col("fields"), variant_path((created_id,)), "string")
     log = issues.select(F.col("key"), F.col("changelog"), created.alias("Created"))
     durations = time_in_status(history_items(log), key="IssueKey", as_of=as_of, statuses=statuses, policy=policy)
     return report.join(durations, "IssueKey", "left")
 
 
-def _field_id(dictionary: DataFrame, name: str, spec: ReportSpec) -> str:
-    ids = resolve(dictionary, [name], normalise=strip_spaces if spec.strip_name_spaces else None)
-    return ids.get(name, name.lower())
+def settle_pages(pages: DataFrame) -> DataFrame:
+    """Parse once: checkpoint parsed pages into the shared checkpoint folder.
+
+    Every later job (dictionary, report, history, hot-group statistics) then reads the
+    parsed VARIANT instead of re-parsing page text; lineage is cut, so a lost executor
+    recomputes from the checkpoint, not from the source.
+    """
+    from issuelens.session import shared_dir
+    shared_dir(pages.sparkSession, "pages")   # makes sure a checkpoint folder is set
+    return pages.checkpoint(eager=True)
 
 
 def write_bronze(pages: DataFrame, path: str) -> None:
@@ -293,7 +312,7 @@ FLAGSHIP_COLUMNS = ["IssueKey", "Status", "Priority", "Assignee", "RequestType",
 
 
 def sbp_time_in_status(spark: SparkSession, sf: str) -> DataFrame:
-    pages = pages_from_text(landed_pages(spark, sf), "raw")
+    pages = settle_pages(pages_from_text(landed_pages(spark, sf), "raw"))
     rep = sbp_report(pages, as_of=AS_OF, statuses=FLAGSHIP_STATUSES)
     return rep.select(*FLAGSHIP_COLUMNS, *[F.round(F.col(s), 6).alias(s) for s in FLAGSHIP_STATUSES])
 
@@ -337,8 +356,8 @@ PAR_LANDED = ReportSpec("PAR-landed", (
 
 def par_report(spark: SparkSession, sf: str) -> DataFrame:
     """Q1 spine on landed pages: dates as written, hours to completion, NaN when open."""
-    pages = pages_from_text(landed_pages(spark, sf), "raw")
-    rep = finish_par_landed(build_report(explode_issues(pages), field_dictionary(pages), PAR_LANDED))
+    pages = settle_pages(pages_from_text(landed_pages(spark, sf), "raw"))
+    rep = finish_par_landed(build_report(explode_issues(pages), field_catalog(pages), PAR_LANDED))
     return rep.select(F.col("IssueID").cast("bigint").alias("IssueID"), "IssueKey",
                       F.date_format("ProjectEffectiveDate", "yyyy-MM-dd").alias("ProjectEffectiveDate"),
                       F.date_format("Created", "yyyy-MM-dd HH:mm:ss").alias("Created"),

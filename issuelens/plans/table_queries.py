@@ -26,10 +26,10 @@ from issuelens.operators.fields import disambiguate
 from issuelens.operators.history import status_durations, status_transitions
 from issuelens.operators.tables import (indicator_matrix, left_enrich, natural_full_join,
                                         row_sum, unpivot_long)
-from issuelens.plans.landing import _obj, issue_documents, landed_pages, load
+from issuelens.plans.landing import _rec, issue_documents, landed_pages, load
 from issuelens.sources.pages import explode_issues, page_audit, pages_from_text
 from issuelens.sources.sinks import read_csv, write_csv
-from issuelens.session import shared_dir
+from issuelens.session import shared_dir, spread
 
 TS_FMT_SPARK = "yyyy-MM-dd HH:mm:ss"
 TS_FMT_DUCK = "%Y-%m-%d %H:%M:%S"
@@ -170,12 +170,16 @@ LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 # N10 A5 N5 -- safe hoist all / strict collapse / numbered columns over record arrays
 # --------------------------------------------------------------------------------------
 def _participants(li: DataFrame) -> DataFrame:
-    e1 = _obj(displayName=F.col("l_returnflag"))
-    e2 = _obj(displayName=F.col("l_linestatus"))
-    e3 = F.when(F.col("l_discount") > 0.05, _obj(other=F.col("l_linenumber"))) \
-        .otherwise(_obj(displayName=F.col("l_linenumber")))
-    arr = (F.when(F.col("l_quantity") <= 2, F.array().cast("array<variant>"))
-           .when(F.col("l_tax") == 0, F.array(e1, e2, e3, F.parse_json(F.lit("null"))))
+    """A participants list per line item: records, one without ``displayName``, sometimes
+    a JSON null element (-> NULL result) or an empty list (-> NULL result)."""
+    none = F.lit(None).cast("string")
+    e1 = _rec(displayName=F.col("l_returnflag"), other=none)
+    e2 = _rec(displayName=F.col("l_linestatus"), other=none)
+    e3 = F.when(F.col("l_discount") > 0.05, _rec(displayName=none, other=F.col("l_linenumber").cast("string"))) \
+        .otherwise(_rec(displayName=F.col("l_linenumber").cast("string"), other=none))
+    null_elem = F.when(F.lit(False), e1)
+    arr = (F.when(F.col("l_quantity") <= 2, F.slice(F.array(e1), 1, 0))
+           .when(F.col("l_tax") == 0, F.array(e1, e2, e3, null_elem))
            .otherwise(F.array(e1, e2, e3)))
     # Land as text and parse back, as pages arrive.
     return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
@@ -183,7 +187,7 @@ def _participants(li: DataFrame) -> DataFrame:
 
 
 def q_hoist_all_join(spark: SparkSession, sf: str) -> DataFrame:
-    li = _participants(load(spark, sf, "lineitem"))
+    li = _participants(spread(load(spark, sf, "lineitem")))
     out = hoist_all(li, "RequestParticipants", ["displayName"])
     out = out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                      F.col("RequestParticipants_displayName").alias("participants"),
@@ -236,12 +240,12 @@ FROM orders
 # N7 P8 R4 A2 -- record -> key/value rows -> membership filter -> back to a record
 # --------------------------------------------------------------------------------------
 def q_unnest_keyed(spark: SparkSession, sf: str) -> DataFrame:
-    ev = load(spark, sf, "events")
-    item = _obj(field=F.col("event_type"), k=F.try_variant_get(F.parse_json("props"), "$.k", "bigint"))
-    extra = _obj(field=F.lit("value"), k=F.lit(0))
+    ev = spread(load(spark, sf, "events"))
+    item = _rec(field=F.col("event_type"), k=F.get_json_object("props", "$.k").cast("bigint"))
+    extra = _rec(field=F.lit("value"), k=F.lit(0).cast("bigint"))
     items = F.when(F.col("value") > 50, F.array(item, extra)).otherwise(F.array(item))
-    history = _obj(created=F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+0000'"), items=items,
-                   author=_obj(displayName=F.concat(F.lit("user-"), F.col("user_id").cast("string"))),
+    history = _rec(created=F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+0000'"), items=items,
+                   author=_rec(displayName=F.concat(F.lit("user-"), F.col("user_id").cast("string"))),
                    id=F.col("event_id").cast("string"))
     h = ev.select("event_id", F.parse_json(F.to_json(history)).alias("values"))
     kv = unnest_keyed(h, "values", key_to="column", values_to="values")
@@ -270,12 +274,12 @@ FROM events
 # N8 -- lock-step unnest of two arrays of different lengths
 # --------------------------------------------------------------------------------------
 def q_parallel_unnest(spark: SparkSession, sf: str) -> DataFrame:
-    li = load(spark, sf, "lineitem")
+    li = spread(load(spark, sf, "lineitem"))
     ship = F.col("l_shipdate").cast("timestamp")
     created = F.array(F.date_format(ship, "yyyy-MM-dd"), F.date_format(ship + F.make_dt_interval(F.lit(1)), "yyyy-MM-dd"))
-    i1 = _obj(fromString=F.col("l_linestatus"))
-    i2 = _obj(fromString=F.col("l_returnflag"))
-    i3 = _obj(fromString=F.col("l_linenumber").cast("string"))
+    i1 = _rec(fromString=F.col("l_linestatus"))
+    i2 = _rec(fromString=F.col("l_returnflag"))
+    i3 = _rec(fromString=F.col("l_linenumber").cast("string"))
     items = F.when(F.col("l_returnflag") == "R", F.array(i1, i2, i3)).otherwise(F.array(i1))
     df = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                    F.parse_json(F.to_json(created)).alias("created"), F.parse_json(F.to_json(items)).alias("items"))
@@ -472,7 +476,7 @@ WHERE NOT coalesce(IssueKey IN ('CUST-1', 'CUST-2', 'CUST-3', 'CUST-4', 'CUST-5'
 # F1 F2 F3 F4 P13 -- string clean-up across all text columns, title case of whole texts
 # --------------------------------------------------------------------------------------
 def q_clean_strings(spark: SparkSession, sf: str) -> DataFrame:
-    d = load(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    d = spread(load(spark, sf, "documents").select("doc_id", "text", "lang", "source"))
     d = across(d, strip_commas, string_columns(d))     # P13 + F1
     d = across(d, trim_ws, string_columns(d))          # P13 + F2
     return d.select("doc_id", "text", "lang", "source",

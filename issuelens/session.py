@@ -59,3 +59,15 @@ def shared_dir(spark: SparkSession, name: str = "work") -> str:
     elif sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
     return os.path.join(base.rstrip("/"), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def spread(df):
+    """Give a CPU-heavy per-row stage at least one partition per core.
+
+    A small file with one row group is scanned by one task, so parsing or rebuilding
+    text would run on one core.  When the input has fewer partitions than the cluster
+    has cores, one round-robin shuffle spreads it; on a wide input (many files or row
+    groups, the normal case at scale) this is a no-op and adds no exchange.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
