@@ -86,8 +86,7 @@ def elapsed_by_status(transitions: DataFrame, key: str, normalize: bool = True,
                       policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """Long result: (key, status, days) with days summed per status left."""
     order_cols = [c for c in transitions.columns if c.startswith("_o")]
-    ordered = [F.col("changed_at").asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in order_cols]]
-    t = lag_in_order(transitions, [key], ordered, value="changed_at", default="ticket_created",
+    t = lag_in_order(transitions, [key], ["changed_at", *order_cols], value="changed_at", default="ticket_created",
                      out="_prev", range_col="changed_at", policy=policy)
     name = status_name(F.col("from_status")) if normalize else F.coalesce(F.col("from_status"), F.lit("NA"))
     return (t.withColumn("status", name)

@@ -82,20 +82,22 @@ def with_ranges(df: DataFrame, keys: Sequence[str], order_col: str, hot: DataFra
     joined = df.join(F.broadcast(hot), list(keys), "left")
     return (joined.withColumn(_B, F.when(F.col("_nr").isNull(), F.lit(0).cast("long")).otherwise(F.coalesce(rng, F.col("_nr") - 1)))
             .withColumn("_hot", F.col("_nr").isNotNull())
-            .drop("_lo", "_hi", "_nr"))
+            .drop("_n", "_lo", "_hi", "_nr"))
 
 
-def lag_in_order(df: DataFrame, keys: Sequence[str], order_cols: Sequence[Column | str], value: str,
+def lag_in_order(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], value: str,
                  default: Column | str | None, out: str, range_col: str | None = None,
                  policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """``lag(value, 1, default) OVER (PARTITION BY keys ORDER BY order_cols)``.
 
-    ``default`` may be a column (the reference uses the ticket's creation time).
-    ``range_col`` (a time or number that leads ``order_cols``) is where hot groups are cut;
-    without it no group is split.
+    Ordering is ascending with NULLs last on every column.  ``default`` may be a column
+    (the reference uses the ticket's creation time).  ``range_col`` (a time or number
+    leading ``order_cols``) is where hot groups are cut; without it no group is split.
     """
     default = F.col(default) if isinstance(default, str) else (default if default is not None else F.lit(None))
-    order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    order = [F.col(c).asc_nulls_last() for c in order_cols]
+    # A struct that compares like the ordering (NULLs last): (is null, value) per column.
+    order_key = F.struct(*[x for c in order_cols for x in (F.col(c).isNull(), F.col(c))])
     first_order = range_col
     hot = split_groups(df, keys, first_order, policy) if first_order else None
     prev_struct = F.struct(F.col(value).alias("v"))
@@ -107,16 +109,16 @@ def lag_in_order(df: DataFrame, keys: Sequence[str], order_cols: Sequence[Column
     ranged = with_ranges(df, keys, first_order, hot)
     # Last value of every range of the split groups (a small table: <= groups x ranges).
     last = (ranged.where("_hot").groupBy(*keys, _B)
-            .agg(F.max_by(prev_struct, F.struct(*order)).alias("_last")))
+            .agg(F.max_by(prev_struct, order_key).alias("_last")))
     carry = last.select(*keys, _B, F.lag("_last", 1).over(Window.partitionBy(*keys).orderBy(_B)).alias("_carry"))
     w = Window.partitionBy(*keys, _B).orderBy(*order)
     prev = F.lag(prev_struct, 1).over(w)
-    res = (ranged.withColumn("_prev", prev)
+    res = (ranged.withColumn("__in_range", prev)
            .join(F.broadcast(carry), [*keys, _B], "left")
-           .withColumn(out, F.when(F.col("_prev").isNotNull(), F.col("_prev")["v"])
+           .withColumn(out, F.when(F.col("__in_range").isNotNull(), F.col("__in_range")["v"])
                        .when(F.col("_carry").isNotNull(), F.col("_carry")["v"])
                        .otherwise(default)))
-    return res.drop("_prev", "_carry", _B, "_hot")
+    return res.drop("__in_range", "_carry", _B, "_hot")
 
 
 def row_number_in_order(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], out: str,

@@ -22,7 +22,7 @@ def read_pages(spark: SparkSession, path: str, project: str | None = None) -> Da
     from the trailing number of the file name (token pages, ``page-00012.json``).  The
     project is the ``project=`` directory when the layout is partitioned, else ``project``.
     """
-    df = spark.read.option("wholetext", "true").text(path)
+    df = spark.read.text(path, wholetext=True)
     file_col = F.col("_metadata.file_path")
     if "project" in df.columns:
         proj = F.col("project").cast("string")
