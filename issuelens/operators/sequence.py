@@ -133,17 +133,17 @@ def row_number_in_order(df: DataFrame, keys: Sequence[str], order_cols: Sequence
         return res
 
     ranged = with_ranges(df, keys, order_cols[0], hot)
-    sizes = ranged.where("_hot").groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("_cnt"))
+    sizes = ranged.where("_hot").groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("__cnt"))
     wr = Window.partitionBy(*keys).orderBy(_B)
     offsets = sizes.select(
         *keys, _B,
-        F.coalesce(F.sum("_cnt").over(wr.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(Window.partitionBy(*keys)).alias("_tot"))
+        F.coalesce(F.sum("__cnt").over(wr.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"),
+        F.sum("__cnt").over(Window.partitionBy(*keys)).alias("__tot"))
     w = Window.partitionBy(*keys, _B).orderBy(*order_cols)
-    res = (ranged.withColumn("_rn", F.row_number().over(w))
-           .withColumn("_cnt_local", F.count(F.lit(1)).over(Window.partitionBy(*keys, _B)))
+    res = (ranged.withColumn("__rn", F.row_number().over(w))
+           .withColumn("__cnt_local", F.count(F.lit(1)).over(Window.partitionBy(*keys, _B)))
            .join(F.broadcast(offsets), [*keys, _B], "left")
-           .withColumn(out, F.col("_rn") + F.coalesce(F.col("_off"), F.lit(0))))
+           .withColumn(out, F.col("__rn") + F.coalesce(F.col("__off"), F.lit(0))))
     if count_out:
-        res = res.withColumn(count_out, F.coalesce(F.col("_tot"), F.col("_cnt_local")))
-    return res.drop("_rn", "_cnt_local", "_off", "_tot", _B, "_hot")
+        res = res.withColumn(count_out, F.coalesce(F.col("__tot"), F.col("__cnt_local")))
+    return res.drop("__rn", "__cnt_local", "__off", "__tot", _B, "_hot")

@@ -12,8 +12,12 @@ from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, St
 
 from issuelens.operators.columns import NESTED_TYPES
 
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "quoteAll": "true",
-               "multiLine": "true", "nullValue": "", "emptyValue": "\"\""}
+# As R's write.csv: missing values are NA, quotes are doubled, values are quoted when they
+# contain a separator, quote or line break; an empty string stays a quoted empty string.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true",
+               "nullValue": "NA", "emptyValue": "\"\"",
+               # Spark's CSV writer trims values unless told not to; text must survive as is.
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def flat_for_csv(df: DataFrame) -> DataFrame:
@@ -26,8 +30,8 @@ def flat_for_csv(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", single_file: bool = False) -> None:
-    """S3 ``write.csv(x, path, row.names = FALSE)``: header, every value quoted, ``"`` doubled,
-    embedded newlines allowed.  Partitioned output by default (one file per task); the BI
+    """S3 ``write.csv(x, path, row.names = FALSE)``: header, NA for missing, ``"``
+    doubled, embedded newlines allowed.  Partitioned output by default (one file per task); the BI
     copy can ask for ``single_file`` on small reports only."""
     out = flat_for_csv(df)
     if single_file:
@@ -43,7 +47,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", single_file
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Read a report written by :func:`write_csv` back with its schema."""
     reader = spark.read.schema(schema)
-    for k in ("header", "quote", "escape", "multiLine", "nullValue"):
+    for k in ("header", "quote", "escape", "multiLine", "nullValue", "ignoreLeadingWhiteSpace",
+              "ignoreTrailingWhiteSpace"):
         reader = reader.option(k, CSV_OPTIONS[k])
     return reader.csv(path)
 
