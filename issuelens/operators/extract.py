@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import VariantType
 
-from issuelens.functions.paths import Step, as_steps, is_record, variant_kind, variant_path
+from issuelens.functions.paths import Step, as_steps, variant_path
 
 PathSpec = Step | Sequence[Step] | tuple  # ("a", 1) or (("a", 1), "double")
 
@@ -59,11 +59,18 @@ def hoist(df: DataFrame, col: str, outputs: Mapping[str, PathSpec], remove: bool
     return out
 
 
+def _is_list(e: Column) -> Column:
+    """R's ``is.list`` on a VARIANT value: an object or an array (probe objects first)."""
+    return F.try_variant_get(e, "$", "map<string,variant>").isNotNull() \
+        | F.try_variant_get(e, "$", "array<variant>").isNotNull()
+
+
 def hoist_all_expr(v: Column, path: Sequence[Step], sep: str = ";") -> Column:
     """Column form of ``safe_hoist_all``: every element's ``path[-1]`` joined by ``sep``.
 
     NULL when the cell is not a list, an intermediate step is out of range or absent,
-    any element of the final list is not a record, or no element has a value.
+    any element of the final list is not a record, an element holds a nested value under
+    the name, or no element has a value.  Logical values print as ``TRUE``/``FALSE``.
     """
     steps = as_steps(path)
     if not steps or not isinstance(steps[-1], str):
@@ -74,14 +81,17 @@ def hoist_all_expr(v: Column, path: Sequence[Step], sep: str = ";") -> Column:
     as_object = F.map_values(F.try_variant_get(cur, "$", "map<string,variant>"))
     elems = F.coalesce(as_array, as_object)
     leaf_path = variant_path((leaf,))
-    values = F.transform(elems, lambda e: F.try_variant_get(e, leaf_path, "variant"))
-    ok = (F.size(elems) > 0) & F.forall(elems, lambda e: is_record(e)) \
-        & ~F.exists(values, lambda x: F.coalesce(is_record(x), F.lit(False)))
+    # One pass over the elements: record test, the value, and its JSON form (to tell a
+    # logical from text and a nested value from a scalar).
+    cells = F.transform(elems, lambda e: F.struct(
+        _is_list(e).alias("rec"),
+        F.to_json(F.try_variant_get(e, leaf_path, "variant")).alias("j"),
+        F.try_variant_get(e, leaf_path, "string").alias("s")))
+    ok = (F.size(elems) > 0) & F.forall(cells, lambda c: c["rec"]) \
+        & ~F.exists(cells, lambda c: F.coalesce(F.substring(c["j"], 1, 1).isin("{", "["), F.lit(False)))
     text = F.filter(
-        F.transform(values, lambda x: F.when(variant_kind(x) == "BOOLEAN",
-                                              F.upper(F.try_variant_get(x, "$", "string")))
-                    .otherwise(F.try_variant_get(x, "$", "string"))),
-        lambda s: s.isNotNull())
+        F.transform(cells, lambda c: F.when(c["j"].isin("true", "false"), F.upper(c["j"])).otherwise(c["s"])),
+        lambda x: x.isNotNull())
     return F.when(ok & (F.size(text) > 0), F.array_join(text, sep))
 
 

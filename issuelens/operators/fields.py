@@ -27,7 +27,12 @@ def dictionary_entries(pages: DataFrame, raw_col: str = "raw", project_col: str
     VARIANT objects keep keys sorted, so document order is read from the page text:
     ``from_json`` into a map keeps the order in which the keys were written.
     """
-    names = F.from_json(F.get_json_object(F.col(raw_col), "$.names"), "map<string,string>")
+    if "names" in pages.columns:             # issue rows carry their page's names once
+        pages = pages.where(F.col("names").isNotNull())
+        text = F.col("names")
+    else:
+        text = F.get_json_object(F.col(raw_col), "$.names")
+    names = F.from_json(text, "map<string,string>")
     return pages.select(project_col, page_col, F.posexplode(names).alias("pos", "field_id", "display"))
 
 

@@ -31,6 +31,7 @@ from pyspark.sql.types import StringType, TimestampNTZType, TimestampType
 from issuelens.functions.scalars import as_of_literal, days_between, r_timestamp
 from issuelens.functions.titlecase import status_name
 from issuelens.operators.sequence import DEFAULT_POLICY, SkewPolicy, lag_in_order
+from issuelens.session import settle
 
 STATUS_FIELD = "status"
 OPEN = "Open"
@@ -100,7 +101,12 @@ def status_durations(transitions: DataFrame, key: str = "IssueKey", statuses: Se
     """Wide result: one row per issue, one day-count column per status (R3 pivot).
 
     Pass ``statuses`` when known: it fixes the columns and skips the job that finds them.
+    When the hot-issue check is on, the transitions are checkpointed first (into the
+    shared checkpoint folder): the size statistics and the durations then read one narrow
+    table instead of walking the change history twice.
     """
+    if policy.enabled:
+        transitions = settle(transitions)
     long = elapsed_by_status(transitions, key, normalize, policy)
     if statuses is None:
         statuses = sorted(r[0] for r in long.select("status").distinct().collect())

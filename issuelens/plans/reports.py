@@ -272,11 +272,12 @@ def sbp_report(pages: DataFrame, as_of: str | None = None, statuses: Sequence[st
 
     The report projection and the change-history items are two narrow reads of the same
     exploded issues; only the history side is shuffled (by issue), and the final left join
-    brings the durations back.  Pass pages that are already materialised (a landed table,
-    or :func:`settle_pages`) so that the two reads do not parse the pages twice.
+    brings the durations back.  Pages (with ``body``) are first settled into the bronze
+    issue table (:func:`settle_issues`) so that the two reads do not parse pages twice;
+    an already settled issue table is used as it is.
     """
-    catalog = catalog or field_catalog(pages)
-    issues = explode_issues(pages)
+    issues = settle_issues(pages) if "body" in pages.columns else pages
+    catalog = catalog or field_catalog(issues)
     report = clean_report_strings(build_report(issues, catalog, spec))
     created_id = catalog.ids(["Created"], strip_spaces=spec.strip_name_spaces).get("Created", "created")
     created = F.try_variant_get(F.col("fields"), variant_path((created_id,)), "string")
@@ -285,16 +286,17 @@ def sbp_report(pages: DataFrame, as_of: str | None = None, statuses: Sequence[st
     return report.join(durations, "IssueKey", "left")
 
 
-def settle_pages(pages: DataFrame) -> DataFrame:
-    """Parse once: checkpoint parsed pages into the shared checkpoint folder.
+def settle_issues(pages: DataFrame) -> DataFrame:
+    """Parse once: the bronze issue table, checkpointed into the shared checkpoint folder.
 
-    Every later job (dictionary, report, history, hot-group statistics) then reads the
-    parsed VARIANT instead of re-parsing page text; lineage is cut, so a lost executor
-    recomputes from the checkpoint, not from the source.
+    One row per issue with its ``fields`` and ``changelog`` VARIANTs (and the page's
+    ``names`` text on each page's first issue, for the dictionary).  Every later job --
+    dictionary, report projection, change history, hot-issue statistics -- reads these
+    values instead of re-parsing and re-exploding pages; lineage is cut, so a lost
+    executor recomputes from the checkpoint.
     """
-    from issuelens.session import shared_dir
-    shared_dir(pages.sparkSession, "pages")   # makes sure a checkpoint folder is set
-    return pages.checkpoint(eager=True)
+    from issuelens.session import settle
+    return settle(explode_issues(pages, keep_names=True))
 
 
 def write_bronze(pages: DataFrame, path: str) -> None:
@@ -312,8 +314,8 @@ FLAGSHIP_COLUMNS = ["IssueKey", "Status", "Priority", "Assignee", "RequestType",
 
 
 def sbp_time_in_status(spark: SparkSession, sf: str) -> DataFrame:
-    pages = settle_pages(pages_from_text(landed_pages(spark, sf), "raw"))
-    rep = sbp_report(pages, as_of=AS_OF, statuses=FLAGSHIP_STATUSES)
+    issues = settle_issues(pages_from_text(landed_pages(spark, sf), "raw"))
+    rep = sbp_report(issues, as_of=AS_OF, statuses=FLAGSHIP_STATUSES)
     return rep.select(*FLAGSHIP_COLUMNS, *[F.round(F.col(s), 6).alias(s) for s in FLAGSHIP_STATUSES])
 
 
@@ -356,8 +358,8 @@ PAR_LANDED = ReportSpec("PAR-landed", (
 
 def par_report(spark: SparkSession, sf: str) -> DataFrame:
     """Q1 spine on landed pages: dates as written, hours to completion, NaN when open."""
-    pages = settle_pages(pages_from_text(landed_pages(spark, sf), "raw"))
-    rep = finish_par_landed(build_report(explode_issues(pages), field_catalog(pages), PAR_LANDED))
+    issues = settle_issues(pages_from_text(landed_pages(spark, sf), "raw"))
+    rep = finish_par_landed(build_report(issues, field_catalog(issues), PAR_LANDED))
     return rep.select(F.col("IssueID").cast("bigint").alias("IssueID"), "IssueKey",
                       F.date_format("ProjectEffectiveDate", "yyyy-MM-dd").alias("ProjectEffectiveDate"),
                       F.date_format("Created", "yyyy-MM-dd HH:mm:ss").alias("Created"),

@@ -71,3 +71,15 @@ def spread(df):
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def settle(df):
+    """Materialise ``df`` once with a reliable checkpoint in the shared checkpoint folder.
+
+    Used where a plan is read by more than one job (size statistics, then the result):
+    lineage is cut, so the second job and any recomputation after a lost executor read
+    the checkpoint instead of recomputing the input.  Spread first when the data arrives
+    in fewer partitions than cores, so later per-row work stays parallel.
+    """
+    shared_dir(df.sparkSession, "checkpoint")     # ensures a checkpoint folder is set
+    return spread(df).checkpoint(eager=True)

@@ -53,21 +53,32 @@ def pages_from_text(df: DataFrame, text_col: str = "raw", project_col: str = "pr
                      F.col(text_col).alias("raw"), body.alias("body"))
 
 
-def explode_issues(pages: DataFrame) -> DataFrame:
+def explode_issues(pages: DataFrame, keep_names: bool = False) -> DataFrame:
     """N1 pluck ``issues`` + N2 enframe + N4 unnest_wider of the issue record.
 
     One row per issue: (project, page_no, issue_pos, id, key, fields, changelog).  Empty
-    pages produce no rows (the reference's stop test).  No shuffle.
+    pages produce no rows (the reference's stop test).  No shuffle.  ``keep_names`` keeps
+    the page's ``names`` text on the page's first issue only (for the field dictionary,
+    without copying it to every issue).
     """
+    if "body" not in pages.columns:          # already one row per issue
+        return pages
     issues = F.try_variant_get(F.col("body"), "$.issues", "array<variant>")
-    exploded = pages.select("project", "page_no", F.posexplode(issues).alias("issue_pos", "issue"))
-    return exploded.select(
+    extra = []
+    if keep_names:
+        names = F.col("names") if "names" in pages.columns else F.get_json_object(F.col("raw"), "$.names")
+        extra = [names.alias("names")]
+    exploded = pages.select("project", "page_no", *extra, F.posexplode(issues).alias("issue_pos", "issue"))
+    out = [
         "project", "page_no", "issue_pos",
         F.try_variant_get("issue", "$.id", "string").alias("id"),
         F.try_variant_get("issue", "$.key", "string").alias("key"),
         F.try_variant_get("issue", "$.fields", "variant").alias("fields"),
         F.try_variant_get("issue", "$.changelog", "variant").alias("changelog"),
-    )
+    ]
+    if keep_names:
+        out.append(F.when(F.col("issue_pos") == 0, F.col("names")).alias("names"))
+    return exploded.select(*out)
 
 
 def latest_issue_version(issues: DataFrame) -> DataFrame:
