@@ -33,6 +33,9 @@ FIELD_NAMES = [
     ("resolutiondate", "Resolved"),
     ("customfield_10040", "Ministry/BPS Organization"),
     ("description", "Description"),
+    ("customfield_10050", "Tactics"),
+    ("customfield_10060", "Intended audiences"),
+    ("customfield_10061", "Intended Audience(s)"),
 ]
 
 
@@ -94,6 +97,38 @@ def issue_histories() -> Column:
             .otherwise(F.array(h1, h2)))
 
 
+def _options(*values: Column) -> Column:
+    """A multi-select value as JSON text: ``[{"value": v}, ...]``, NULL values kept as null."""
+    return F.to_json(F.array(*[F.struct(v.alias("value")) for v in values]),
+                     {"ignoreNullFields": "false"})
+
+
+def multi_select_tactics() -> Column:
+    """Tactics: empty for ``5-LOW``; first slot from the priority (``4-NOT SPECIFIED`` is an
+    unset option), second slot from the status when it has one."""
+    prio, status = F.col("o_orderpriority"), F.col("o_orderstatus")
+    t1 = (F.when(prio == "1-URGENT", F.lit("Social Media")).when(prio == "2-HIGH", F.lit("Email"))
+          .when(prio == "3-MEDIUM", F.lit("Newsletter")))
+    t2 = F.when(status == "F", F.lit("Email")).when(status == "O", F.lit("Poster"))
+    return (F.when(prio == "5-LOW", F.lit("[]"))
+            .when(t2.isNull(), _options(t1))
+            .otherwise(_options(t1, t2)))
+
+
+def multi_select_audiences() -> Column:
+    """First audience field: empty for open orders, else one option from the segment."""
+    seg = F.col("c_mktsegment")
+    a = (F.when(seg == "BUILDING", F.lit("All RPD Employees")).when(seg == "AUTOMOBILE", F.lit("Executive"))
+         .when(seg == "MACHINERY", F.lit("Managers")).otherwise(F.lit("Other")))
+    return F.when(F.col("o_orderstatus") == "O", F.lit("[]")).otherwise(_options(a))
+
+
+def multi_select_audiences_2() -> Column:
+    """Second audience field: two options for urgent and high priority, else JSON null."""
+    return F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"),
+                  _options(F.lit("Executive"), F.lit("Other"))).otherwise(F.lit("null"))
+
+
 def issue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON issue document per order: (o_orderkey, o_orderstatus, doc)."""
     o = spread(load(spark, sf_dir, "orders"))
@@ -120,6 +155,9 @@ def issue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "description": _rich_text(F.col("c_name")),
     })
     fields_json = _splice(_splice(F.to_json(fields), "assignee", assignee), "customfield_10021", F.lit("null"))
+    fields_json = _splice(_splice(_splice(fields_json, "customfield_10050", multi_select_tactics()),
+                                  "customfield_10060", multi_select_audiences()),
+                          "customfield_10061", multi_select_audiences_2())
     head = F.to_json(_rec(id=F.col("o_orderkey").cast("string"),
                           key=F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string"))))
     changelog = F.to_json(_rec(startAt=F.lit(0), histories=issue_histories()))

@@ -27,6 +27,7 @@ from issuelens.operators.fields import (FieldCatalog, dictionary_entries, disamb
                                         project_dictionary)
 from issuelens.operators.history import time_in_status
 from issuelens.operators.sequence import DEFAULT_POLICY, SkewPolicy
+from issuelens.operators.tables import indicator_matrix, row_sum
 from issuelens.plans.landing import landed_pages
 from issuelens.sources.pages import explode_issues, pages_from_text
 
@@ -394,8 +395,107 @@ LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 """
 
 
+# --------------------------------------------------------------------------------------
+# COM multi-select matrices (Q8-Q10)
+# --------------------------------------------------------------------------------------
+def selected_options(issues: DataFrame, catalog: FieldCatalog, key: str, sources: Sequence[str],
+                     blank: str = "Blank", leaf: str = "value") -> DataFrame:
+    """(key, Value) rows of one or more multi-select fields (N5 + R1 + W1 + F15 + P11).
+
+    The reference widens every option list into numbered columns, lengthens them again,
+    numbers the rows per issue and calls a missing first row ``Blank``.  Its first row is
+    always slot 1 of the first source field, so the rule needs no window: ``Blank`` when
+    that slot has no value.  Every present option of every source becomes one row.
+    Nothing is gathered per issue; each option row comes from a narrow explode.
+    """
+    ids = catalog.ids(list(sources))
+    fid = [ids.get(s) for s in sources]
+    def field(f):
+        return F.try_variant_get(F.col("fields"), variant_path((f,)), "variant") if f else F.lit(None).cast("variant")
+    first = F.try_variant_get(field(fid[0]), variant_path((1, leaf)), "string") if fid[0] else F.lit(None).cast("string")
+    parts = [issues.select(F.col(key).alias(key), F.lit(blank).alias("Value")).where(first.isNull())]
+    for f in fid:
+        if f is None:
+            continue
+        opts = issues.select(F.col(key).alias(key),
+                             F.explode(F.try_variant_get(field(f), "$", "array<variant>")).alias("_o"))
+        parts.append(opts.select(key, F.try_variant_get("_o", variant_path((leaf,)), "string").alias("Value"))
+                     .where(F.col("Value").isNotNull()))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+COM_TACTICS = ["Blank", "Email", "Newsletter", "Poster", "Social Media"]
+COM_AUDIENCES = ["All RPD Employees", "Blank", "Executive", "Managers", "Other"]
+
+
+def _com_issues(spark: SparkSession, sf: str):
+    issues = settle_issues(pages_from_text(landed_pages(spark, sf), "raw"))
+    return issues.withColumnRenamed("id", "IssueKeyNumber"), field_catalog(issues)
+
+
+def com_tactics(spark: SparkSession, sf: str) -> DataFrame:
+    """Q8: issue x tactic indicator matrix, zero filled."""
+    issues, catalog = _com_issues(spark, sf)
+    opts = selected_options(issues, catalog, "IssueKeyNumber", ["Tactics"])
+    return indicator_matrix(opts, "IssueKeyNumber", COM_TACTICS)
+
+
+def com_audiences(spark: SparkSession, sf: str) -> DataFrame:
+    """Q9: issue x audience matrix over both audience fields (distinct by construction)."""
+    issues, catalog = _com_issues(spark, sf)
+    opts = selected_options(issues, catalog, "IssueKeyNumber", ["Intended audiences", "Intended Audience(s)"])
+    return indicator_matrix(opts, "IssueKeyNumber", COM_AUDIENCES)
+
+
+def com_audience_count(spark: SparkSession, sf: str) -> DataFrame:
+    """Q10: audiences per issue, the row sum over the option columns."""
+    return row_sum(com_audiences(spark, sf), COM_AUDIENCES, "Count").select("IssueKeyNumber", "Count")
+
+
+_COM_BASE = """
+WITH b AS (
+  SELECT CAST(o.o_orderkey AS VARCHAR) AS IssueKeyNumber, o.o_orderpriority AS prio, o.o_orderstatus AS status,
+         CASE c.c_mktsegment WHEN 'BUILDING' THEN 'All RPD Employees' WHEN 'AUTOMOBILE' THEN 'Executive'
+                             WHEN 'MACHINERY' THEN 'Managers' ELSE 'Other' END AS seg_aud
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey)
+"""
+COM_TACTICS_ORACLE = _COM_BASE + """
+SELECT IssueKeyNumber,
+  CASE WHEN prio = '5-LOW' OR prio = '4-NOT SPECIFIED' THEN 1.0 ELSE 0.0 END AS "Blank",
+  CASE WHEN prio <> '5-LOW' AND (prio = '2-HIGH' OR status = 'F') THEN 1.0 ELSE 0.0 END AS "Email",
+  CASE WHEN prio = '3-MEDIUM' THEN 1.0 ELSE 0.0 END AS "Newsletter",
+  CASE WHEN prio <> '5-LOW' AND status = 'O' THEN 1.0 ELSE 0.0 END AS "Poster",
+  CASE WHEN prio = '1-URGENT' THEN 1.0 ELSE 0.0 END AS "Social Media"
+FROM b
+"""
+_COM_AUDIENCE_MATRIX = _COM_BASE + """,
+m AS (
+  SELECT IssueKeyNumber,
+    CASE WHEN status <> 'O' AND seg_aud = 'All RPD Employees' THEN 1.0 ELSE 0.0 END AS "All RPD Employees",
+    CASE WHEN status = 'O' THEN 1.0 ELSE 0.0 END AS "Blank",
+    CASE WHEN (status <> 'O' AND seg_aud = 'Executive') OR prio IN ('1-URGENT', '2-HIGH') THEN 1.0 ELSE 0.0 END AS "Executive",
+    CASE WHEN status <> 'O' AND seg_aud = 'Managers' THEN 1.0 ELSE 0.0 END AS "Managers",
+    CASE WHEN (status <> 'O' AND seg_aud = 'Other') OR prio IN ('1-URGENT', '2-HIGH') THEN 1.0 ELSE 0.0 END AS "Other"
+  FROM b)
+"""
+COM_AUDIENCES_ORACLE = _COM_AUDIENCE_MATRIX + "SELECT * FROM m"
+COM_COUNT_ORACLE = _COM_AUDIENCE_MATRIX + """SELECT IssueKeyNumber,
+  "All RPD Employees" + "Blank" + "Executive" + "Managers" + "Other" AS "Count" FROM m"""
+
+
 REPORT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sbp_time_in_status": sbp_time_in_status,
     "par_report": par_report,
+    "com_tactics": com_tactics,
+    "com_audiences": com_audiences,
+    "com_audience_count": com_audience_count,
+}
+REPORT_ORACLES: dict[str, str] = {
+    "par_report": PAR_ORACLE,
+    "com_tactics": COM_TACTICS_ORACLE,
+    "com_audiences": COM_AUDIENCES_ORACLE,
+    "com_audience_count": COM_COUNT_ORACLE,
 }
-REPORT_ORACLES: dict[str, str] = {"par_report": PAR_ORACLE}
