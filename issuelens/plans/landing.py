@@ -186,7 +186,14 @@ def landed_pages(spark: SparkSession, sf_dir: str, by_project: bool = False) ->
              .agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "doc"))).alias("_issues")))
     totals = docs.groupBy(project.alias("project")).agg(F.count(F.lit(1)).alias("total"),
                                                          F.max(page_no).alias("last_page"))
-    pages = pages.join(totals, "project")
+    if by_project:
+        pages = pages.join(totals, "project")        # one row per project: a keyed lookup
+    else:
+        # One project: the total and last page are scalar subqueries over the orders (one
+        # issue per order), not a join.
+        o = load(spark, sf_dir, "orders")
+        pages = pages.withColumns({"total": o.select(F.count(F.lit(1))).scalar(),
+                                   "last_page": o.select(F.max(page_no)).scalar()})
     token = F.when(F.col("page_no") < F.col("last_page"),
                    F.concat(F.lit("tok-"), (F.col("page_no") + 1).cast("string")))
     body = F.concat(

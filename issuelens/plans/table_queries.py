@@ -369,21 +369,25 @@ FROM a FULL JOIN b
 def _return_options(spark: SparkSession, sf: str) -> DataFrame:
     """Orders x return-flag options; a flag ``N`` is an unset option (NULL).
 
-    The Blank rule needs each order's first slot.  It is taken with ``min_by`` (a partial
-    aggregate) rather than ``row_number`` over the order, so a huge order is combined
-    map-side; the indicator ``max`` makes the reference's ``distinct`` implicit.
+    The Blank rule needs each order's first slot.  Line items are reduced per order
+    *before* meeting the orders -- the first slot by ``min_by`` and the distinct options,
+    both partial aggregates -- so a hot order is combined map-side and the joins see one
+    row per order (or per order and option) on the line-item side.  The indicator ``max``
+    makes the reference's ``distinct`` implicit.
     """
     o = load(spark, sf, "orders").select("o_orderkey")
     li = load(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.col("l_orderkey").alias("o_orderkey"),
+        F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("slot"),
         F.nullif(F.col("l_returnflag"), F.lit("N")).alias("opt"))
-    long = o.join(li, o.o_orderkey == li.l_orderkey, "left")
-    slot = F.struct("l_linenumber", "l_partkey", "l_suppkey")
-    firsts = (long.groupBy("o_orderkey").agg(F.min_by(F.struct(F.col("opt")), slot).alias("_first"))
-              .where(F.col("_first.opt").isNull())
-              .select(F.col("o_orderkey"), F.lit("Blank").alias("Value")))
-    values = long.where(F.col("opt").isNotNull()).select("o_orderkey", F.col("opt").alias("Value"))
-    return firsts.unionByName(values)
+    firsts = li.groupBy("o_orderkey").agg(F.min_by(F.col("opt"), F.col("slot")).alias("first"),
+                                          F.lit(True).alias("has_lines"))
+    blanks = (o.join(firsts, "o_orderkey", "left")
+              .where(F.col("has_lines").isNull() | F.col("first").isNull())
+              .select("o_orderkey", F.lit("Blank").alias("Value")))
+    values = (li.where(F.col("opt").isNotNull()).select("o_orderkey", F.col("opt").alias("Value"))
+              .dropDuplicates().join(o, "o_orderkey", "left_semi"))
+    return blanks.unionByName(values)
 
 
 def q_indicator_matrix(spark: SparkSession, sf: str) -> DataFrame:

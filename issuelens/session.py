@@ -54,7 +54,9 @@ def shared_dir(spark: SparkSession, name: str = "work") -> str:
     if not base:
         base = sc.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="issuelens-")
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        base = tempfile.mkdtemp(prefix="issuelens-")   # local runs and tests only
         sc.setCheckpointDir(base)
     elif sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
