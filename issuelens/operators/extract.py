@@ -60,17 +60,23 @@ def hoist(df: DataFrame, col: str, outputs: Mapping[str, PathSpec], remove: bool
 
 
 def _is_list(e: Column) -> Column:
-    """R's ``is.list`` on a VARIANT value: an object or an array (probe objects first)."""
-    return F.try_variant_get(e, "$", "map<string,variant>").isNotNull() \
+    """R's ``is.list`` on a VARIANT value: an object or an array.
+
+    Objects are probed by a cast to the empty struct, which reads no members."""
+    return F.try_variant_get(e, "$", "struct<>").isNotNull() \
         | F.try_variant_get(e, "$", "array<variant>").isNotNull()
 
 
+_SEP = "\u0001"
+
+
 def hoist_all_expr(v: Column, path: Sequence[Step], sep: str = ";") -> Column:
     """Column form of ``safe_hoist_all``: every element's ``path[-1]`` joined by ``sep``.
 
     NULL when the cell is not a list, an intermediate step is out of range or absent,
     any element of the final list is not a record, an element holds a nested value under
     the name, or no element has a value.  Logical values print as ``TRUE``/``FALSE``.
+    Two element passes (extract, then format); the checks run on the resulting arrays.
     """
     steps = as_steps(path)
     if not steps or not isinstance(steps[-1], str):
@@ -81,17 +87,16 @@ def hoist_all_expr(v: Column, path: Sequence[Step], sep: str = ";") -> Column:
     as_object = F.map_values(F.try_variant_get(cur, "$", "map<string,variant>"))
     elems = F.coalesce(as_array, as_object)
     leaf_path = variant_path((leaf,))
-    # One pass over the elements: record test, the value, and its JSON form (to tell a
-    # logical from text and a nested value from a scalar).
+    # Per element: is it a record, the value's JSON form (tells a logical from text and a
+    # nested value from a scalar), and the value as text.
     cells = F.transform(elems, lambda e: F.struct(
-        _is_list(e).alias("rec"),
+        (~_is_list(e)).alias("bad"),
         F.to_json(F.try_variant_get(e, leaf_path, "variant")).alias("j"),
         F.try_variant_get(e, leaf_path, "string").alias("s")))
-    ok = (F.size(elems) > 0) & F.forall(cells, lambda c: c["rec"]) \
-        & ~F.exists(cells, lambda c: F.coalesce(F.substring(c["j"], 1, 1).isin("{", "["), F.lit(False)))
-    text = F.filter(
-        F.transform(cells, lambda c: F.when(c["j"].isin("true", "false"), F.upper(c["j"])).otherwise(c["s"])),
-        lambda x: x.isNotNull())
+    nested = F.array_join(cells["j"], _SEP).rlike("(^|" + _SEP + ")[\\[{]")
+    ok = (F.size(elems) > 0) & ~F.coalesce(F.array_contains(cells["bad"], True), F.lit(False)) & ~nested
+    text = F.array_compact(F.transform(
+        cells, lambda c: F.when(c["j"].isin("true", "false"), F.upper(c["j"])).otherwise(c["s"])))
     return F.when(ok & (F.size(text) > 0), F.array_join(text, sep))
 
 
