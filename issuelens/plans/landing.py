@@ -49,14 +49,16 @@ def _rec(**fields: Column) -> Column:
 
 
 def _json_text(c: Column) -> Column:
-    """A string column as a JSON string literal (quoted, escaped)."""
-    return F.regexp_extract(F.to_json(F.array(c)), r"^\[(.*)\]$", 1)
+    """A string column as a JSON string literal (quoted, escaped): ``["x"]`` without brackets."""
+    arr = F.to_json(F.array(c))
+    return arr.substr(F.lit(2), F.length(arr) - 2)
 
 
 def _splice(obj_json: Column, key: str, value_json: Column) -> Column:
     """Add ``"key": <value_json>`` to a JSON object text; used where a member changes
     JSON type from row to row (object, scalar or null), which a struct cannot express."""
-    return F.concat(F.regexp_replace(obj_json, r"\}$", ""), F.lit(f',"{key}":'), value_json, F.lit("}"))
+    head = obj_json.substr(F.lit(1), F.length(obj_json) - 1)       # drop the closing brace
+    return F.concat(head, F.lit(f',"{key}":'), value_json, F.lit("}"))
 
 
 def _iso(ts: Column, offset: str = "+0000") -> Column:
@@ -98,9 +100,12 @@ def issue_histories() -> Column:
 
 
 def _options(*values: Column) -> Column:
-    """A multi-select value as JSON text: ``[{"value": v}, ...]``, NULL values kept as null."""
-    return F.to_json(F.array(*[F.struct(v.alias("value")) for v in values]),
-                     {"ignoreNullFields": "false"})
+    """A multi-select value: ``[{"value": v}, ...]`` (a NULL value is written as null)."""
+    return F.array(*[F.struct(v.alias("value")) for v in values])
+
+
+def _no_options() -> Column:
+    return F.slice(_options(F.lit("")), 1, 0)
 
 
 def multi_select_tactics() -> Column:
@@ -110,7 +115,7 @@ def multi_select_tactics() -> Column:
     t1 = (F.when(prio == "1-URGENT", F.lit("Social Media")).when(prio == "2-HIGH", F.lit("Email"))
           .when(prio == "3-MEDIUM", F.lit("Newsletter")))
     t2 = F.when(status == "F", F.lit("Email")).when(status == "O", F.lit("Poster"))
-    return (F.when(prio == "5-LOW", F.lit("[]"))
+    return (F.when(prio == "5-LOW", _no_options())
             .when(t2.isNull(), _options(t1))
             .otherwise(_options(t1, t2)))
 
@@ -120,17 +125,25 @@ def multi_select_audiences() -> Column:
     seg = F.col("c_mktsegment")
     a = (F.when(seg == "BUILDING", F.lit("All RPD Employees")).when(seg == "AUTOMOBILE", F.lit("Executive"))
          .when(seg == "MACHINERY", F.lit("Managers")).otherwise(F.lit("Other")))
-    return F.when(F.col("o_orderstatus") == "O", F.lit("[]")).otherwise(_options(a))
+    return F.when(F.col("o_orderstatus") == "O", _no_options()).otherwise(_options(a))
 
 
 def multi_select_audiences_2() -> Column:
     """Second audience field: two options for urgent and high priority, else JSON null."""
     return F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"),
-                  _options(F.lit("Executive"), F.lit("Other"))).otherwise(F.lit("null"))
+                  _options(F.lit("Executive"), F.lit("Other")))
+
+
+_ASSIGNEE_SLOT = '"@@assignee@@"'
 
 
 def issue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON issue document per order: (o_orderkey, o_orderstatus, doc)."""
+    """One JSON issue document per order: (o_orderkey, o_orderstatus, doc).
+
+    The document is one struct serialised once (NULL members written as JSON null); only
+    the assignee, which is an object, a bare string or null depending on the customer's
+    segment, is put in as text afterwards.
+    """
     o = spread(load(spark, sf_dir, "orders"))
     c = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -138,7 +151,6 @@ def issue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     created = F.col("o_orderdate").cast("timestamp")
     resolved = F.when(F.col("o_orderstatus") == "F", _iso(created + F.make_dt_interval(F.lit(3))))
     segment = F.col("c_mktsegment")
-    # The assignee is an object, a bare string or JSON null depending on the segment.
     assignee = (F.when(segment == "BUILDING", F.lit("null"))
                 .when(segment == "AUTOMOBILE", _json_text(F.col("c_name")))
                 .otherwise(F.to_json(_rec(displayName=F.col("c_name")))))
@@ -146,22 +158,24 @@ def issue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = _rec(**{
         "status": _rec(name=F.col("o_orderstatus")),
         "priority": _rec(name=F.col("o_orderpriority")),
+        "assignee": F.lit(_ASSIGNEE_SLOT[1:-1]),
         "customfield_10010": _rec(requestType=_rec(name=segment)),
         "customfield_10020": _rec(value=F.col("n_name")),
+        "customfield_10021": F.lit(None).cast("string"),
         "customfield_10030": participants,
         "created": _iso(created),
         "resolutiondate": resolved,
         "customfield_10040": _rec(value=F.concat(F.lit(" "), F.col("n_name"), F.lit(", Branch "))),
         "description": _rich_text(F.col("c_name")),
+        "customfield_10050": multi_select_tactics(),
+        "customfield_10060": multi_select_audiences(),
+        "customfield_10061": multi_select_audiences_2(),
     })
-    fields_json = _splice(_splice(F.to_json(fields), "assignee", assignee), "customfield_10021", F.lit("null"))
-    fields_json = _splice(_splice(_splice(fields_json, "customfield_10050", multi_select_tactics()),
-                                  "customfield_10060", multi_select_audiences()),
-                          "customfield_10061", multi_select_audiences_2())
-    head = F.to_json(_rec(id=F.col("o_orderkey").cast("string"),
-                          key=F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string"))))
-    changelog = F.to_json(_rec(startAt=F.lit(0), histories=issue_histories()))
-    doc = _splice(_splice(head, "fields", fields_json), "changelog", changelog)
+    issue = _rec(id=F.col("o_orderkey").cast("string"),
+                 key=F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string")),
+                 fields=fields,
+                 changelog=_rec(startAt=F.lit(0), histories=issue_histories()))
+    doc = F.replace(F.to_json(issue, {"ignoreNullFields": "false"}), F.lit(_ASSIGNEE_SLOT), assignee)
     return j.select("o_orderkey", "o_orderstatus", doc.alias("doc"))
 
 
