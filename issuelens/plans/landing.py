@@ -39,8 +39,12 @@ FIELD_NAMES = [
 ]
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def load(spark: SparkSession, sf_dir: str, name: str, heavy_rows: bool = False) -> DataFrame:
+    """A provided table.  ``heavy_rows``: the next stage does costly per-row work (JSON,
+    text, timestamp parsing), so spread an input that arrives in fewer splits than cores.
+    Light aggregations skip it: a partial aggregate in one task beats an extra shuffle."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if heavy_rows else df
 
 
 def _rec(**fields: Column) -> Column:
@@ -144,7 +148,7 @@ def issue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     the assignee, which is an object, a bare string or null depending on the customer's
     segment, is put in as text afterwards.
     """
-    o = spread(load(spark, sf_dir, "orders"))
+    o = load(spark, sf_dir, "orders", heavy_rows=True)
     c = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = o.join(c, o.o_custkey == c.c_custkey, "left").join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")

@@ -187,7 +187,7 @@ def _participants(li: DataFrame) -> DataFrame:
 
 
 def q_hoist_all_join(spark: SparkSession, sf: str) -> DataFrame:
-    li = _participants(spread(load(spark, sf, "lineitem")))
+    li = _participants(load(spark, sf, "lineitem", heavy_rows=True))
     out = hoist_all(li, "RequestParticipants", ["displayName"])
     out = out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                      F.col("RequestParticipants_displayName").alias("participants"),
@@ -240,7 +240,7 @@ FROM orders
 # N7 P8 R4 A2 -- record -> key/value rows -> membership filter -> back to a record
 # --------------------------------------------------------------------------------------
 def q_unnest_keyed(spark: SparkSession, sf: str) -> DataFrame:
-    ev = spread(load(spark, sf, "events"))
+    ev = load(spark, sf, "events", heavy_rows=True)
     item = _rec(field=F.col("event_type"), k=F.get_json_object("props", "$.k").cast("bigint"))
     extra = _rec(field=F.lit("value"), k=F.lit(0).cast("bigint"))
     items = F.when(F.col("value") > 50, F.array(item, extra)).otherwise(F.array(item))
@@ -274,7 +274,7 @@ FROM events
 # N8 -- lock-step unnest of two arrays of different lengths
 # --------------------------------------------------------------------------------------
 def q_parallel_unnest(spark: SparkSession, sf: str) -> DataFrame:
-    li = spread(load(spark, sf, "lineitem"))
+    li = load(spark, sf, "lineitem", heavy_rows=True)
     ship = F.col("l_shipdate").cast("timestamp")
     created = F.array(F.date_format(ship, "yyyy-MM-dd"), F.date_format(ship + F.make_dt_interval(F.lit(1)), "yyyy-MM-dd"))
     i1 = _rec(fromString=F.col("l_linestatus"))
@@ -480,7 +480,7 @@ WHERE NOT coalesce(IssueKey IN ('CUST-1', 'CUST-2', 'CUST-3', 'CUST-4', 'CUST-5'
 # F1 F2 F3 F4 P13 -- string clean-up across all text columns, title case of whole texts
 # --------------------------------------------------------------------------------------
 def q_clean_strings(spark: SparkSession, sf: str) -> DataFrame:
-    d = spread(load(spark, sf, "documents").select("doc_id", "text", "lang", "source"))
+    d = load(spark, sf, "documents", heavy_rows=True).select("doc_id", "text", "lang", "source")
     d = across(d, strip_commas, string_columns(d))     # P13 + F1
     d = across(d, trim_ws, string_columns(d))          # P13 + F2
     return d.select("doc_id", "text", "lang", "source",
@@ -528,8 +528,8 @@ FROM t
 # --------------------------------------------------------------------------------------
 def q_dates_hours(spark: SparkSession, sf: str) -> DataFrame:
     o = load(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                                            "l_shipdate", "l_linestatus")
+    li = load(spark, sf, "lineitem", heavy_rows=True).select("l_orderkey", "l_linenumber", "l_partkey",
+                                                             "l_suppkey", "l_shipdate", "l_linestatus")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     created_text = F.date_format(F.col("o_orderdate"), "yyyy-MM-dd'T'HH:mm:ss.SSS'-0700'")
     resolved_text = F.when(F.col("l_linestatus") == "F",
