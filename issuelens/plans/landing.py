@@ -188,7 +188,8 @@ def _names_json() -> str:
     return json.dumps(dict(FIELD_NAMES))
 
 
-def landed_pages(spark: SparkSession, sf_dir: str, by_project: bool = False) -> DataFrame:
+def landed_pages(spark: SparkSession, sf_dir: str, by_project: bool = False,
+                 page_size: int = PAGE_SIZE) -> DataFrame:
     """Issue documents gathered into page texts of at most ``PAGE_SIZE`` issues.
 
     Columns: project, page_no, raw (the page JSON).  Pages carry ``startAt``,
@@ -198,7 +199,7 @@ def landed_pages(spark: SparkSession, sf_dir: str, by_project: bool = False) ->
     """
     docs = issue_documents(spark, sf_dir)
     project = F.col("o_orderstatus") if by_project else F.lit("ORD")
-    page_no = F.floor(F.col("o_orderkey") / PAGE_SIZE).cast("bigint")
+    page_no = F.floor(F.col("o_orderkey") / page_size).cast("bigint")
     pages = (docs.select(project.alias("project"), page_no.alias("page_no"), "o_orderkey", "doc")
              .groupBy("project", "page_no")
              .agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "doc"))).alias("_issues")))
@@ -215,8 +216,8 @@ def landed_pages(spark: SparkSession, sf_dir: str, by_project: bool = False) ->
     token = F.when(F.col("page_no") < F.col("last_page"),
                    F.concat(F.lit("tok-"), (F.col("page_no") + 1).cast("string")))
     body = F.concat(
-        F.lit('{"startAt":'), (F.col("page_no") * PAGE_SIZE).cast("string"),
-        F.lit(f',"maxResults":{PAGE_SIZE},"total":'), F.col("total").cast("string"),
+        F.lit('{"startAt":'), (F.col("page_no") * page_size).cast("string"),
+        F.lit(f',"maxResults":{page_size},"total":'), F.col("total").cast("string"),
         F.coalesce(F.concat(F.lit(',"nextPageToken":"'), token, F.lit('"')), F.lit("")),
         F.lit(',"names":'), F.lit(_names_json()),
         F.lit(',"issues":['), F.array_join(F.transform("_issues", lambda x: x["doc"]), ","), F.lit("]}"))
@@ -224,8 +225,8 @@ def landed_pages(spark: SparkSession, sf_dir: str, by_project: bool = False) ->
     if by_project:
         empty = totals.select(
             "project", (F.col("last_page") + 1).alias("page_no"),
-            F.concat(F.lit('{"startAt":'), ((F.col("last_page") + 1) * PAGE_SIZE).cast("string"),
-                     F.lit(f',"maxResults":{PAGE_SIZE},"total":'), F.col("total").cast("string"),
+            F.concat(F.lit('{"startAt":'), ((F.col("last_page") + 1) * page_size).cast("string"),
+                     F.lit(f',"maxResults":{page_size},"total":'), F.col("total").cast("string"),
                      F.lit(',"issues":[]}')).alias("raw"))
         out = out.unionByName(empty)
     return out
