@@ -58,31 +58,6 @@ def disambiguate(dictionary: DataFrame, group_cols: Sequence[str] = ("project",)
     return ranked.withColumn(out, named).drop("_rn", "_cnt")
 
 
-def resolve(dictionary: DataFrame, wanted: Sequence[str], name_col: str = "name",
-            id_col: str = "field_id", normalise=None) -> dict[str, str]:
-    """N3/N13 ``deframe`` + rename: display name -> field id for the names a report uses.
-
-    Only the wanted names travel to the driver (bounded by the report's column list).
-    ``normalise`` (e.g. strip spaces) is applied to dictionary names before matching.
-    """
-    cand = dictionary.select(name_col, id_col)
-    if normalise is not None:
-        cand = cand.select(normalise(F.col(name_col)).alias(name_col), id_col)
-    rows = cand.where(F.col(name_col).isin(list(wanted))).limit(MAX_DICTIONARY_ENTRIES).collect()
-    out: dict[str, str] = {}
-    for r in rows:
-        # Several ids may share one normalised name; the reference keeps the last rename.
-        out[r[name_col]] = r[id_col]
-    return out
-
-
-def dictionary_map(dictionary: DataFrame, key_cols: Sequence[str] = ("project",), name_col: str = "name",
-                   id_col: str = "field_id") -> DataFrame:
-    """N3 ``deframe`` kept distributed: one ``map<field_id, name>`` per project."""
-    return dictionary.groupBy(*key_cols).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(id_col), F.col(name_col)))).alias("names"))
-
-
 class FieldCatalog:
     """A field dictionary collected to the driver once, for building projections.
 

@@ -162,17 +162,18 @@ SBP = ReportSpec("SBP", (
 ), strip_name_spaces=False)
 
 COM = ReportSpec("COM", (
-    Col("IssueKeyNumber", "id"), Col("IssueKey", "key"), Col("Priority", "Priority", ("name",)),
-    Col("Assignee", "Assignee", ("displayName",)), Col("Resolved", "Resolved"),
-    Col("Frequency", "Frequency", (1, "value")), Col("Initial Target Date", "Initial Target Date"),
+    Col("IssueKeyNumber", "id"), Col("IssueKey", "key"), Col("Priority_name", "Priority", ("name",)),
+    Col("AssigneeName", "Assignee", ("displayName",)), Col("Resolved", "Resolved"),
+    Col("Frequency_val", "Frequency", (1, "value")), Col("Initial Target Date", "Initial Target Date"),
     Col("RequestType", "Request Type", ("requestType", "name")), Col("Summary", "Summary"),
-    Col("IssueType", "Issue Type", ("name",)), Col("Reporter", "Reporter", ("displayName",)),
-    Col("Creator", "Creator", ("displayName",)), Col("Created", "Created"),
-    Col("Description", "Description", ("content", 1, "content", 1, "text")),
-    Col("RPD Branch", "RPD Branch", ("value",)), Col("RequireCommsPlan", "Comms Plan Required?", ("value",)),
+    Col("IssueType", "Issue Type", ("name",)), Col("Reporter_val", "Reporter", ("displayName",)),
+    Col("CreatorName", "Creator", ("displayName",)), Col("Created", "Created"),
+    Col("Description_val", "Description", ("content", 1, "content", 1, "text")),
+    Col("RPD_Branch", "RPD Branch", ("value",)), Col("RequireCommsPlan", "Comms Plan Required?", ("value",)),
     Col("CommunicationLead", "Communication Lead", ("displayName",)),
+    Col("Communication Topic", "Communication Topic", how="raw"),
     Col("TopicOfCommunication", "Topic of Communication", ("content", 1, "content", 1, "text")),
-    Col("Status", "Status", ("name",)),
+    Col("Status_val", "Status", ("name",)),
 ), strip_name_spaces=False)
 
 CSR = ReportSpec("CSR", (
@@ -227,6 +228,14 @@ def finish_gpopr(df: DataFrame) -> DataFrame:
     return df.withColumns({c: r_date(F.col(c)) for c in ("Created", "Updated", "Duedate")})
 
 
+def finish_com(df: DataFrame) -> DataFrame:
+    """Q7: dates as written, then the header clean-up: drop still-nested columns (P3),
+    strip the ``_name``/``_text``/``_val``/``_value`` suffixes (P5), underscores to spaces."""
+    from issuelens.operators.columns import SUFFIX_PATTERN, drop_nested, rename_regex
+    out = df.withColumns({c: r_date(F.col(f"`{c}`")) for c in ("Created", "Initial Target Date", "Resolved")})
+    return rename_regex(rename_regex(drop_nested(out), SUFFIX_PATTERN, ""), "_", " ")
+
+
 def finish_csr(df: DataFrame) -> DataFrame:
     """Q11 (the intent of the unfinished script): dates and instants."""
     out = df.withColumn("ProjectEffectiveDate", r_date(F.col("ProjectEffectiveDate")))

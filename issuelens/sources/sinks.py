@@ -29,13 +29,10 @@ def flat_for_csv(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", single_file: bool = False) -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """S3 ``write.csv(x, path, row.names = FALSE)``: header, NA for missing, ``"``
-    doubled, embedded newlines allowed.  Partitioned output by default (one file per task); the BI
-    copy can ask for ``single_file`` on small reports only."""
+    doubled, embedded newlines allowed.  One file per task; the folder is the report."""
     out = flat_for_csv(df)
-    if single_file:
-        out = out.coalesce(1)
     writer = out.write.mode(mode)
     for k, v in CSV_OPTIONS.items():
         if k in ("multiLine",):

@@ -48,3 +48,19 @@ def test_csr_intended_report(spark):
     assert r.ProjectEffectiveDate == dt.date(2025, 6, 1)
     assert r.Resolved - r.Created == dt.timedelta(days=1)
     assert r.Organization is None                               # field not in this project
+
+
+def test_com_issues_header_cleanup(spark):
+    from issuelens.plans.reports import COM, finish_com
+    issues = _issues(spark, "COM")
+    rep = finish_com(build_report(issues, field_catalog(issues), COM))
+    assert rep.columns == ["IssueKeyNumber", "IssueKey", "Priority", "AssigneeName", "Resolved", "Frequency",
+                           "Initial Target Date", "RequestType", "Summary", "IssueType", "Reporter", "CreatorName",
+                           "Created", "Description", "RPD Branch", "RequireCommsPlan", "CommunicationLead",
+                           "TopicOfCommunication", "Status"]
+    rows = {r.IssueKey: r for r in rep.collect()}
+    c1, c2 = rows["COM-1"], rows["COM-2"]
+    assert (c1.Priority, c1.Frequency, c1.Description, c1["RPD Branch"], c1.Status) == \
+        ("High", "Weekly", "Plan it", "Leasing", "Done")
+    assert c1.Created == dt.date(2025, 1, 15) and c1["Initial Target Date"] == dt.date(2025, 3, 1)
+    assert c2.Frequency is None and c2.Created == dt.date(2025, 1, 20)
