@@ -24,12 +24,21 @@ from pyspark.sql.types import (DataType, DateType, DoubleType, LongType, StructF
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    rows_per_task: int = 4_000_000   # groups above this many rows are split into ranges
-    max_split_groups: int = 256      # bound on the broadcast list of split groups
-    max_ranges: int = 1024           # ranges per split group
+    rows_per_task: int = 4_000_000     # groups above this many rows are split into ranges
+    max_split_groups: int = 256        # bound on the broadcast list of split groups
+    max_ranges: int = 65_536           # ranges per split group
+    broadcast_ranges: int = 100_000    # per-range tables up to this many rows are broadcast
     enabled: bool = True
 
 
+def _small_side(table: DataFrame, hot: DataFrame, policy: SkewPolicy) -> DataFrame:
+    """Broadcast a per-range table only when its row count -- the number of ranges, known
+    on the driver -- is within ``broadcast_ranges``; otherwise join it normally: the big
+    side is already partitioned by (keys, range) for its window, so only this table moves."""
+    total = sum(r["_nr"] for r in hot.select("_nr").collect())
+    return F.broadcast(table) if total <= policy.broadcast_ranges else table
+
+
 DEFAULT_POLICY = SkewPolicy()
 
 _B = "_range"
@@ -107,14 +116,14 @@ def lag_in_order(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
         return df.withColumn(out, F.when(prev.isNull(), default).otherwise(prev["v"]))
 
     ranged = with_ranges(df, keys, first_order, hot)
-    # Last value of every range of the split groups (a small table: <= groups x ranges).
+    # Last value of every range of the split groups (one row per range).
     last = (ranged.where("_hot").groupBy(*keys, _B)
             .agg(F.max_by(prev_struct, order_key).alias("_last")))
     carry = last.select(*keys, _B, F.lag("_last", 1).over(Window.partitionBy(*keys).orderBy(_B)).alias("_carry"))
     w = Window.partitionBy(*keys, _B).orderBy(*order)
     prev = F.lag(prev_struct, 1).over(w)
     res = (ranged.withColumn("__in_range", prev)
-           .join(F.broadcast(carry), [*keys, _B], "left")
+           .join(_small_side(carry, hot, policy), [*keys, _B], "left")
            .withColumn(out, F.when(F.col("__in_range").isNotNull(), F.col("__in_range")["v"])
                        .when(F.col("_carry").isNotNull(), F.col("_carry")["v"])
                        .otherwise(default)))
@@ -142,7 +151,7 @@ def row_number_in_order(df: DataFrame, keys: Sequence[str], order_cols: Sequence
     w = Window.partitionBy(*keys, _B).orderBy(*order_cols)
     res = (ranged.withColumn("__rn", F.row_number().over(w))
            .withColumn("__cnt_local", F.count(F.lit(1)).over(Window.partitionBy(*keys, _B)))
-           .join(F.broadcast(offsets), [*keys, _B], "left")
+           .join(_small_side(offsets, hot, policy), [*keys, _B], "left")
            .withColumn(out, F.col("__rn") + F.coalesce(F.col("__off"), F.lit(0))))
     if count_out:
         res = res.withColumn(count_out, F.coalesce(F.col("__tot"), F.col("__cnt_local")))

@@ -68,7 +68,8 @@ def test_ties_follow_document_order(spark):
     assert (r.Open, r.Review) == (2.0, 0.0)
 
 
-def test_hot_issue_split_matches_plain_window(spark):
+@pytest.mark.parametrize("broadcast_ranges", [100_000, 0])
+def test_hot_issue_split_matches_plain_window(spark, broadcast_ranges):
     ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
     t = ev.select(F.col("user_id").alias("IssueKey"), F.lit("2024-01-01").cast("timestamp").alias("ticket_created"),
                   F.col("ts").cast("timestamp").alias("changed_at"), F.lit("status").alias("field"),
@@ -76,7 +77,8 @@ def test_hot_issue_split_matches_plain_window(spark):
                   F.col("event_id").alias("_o0"))
     statuses = ["Click", "Error", "Purchase", "Signup", "View"]
     plain = status_durations(t, statuses=statuses).collect()
-    split = status_durations(t, statuses=statuses, policy=SkewPolicy(rows_per_task=7, max_split_groups=1000)).collect()
+    policy = SkewPolicy(rows_per_task=7, max_split_groups=1000, broadcast_ranges=broadcast_ranges)
+    split = status_durations(t, statuses=statuses, policy=policy).collect()
 
     def norm(rows):
         return sorted(tuple([r[0]] + [None if r[s] is None else round(r[s], 9) for s in statuses]) for r in rows)

@@ -67,7 +67,7 @@ def test_disambiguate_in_key_order_and_split(spark):
     rows = [("P", "f9", "Department", 0), ("P", "f1", "Department", 1), ("P", "f2", "Team", 2),
             ("Q", "f3", "Department", 0)]
     d = spark.createDataFrame(rows, "project string, field_id string, display string, pos int")
-    for policy in (SkewPolicy(), SkewPolicy(rows_per_task=1)):
+    for policy in (SkewPolicy(), SkewPolicy(rows_per_task=1), SkewPolicy(rows_per_task=1, broadcast_ranges=0)):
         got = {r.field_id: r.name for r in disambiguate(d, policy=policy).collect()}
         assert got == {"f9": "Department-1", "f1": "Department-2", "f2": "Team", "f3": "Department"}
 
