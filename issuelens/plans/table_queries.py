@@ -149,7 +149,7 @@ def q_hoist_fields(spark: SparkSession, sf: str) -> DataFrame:
     flat = hoist(flat, "RequestType", {"RequestType": ("requestType", "name")})
     flat = hoist(flat, "Description", {"DescriptionText": ("content", 1, "content", 1, "text")}, remove=True)
     flat = hoist(flat, "Resolved", {"ResolvedDate": ((), "string")}, remove=True)
-    return flat.withColumn("ResolvedDate", F.substring("ResolvedDate", 1, 10))
+    return flat.withColumn("ResolvedDate", F.date_format(r_date(F.col("ResolvedDate")), "yyyy-MM-dd"))
 
 
 _SQL_HOIST_FIELDS = """
