@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpoint files of DataFrames that are gone are removed by Spark itself.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
