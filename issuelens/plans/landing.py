@@ -36,6 +36,7 @@ FIELD_NAMES = [
     ("customfield_10050", "Tactics"),
     ("customfield_10060", "Intended audiences"),
     ("customfield_10061", "Intended Audience(s)"),
+    ("customfield_10070", "Time to resolution"),
 ]
 
 
@@ -138,6 +139,14 @@ def multi_select_audiences_2() -> Column:
                   _options(F.lit("Executive"), F.lit("Other")))
 
 
+def time_to_resolution() -> Column:
+    """SLA field: an ongoing cycle whose elapsed milliseconds grow with the order value;
+    orders without a price band above zero have no cycle."""
+    millis = (F.floor(F.col("o_totalprice") / 1000) * 60000).cast("bigint")
+    cycle = _rec(ongoingCycle=_rec(elapsedTime=_rec(millis=millis)))
+    return F.when(F.col("o_totalprice") >= 1000, cycle)
+
+
 _ASSIGNEE_SLOT = '"@@assignee@@"'
 
 
@@ -174,6 +183,7 @@ def issue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "customfield_10050": multi_select_tactics(),
         "customfield_10060": multi_select_audiences(),
         "customfield_10061": multi_select_audiences_2(),
+        "customfield_10070": time_to_resolution(),
     })
     issue = _rec(id=F.col("o_orderkey").cast("string"),
                  key=F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string")),

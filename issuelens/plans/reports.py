@@ -495,16 +495,81 @@ COM_COUNT_ORACLE = _COM_AUDIENCE_MATRIX + """SELECT IssueKeyNumber,
   "All RPD Employees" + "Blank" + "Executive" + "Managers" + "Other" AS "Count" FROM m"""
 
 
+# --------------------------------------------------------------------------------------
+# RBAS (Q2) and GPOPR (Q3) on the landed pages
+# --------------------------------------------------------------------------------------
+RBAS_EXCLUDED = ["ORD-1", "ORD-2", "ORD-3", "ORD-4", "ORD-5", "ORD-6"]   # the test tickets
+
+
+def rbas_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Q2: instants, minutes to resolution replacing the SLA millis, test tickets removed."""
+    issues = settle_issues(pages_from_text(landed_pages(spark, sf), "raw"))
+    rep = finish_rbas(build_report(issues, field_catalog(issues), RBAS), excluded=RBAS_EXCLUDED)
+    return rep.select(F.col("IssueID").cast("bigint").alias("IssueID"), "IssueKey",
+                      F.date_format("Created", "yyyy-MM-dd HH:mm:ss").alias("Created"),
+                      "Resolved", "Resolution", F.round("MinutesToResolution", 6).alias("MinutesToResolution"),
+                      "Organization", "RequestType", "Status", "Assignee", "Summary")
+
+
+def gpopr_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Q3: calendar dates as written, participants joined by ``;``."""
+    issues = settle_issues(pages_from_text(landed_pages(spark, sf), "raw"))
+    rep = finish_gpopr(build_report(issues, field_catalog(issues), GPOPR))
+    return rep.select(F.col("IssueID").cast("bigint").alias("IssueID"), "IssueKey",
+                      F.date_format("Created", "yyyy-MM-dd").alias("Created"),
+                      F.date_format("Duedate", "yyyy-MM-dd").alias("Duedate"),
+                      "Priority", "Status", "Assignee", "Organization", "RequestType", "RequestParticipants")
+
+
+RBAS_ORACLE = """
+SELECT o.o_orderkey AS IssueID,
+       'ORD-' || CAST(o.o_orderkey AS VARCHAR) AS IssueKey,
+       strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS Created,
+       CASE WHEN o.o_orderstatus = 'F' THEN strftime(o.o_orderdate + INTERVAL 3 DAY, '%Y-%m-%dT%H:%M:%S.000+0000') END AS Resolved,
+       CAST(NULL AS VARCHAR) AS Resolution,
+       CASE WHEN o.o_totalprice >= 1000 THEN round(floor(o.o_totalprice / 1000) * 60000 / 1000.0 / 60, 6) END AS MinutesToResolution,
+       ' ' || n.n_name || ', Branch ' AS Organization,
+       c.c_mktsegment AS RequestType,
+       o.o_orderstatus AS Status,
+       CASE WHEN c.c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN NULL ELSE c.c_name END AS Assignee,
+       CAST(NULL AS VARCHAR) AS Summary
+FROM orders o
+LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+WHERE NOT coalesce('ORD-' || CAST(o.o_orderkey AS VARCHAR) IN ('ORD-1', 'ORD-2', 'ORD-3', 'ORD-4', 'ORD-5', 'ORD-6'), false)
+"""
+
+GPOPR_ORACLE = """
+SELECT o.o_orderkey AS IssueID,
+       'ORD-' || CAST(o.o_orderkey AS VARCHAR) AS IssueKey,
+       strftime(o.o_orderdate, '%Y-%m-%d') AS Created,
+       CAST(NULL AS VARCHAR) AS Duedate,
+       o.o_orderpriority AS Priority,
+       o.o_orderstatus AS Status,
+       CASE WHEN c.c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN NULL ELSE c.c_name END AS Assignee,
+       ' ' || n.n_name || ', Branch ' AS Organization,
+       c.c_mktsegment AS RequestType,
+       c.c_name || ';' || n.n_name AS RequestParticipants
+FROM orders o
+LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+"""
+
+
 REPORT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sbp_time_in_status": sbp_time_in_status,
     "par_report": par_report,
     "com_tactics": com_tactics,
     "com_audiences": com_audiences,
     "com_audience_count": com_audience_count,
+    "rbas_report": rbas_report,
+    "gpopr_report": gpopr_report,
 }
 REPORT_ORACLES: dict[str, str] = {
     "par_report": PAR_ORACLE,
     "com_tactics": COM_TACTICS_ORACLE,
     "com_audiences": COM_AUDIENCES_ORACLE,
     "com_audience_count": COM_COUNT_ORACLE,
+    "rbas_report": RBAS_ORACLE,
+    "gpopr_report": GPOPR_ORACLE,
 }
