@@ -556,6 +556,74 @@ LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 """
 
 
+def com_issues(spark: SparkSession, sf: str) -> DataFrame:
+    """Q7: COM issue list with the header clean-up (dates as written, nested columns dropped)."""
+    issues = settle_issues(pages_from_text(landed_pages(spark, sf), "raw"))
+    rep = finish_com(build_report(issues, field_catalog(issues), COM))
+    dates = ("Created", "Initial Target Date", "Resolved")
+    return rep.withColumns({c: F.date_format(F.col(f"`{c}`"), "yyyy-MM-dd") for c in dates})
+
+
+def csr_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Q11: the intended CSR report (dates, instants, description text)."""
+    issues = settle_issues(pages_from_text(landed_pages(spark, sf), "raw"))
+    rep = finish_csr(build_report(issues, field_catalog(issues), CSR))
+    instants = ("Resolved", "Created", "Updated", "StatusCategoryChanged")
+    return rep.withColumns({**{c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in instants},
+                            "ProjectEffectiveDate": F.date_format("ProjectEffectiveDate", "yyyy-MM-dd")})
+
+
+_LANDED_BASE = """
+FROM orders o
+LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+"""
+COM_ISSUES_ORACLE = """
+SELECT CAST(o.o_orderkey AS VARCHAR) AS IssueKeyNumber,
+       'ORD-' || CAST(o.o_orderkey AS VARCHAR) AS IssueKey,
+       o.o_orderpriority AS Priority,
+       CASE WHEN c.c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN NULL ELSE c.c_name END AS AssigneeName,
+       CASE WHEN o.o_orderstatus = 'F' THEN strftime(o.o_orderdate + INTERVAL 3 DAY, '%Y-%m-%d') END AS Resolved,
+       CAST(NULL AS VARCHAR) AS Frequency,
+       CAST(NULL AS VARCHAR) AS "Initial Target Date",
+       c.c_mktsegment AS RequestType,
+       CAST(NULL AS VARCHAR) AS Summary,
+       CAST(NULL AS VARCHAR) AS IssueType,
+       CAST(NULL AS VARCHAR) AS Reporter,
+       CAST(NULL AS VARCHAR) AS CreatorName,
+       strftime(o.o_orderdate, '%Y-%m-%d') AS Created,
+       c.c_name AS Description,
+       CAST(NULL AS VARCHAR) AS "RPD Branch",
+       CAST(NULL AS VARCHAR) AS RequireCommsPlan,
+       CAST(NULL AS VARCHAR) AS CommunicationLead,
+       CAST(NULL AS VARCHAR) AS TopicOfCommunication,
+       o.o_orderstatus AS Status
+""" + _LANDED_BASE
+CSR_ORACLE = """
+SELECT CAST(o.o_orderkey AS VARCHAR) AS IssueID,
+       'ORD-' || CAST(o.o_orderkey AS VARCHAR) AS IssueKey,
+       CASE WHEN c.c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN NULL ELSE c.c_name END AS Assignee,
+       CAST(NULL AS VARCHAR) AS Creator, CAST(NULL AS VARCHAR) AS CSM, CAST(NULL AS VARCHAR) AS CSRIssueSubtype,
+       CAST(NULL AS VARCHAR) AS Reporter,
+       ' ' || n.n_name || ', Branch ' AS Organization,
+       CAST(NULL AS VARCHAR) AS ResponsibleGroup,
+       CAST(NULL AS VARCHAR) AS ProjectEffectiveDate,
+       CAST(NULL AS VARCHAR) AS StatusCategory, CAST(NULL AS VARCHAR) AS Resolution,
+       CAST(NULL AS DOUBLE) AS Progress, CAST(NULL AS VARCHAR) AS IssueType, CAST(NULL AS VARCHAR) AS Project,
+       CAST(NULL AS VARCHAR) AS PIN,
+       CASE WHEN o.o_orderstatus = 'F' THEN strftime(o.o_orderdate + INTERVAL 3 DAY, '%Y-%m-%d %H:%M:%S') END AS Resolved,
+       CAST(NULL AS VARCHAR) AS Updated,
+       c.c_name AS Description,
+       c.c_mktsegment AS RequestType,
+       CAST(NULL AS VARCHAR) AS Summary,
+       CAST(NULL AS VARCHAR) AS StatusCategoryChanged,
+       o.o_orderpriority AS Priority,
+       o.o_orderstatus AS Status,
+       CAST(NULL AS DOUBLE) AS TotalProgress,
+       strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS Created
+""" + _LANDED_BASE
+
+
 REPORT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sbp_time_in_status": sbp_time_in_status,
     "par_report": par_report,
@@ -564,6 +632,8 @@ REPORT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "com_audience_count": com_audience_count,
     "rbas_report": rbas_report,
     "gpopr_report": gpopr_report,
+    "com_issues": com_issues,
+    "csr_report": csr_report,
 }
 REPORT_ORACLES: dict[str, str] = {
     "par_report": PAR_ORACLE,
@@ -572,4 +642,6 @@ REPORT_ORACLES: dict[str, str] = {
     "com_audience_count": COM_COUNT_ORACLE,
     "rbas_report": RBAS_ORACLE,
     "gpopr_report": GPOPR_ORACLE,
+    "com_issues": COM_ISSUES_ORACLE,
+    "csr_report": CSR_ORACLE,
 }
