@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from issuelens.functions.paths import Step, variant_path
 from issuelens.functions.scalars import (hours_between, millis_to_minutes, nan_if_null, r_date,
-                                         r_timestamp, strip_commas, strip_spaces, trim_ws)
+                                         r_timestamp, strip_commas, trim_ws)
 from issuelens.operators.columns import across, string_columns
 from issuelens.operators.extract import hoist_all_expr
 from issuelens.operators.fields import (FieldCatalog, dictionary_entries, disambiguate,
@@ -202,9 +202,10 @@ SPECS = {s.name: s for s in (PAR, RBAS, GPOPR, SBP, COM, CSR)}
 def finish_par(df: DataFrame) -> DataFrame:
     """Q1: effective date as written, hours to completion (NaN when open), instants."""
     hours = hours_between(r_timestamp(F.col("Resolved")), r_timestamp(F.col("Created")))
+    instants = [c for c in ("Resolved", "Created", "Updated", "StatusCategoryChanged") if c in df.columns]
     return (df.withColumn("ProjectEffectiveDate", r_date(F.col("ProjectEffectiveDate")))
             .withColumn("TimeToCompletion", nan_if_null(hours))
-            .withColumns({c: r_timestamp(F.col(c)) for c in ("Resolved", "Created", "Updated", "StatusCategoryChanged")}))
+            .withColumns({c: r_timestamp(F.col(c)) for c in instants}))
 
 
 def finish_rbas(df: DataFrame, excluded: Sequence[str] = ()) -> DataFrame:
@@ -369,7 +370,7 @@ PAR_LANDED = ReportSpec("PAR-landed", (
 def par_report(spark: SparkSession, sf: str) -> DataFrame:
     """Q1 spine on landed pages: dates as written, hours to completion, NaN when open."""
     issues = settle_issues(pages_from_text(landed_pages(spark, sf), "raw"))
-    rep = finish_par_landed(build_report(issues, field_catalog(issues), PAR_LANDED))
+    rep = finish_par(build_report(issues, field_catalog(issues), PAR_LANDED))
     return rep.select(F.col("IssueID").cast("bigint").alias("IssueID"), "IssueKey",
                       F.date_format("ProjectEffectiveDate", "yyyy-MM-dd").alias("ProjectEffectiveDate"),
                       F.date_format("Created", "yyyy-MM-dd HH:mm:ss").alias("Created"),
@@ -378,13 +379,6 @@ def par_report(spark: SparkSession, sf: str) -> DataFrame:
                       F.round("TimeToCompletion", 6).alias("TimeToCompletion"))
 
 
-def finish_par_landed(df: DataFrame) -> DataFrame:
-    hours = hours_between(r_timestamp(F.col("Resolved")), r_timestamp(F.col("Created")))
-    return (df.withColumn("ProjectEffectiveDate", r_date(F.col("ProjectEffectiveDate")))
-            .withColumn("TimeToCompletion", nan_if_null(hours))
-            .withColumns({c: r_timestamp(F.col(c)) for c in ("Resolved", "Created")}))
-
-
 PAR_ORACLE = """
 SELECT o.o_orderkey AS IssueID,
        'ORD-' || CAST(o.o_orderkey AS VARCHAR) AS IssueKey,

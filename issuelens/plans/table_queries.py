@@ -20,7 +20,7 @@ from issuelens.functions import (days_between, hours_between, millis_to_minutes,
 from issuelens.functions.titlecase import ALONE_WORDS, EITHER_WORDS, SMALL_WORDS
 from issuelens.operators.columns import (SUFFIX_PATTERN, across, drop_all_null, drop_nested,
                                          matching, mutate_after, rename_regex, string_columns)
-from issuelens.operators.explode import keyed_to_record, parallel_unnest, unnest_keyed, unnest_longer
+from issuelens.operators.explode import keyed_to_record, parallel_unnest, unnest_keyed
 from issuelens.operators.extract import collapse_strict, ensure_columns, hoist, hoist_all, numbered_columns
 from issuelens.operators.fields import disambiguate
 from issuelens.operators.history import status_durations, status_transitions
@@ -29,7 +29,7 @@ from issuelens.operators.tables import (indicator_matrix, left_enrich, natural_f
 from issuelens.plans.landing import _rec, issue_documents, landed_pages, load
 from issuelens.sources.pages import explode_issues, page_audit, pages_from_text
 from issuelens.sources.sinks import read_csv, write_csv
-from issuelens.session import shared_dir, spread
+from issuelens.session import shared_dir
 
 TS_FMT_SPARK = "yyyy-MM-dd HH:mm:ss"
 TS_FMT_DUCK = "%Y-%m-%d %H:%M:%S"
