@@ -72,7 +72,8 @@ def spread(df):
     A small file with one row group is scanned by one task, so parsing or rebuilding
     text would run on one core.  When the input has fewer partitions than the cluster
     has cores, one round-robin shuffle spreads it; on a wide input (many files or row
-    groups, the normal case at scale) this is a no-op and adds no exchange.
+    groups, the normal case at scale) this is a no-op and adds no exchange.  Meant for
+    scans: on a plan with shuffles, counting partitions under AQE runs those shuffles.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
@@ -83,8 +84,8 @@ def settle(df):
 
     Used where a plan is read by more than one job (size statistics, then the result):
     lineage is cut, so the second job and any recomputation after a lost executor read
-    the checkpoint instead of recomputing the input.  Spread first when the data arrives
-    in fewer partitions than cores, so later per-row work stays parallel.
+    the checkpoint instead of recomputing the input.  The checkpoint keeps the input's
+    partitioning.
     """
     shared_dir(df.sparkSession, "checkpoint")     # ensures a checkpoint folder is set
-    return spread(df).checkpoint(eager=True)
+    return df.checkpoint(eager=True)
