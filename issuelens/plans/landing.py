@@ -76,7 +76,7 @@ def _rich_text(text: Column) -> Column:
 
 
 def _item(field: str, from_s: str, to_s: str) -> Column:
-    return _rec(field=F.lit(field), fieldtype=F.lit("jira"), fromString=F.lit(from_s), toString=F.lit(to_s))
+    return _rec(field=F.lit(field), fieldtype=F.lit("system"), fromString=F.lit(from_s), toString=F.lit(to_s))
 
 
 def issue_histories() -> Column:
@@ -128,7 +128,7 @@ def multi_select_tactics() -> Column:
 def multi_select_audiences() -> Column:
     """First audience field: empty for open orders, else one option from the segment."""
     seg = F.col("c_mktsegment")
-    a = (F.when(seg == "BUILDING", F.lit("All RPD Employees")).when(seg == "AUTOMOBILE", F.lit("Executive"))
+    a = (F.when(seg == "BUILDING", F.lit("All Employees")).when(seg == "AUTOMOBILE", F.lit("Executive"))
          .when(seg == "MACHINERY", F.lit("Managers")).otherwise(F.lit("Other")))
     return F.when(F.col("o_orderstatus") == "O", _no_options()).otherwise(_options(a))
 

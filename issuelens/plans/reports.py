@@ -100,8 +100,9 @@ def build_report(issues: DataFrame, catalog: FieldCatalog, spec: ReportSpec, pro
 
 
 # --------------------------------------------------------------------------------------
-# Report specs.  Display names are the tracker's field names, written as the reference's
-# selections name them (after its space stripping where that applies).
+# The report specs.  Display names are the tracker's own field names, as
+# the project reports select them (after space stripping where a project strips spaces);
+# they must match the landed pages' dictionaries for a report to find its fields.
 # --------------------------------------------------------------------------------------
 PAR = ReportSpec("PAR", (
     Col("IssueID", "id"), Col("IssueKey", "key"),
@@ -431,7 +432,7 @@ def selected_options(issues: DataFrame, catalog: FieldCatalog, key: str, sources
 
 
 COM_TACTICS = ["Blank", "Email", "Newsletter", "Poster", "Social Media"]
-COM_AUDIENCES = ["All RPD Employees", "Blank", "Executive", "Managers", "Other"]
+COM_AUDIENCES = ["All Employees", "Blank", "Executive", "Managers", "Other"]
 
 
 def _com_issues(spark: SparkSession, sf: str):
@@ -461,7 +462,7 @@ def com_audience_count(spark: SparkSession, sf: str) -> DataFrame:
 _COM_BASE = """
 WITH b AS (
   SELECT CAST(o.o_orderkey AS VARCHAR) AS IssueKeyNumber, o.o_orderpriority AS prio, o.o_orderstatus AS status,
-         CASE c.c_mktsegment WHEN 'BUILDING' THEN 'All RPD Employees' WHEN 'AUTOMOBILE' THEN 'Executive'
+         CASE c.c_mktsegment WHEN 'BUILDING' THEN 'All Employees' WHEN 'AUTOMOBILE' THEN 'Executive'
                              WHEN 'MACHINERY' THEN 'Managers' ELSE 'Other' END AS seg_aud
   FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey)
 """
@@ -477,7 +478,7 @@ FROM b
 _COM_AUDIENCE_MATRIX = _COM_BASE + """,
 m AS (
   SELECT IssueKeyNumber,
-    CASE WHEN status <> 'O' AND seg_aud = 'All RPD Employees' THEN 1.0 ELSE 0.0 END AS "All RPD Employees",
+    CASE WHEN status <> 'O' AND seg_aud = 'All Employees' THEN 1.0 ELSE 0.0 END AS "All Employees",
     CASE WHEN status = 'O' THEN 1.0 ELSE 0.0 END AS "Blank",
     CASE WHEN (status <> 'O' AND seg_aud = 'Executive') OR prio IN ('1-URGENT', '2-HIGH') THEN 1.0 ELSE 0.0 END AS "Executive",
     CASE WHEN status <> 'O' AND seg_aud = 'Managers' THEN 1.0 ELSE 0.0 END AS "Managers",
@@ -486,7 +487,7 @@ m AS (
 """
 COM_AUDIENCES_ORACLE = _COM_AUDIENCE_MATRIX + "SELECT * FROM m"
 COM_COUNT_ORACLE = _COM_AUDIENCE_MATRIX + """SELECT IssueKeyNumber,
-  "All RPD Employees" + "Blank" + "Executive" + "Managers" + "Other" AS "Count" FROM m"""
+  "All Employees" + "Blank" + "Executive" + "Managers" + "Other" AS "Count" FROM m"""
 
 
 # --------------------------------------------------------------------------------------
