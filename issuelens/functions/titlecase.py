@@ -66,7 +66,10 @@ def _token(w: Column, i: Column, toks: Column) -> Column:
     small = (i > 0) & w.rlike(_SMALL_PATTERN) & ~after_colon & ~after_quote
     keep = (w.rlike(_HAS_CAPS_PATTERN) | (F.char_length(w) == 1)
             | w.isin(*ALONE_WORDS, *EITHER_WORDS) | w.rlike(_QUOTED_PATTERN))
-    return F.when(small, F.lower(w)).when(keep, w).otherwise(_capitalise(w))
+    # Fast path: a one-character token (every delimiter) stays as written unless it is
+    # one of the one-letter small words, which the general rule may lower-case.
+    single = (F.char_length(w) == 1) & ~F.lower(w).isin("a", "v")
+    return F.when(single, w).when(small, F.lower(w)).when(keep, w).otherwise(_capitalise(w))
 
 
 def title_case(c: Column | str) -> Column:
