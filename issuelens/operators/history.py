@@ -83,31 +83,71 @@ def status_transitions(items: DataFrame, key: str = "IssueKey", field: str = "it
     return status_rows.unionByName(synthetic)
 
 
+# Distinct status spellings are a workflow's vocabulary: tens, not millions.  Up to this
+# many are normalised once and joined back by broadcast; beyond it, per row.
+MAX_STATUS_SPELLINGS = 10_000
+
+
+def with_status_names(transitions: DataFrame, normalize: bool = True) -> DataFrame:
+    """Add ``status``: the normalised name of ``from_status`` (title case, no spaces).
+
+    Title casing is a string program per token; it runs once per distinct spelling on a
+    small table, whose size is checked before it is broadcast back to the rows.
+    """
+    if not normalize:
+        return transitions.withColumn("status", F.coalesce(F.col("from_status"), F.lit("NA")))
+    spellings = transitions.select("from_status").distinct().limit(MAX_STATUS_SPELLINGS + 1).collect()
+    if len(spellings) > MAX_STATUS_SPELLINGS:
+        return transitions.withColumn("status", status_name(F.col("from_status")))
+    names = (transitions.sparkSession.createDataFrame([(r[0],) for r in spellings], "raw string")
+             .select(F.col("raw"), status_name(F.col("raw")).alias("status")))
+    joined = transitions.join(F.broadcast(names), transitions["from_status"].eqNullSafe(names["raw"]), "left")
+    return joined.drop("raw")
+
+
 def elapsed_by_status(transitions: DataFrame, key: str, normalize: bool = True,
                       policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """Long result: (key, status, days) with days summed per status left."""
     order_cols = [c for c in transitions.columns if c.startswith("_o")]
     t = lag_in_order(transitions, [key], ["changed_at", *order_cols], value="changed_at", default="ticket_created",
                      out="_prev", range_col="changed_at", policy=policy)
-    name = status_name(F.col("from_status")) if normalize else F.coalesce(F.col("from_status"), F.lit("NA"))
-    return (t.withColumn("status", name)
+    return (with_status_names(t, normalize)
             .withColumn("_days", days_between(F.col("changed_at"), F.col("_prev")))
             .groupBy(key, "status")
             .agg(F.coalesce(F.sum("_days"), F.lit(0.0)).alias("days")))
 
 
+def open_time(transitions: DataFrame, key: str, as_of: str | None, normalize: bool = True) -> DataFrame:
+    """Optional: (key, status, days) for the status an issue is in now, from its last
+    transition to ``as_of`` -- time the reference does not count.  One partial aggregate
+    per issue (the last transition by ``max_by``)."""
+    from issuelens.functions.scalars import as_of_literal
+    order_cols = [c for c in transitions.columns if c.startswith("_o")]
+    last = F.max_by(F.struct("changed_at", "to_status"),
+                    F.struct(*[x for c in ["changed_at", *order_cols] for x in (F.col(c).isNull(), F.col(c))]))
+    cur = transitions.groupBy(key).agg(last.alias("_last"))
+    named = cur.select(key, F.col("_last.to_status").alias("from_status"),
+                       days_between(as_of_literal(as_of), F.col("_last.changed_at")).alias("days"))
+    return with_status_names(named, normalize).select(key, "status", "days")
+
+
 def status_durations(transitions: DataFrame, key: str = "IssueKey", statuses: Sequence[str] | None = None,
-                     normalize: bool = True, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+                     normalize: bool = True, policy: SkewPolicy = DEFAULT_POLICY,
+                     include_open: bool = False, as_of: str | None = None) -> DataFrame:
     """Wide result: one row per issue, one day-count column per status (R3 pivot).
 
     Pass ``statuses`` when known: it fixes the columns and skips the job that finds them.
     When the hot-issue check is on, the transitions are checkpointed first (into the
     shared checkpoint folder): the size statistics and the durations then read one narrow
-    table instead of walking the change history twice.
+    table instead of walking the change history twice.  ``include_open`` also charges
+    the time from the last transition to ``as_of`` to the current status.
     """
     if policy.enabled:
         transitions = settle(transitions)
     long = elapsed_by_status(transitions, key, normalize, policy)
+    if include_open:
+        long = (long.unionByName(open_time(transitions, key, as_of, normalize))
+                .groupBy(key, "status").agg(F.sum("days").alias("days")))
     if statuses is None:
         statuses = sorted(r[0] for r in long.select("status").distinct().collect())
     return long.groupBy(key).pivot("status", list(statuses)).agg(F.first("days"))
@@ -115,7 +155,7 @@ def status_durations(transitions: DataFrame, key: str = "IssueKey", statuses: Se
 
 def time_in_status(items: DataFrame, key: str = "IssueKey", as_of: str | None = None,
                    statuses: Sequence[str] | None = None, policy: SkewPolicy = DEFAULT_POLICY,
-                   **columns) -> DataFrame:
+                   include_open: bool = False, **columns) -> DataFrame:
     """History items -> per-issue status durations (the whole Q5 chain)."""
     return status_durations(status_transitions(items, key=key, as_of=as_of, **columns), key=key,
-                            statuses=statuses, policy=policy)
+                            statuses=statuses, policy=policy, include_open=include_open, as_of=as_of)

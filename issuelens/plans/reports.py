@@ -38,8 +38,9 @@ BUILTIN = {"id", "key"}
 class Col:
     """One output column: ``out`` from field ``source`` at ``path`` typed ``dtype``.
 
-    ``source`` is a display name (matched after the spec's name normalisation) or the
-    builtins ``id`` / ``key``; ``how="all"`` joins ``path[-1]`` of every element (N10);
+    ``source`` is a display name (matched after the spec's name normalisation), a field
+    id written ``id:<field id>`` (immune to display names that shift), or the builtins
+    ``id`` / ``key``; ``how="all"`` joins ``path[-1]`` of every element (N10);
     ``how="raw"`` keeps the field value as VARIANT (for the change log).
     """
     out: str
@@ -91,8 +92,9 @@ def _source_expr(c: Col, fid: str | None) -> Column:
 
 def build_report(issues: DataFrame, catalog: FieldCatalog, spec: ReportSpec, project: str | None = None) -> DataFrame:
     """Issues (from :func:`explode_issues`) -> the flat report of ``spec``."""
-    wanted = sorted({c.source for c in spec.columns if c.source not in BUILTIN})
+    wanted = sorted({c.source for c in spec.columns if c.source not in BUILTIN and not c.source.startswith("id:")})
     ids = catalog.ids(wanted, project=project, strip_spaces=spec.strip_name_spaces)
+    ids.update({c.source: c.source[3:] for c in spec.columns if c.source.startswith("id:")})
     out = issues.select(*[_source_expr(c, ids.get(c.source)).alias(c.out) for c in spec.columns])
     for name, fn in spec.derived:
         out = out.withColumn(name, fn())
@@ -279,7 +281,7 @@ def history_items(issues: DataFrame, key_col: str = "key", created_col: str = "C
 
 def sbp_report(pages: DataFrame, as_of: str | None = None, statuses: Sequence[str] | None = None,
                spec: ReportSpec = SBP, catalog: FieldCatalog | None = None,
-               policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+               policy: SkewPolicy = DEFAULT_POLICY, include_open: bool = False) -> DataFrame:
     """Q4 + Q5 + Q6: issues with one day-count column per status left, strings cleaned.
 
     The report projection and the change-history items are two narrow reads of the same
@@ -294,7 +296,8 @@ def sbp_report(pages: DataFrame, as_of: str | None = None, statuses: Sequence[st
     created_id = catalog.ids(["Created"], strip_spaces=spec.strip_name_spaces).get("Created", "created")
     created = F.try_variant_get(F.col("fields"), variant_path((created_id,)), "string")
     log = issues.select(F.col("key"), F.col("changelog"), created.alias("Created"))
-    durations = time_in_status(history_items(log), key="IssueKey", as_of=as_of, statuses=statuses, policy=policy)
+    durations = time_in_status(history_items(log), key="IssueKey", as_of=as_of, statuses=statuses,
+                               policy=policy, include_open=include_open)
     return report.join(durations, "IssueKey", "left")
 
 

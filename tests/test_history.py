@@ -95,3 +95,21 @@ def test_history_items_positions(spark, pages_dir):
     got = sorted((r.IssueKey, r.history_pos, r.item_pos, r.item_field) for r in items.collect())
     assert ("X-1", 1, 0, "status") in got and len([g for g in got if g[0] == "X-4"]) == 3
     assert not [g for g in got if g[0] == "X-3"]
+
+
+def test_include_open_counts_current_status(spark, pages_dir):
+    pages = read_pages(spark, pages_dir)
+    statuses = ["Done", "InProgress", "No-Change", "Open", "WaitingforCustomer"]
+    rep = {r.IssueKey: r for r in sbp_report(pages, as_of=AS_OF, statuses=statuses, include_open=True).collect()}
+    assert rep["X-1"].Done == 4.5 and rep["X-1"].Open == 2.0      # Done since Jan 6 12:00
+    assert rep["X-4"].Done == 6.0                                 # Done since Jan 5
+    assert rep["X-2"]["No-Change"] == 0.0 and rep["X-2"].Open == 10.0
+
+
+def test_spec_can_name_a_field_id(spark, pages_dir):
+    from issuelens.plans.reports import Col, ReportSpec, build_report, field_catalog, settle_issues
+    issues = settle_issues(read_pages(spark, pages_dir))
+    spec = ReportSpec("ids", (Col("IssueKey", "key"), Col("Dept2", "id:customfield_2", ("value",)),
+                              Col("Dept1", "Department-1", ("value",))), strip_name_spaces=False)
+    got = {r.IssueKey: (r.Dept1, r.Dept2) for r in build_report(issues, field_catalog(issues), spec).collect()}
+    assert got["X-1"] == ("Finance", "Legal")
