@@ -471,21 +471,21 @@ WITH b AS (
 """
 COM_TACTICS_ORACLE = _COM_BASE + """
 SELECT IssueKeyNumber,
-  CASE WHEN prio = '5-LOW' OR prio = '4-NOT SPECIFIED' THEN 1.0 ELSE 0.0 END AS "Blank",
-  CASE WHEN prio <> '5-LOW' AND (prio = '2-HIGH' OR status = 'F') THEN 1.0 ELSE 0.0 END AS "Email",
-  CASE WHEN prio = '3-MEDIUM' THEN 1.0 ELSE 0.0 END AS "Newsletter",
-  CASE WHEN prio <> '5-LOW' AND status = 'O' THEN 1.0 ELSE 0.0 END AS "Poster",
-  CASE WHEN prio = '1-URGENT' THEN 1.0 ELSE 0.0 END AS "Social Media"
+  CASE WHEN prio = '5-LOW' OR prio = '4-NOT SPECIFIED' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS "Blank",
+  CASE WHEN prio <> '5-LOW' AND (prio = '2-HIGH' OR status = 'F') THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS "Email",
+  CASE WHEN prio = '3-MEDIUM' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS "Newsletter",
+  CASE WHEN prio <> '5-LOW' AND status = 'O' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS "Poster",
+  CASE WHEN prio = '1-URGENT' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS "Social Media"
 FROM b
 """
 _COM_AUDIENCE_MATRIX = _COM_BASE + """,
 m AS (
   SELECT IssueKeyNumber,
-    CASE WHEN status <> 'O' AND seg_aud = 'All Employees' THEN 1.0 ELSE 0.0 END AS "All Employees",
-    CASE WHEN status = 'O' THEN 1.0 ELSE 0.0 END AS "Blank",
-    CASE WHEN (status <> 'O' AND seg_aud = 'Executive') OR prio IN ('1-URGENT', '2-HIGH') THEN 1.0 ELSE 0.0 END AS "Executive",
-    CASE WHEN status <> 'O' AND seg_aud = 'Managers' THEN 1.0 ELSE 0.0 END AS "Managers",
-    CASE WHEN (status <> 'O' AND seg_aud = 'Other') OR prio IN ('1-URGENT', '2-HIGH') THEN 1.0 ELSE 0.0 END AS "Other"
+    CASE WHEN status <> 'O' AND seg_aud = 'All Employees' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS "All Employees",
+    CASE WHEN status = 'O' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS "Blank",
+    CASE WHEN (status <> 'O' AND seg_aud = 'Executive') OR prio IN ('1-URGENT', '2-HIGH') THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS "Executive",
+    CASE WHEN status <> 'O' AND seg_aud = 'Managers' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS "Managers",
+    CASE WHEN (status <> 'O' AND seg_aud = 'Other') OR prio IN ('1-URGENT', '2-HIGH') THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS "Other"
   FROM b)
 """
 COM_AUDIENCES_ORACLE = _COM_AUDIENCE_MATRIX + "SELECT * FROM m"

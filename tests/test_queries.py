@@ -32,6 +32,9 @@ def duck():
     return con
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def test_every_query_has_an_oracle():
     assert set(entry.queries()) == set(entry.oracle_sql())
 
@@ -43,6 +46,9 @@ def test_query_matches_oracle(spark, duck, name):
     cur = duck.execute(entry.oracle_sql()[name])
     d_cols, d_rows = _canon([c[0] for c in cur.description], cur.fetchall())
     assert s_cols == d_cols
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema}
+    d_types = {c[0]: c[1] for c in duck.execute(f"DESCRIBE {entry.oracle_sql()[name]}").fetchall()}
+    assert s_types == d_types
     assert sum(s_rows.values()) == sum(d_rows.values())
     assert s_rows == d_rows
 
