@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from issuelens.functions.paths import Step, variant_path
@@ -301,7 +301,7 @@ def sbp_report(pages: DataFrame, as_of: str | None = None, statuses: Sequence[st
     return report.join(durations, "IssueKey", "left")
 
 
-def settle_issues(pages: DataFrame) -> DataFrame:
+def settle_issues(pages: DataFrame, overlapping_pulls: bool = False) -> DataFrame:
     """Parse once: the bronze issue table, checkpointed into the shared checkpoint folder.
 
     One row per issue with its ``fields`` and ``changelog`` VARIANTs (and the page's
@@ -309,9 +309,22 @@ def settle_issues(pages: DataFrame) -> DataFrame:
     dictionary, report projection, change history, hot-issue statistics -- reads these
     values instead of re-parsing and re-exploding pages; lineage is cut, so a lost
     executor recomputes from the checkpoint.
+
+    ``overlapping_pulls``: page sets that repeat issues (a re-pull landed over an older
+    one) keep each issue's copy from its latest page.  That is a shuffle of the issue
+    documents by issue id, so it is only done when asked for.
     """
     from issuelens.session import settle
-    return settle(explode_issues(pages, keep_names=True))
+    from issuelens.sources.pages import latest_issue_version
+    issues = explode_issues(pages, keep_names=True)
+    if overlapping_pulls:
+        names = issues.where(F.col("names").isNotNull()).select("project", "page_no", "names").distinct()
+        latest = latest_issue_version(issues.drop("names"))
+        first = F.row_number().over(Window.partitionBy("project", "page_no").orderBy("issue_pos"))
+        issues = (latest.withColumn("_first", first == 1)
+                  .join(names, ["project", "page_no"], "left")
+                  .withColumn("names", F.when(F.col("_first"), F.col("names"))).drop("_first"))
+    return settle(issues)
 
 
 def write_bronze(pages: DataFrame, path: str) -> None:

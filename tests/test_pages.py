@@ -30,3 +30,14 @@ def test_latest_issue_version(spark, pages_dir):
     latest = latest_issue_version(twice)
     assert latest.count() == 4
     assert latest.where(F.col("key") == "X-1").first().page_no == 9
+
+
+def test_overlapping_pulls_keep_the_latest_copy(spark):
+    import os
+    from conftest import FIXTURES
+    from issuelens.plans.reports import sbp_report, settle_issues
+    pages = read_pages(spark, os.path.join(FIXTURES, "repull"))
+    assert explode_issues(pages).count() == 5                      # X-1 landed twice
+    issues = settle_issues(pages, overlapping_pulls=True)
+    rep = {r.IssueKey: r for r in sbp_report(issues, as_of="2025-01-11 00:00:00", statuses=["Open"]).collect()}
+    assert len(rep) == 4 and rep["X-1"].Summary == "Move desks again" and rep["X-1"].Open == 2.0
