@@ -149,7 +149,10 @@ def status_durations(transitions: DataFrame, key: str = "IssueKey", statuses: Se
         long = (long.unionByName(open_time(transitions, key, as_of, normalize))
                 .groupBy(key, "status").agg(F.sum("days").alias("days")))
     if statuses is None:
-        statuses = sorted(r[0] for r in long.select("status").distinct().collect())
+        found = long.select("status").distinct().limit(MAX_STATUS_SPELLINGS + 1).collect()
+        if len(found) > MAX_STATUS_SPELLINGS:
+            raise ValueError("too many statuses for one column each; pass `statuses`")
+        statuses = sorted(r[0] for r in found)
     return long.groupBy(key).pivot("status", list(statuses)).agg(F.first("days"))
 
 
