@@ -121,7 +121,6 @@ def open_time(transitions: DataFrame, key: str, as_of: str | None, normalize: bo
     """Optional: (key, status, days) for the status an issue is in now, from its last
     transition to ``as_of`` -- time the reference does not count.  One partial aggregate
     per issue (the last transition by ``max_by``)."""
-    from issuelens.functions.scalars import as_of_literal
     order_cols = [c for c in transitions.columns if c.startswith("_o")]
     last = F.max_by(F.struct("changed_at", "to_status"),
                     F.struct(*[x for c in ["changed_at", *order_cols] for x in (F.col(c).isNull(), F.col(c))]))

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from issuelens.operators.columns import (SUFFIX_PATTERN, across, column_range, drop_all_null, drop_nested,
-                                         matching, mutate_after, rename_regex)
+                                         matching, mutate_after, rename_regex, select_renamed)
 from issuelens.operators.explode import keyed_to_record, parallel_unnest, unnest_keyed, unnest_longer
 from issuelens.operators.fields import disambiguate
 from issuelens.operators.sequence import SkewPolicy
@@ -83,3 +83,11 @@ def test_column_helpers(spark):
     assert out.columns == ["id", "dim", "label", "Status"]
     up = across(out, F.upper, ["label"]).first()
     assert up.label == "X"
+
+
+def test_select_renamed_odd_names(spark):
+    df = spark.createDataFrame([(1, "a", "b")], "`Ministry/BPS Organization` int, `Do you have a floor plan?` string, `ΣProgress` string")
+    out = select_renamed(df, {"Organization": "Ministry/BPS Organization", "FloorPlan": "Do you have a floor plan?",
+                              "TotalProgress": "ΣProgress", "Organization ": "Ministry/BPS Organization"})
+    assert out.columns == ["Organization", "FloorPlan", "TotalProgress", "Organization "]
+    assert tuple(out.first()) == (1, "a", "b", 1)
