@@ -3,8 +3,9 @@
 The reference normalises status names with base R's title case before summing, so
 ``"in progress"`` and ``"In Progress"`` fall into the same bucket.  Spark's ``initcap``
 is not the same rule (it lower-cases the rest of each word and capitalises small words),
-so the rule is rebuilt with ``regexp_extract_all`` + ``transform`` over the tokens; no
-Python UDF is involved and the expression stays inside whole-stage code generation.
+so the rule is rebuilt with ``regexp_extract_all`` + ``transform`` over the tokens.  It
+runs in the JVM with no Python involved; the lambda itself is evaluated by Spark's
+interpreter, as all higher-order functions are.
 """
 
 from __future__ import annotations
