@@ -1,7 +1,7 @@
 """Scalar column functions used by the reports.
 
-Every function maps Column -> Column with built-in Spark expressions only, so a report
-projection compiles into one whole-stage-codegen span.
+Every function maps Column -> Column with built-in Spark expressions only (code-generated,
+no Python), so a report projection stays one narrow stage.
 """
 
 from __future__ import annotations
