@@ -28,7 +28,7 @@ from issuelens.operators.tables import (indicator_matrix, left_enrich, natural_f
                                         row_sum, unpivot_long)
 from issuelens.plans.landing import _rec, issue_documents, landed_pages, load
 from issuelens.sources.pages import explode_issues, page_audit, pages_from_text
-from issuelens.sources.sinks import read_csv, write_csv
+from issuelens.sources.sinks import read_csv, write_with_summary
 from issuelens.session import shared_dir
 
 TS_FMT_SPARK = "yyyy-MM-dd HH:mm:ss"
@@ -621,9 +621,13 @@ DOC_SCHEMA = StructType([StructField("doc_id", LongType()), StructField("text",
 
 
 def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    path = shared_dir(spark, "csv")
-    write_csv(load(spark, sf, "documents").select("doc_id", "text", "lang", "source"), path)
-    return read_csv(spark, path, DOC_SCHEMA)
+    """S3 + S4: write whole documents as CSV with a run-summary row, read the CSV back."""
+    base = shared_dir(spark, "csv")
+    docs = load(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    info = write_with_summary(docs, f"{base}/report", f"{base}/runs", "tracker", "DOCS")
+    if info["rows"] != spark.read.parquet(f"{base}/runs").first()["rows"]:
+        raise RuntimeError("run summary does not match the rows written")
+    return read_csv(spark, f"{base}/report", DOC_SCHEMA)
 
 
 _SQL_CSV_ROUNDTRIP = "SELECT doc_id, text, lang, source FROM documents"
