@@ -369,25 +369,25 @@ FROM a FULL JOIN b
 def _return_options(spark: SparkSession, sf: str) -> DataFrame:
     """Orders x return-flag options; a flag ``N`` is an unset option (NULL).
 
-    The Blank rule needs each order's first slot.  Line items are reduced per order
-    *before* meeting the orders -- the first slot by ``min_by`` and the distinct options,
-    both partial aggregates -- so a hot order is combined map-side and the joins see one
-    row per order (or per order and option) on the line-item side.  The indicator ``max``
-    makes the reference's ``distinct`` implicit.
+    Line items are reduced per order *before* meeting the orders, in one partial
+    aggregate: the first slot (``min_by``) and the set of distinct options -- at most the
+    option vocabulary, whatever the order's size.  One left join then gives every order
+    its options, plus ``Blank`` when its first slot is missing (or it has no lines);
+    the indicator pivot that follows groups by the join key, so it needs no new exchange.
     """
     o = load(spark, sf, "orders").select("o_orderkey")
     li = load(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"),
         F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("slot"),
         F.nullif(F.col("l_returnflag"), F.lit("N")).alias("opt"))
-    firsts = li.groupBy("o_orderkey").agg(F.min_by(F.col("opt"), F.col("slot")).alias("first"),
-                                          F.lit(True).alias("has_lines"))
-    blanks = (o.join(firsts, "o_orderkey", "left")
-              .where(F.col("has_lines").isNull() | F.col("first").isNull())
-              .select("o_orderkey", F.lit("Blank").alias("Value")))
-    values = (li.where(F.col("opt").isNotNull()).select("o_orderkey", F.col("opt").alias("Value"))
-              .dropDuplicates().join(o, "o_orderkey", "left_semi"))
-    return blanks.unionByName(values)
+    per_order = li.groupBy("o_orderkey").agg(F.min_by(F.col("opt"), F.col("slot")).alias("first"),
+                                             F.collect_set("opt").alias("opts"),
+                                             F.lit(True).alias("has_lines"))
+    joined = o.join(per_order, "o_orderkey", "left")
+    blank = F.when(F.col("has_lines").isNull() | F.col("first").isNull(), F.array(F.lit("Blank")))
+    values = F.concat(F.coalesce(F.col("opts"), F.array().cast("array<string>")),
+                      F.coalesce(blank, F.array().cast("array<string>")))
+    return joined.select("o_orderkey", F.explode(values).alias("Value"))
 
 
 def q_indicator_matrix(spark: SparkSession, sf: str) -> DataFrame:
