@@ -132,10 +132,12 @@ def lag_in_order(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
 
 def row_number_in_order(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], out: str,
                         count_out: str | None = None, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """``row_number()`` (and optionally ``count(*)``) over ``PARTITION BY keys ORDER BY order_cols``."""
+    """``row_number()`` (and optionally ``count(*)``) over ``PARTITION BY keys ORDER BY order_cols``
+    (ascending, NULLs last, as in :func:`lag_in_order`)."""
+    order = [F.col(c).asc_nulls_last() for c in order_cols]
     hot = split_groups(df, keys, order_cols[0], policy)
     if hot is None:
-        w = Window.partitionBy(*keys).orderBy(*order_cols)
+        w = Window.partitionBy(*keys).orderBy(*order)
         res = df.withColumn(out, F.row_number().over(w))
         if count_out:
             res = res.withColumn(count_out, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
@@ -148,7 +150,7 @@ def row_number_in_order(df: DataFrame, keys: Sequence[str], order_cols: Sequence
         *keys, _B,
         F.coalesce(F.sum("__cnt").over(wr.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"),
         F.sum("__cnt").over(Window.partitionBy(*keys)).alias("__tot"))
-    w = Window.partitionBy(*keys, _B).orderBy(*order_cols)
+    w = Window.partitionBy(*keys, _B).orderBy(*order)
     res = (ranged.withColumn("__rn", F.row_number().over(w))
            .withColumn("__cnt_local", F.count(F.lit(1)).over(Window.partitionBy(*keys, _B)))
            .join(_small_side(offsets, hot, policy), [*keys, _B], "left")
