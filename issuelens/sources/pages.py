@@ -15,14 +15,17 @@ from pyspark.sql import functions as F
 PAGE_COLUMNS = ["project", "page_no", "raw", "body"]
 
 
-def read_pages(spark: SparkSession, path: str, project: str | None = None) -> DataFrame:
+def read_pages(spark: SparkSession, path: str, project: str | None = None,
+               one_page_per_line: bool = False) -> DataFrame:
     """Landed page files -> (project, page_no, raw, body).
 
+    A page is a whole file (``page-00012.json``), or, with ``one_page_per_line``, one line
+    of a JSON-lines file holding many pages (large files split across tasks by line).
     ``page_no`` comes from the page itself (``startAt / maxResults`` for offset pages) or
-    from the trailing number of the file name (token pages, ``page-00012.json``).  The
+    from the trailing number of the file name (token pages, one page per file).  The
     project is the ``project=`` directory when the layout is partitioned, else ``project``.
     """
-    df = spark.read.text(path, wholetext=True)
+    df = spark.read.text(path) if one_page_per_line else spark.read.text(path, wholetext=True)
     file_col = F.col("_metadata.file_path")
     if "project" in df.columns:
         proj = F.col("project").cast("string")

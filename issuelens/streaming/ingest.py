@@ -22,10 +22,13 @@ from issuelens.sources.pages import explode_issues, pages_from_text
 _TEXT = StructType([StructField("value", StringType())])
 
 
-def stream_pages(spark: SparkSession, landing: str, max_files_per_trigger: int = 1000) -> DataFrame:
-    """New page files under ``landing`` as a stream of pages (project, page_no, raw, body)."""
-    raw = (spark.readStream.schema(_TEXT).option("maxFilesPerTrigger", max_files_per_trigger)
-           .text(landing, wholetext=True))
+def stream_pages(spark: SparkSession, landing: str, max_files_per_trigger: int = 1000,
+                 one_page_per_line: bool = False) -> DataFrame:
+    """New page files under ``landing`` as a stream of pages (project, page_no, raw, body).
+
+    A page is a whole file, or one line of a JSON-lines file with ``one_page_per_line``."""
+    reader = spark.readStream.schema(_TEXT).option("maxFilesPerTrigger", max_files_per_trigger)
+    raw = reader.text(landing) if one_page_per_line else reader.text(landing, wholetext=True)
     file_col = F.col("_metadata.file_path")
     pages = raw.select(F.regexp_extract(file_col, r"project=([^/]+)/", 1).alias("project"),
                        file_col.alias("file"), F.col("value").alias("raw"))
@@ -33,13 +36,13 @@ def stream_pages(spark: SparkSession, landing: str, max_files_per_trigger: int =
 
 
 def ingest_issues(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
-                  available_now: bool = True) -> StreamingQuery:
+                  available_now: bool = True, one_page_per_line: bool = False) -> StreamingQuery:
     """Append the issues of newly landed pages to the bronze table at ``bronze``.
 
     ``available_now`` processes everything landed so far and stops (the scheduled run);
     otherwise the query keeps running and picks up pages as they land.
     """
-    issues = explode_issues(stream_pages(spark, landing), keep_names=True)
+    issues = explode_issues(stream_pages(spark, landing, one_page_per_line=one_page_per_line), keep_names=True)
     writer = (issues.writeStream.format("parquet").option("path", bronze)
               .option("checkpointLocation", checkpoint).partitionBy("project").outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

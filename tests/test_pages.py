@@ -41,3 +41,19 @@ def test_overlapping_pulls_keep_the_latest_copy(spark):
     issues = settle_issues(pages, overlapping_pulls=True)
     rep = {r.IssueKey: r for r in sbp_report(issues, as_of="2025-01-11 00:00:00", statuses=["Open"]).collect()}
     assert len(rep) == 4 and rep["X-1"].Summary == "Move desks again" and rep["X-1"].Open == 2.0
+
+
+def test_json_lines_landing_reads_the_same_pages(spark, pages_dir):
+    import glob
+    import json
+    import os
+    from issuelens.session import shared_dir
+    base = os.path.join(shared_dir(spark, "lines"), "project=SBP")
+    os.makedirs(base)
+    with open(os.path.join(base, "pages.jsonl"), "w") as out:
+        for f in sorted(glob.glob(os.path.join(pages_dir, "project=SBP", "*.json"))):
+            out.write(json.dumps(json.load(open(f))) + "\n")
+    lines = read_pages(spark, os.path.dirname(base), one_page_per_line=True)
+    whole = read_pages(spark, pages_dir)
+    key = lambda df: sorted((r.project, r.page_no, r.issue_pos, r.key) for r in explode_issues(df).collect())
+    assert key(lines) == key(whole) and lines.count() == 3
