@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
+from issuelens.llm.decontaminate import OP8_SQL, op8_benchmark_hits
 from issuelens.llm.langid import op7_language_id
+from issuelens.llm.preferences import OP10_SQL, op10_preferences
+from issuelens.llm.quality import OP2_SQL, op2_quality_lines
+from issuelens.llm.sentencepiece import op1_sentencepiece
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
+    "op2_quality_lines": op2_quality_lines,
     "op7_language_id": op7_language_id,
+    "op8_benchmark_hits": op8_benchmark_hits,
+    "op10_preferences": op10_preferences,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_quality_lines": OP2_SQL,
+    "op8_benchmark_hits": OP8_SQL,
+    "op10_preferences": OP10_SQL,
+}

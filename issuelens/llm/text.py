@@ -67,13 +67,30 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+ODD = 0x9E3779B97F4A7C15
+
+
 def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
-    """Hash of every n consecutive words, from the words' hashes; empty with fewer words."""
-    if len(h) < n:
+    """Hash of every n consecutive words, from the words' hashes; empty with fewer words.
+
+    A polynomial in an odd multiplier modulo 2^64, put together from grams of 1, 2, 4, ...
+    words, so that long grams cost a few array operations.
+    """
+    size = len(h)
+    if size < n:
         return h[:0]
-    out = h[: len(h) - n + 1].copy()
-    for i in range(1, n):
-        out = mix(out) + h[i : len(h) - n + 1 + i]
+    out, have, part, step = None, 0, h, 1
+    while step <= n:
+        if n & step:
+            if out is None:
+                out, have = part, step
+            else:
+                k = size - have - step + 1
+                out, have = out[:k] * np.uint64(pow(ODD, step, 1 << 64)) + part[have : have + k], have + step
+        if step * 2 <= n:
+            k = size - 2 * step + 1
+            part = part[:k] * np.uint64(pow(ODD, step, 1 << 64)) + part[step : step + k]
+        step *= 2
     return mix(out)
 
 
