@@ -23,6 +23,8 @@ Rows without an id are neither searched nor found.  Only the named columns are r
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,18 +39,29 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
 
 
-def grams(words: Column) -> Column:
-    """Arrays of five consecutive words."""
-    n = F.size(words)
-    starts = F.when(n >= SHINGLE_WORDS, F.sequence(F.lit(1), n - (SHINGLE_WORDS - 1))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.slice(words, i, SHINGLE_WORDS))
+def grams(words: Column, of: Callable[[Column], Column]) -> Column:
+    """``of`` every five consecutive words, as an array.
+
+    The words are bound to a lambda variable by the outer ``transform``: an expression named
+    inside a lambda would be evaluated anew for each of its elements.
+    """
+    def each(w: Column) -> Column:
+        starts = F.when(F.size(w) >= SHINGLE_WORDS, F.sequence(F.lit(1), F.size(w) - (SHINGLE_WORDS - 1))) \
+            .otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: of(F.slice(w, i, SHINGLE_WORDS)))
+
+    return F.element_at(F.transform(F.array(words), each), 1)
+
+
+def joined(gram: Column) -> Column:
+    return F.array_join(gram, " ")
 
 
 def item_shingles(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
     """Distinct (item_id, shingle) of the items."""
     named = items.filter(F.col(item_id).isNotNull() & F.col(text).isNotNull()) \
         .select(F.col(item_id).alias("item_id"), tokens(F.col(text)).alias("w"))
-    return named.select("item_id", F.explode(F.transform(grams(F.col("w")), lambda g: F.array_join(g, " "))).alias("shingle")).distinct()
+    return named.select("item_id", F.explode(grams(F.col("w"), joined)).alias("shingle")).distinct()
 
 
 def sketches(shingles: DataFrame, least: float = LEAST) -> DataFrame:
@@ -72,7 +85,7 @@ def candidates(docs: DataFrame, sketch: DataFrame) -> DataFrame:
     """Distinct (doc_id, copy, item_id) where the document is large enough and holds a sketch value."""
     hashes = docs.select("doc_id", "copy", tokens(F.col("text")).alias("w")) \
         .select("doc_id", "copy", (F.size("w") - (SHINGLE_WORDS - 1)).alias("n_grams"),
-                F.explode(F.transform(grams(F.col("w")), lambda g: F.xxhash64(g))).alias("hash"))
+                F.explode(grams(F.col("w"), F.xxhash64)).alias("hash"))
     return hashes.join(sketch, (hashes["hash"] == sketch["hash"]) & (F.col("n_grams") >= F.col("needs"))) \
         .select("doc_id", "copy", "item_id").distinct()
 
@@ -84,7 +97,7 @@ def contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: s
     named = searchable(docs, doc_id, text)
     pairs = written(candidates(named, sketches(shingles, least)), "candidates")
     found = named.join(pairs.select("doc_id", "copy").distinct(), ["doc_id", "copy"], "left_semi") \
-        .select("doc_id", "copy", F.explode(F.transform(grams(tokens(F.col("text"))), lambda g: F.array_join(g, " "))).alias("shingle")) \
+        .select("doc_id", "copy", F.explode(grams(tokens(F.col("text")), joined)).alias("shingle")) \
         .join(shingles, "shingle").distinct() \
         .groupBy("doc_id", "copy", "item_id").agg(F.count("*").alias("n_found"))
     return found.join(pairs, ["doc_id", "copy", "item_id"]).join(sizes, "item_id").filter(F.col("n_found") >= least * F.col("n_item")) \

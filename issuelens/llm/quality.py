@@ -183,7 +183,7 @@ shared AS (
   JOIN host_docs h ON f.host = h.host WHERE f.n > 20 AND f.n > 0.01 * h.n),
 removed AS (SELECT doc_id, sum(n) AS n FROM full_lines JOIN shared USING (host, norm) GROUP BY 1),
 base AS (
-  SELECT d.doc_id, len(words) AS n_words, coalesce(list_sum(list_transform(words, x -> length(x))), 0) AS word_chars,
+  SELECT d.doc_id, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS word_chars,
          len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, coalesce(dups.n, 0) AS n_dup_lines,
          coalesce(covered.n, 0) AS n_repeat_words, coalesce(removed.n, 0) AS n_removed
   FROM d LEFT JOIN dups USING (doc_id) LEFT JOIN covered USING (doc_id) LEFT JOIN removed USING (doc_id)),

@@ -17,7 +17,8 @@ from issuelens.session import shared_dir
 # The contracts' word: a maximal run of bytes other than space and 0x09-0x0D.  In tasks,
 # ``bytes.split()`` cuts at exactly these bytes (``str.split`` would cut at more).
 WORD_REGEX = r"[^\x20\x09-\x0D]+"
-# Rows per Arrow batch handed to Python; bounds what a task holds of a table of long texts.
+# Rows per Arrow batch handed to Python.  Spark also ends a batch at 64 MB
+# (spark.sql.execution.arrow.maxBytesPerBatch), so long texts do not pile up in a task.
 ARROW_ROWS = 1000
 
 
@@ -27,7 +28,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def in_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
              schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` with small batches, so that long texts do not pile up in a task."""
+    """``mapInArrow`` with batches small enough for tables of texts."""
     spark = df.sparkSession
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > ARROW_ROWS:
