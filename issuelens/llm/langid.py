@@ -38,7 +38,7 @@ SPACE_MARK = "▁"
 LETTER = re.compile(r"[^\W\d_]")
 # The share of probability each language keeps for pieces it never showed, over the vocabulary.
 UNSEEN = 0.01
-WORDS_KEPT = 100_000
+WORDS_KEPT = 400_000
 
 
 def load_pieces(model_path: str) -> list[str]:
@@ -79,7 +79,8 @@ def forward(word: str, lattice: Lattice, prob: np.ndarray) -> np.ndarray:
 
     ``prob`` is (pieces + 1) x languages.  The sums are kept as probabilities and scaled up
     whenever they get small, so words of any length neither underflow nor need logarithms
-    inside the loop; only sums that a piece can still reach are held.
+    inside the loop; only sums that a piece can still reach are held.  This is the plain form of
+    what ``WordScorer`` does for many words at once.
     """
     n, width = len(word), lattice.longest + 1
     sums = [None] * width
@@ -101,6 +102,78 @@ def forward(word: str, lattice: Lattice, prob: np.ndarray) -> np.ndarray:
     return np.log(sums[n % width]) + log_scale
 
 
+class WordScorer:
+    """Forward sums of many distinct words at once.
+
+    Position by position, the pieces that start there are followed through a trie for all words
+    together, as array operations.  Words with a character outside the trie's alphabet (the
+    most used ones of the vocabulary), or longer than ``LONGEST``, go through ``forward`` one by one.
+    """
+
+    LETTERS, LONGEST, TOGETHER = 128, 40, 8192
+
+    def __init__(self, pieces: list[str], prob: np.ndarray):
+        self.prob, self.lattice = prob, Lattice(pieces)
+        used = [c for c, _ in Counter("".join(pieces)).most_common(self.LETTERS - 1) if ord(c) < 65_536]
+        self.code = np.zeros(65_536, np.uint8)
+        self.code[[ord(c) for c in used]] = np.arange(1, len(used) + 1)
+        known, edges, piece_of = set(used), {}, {}
+        for i, p in enumerate(pieces):
+            if known.issuperset(p):
+                node = 0
+                for c in p:
+                    node = edges.setdefault((node, self.code[ord(c)]), len(edges) + 1)
+                piece_of[node] = i
+        self.child = np.zeros((len(edges) + 1, self.LETTERS), np.int32)
+        if edges:
+            at = np.array(list(edges), np.int64)
+            self.child[at[:, 0], at[:, 1]] = list(edges.values())
+        self.piece = np.full(len(edges) + 1, -1, np.int32)
+        self.piece[list(piece_of)] = list(piece_of.values())
+
+    def logs(self, words: list[str]) -> np.ndarray:
+        out = np.empty((len(words), self.prob.shape[1]))
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = np.where(points < 65_536, self.code[np.minimum(points, 65_535)], 0)
+        begins = np.concatenate([[0], np.cumsum(sizes)])
+        odd = np.add.reduceat(np.append(codes == 0, False).astype(np.int64), begins[:-1]) > 0 if len(words) else np.zeros(0, bool)
+        odd |= sizes > self.LONGEST
+        for w in np.flatnonzero(odd):
+            out[w] = forward(words[w], self.lattice, self.prob)
+        plain = np.flatnonzero(~odd)
+        plain = plain[np.argsort(-sizes[plain], kind="stable")]              # the longest first
+        for at in range(0, len(plain), self.TOGETHER):
+            some = plain[at : at + self.TOGETHER]
+            out[some] = self.together(codes, begins[some], sizes[some])
+        return out
+
+    def together(self, codes: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        n, width = len(sizes), int(sizes[0])
+        grid = np.zeros((n, width + 1), np.uint8)
+        rows = np.repeat(np.arange(n), sizes)
+        cols = np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        grid[rows, cols] = codes[begins[rows] + cols]
+        sums = np.zeros((width + 1, n, self.prob.shape[1]))
+        sums[0] = 1
+        for i in range(width):
+            active = int(np.searchsorted(-sizes, -i, side="left"))            # words longer than i
+            here, which = sums[i, :active], np.arange(active)
+            node = self.child[0, grid[:active, i]]
+            piece = self.piece[node]
+            sums[i + 1, :active] += here * self.prob[np.where(piece < 0, self.lattice.unknown, piece)]
+            for end in range(i + 2, min(width, i + self.lattice.longest) + 1):
+                alive = node > 0
+                which, node = which[alive], node[alive]
+                if not len(which):
+                    break
+                node = self.child[node, grid[which, end - 1]]
+                piece = self.piece[node]
+                hit = piece >= 0
+                sums[end, which[hit]] += here[which[hit]] * self.prob[piece[hit]]
+        return np.log(sums[sizes, np.arange(n)])
+
+
 def expected_counts(word: str, lattice: Lattice, prob: np.ndarray) -> dict[int, float]:
     """Expected piece counts of a word over all its segmentations in one language."""
     n = len(word)
@@ -221,34 +294,45 @@ def predict(docs: DataFrame, model: dict, text: str = "text", doc_id: str = "doc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, prob = held.value["langs"], held.value["prob"]
-        lattice = Lattice(held.value["pieces"])
+        scorer = WordScorer(held.value["pieces"], prob) if langs else None
         rows: dict[bytes, int] = {}
         logs = np.empty((WORDS_KEPT, len(langs)))
 
-        def of(word: bytes) -> int:
-            i = rows.get(word)
-            if i is None:
-                i = rows[word] = len(rows)
-                logs[i] = forward(SPACE_MARK + word.decode(errors="replace"), lattice, prob)
-            return i
-
-        def score(text: bytes | None) -> tuple[str, float]:
-            if text is None or not langs or not LETTER.search(text.decode(errors="replace")):
-                return "und", 0.0
-            words, total = words_of(text), np.zeros(len(langs))
-            for at in range(0, len(words), WORDS_KEPT // 2):        # a slice always fits the memory
-                part = words[at : at + WORDS_KEPT // 2]
-                if len(rows) + len(part) > WORDS_KEPT:
-                    rows.clear()
-                total += logs[np.fromiter(map(of, part), np.int64, len(part))].sum(axis=0)
-            best = int(total.argmax())
-            return langs[best], float(1 / np.exp(total - total[best]).sum())
+        def add(total: np.ndarray, owners: list[int], words: list[bytes]) -> None:
+            """Add the words' log probabilities to their documents' totals."""
+            new = list(set(words).difference(rows))
+            if len(rows) + len(new) > WORDS_KEPT:
+                rows.clear()
+                new = list(set(words))
+            at = len(rows)
+            logs[at : at + len(new)] = scorer.logs([SPACE_MARK + w.decode(errors="replace") for w in new])
+            rows.update(zip(new, range(at, at + len(new))))
+            places = np.fromiter(map(rows.__getitem__, words), np.int64, len(words))
+            np.add.at(total, np.unique(owners), np.add.reduceat(logs[places], np.unique(owners, return_index=True)[1]))
 
         for b in batches:
-            found = [score(t.as_py()) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                schema=schema)
+            total = np.zeros((b.num_rows, len(langs)))
+            lettered = np.zeros(b.num_rows, bool)
+            owners, words = [], []
+            for i, t in enumerate(b.column(1)):
+                text = t.as_py()
+                if text is None or not langs or not LETTER.search(text.decode(errors="replace")):
+                    continue
+                lettered[i] = True
+                of_text = words_of(text)
+                for k in range(0, len(of_text), WORDS_KEPT // 2):         # a part always fits the memory
+                    part = of_text[k : k + WORDS_KEPT // 2]
+                    if len(words) + len(part) > WORDS_KEPT // 2:
+                        add(total, owners, words)
+                        owners, words = [], []
+                    owners += [i] * len(part)
+                    words += part
+            if words:
+                add(total, owners, words)
+            best = total.argmax(axis=1) if langs else None
+            found = [langs[best[i]] if ok else "und" for i, ok in enumerate(lettered)]
+            score = [float(1 / np.exp(total[i] - total[i, best[i]]).sum()) if ok else 0.0 for i, ok in enumerate(lettered)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.string()), pa.array(score, pa.float64())], schema=schema)
 
     return in_arrow(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text")), run, out)
 

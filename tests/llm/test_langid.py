@@ -36,6 +36,18 @@ def test_forward_of_a_giant_word_neither_underflows_nor_overflows():
     assert np.allclose(langid.forward("a" * 50_000, lattice, prob), [50_000 * math.log(0.5), 50_000 * math.log(1e-9)])
 
 
+def test_many_words_at_once_equal_one_by_one():
+    pieces = langid.load_pieces(langid.PIECE_MODEL)
+    rng = np.random.default_rng(2)
+    prob = rng.random((len(pieces) + 1, 3)) * 1e-4
+    words = ["\u2581the", "\u2581", "\u2581naïve", "\u2581日本x", "\u2581" + "ab" * 60, "\u2581###", "\u2581\U0001f600a", "\u2581\x07z"] * 2
+    words += ["\u2581" + "".join(rng.choice(list("theinrsoß"), rng.integers(1, 39))) for _ in range(300)]
+    lattice = langid.Lattice(pieces)
+    want = np.stack([langid.forward(w, lattice, prob) for w in words])
+    assert np.allclose(langid.WordScorer(pieces, prob).logs(words), want)
+    assert langid.WordScorer(pieces, prob).logs([]).shape == (0, 3)
+
+
 def test_expected_counts_match_brute_force():
     lattice = langid.Lattice(["a", "b", "ab", "ba"])
     prob = np.array([0.3, 0.2, 0.4, 0.05, 0.01])
