@@ -7,12 +7,14 @@ from issuelens.llm.langid import op7_language_id
 from issuelens.llm.preferences import OP10_SQL, op10_preferences
 from issuelens.llm.quality import OP2_SQL, op2_quality_lines
 from issuelens.llm.sentencepiece import op1_sentencepiece
+from issuelens.llm.substrings import op6_substring_dedup
 from issuelens.llm.suffix_tree import op4_suffix_tree_score
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_lines": op2_quality_lines,
     "op4_suffix_tree_score": op4_suffix_tree_score,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_language_id": op7_language_id,
     "op8_benchmark_hits": op8_benchmark_hits,
     "op10_preferences": op10_preferences,
