@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from issuelens.llm.decontaminate import OP8_SQL, op8_benchmark_hits
+from issuelens.llm.jaccard import op9_ngram_jaccard
 from issuelens.llm.langid import op7_language_id
 from issuelens.llm.preferences import OP10_SQL, op10_preferences
 from issuelens.llm.quality import OP2_SQL, op2_quality_lines
@@ -17,6 +18,7 @@ QUERIES = {
     "op6_substring_dedup": op6_substring_dedup,
     "op7_language_id": op7_language_id,
     "op8_benchmark_hits": op8_benchmark_hits,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_preferences": op10_preferences,
 }
 
