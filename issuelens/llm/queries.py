@@ -5,16 +5,20 @@ from __future__ import annotations
 from issuelens.llm.decontaminate import OP8_SQL, op8_benchmark_hits
 from issuelens.llm.jaccard import op9_ngram_jaccard
 from issuelens.llm.langid import op7_language_id
+from issuelens.llm.licenses import op5_license_scan
 from issuelens.llm.preferences import OP10_SQL, op10_preferences
 from issuelens.llm.quality import OP2_SQL, op2_quality_lines
 from issuelens.llm.sentencepiece import op1_sentencepiece
 from issuelens.llm.substrings import op6_substring_dedup
 from issuelens.llm.suffix_tree import op4_suffix_tree_score
+from issuelens.llm.warc import op3_warc_derivatives
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_lines": op2_quality_lines,
+    "op3_warc_derivatives": op3_warc_derivatives,
     "op4_suffix_tree_score": op4_suffix_tree_score,
+    "op5_license_scan": op5_license_scan,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_language_id": op7_language_id,
     "op8_benchmark_hits": op8_benchmark_hits,
