@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from issuelens.llm.lattice import Trie
 from issuelens.llm.text import held_out, in_arrow, read_table, schema_of, with_id
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -103,76 +104,25 @@ def forward(word: str, lattice: Lattice, prob: np.ndarray) -> np.ndarray:
 
 
 class WordScorer:
-    """Forward sums of many distinct words at once.
-
-    Position by position, the pieces that start there are followed through a trie for all words
-    together, as array operations.  Words with a character outside the trie's alphabet (the
-    most used ones of the vocabulary), or longer than ``LONGEST``, go through ``forward`` one by one.
-    """
-
-    LETTERS, LONGEST, TOGETHER = 128, 40, 8192
+    """Forward sums of many distinct words at once, odd ones (see ``Trie``) one by one."""
 
     def __init__(self, pieces: list[str], prob: np.ndarray):
-        self.prob, self.lattice = prob, Lattice(pieces)
-        used = [c for c, _ in Counter("".join(pieces)).most_common(self.LETTERS - 1) if ord(c) < 65_536]
-        self.code = np.zeros(65_536, np.uint8)
-        self.code[[ord(c) for c in used]] = np.arange(1, len(used) + 1)
-        known, edges, piece_of = set(used), {}, {}
-        for i, p in enumerate(pieces):
-            if known.issuperset(p):
-                node = 0
-                for c in p:
-                    node = edges.setdefault((node, self.code[ord(c)]), len(edges) + 1)
-                piece_of[node] = i
-        self.child = np.zeros((len(edges) + 1, self.LETTERS), np.int32)
-        if edges:
-            at = np.array(list(edges), np.int64)
-            self.child[at[:, 0], at[:, 1]] = list(edges.values())
-        self.piece = np.full(len(edges) + 1, -1, np.int32)
-        self.piece[list(piece_of)] = list(piece_of.values())
+        self.prob, self.lattice, self.trie = prob, Lattice(pieces), Trie(pieces)
 
     def logs(self, words: list[str]) -> np.ndarray:
         out = np.empty((len(words), self.prob.shape[1]))
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
-        codes = np.where(points < 65_536, self.code[np.minimum(points, 65_535)], 0)
-        begins = np.concatenate([[0], np.cumsum(sizes)])
-        odd = np.add.reduceat(np.append(codes == 0, False).astype(np.int64), begins[:-1]) > 0 if len(words) else np.zeros(0, bool)
-        odd |= sizes > self.LONGEST
-        for w in np.flatnonzero(odd):
+        odd, lots = self.trie.grids(words)
+        for w in odd:
             out[w] = forward(words[w], self.lattice, self.prob)
-        plain = np.flatnonzero(~odd)
-        plain = plain[np.argsort(-sizes[plain], kind="stable")]              # the longest first
-        for at in range(0, len(plain), self.TOGETHER):
-            some = plain[at : at + self.TOGETHER]
-            out[some] = self.together(codes, begins[some], sizes[some])
+        unknown = self.lattice.unknown
+        for places, grid, sizes in lots:
+            sums = np.zeros((grid.shape[1], len(places), self.prob.shape[1]))
+            sums[0] = 1
+            for start, end, rows, piece in self.trie.steps(grid, sizes):
+                sums[end, rows] += sums[start, rows] * self.prob[np.where(piece < 0, unknown, piece)]
+            out[places] = np.log(sums[sizes, np.arange(len(places))])
         return out
 
-    def together(self, codes: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        n, width = len(sizes), int(sizes[0])
-        grid = np.zeros((n, width + 1), np.uint8)
-        rows = np.repeat(np.arange(n), sizes)
-        cols = np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        grid[rows, cols] = codes[begins[rows] + cols]
-        sums = np.zeros((width + 1, n, self.prob.shape[1]))
-        sums[0] = 1
-        for i in range(width):
-            active = int(np.searchsorted(-sizes, -i, side="left"))            # words longer than i
-            here, which = sums[i, :active], np.arange(active)
-            node = self.child[0, grid[:active, i]]
-            piece = self.piece[node]
-            sums[i + 1, :active] += here * self.prob[np.where(piece < 0, self.lattice.unknown, piece)]
-            for end in range(i + 2, min(width, i + self.lattice.longest) + 1):
-                alive = node > 0
-                which, node = which[alive], node[alive]
-                if not len(which):
-                    break
-                node = self.child[node, grid[which, end - 1]]
-                piece = self.piece[node]
-                hit = piece >= 0
-                sums[end, which[hit]] += here[which[hit]] * self.prob[piece[hit]]
-        return np.log(sums[sizes, np.arange(n)])
-
 
 def expected_counts(word: str, lattice: Lattice, prob: np.ndarray) -> dict[int, float]:
     """Expected piece counts of a word over all its segmentations in one language."""

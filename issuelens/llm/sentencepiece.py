@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from issuelens.llm.lattice import Trie
 from issuelens.llm.text import in_arrow, read_table, schema_of, written
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -45,7 +46,7 @@ MARK = "▁"
 CHUNK = 16_384
 FAN = 64
 SCALE = 1024
-WORDS_KEPT = 150_000
+WORDS_KEPT = 200_000
 LONG_WORD = 64
 NONE = -(1 << 62)          # "no path": far below any sum of scores
 
@@ -85,6 +86,7 @@ class Pieces:
         else:
             self.split = re.compile(f"{f'[{alone}]|' if alone else ''}{MARK}+[^{MARK}{alone}]*|[^{MARK}{alone}]+")
         self.solved: dict[str, tuple[int, bytes]] = {}
+        self.trie: Trie | None = None
 
     def normal(self, text: str) -> str:
         return self.prefix + text.replace(" ", MARK) if text else ""
@@ -144,15 +146,71 @@ class Pieces:
             score, back = self.paths(word, 0, n, n)
             found = score[n], self.emit(word, self.starts(back, n, 0), n)
             if n <= LONG_WORD:
-                if len(self.solved) >= WORDS_KEPT:
+                if len(self.solved) >= 2 * WORDS_KEPT:
                     self.solved.clear()
                 self.solved[word] = found
         return found
 
+    def prepare(self, words: set[str]) -> None:
+        """Solve many new words at once: the same Viterbi, all words position by position."""
+        if len(self.solved) + len(words) > WORDS_KEPT:
+            self.solved.clear()
+        new = [w for w in words.difference(self.solved) if len(w) <= LONG_WORD]
+        if len(new) < 64:                          # not worth the arrays
+            return
+        if self.trie is None:
+            self.trie = Trie(list(self.ids))
+            self.piece_ids = np.array([i for i, _ in self.ids.values()], np.int32)
+            self.piece_scores = np.array([*[s for _, s in self.ids.values()], self.unknown_score], np.int64)
+        _, lots = self.trie.grids(new)
+        for places, grid, sizes in lots:
+            n, width = len(places), grid.shape[1]
+            score = np.full((width, n), NONE, np.int64)
+            back, via = np.zeros((width, n), np.int32), np.full((width, n), -1, np.int32)
+            score[0] = 0
+            for start, end, rows, piece in self.trie.steps(grid, sizes):
+                sums = score[start, rows] + self.piece_scores[piece]
+                better = sums > score[end, rows]                       # a tie keeps the earlier start
+                rows, piece, sums = rows[better], piece[better], sums[better]
+                score[end, rows], back[end, rows], via[end, rows] = sums, start, piece
+            # pieces from the right, a column per step; then each word's row is its ids, reversed
+            at, row, taken = sizes.copy(), np.arange(n), np.full((width, n), -1, np.int32)
+            length, unknown = np.zeros(n, np.int64), np.zeros(n, bool)
+            while len(row):
+                piece = via[at, row]
+                unknown[row] |= piece < 0
+                taken[length[row], row] = piece
+                length[row] += 1
+                at = back[at, row]
+                row, at = row[at > 0], at[at > 0]
+            column = np.repeat(np.arange(n), length)
+            step = np.arange(len(column)) - np.repeat(np.cumsum(length) - length, length)
+            ids = self.piece_ids[taken[length[column] - 1 - step, column]].tobytes()
+            ends = 4 * np.cumsum(length)
+            scores = score[sizes, np.arange(n)].tolist()
+            ok = np.flatnonzero(~unknown).tolist()                     # unknown characters need bytes: left to ``solve``
+            stops, starts = ends.tolist(), (ends - 4 * length).tolist()
+            self.solved.update((new[places[k]], (scores[k], ids[starts[k] : stops[k]])) for k in ok)
+
     def encode(self, normal: str) -> bytes:
         solved, solve = self.solved.get, self.solve
         return b"".join([(solved(w) or solve(w))[1] for w in self.split.findall(normal)])
 
+    def encode_all(self, normals: list[str | None]) -> list[bytes | None]:
+        """Encode texts in parts whose words, sooner than later, are solved together."""
+        out: list[bytes | None] = []
+        at = 0
+        while at < len(normals):
+            words: set[str] = set()
+            end = at
+            while end < len(normals) and (end == at or len(words) < WORDS_KEPT // 4):
+                words.update(self.split.findall(normals[end] or ""))
+                end += 1
+            self.prepare(words)
+            out += [None if t is None else self.encode(t) for t in normals[at:end]]
+            at = end
+        return out
+
     def decode(self, ids: list[int]) -> str:
         text, byte_of = self.text, self.byte_of
         if any(map(byte_of.__contains__, set(ids))):
@@ -307,8 +365,10 @@ def boundary_states(chunks: DataFrame, held, k: int) -> DataFrame:
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(held.value)
         for b in batches:
-            found = [pack(pieces.transfer(before, body, size, c + 1 == n)) for before, body, size, c, n in zip(
-                *[b.column(i).to_pylist() for i in (2, 3, 4, 1, 5)])]
+            found = []
+            for before, body, size, c, n in zip(*[b.column(i).to_pylist() for i in (2, 3, 4, 1, 5)]):
+                pieces.prepare(set(pieces.split.findall(body)))
+                found.append(pack(pieces.transfer(before, body, size, c + 1 == n)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.binary())], schema=matrix_schema)
 
     def up(group: pd.DataFrame) -> pd.DataFrame:
@@ -375,14 +435,17 @@ def encode(docs: DataFrame, model_path: str = PIECE_MODEL, text: str = "text", c
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(held.value)
         for b in batches:
-            found = [None if t is None else pieces.encode(pieces.normal(t)) for t in b.column(1).to_pylist()]
+            found = pieces.encode_all([None if t is None else pieces.normal(t) for t in b.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([b.column(0).cast(schema.field(0).type), ids_array(found).cast(schema.field(1).type)], schema=schema)
 
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(held.value)
         for b in batches:
             cols = [b.column(i).to_pylist() for i in range(2, 9)]
-            found = [pieces.backtrace(before, body, size, c + 1 == n, s, e) for before, body, size, c, n, s, e in zip(*cols)]
+            found = []
+            for before, body, size, c, n, s, e in zip(*cols):
+                pieces.prepare(set(pieces.split.findall(body)))
+                found.append(pieces.backtrace(before, body, size, c + 1 == n, s, e))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1).cast(schema.field(0).type), b.column(5), ids_array(found).cast(schema.field(1).type)],
                 schema=chunked_schema)

@@ -81,6 +81,19 @@ def test_short_texts_match_the_library_exactly():
         assert whole(pieces, text) == lib.encode(text)
 
 
+def test_many_words_at_once_equal_one_by_one():
+    together, single = (sp.Pieces(sp.load_model(sp.PIECE_MODEL)) for _ in range(2))
+    rng = random.Random(8)
+    words = {"▁" + "".join(rng.choice("theinrsßo-=é日") for _ in range(rng.randrange(0, 45))) for _ in range(3000)} | {"\n", "▁▁▁", "x" * 60}
+    together.prepare(words)
+    assert len(together.solved) > 250
+    for w, found in together.solved.items():
+        assert found == single.solve(w), w
+    texts = [None, "", " ".join(w[1:] for w in sorted(words))]
+    normals = [None if t is None else single.normal(t) for t in texts]
+    assert together.encode_all(normals) == [None if t is None else single.encode(t) for t in normals]
+
+
 @pytest.mark.parametrize("chunk", [17, 31, 64])
 def test_chunked_equals_whole(chunk):
     pieces = sp.Pieces(sp.load_model(sp.PIECE_MODEL))
