@@ -42,19 +42,3 @@ def variant_path(path: Step | Sequence[Step]) -> str:
                 raise ValueError(f"quote in path step {step!r}")
             out += f"['{step}']"
     return out
-
-
-def get_path(v: Column | str, path: Step | Sequence[Step], dtype: str = "string") -> Column:
-    """Typed, error-free extraction of one path from a VARIANT column."""
-    v = F.col(v) if isinstance(v, str) else v
-    return F.try_variant_get(v, variant_path(path), dtype)
-
-
-def variant_kind(v: Column) -> Column:
-    """F16 type predicate on a VARIANT value: OBJECT, ARRAY, VOID (JSON null), STRING, ..."""
-    return F.regexp_extract(F.schema_of_variant(v), r"^([A-Z_]+)", 1)
-
-
-def is_record(v: Column) -> Column:
-    """True for objects and arrays (R lists), False for scalars and JSON null."""
-    return variant_kind(v).isin("OBJECT", "ARRAY")

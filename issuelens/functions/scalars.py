@@ -39,8 +39,8 @@ def flatten_newlines(c: Column | str) -> Column:
 
 
 def paste0(*cols: Column | str) -> Column:
-    """F4 ``paste0``: NULL parts print as ``NA`` in R; here a NULL part makes the result NULL."""
-    return F.concat(*[_c(c) for c in cols])
+    """F4 ``paste0``: a NULL part prints as ``NA``, as in R."""
+    return F.concat(*[F.coalesce(_c(c).cast("string"), F.lit("NA")) for c in cols])
 
 
 def r_date(c: Column | str) -> Column:
@@ -58,7 +58,7 @@ def r_timestamp(c: Column | str) -> Column:
 
 
 def _micros(ts: Column) -> Column:
-    # timestamp_ntz inputs are read as UTC wall clock.
+    # timestamp_ntz inputs are wall clock in the session's zone.
     return F.unix_micros(ts.cast("timestamp"))
 
 
@@ -82,12 +82,6 @@ def as_of_literal(as_of: str | None) -> Column:
     return F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
 
 
-def is_na(c: Column | str) -> Column:
-    """F12 ``is.na`` (NULL, and NaN for doubles)."""
-    c = _c(c)
-    return c.isNull() | F.isnan(c)
-
-
 def nan_if_null(c: Column | str) -> Column:
     """F13 ``replace_na(x, NaN)``."""
     return F.coalesce(_c(c).cast("double"), F.lit(float("nan")))
@@ -101,9 +95,3 @@ def as_character(c: Column | str) -> Column:
 def as_numeric(c: Column | str) -> Column:
     """F14 ``as.numeric`` on dirty text: NULL instead of an error."""
     return _c(c).try_cast("double")
-
-
-def blank_if_first_missing(value: Column | str, position: Column | str, label: str = "Blank") -> Column:
-    """a missing first option is labelled ``Blank``; later missing options stay NULL."""
-    value, position = _c(value), _c(position)
-    return F.when(position == 0, F.coalesce(value, F.lit(label))).otherwise(value)

@@ -15,11 +15,6 @@ from pyspark.sql import functions as F
 from issuelens.functions.paths import Step, variant_path
 
 
-def pluck(df: DataFrame, col: str, path: Step | Sequence[Step], out: str, dtype: str = "variant") -> DataFrame:
-    """N1 ``purrr::pluck``: one nested member as a column."""
-    return df.withColumn(out, F.try_variant_get(F.col(col), variant_path(path), dtype))
-
-
 def unnest_longer(df: DataFrame, col: str, values_to: str | None = None, pos_to: str | None = None,
                   keep_empty: bool = False) -> DataFrame:
     """N6/N2 ``unnest_longer`` of a VARIANT array: one row per element, position kept.
@@ -40,7 +35,7 @@ def unnest_keyed(df: DataFrame, col: str, key_to: str = "column", values_to: str
     """N7 ``unnest_longer(indices_to = ...)`` of an object: one row per (key, value).
 
     The object is read as ``map<string, variant>`` and exploded; keys come back sorted,
-    which is how VARIANT stores them.  Keep document order with :func:`json_keys_in_order`.
+    which is how VARIANT stores them.
     Rows whose cell is not an object disappear.
     """
     others = [F.col(f"`{c}`") for c in df.columns if c != col]
@@ -49,11 +44,6 @@ def unnest_keyed(df: DataFrame, col: str, key_to: str = "column", values_to: str
     return out if pos_to else out.drop("_kpos")
 
 
-def json_keys_in_order(json_text_col: str, out_pos: str = "pos", out_key: str = "key"):
-    """Document-order keys of a JSON object held as text: ``posexplode(json_object_keys)``."""
-    return F.posexplode(F.json_object_keys(F.col(json_text_col))).alias(out_pos, out_key)
-
-
 def parallel_unnest(df: DataFrame, cols: Sequence[str], pos_to: str = "pos") -> DataFrame:
     """N8 lock-step ``unnest_longer`` of several arrays: element i of each on row i.
 

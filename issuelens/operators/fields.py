@@ -15,14 +15,9 @@ from pyspark.sql import functions as F
 
 from issuelens.operators.sequence import DEFAULT_POLICY, SkewPolicy, row_number_in_order
 
-# Dictionaries are catalogues of fields, not data; resolving one on the driver is fine as
-# long as it stays a catalogue.  Refuse anything larger than this.
-MAX_DICTIONARY_ENTRIES = 100_000
-
-
 def dictionary_entries(pages: DataFrame, raw_col: str = "raw", project_col: str = "project",
                        page_col: str = "page_no") -> DataFrame:
-    """N2 ``enframe(names)``: (project, page_no, pos, field_id, display) in document order.
+    """N2 ``enframe(names)``: (project, pull, page_no, pos, field_id, display) in document order.
 
     VARIANT objects keep keys sorted, so document order is read from the page text:
     ``from_json`` into a map keeps the order in which the keys were written.
@@ -33,12 +28,19 @@ def dictionary_entries(pages: DataFrame, raw_col: str = "raw", project_col: str
     else:
         text = F.get_json_object(F.col(raw_col), "$.names")
     names = F.from_json(text, "map<string,string>")
-    return pages.select(project_col, page_col, F.posexplode(names).alias("pos", "field_id", "display"))
+    pull = F.col("pull") if "pull" in pages.columns else F.lit(None).cast("string")
+    return pages.select(project_col, pull.alias("pull"), page_col, F.posexplode(names).alias("pos", "field_id", "display"))
 
 
 def project_dictionary(entries: DataFrame, project_col: str = "project", page_col: str = "page_no") -> DataFrame:
-    """One entry per (project, field id): the display name and position from its latest page."""
-    latest = F.max_by(F.struct("display", "pos"), F.col(page_col))
+    """One entry per (project, field id): the display name and position from its latest page.
+
+    Latest by pull, then page; a missing pull or page number sorts first, and the position
+    and name settle ties, so every id keeps a name whatever is missing.
+    """
+    pull = F.coalesce(F.col("pull"), F.lit("")) if "pull" in entries.columns else F.lit("")
+    latest = F.max_by(F.struct("display", "pos"),
+                      F.struct(pull, F.coalesce(F.col(page_col), F.lit(-1)), F.col("pos"), F.coalesce(F.col("display"), F.lit(""))))
     return (entries.groupBy(project_col, "field_id")
             .agg(latest.alias("_d"))
             .select(project_col, "field_id", F.col("_d.display").alias("display"), F.col("_d.pos").alias("pos")))
@@ -53,33 +55,42 @@ def disambiguate(dictionary: DataFrame, group_cols: Sequence[str] = ("project",)
     """
     ranked = row_number_in_order(dictionary, [*group_cols, name_col], [order_col], out="_rn",
                                  count_out="_cnt", policy=policy)
-    named = F.when(F.col("_cnt") > 1, F.concat_ws("-", F.col(name_col), F.col("_rn").cast("string"))) \
+    # As R pastes them: a missing name that repeats becomes NA-1, NA-2, ...
+    named = F.when(F.col("_cnt") > 1, F.concat(F.coalesce(F.col(name_col), F.lit("NA")), F.lit("-"), F.col("_rn").cast("string"))) \
         .otherwise(F.col(name_col))
     return ranked.withColumn(out, named).drop("_rn", "_cnt")
 
 
 class FieldCatalog:
-    """A field dictionary collected to the driver once, for building projections.
+    """A field dictionary of one or more projects, asked for the names a report wants.
 
-    A dictionary lists a tracker's fields (hundreds to thousands per project), never
-    issues, so it is bounded; more than ``MAX_DICTIONARY_ENTRIES`` entries is refused.
+    Only the wanted names reach the driver: at most one row per report column and project.
     """
 
     def __init__(self, dictionary: DataFrame, name_col: str = "name", id_col: str = "field_id",
                  project_col: str = "project"):
-        rows = dictionary.select(project_col, id_col, name_col).limit(MAX_DICTIONARY_ENTRIES + 1).collect()
-        if len(rows) > MAX_DICTIONARY_ENTRIES:
-            raise ValueError("field dictionary larger than a field catalogue")
-        self.entries = sorted((r[0], r[1], r[2]) for r in rows)
+        self.dictionary = dictionary.select(F.col(project_col).alias("project"), F.col(id_col).alias("id"), F.col(name_col).alias("name"))
+
+    def sources(self, wanted: Sequence[str], project: str | None = None, strip_spaces: bool = False) -> dict[str, dict[str, list]]:
+        """Display name -> {field id: projects that use it for this name} (N3 deframe + N13 rename).
+
+        Two fields of one project that read alike once spaces are stripped are an error.
+        """
+        name = F.replace("name", F.lit(" "), F.lit("")) if strip_spaces else F.col("name")
+        rows = self.dictionary if project is None else self.dictionary.where(F.col("project") == F.lit(project))
+        out: dict[str, dict[str, list]] = {}
+        for proj, fid, key in rows.select("project", "id", name.alias("key")).where(F.col("key").isin(list(wanted))).collect():
+            uses = out.setdefault(key, {})
+            if any(proj in projects for projects in uses.values()):
+                raise ValueError(f"project {proj}: more than one field reads {key!r}")
+            uses.setdefault(fid, []).append(proj)
+        return out
 
     def ids(self, wanted: Sequence[str], project: str | None = None, strip_spaces: bool = False) -> dict[str, str]:
-        """Display name -> field id for the wanted names (N3 deframe + N13 rename)."""
-        wanted = set(wanted)
-        out: dict[str, str] = {}
-        for proj, fid, name in self.entries:
-            if project is not None and proj != project:
-                continue
-            key = name.replace(" ", "") if (strip_spaces and name is not None) else name
-            if key in wanted:
-                out[key] = fid
+        """Display name -> field id; an error where projects use different ids for a name."""
+        out = {}
+        for key, uses in self.sources(wanted, project, strip_spaces).items():
+            if len(uses) > 1:
+                raise ValueError(f"{key!r} is a different field in different projects; name the project")
+            out[key] = next(iter(uses))
         return out

@@ -23,6 +23,7 @@ partitioning, so an ordinary run has one exchange of the items.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ from pyspark.sql.types import StringType, TimestampNTZType, TimestampType
 from issuelens.functions.scalars import as_of_literal, days_between, r_timestamp
 from issuelens.functions.titlecase import status_name
 from issuelens.operators.sequence import DEFAULT_POLICY, SkewPolicy, lag_in_order
+from issuelens.operators.tables import spread
 from issuelens.session import settle
 
 STATUS_FIELD = "status"
@@ -83,26 +85,10 @@ def status_transitions(items: DataFrame, key: str = "IssueKey", field: str = "it
     return status_rows.unionByName(synthetic)
 
 
-# Distinct status spellings are a workflow's vocabulary: tens, not millions.  Up to this
-# many are normalised once and joined back by broadcast; beyond it, per row.
-MAX_STATUS_SPELLINGS = 10_000
-
-
 def with_status_names(transitions: DataFrame, normalize: bool = True) -> DataFrame:
-    """Add ``status``: the normalised name of ``from_status`` (title case, no spaces).
-
-    Title casing is a string program per token; it runs once per distinct spelling on a
-    small table, whose size is checked before it is broadcast back to the rows.
-    """
-    if not normalize:
-        return transitions.withColumn("status", F.coalesce(F.col("from_status"), F.lit("NA")))
-    spellings = transitions.select("from_status").distinct().limit(MAX_STATUS_SPELLINGS + 1).collect()
-    if len(spellings) > MAX_STATUS_SPELLINGS:
-        return transitions.withColumn("status", status_name(F.col("from_status")))
-    names = (transitions.sparkSession.createDataFrame([(r[0],) for r in spellings], "raw string")
-             .select(F.col("raw"), status_name(F.col("raw")).alias("status")))
-    joined = transitions.join(F.broadcast(names), transitions["from_status"].eqNullSafe(names["raw"]), "left")
-    return joined.drop("raw")
+    """Add ``status``: the normalised name of ``from_status`` (title case, no spaces)."""
+    name = status_name(F.col("from_status")) if normalize else F.coalesce(F.col("from_status"), F.lit("NA"))
+    return transitions.withColumn("status", name)
 
 
 def elapsed_by_status(transitions: DataFrame, key: str, normalize: bool = True,
@@ -110,7 +96,7 @@ def elapsed_by_status(transitions: DataFrame, key: str, normalize: bool = True,
     """Long result: (key, status, days) with days summed per status left."""
     order_cols = [c for c in transitions.columns if c.startswith("_o")]
     t = lag_in_order(transitions, [key], ["changed_at", *order_cols], value="changed_at", default="ticket_created",
-                     out="_prev", range_col="changed_at", policy=policy)
+                     out="_prev", policy=policy)
     return (with_status_names(t, normalize)
             .withColumn("_days", days_between(F.col("changed_at"), F.col("_prev")))
             .groupBy(key, "status")
@@ -135,7 +121,8 @@ def status_durations(transitions: DataFrame, key: str = "IssueKey", statuses: Se
                      include_open: bool = False, as_of: str | None = None) -> DataFrame:
     """Wide result: one row per issue, one day-count column per status (R3 pivot).
 
-    Pass ``statuses`` when known: it fixes the columns and skips the job that finds them.
+    The status columns come from the data; passing ``statuses`` skips the job that finds
+    them, and a status it does not list is an error.
     When the hot-issue check is on, the transitions are checkpointed first (into the
     shared checkpoint folder): the size statistics and the durations then read one narrow
     table instead of walking the change history twice.  ``include_open`` also charges
@@ -147,17 +134,72 @@ def status_durations(transitions: DataFrame, key: str = "IssueKey", statuses: Se
     if include_open:
         long = (long.unionByName(open_time(transitions, key, as_of, normalize))
                 .groupBy(key, "status").agg(F.sum("days").alias("days")))
-    if statuses is None:
-        found = long.select("status").distinct().limit(MAX_STATUS_SPELLINGS + 1).collect()
-        if len(found) > MAX_STATUS_SPELLINGS:
-            raise ValueError("too many statuses for one column each; pass `statuses`")
-        statuses = sorted(r[0] for r in found)
-    return long.groupBy(key).pivot("status", list(statuses)).agg(F.first("days"))
+    return spread(long, key, "status", F.col("days"), statuses)
 
 
 def time_in_status(items: DataFrame, key: str = "IssueKey", as_of: str | None = None,
                    statuses: Sequence[str] | None = None, policy: SkewPolicy = DEFAULT_POLICY,
                    include_open: bool = False, **columns) -> DataFrame:
     """History items -> per-issue status durations (the whole Q5 chain)."""
+    as_of = as_of or now_text()
     return status_durations(status_transitions(items, key=key, as_of=as_of, **columns), key=key,
                             statuses=statuses, policy=policy, include_open=include_open, as_of=as_of)
+
+
+def now_text() -> str:
+    """The present instant as text, so that one run uses one "now" (F11)."""
+    return datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+
+
+def days_by_status(histories: Column, ticket_created: Column, as_of: str, normalize: bool = True,
+                   include_open: bool = False) -> Column:
+    """Q5 inside the row: a change log (array of VARIANT histories) -> map of status -> days.
+
+    The log of an issue sits in its row, so nothing is exploded, shuffled or joined: the items
+    are flattened with their positions, the status items sorted by (time, NULL last,
+    position), and each charged the time since the one before it (the first: since ticket
+    creation).  The rules are those of :func:`status_transitions` and :func:`elapsed_by_status`.
+    An issue without items has no map (NULL).
+    """
+    def once(value: Column, use) -> Column:
+        # binds a value to a lambda variable, so that it is evaluated once, not per element
+        return F.element_at(F.transform(F.array(value), use), 1)
+
+    def items_of(h: Column, pos: Column) -> Column:
+        created = r_timestamp(F.try_variant_get(h, "$.created", "string"))
+        items = F.coalesce(F.try_variant_get(h, "$.items", "array<variant>"), F.array().cast("array<variant>"))
+        return F.transform(items, lambda i, k: F.struct(
+            created.isNull().alias("undated"), created.alias("at"), pos.alias("history"), k.alias("item"),
+            F.try_variant_get(i, "$.field", "string").alias("field"),
+            F.try_variant_get(i, "$.fromString", "string").alias("left"),
+            F.try_variant_get(i, "$.toString", "string").alias("entered")))
+
+    def name(c: Column) -> Column:
+        return status_name(c) if normalize else F.coalesce(c, F.lit("NA"))
+
+    now = as_of_literal(as_of)
+
+    def of_items(items: Column) -> Column:
+        status = F.filter(items, lambda x: x["field"] == STATUS_FIELD)
+        silent = ~F.exists(items, lambda x: x["field"].isNull() | (x["field"] == STATUS_FIELD))
+        synthetic = F.array(F.struct(F.lit(False).alias("undated"), now.alias("at"), F.lit(-1).alias("history"), F.lit(-1).alias("item"),
+                                     F.lit(STATUS_FIELD).alias("field"), F.lit(OPEN).alias("left"), F.lit(NO_CHANGE).alias("entered")))
+        return F.when(F.size(items) > 0, once(F.array_sort(F.when(silent, synthetic).otherwise(status)), of_moves))
+
+    def of_moves(moves: Column) -> Column:
+        since = F.concat(F.array(ticket_created), F.transform(moves, lambda x: x["at"]))
+        spent = F.zip_with(moves, F.slice(since, F.lit(1), F.size(moves)),
+                           lambda x, before: F.struct(name(x["left"]).alias("status"), days_between(x["at"], before).alias("days")))
+        if include_open:
+            last = F.try_element_at(moves, F.lit(-1))
+            still = F.struct(name(last["entered"]).alias("status"), days_between(now, last["at"]).alias("days"))
+            spent = F.concat(spent, F.when(F.size(moves) > 0, F.array(still)).otherwise(F.slice(F.array(still), 1, 0)))
+        return once(spent, summed)
+
+    def summed(spent: Column) -> Column:
+        names = F.array_distinct(F.transform(spent, lambda x: x["status"]))
+        return F.map_from_arrays(names, F.transform(names, lambda n: F.aggregate(
+            spent, F.lit(0.0), lambda total, x: total + F.when(x["status"] == n, F.coalesce(x["days"], F.lit(0.0))).otherwise(0.0))))
+
+    flat = F.flatten(F.transform(F.coalesce(histories, F.array().cast("array<variant>")), items_of))
+    return once(flat, of_items)

@@ -3,127 +3,106 @@
 A plain ``Window.partitionBy(key).orderBy(t)`` sends every row of one key to one task.
 If one issue (or one dictionary name) holds a third of all rows, that task holds a third
 of the data.  These helpers first measure group sizes with a map-side-combined aggregate.
-Groups above ``rows_per_task`` (largest first, at most ``max_split_groups`` of them, so
-the list has a proven size bound) are cut into contiguous ranges of their ordering value;
-each range is its own window partition.  A tiny per-range summary, windowed over the
-ranges, carries the value across range borders (lag) or the running offset (row number).
-With no hot group the plan is the plain single-exchange window.
+Every group above ``rows_per_task`` is cut into ranges of its whole ordering key (time, then
+position), with borders taken from a hashed sample of the group, so that ranges have about
+equal *numbers of rows* even where most share one time; each range is its own window
+partition.  A tiny per-range summary, windowed over the ranges, carries the value across
+range borders (lag) or the running offset (row number).  There are at most rows /
+``rows_per_task`` hot groups and ranges.  NULL keys are a group like any other.  With no hot
+group the plan is the plain single-exchange window.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DataType, DateType, DoubleType, LongType, StructField, StructType,
-                               TimestampNTZType, TimestampType)
+
+from issuelens.session import as_table
 
 
 @dataclass(frozen=True)
 class SkewPolicy:
     rows_per_task: int = 4_000_000     # groups above this many rows are split into ranges
-    max_split_groups: int = 256        # bound on the broadcast list of split groups
-    max_ranges: int = 65_536           # ranges per split group
-    broadcast_ranges: int = 100_000    # per-range tables up to this many rows are broadcast
+    sample_per_range: int = 200        # sampled ordering keys per range, for its borders
     enabled: bool = True
 
 
-def _small_side(table: DataFrame, hot: DataFrame, policy: SkewPolicy) -> DataFrame:
-    """Broadcast a per-range table only when its row count -- the number of ranges, known
-    on the driver -- is within ``broadcast_ranges``; otherwise join it normally: the big
-    side is already partitioned by (keys, range) for its window, so only this table moves."""
-    total = sum(r["_nr"] for r in hot.select("_nr").collect())
-    return F.broadcast(table) if total <= policy.broadcast_ranges else table
-
-
 DEFAULT_POLICY = SkewPolicy()
 
 _B = "_range"
 
 
-def _numeric(df: DataFrame, c: str) -> tuple[Column, DataType]:
-    """The ordering column as a number that range cuts can be computed on."""
-    dt = df.schema[c].dataType
-    if isinstance(dt, (TimestampType, TimestampNTZType)):
-        return F.unix_micros(F.col(c).cast("timestamp")), LongType()
-    if isinstance(dt, DateType):
-        return F.unix_date(F.col(c)).cast("long"), LongType()
-    return F.col(c).cast("double"), DoubleType()
+def ordering_key(order_cols: Sequence[str]) -> Column:
+    """A struct that compares like the ordering (ascending, NULLs last): (is null, value) per column."""
+    return F.struct(*[x for c in order_cols for x in (F.col(c).isNull().alias(f"{c}_null"), F.col(c).alias(c))])
+
 
+def null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on ``cols`` where NULL matches NULL; the key columns come from ``left``."""
+    renamed = right.select(*[F.col(c).alias(f"__{c}") if c in cols else F.col(c) for c in right.columns])
+    condition = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in cols])
+    return left.join(renamed, condition, how).drop(*[f"__{c}" for c in cols])
 
-def split_groups(df: DataFrame, keys: Sequence[str], order_col: str, policy: SkewPolicy) -> DataFrame | None:
-    """The hot groups with their range layout, or None when no group is hot.
+
+def split_groups(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], policy: SkewPolicy) -> DataFrame | None:
+    """The hot groups with the borders of their ranges, or None when no group is hot.
 
     One aggregate job over ``keys`` (partial aggregation, so the shuffle carries one row
-    per group per map task); the collected result has at most ``max_split_groups`` rows.
+    per group per map task) and, only when there are hot groups, a sample of their keys.
     """
     if not policy.enabled:
         return None
-    o, o_type = _numeric(df, order_col)
-    stats = (df.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("_n"), F.min(o).alias("_lo"), F.max(o).alias("_hi"))
-             .where(F.col("_n") > policy.rows_per_task)
-             .orderBy(F.desc("_n"))
-             .limit(policy.max_split_groups))
-    rows = stats.collect()
-    if not rows:
+    sizes = as_table(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > policy.rows_per_task), "hot")
+    if sizes.isEmpty():
         return None
-    key_fields = [df.schema[k] for k in keys]
-    schema = StructType(key_fields + [StructField("_n", LongType()), StructField("_lo", o_type),
-                                      StructField("_hi", o_type), StructField("_nr", LongType())])
-    data = [tuple(r[k] for k in keys) + (r["_n"], r["_lo"], r["_hi"],
-                                          min(policy.max_ranges, math.ceil(r["_n"] / policy.rows_per_task)))
-            for r in rows]
-    return df.sparkSession.createDataFrame(data, schema)
-
+    ranges = F.ceil(F.col("_n") / policy.rows_per_task)
+    drawn = F.pmod(F.xxhash64(*order_cols), F.lit(1_000_000)) * F.col("_n") < 1_000_000 * policy.sample_per_range * ranges
+    sample = null_safe_join(df, sizes, keys, "inner").where(drawn) \
+        .groupBy(*keys).agg(F.array_sort(F.collect_list(ordering_key(order_cols))).alias("_s"), F.first(ranges).alias("_nr"))
+    step = F.size("_s") / F.col("_nr")
+    borders = F.when(F.col("_nr") > 1, F.transform(F.sequence(F.lit(1).cast("bigint"), F.col("_nr") - 1),
+                                                   lambda i: F.col("_s")[F.floor(i * step).cast("int")]))
+    return as_table(sample.select(*keys, F.array_distinct(borders).alias("_borders")), "borders")
 
-def with_ranges(df: DataFrame, keys: Sequence[str], order_col: str, hot: DataFrame) -> DataFrame:
-    """Attach ``_range`` (0 for ordinary groups) and ``_hot``; equal order values share a range.
 
-    NULL ordering values go to the last range (callers order NULLs last).
-    """
-    o, _ = _numeric(df, order_col)
-    width = (F.col("_hi") - F.col("_lo") + F.lit(1)) / F.col("_nr")
-    rng = F.least(F.col("_nr") - 1, F.floor((o - F.col("_lo")) / width)).cast("long")
-    joined = df.join(F.broadcast(hot), list(keys), "left")
-    return (joined.withColumn(_B, F.when(F.col("_nr").isNull(), F.lit(0).cast("long")).otherwise(F.coalesce(rng, F.col("_nr") - 1)))
-            .withColumn("_hot", F.col("_nr").isNotNull())
-            .drop("_n", "_lo", "_hi", "_nr"))
+def with_ranges(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], hot: DataFrame) -> DataFrame:
+    """Attach ``_range`` (0 for ordinary groups) and ``_hot``; equal ordering keys share a range."""
+    joined = null_safe_join(df, hot, keys).withColumn("_order", ordering_key(order_cols))
+    rng = F.size(F.filter("_borders", lambda b: b <= F.col("_order")))
+    return (joined.withColumn(_B, F.when(F.col("_borders").isNull(), F.lit(0)).otherwise(rng).cast("long"))
+            .withColumn("_hot", F.col("_borders").isNotNull())
+            .drop("_borders", "_order"))
 
 
 def lag_in_order(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], value: str,
-                 default: Column | str | None, out: str, range_col: str | None = None,
-                 policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+                 default: Column | str | None, out: str, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """``lag(value, 1, default) OVER (PARTITION BY keys ORDER BY order_cols)``.
 
     Ordering is ascending with NULLs last on every column.  ``default`` may be a column
-    (the reference uses the ticket's creation time).  ``range_col`` (a time or number
-    leading ``order_cols``) is where hot groups are cut; without it no group is split.
+    (the reference uses the ticket's creation time).
     """
     default = F.col(default) if isinstance(default, str) else (default if default is not None else F.lit(None))
     order = [F.col(c).asc_nulls_last() for c in order_cols]
-    # A struct that compares like the ordering (NULLs last): (is null, value) per column.
-    order_key = F.struct(*[x for c in order_cols for x in (F.col(c).isNull(), F.col(c))])
-    first_order = range_col
-    hot = split_groups(df, keys, first_order, policy) if first_order else None
+    hot = split_groups(df, keys, order_cols, policy)
     prev_struct = F.struct(F.col(value).alias("v"))
     if hot is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         prev = F.lag(prev_struct, 1).over(w)
         return df.withColumn(out, F.when(prev.isNull(), default).otherwise(prev["v"]))
 
-    ranged = with_ranges(df, keys, first_order, hot)
+    ranged = with_ranges(df, keys, order_cols, hot)
     # Last value of every range of the split groups (one row per range).
     last = (ranged.where("_hot").groupBy(*keys, _B)
-            .agg(F.max_by(prev_struct, order_key).alias("_last")))
+            .agg(F.max_by(prev_struct, ordering_key(order_cols)).alias("_last")))
     carry = last.select(*keys, _B, F.lag("_last", 1).over(Window.partitionBy(*keys).orderBy(_B)).alias("_carry"))
     w = Window.partitionBy(*keys, _B).orderBy(*order)
     prev = F.lag(prev_struct, 1).over(w)
-    res = (ranged.withColumn("__in_range", prev)
-           .join(_small_side(carry, hot, policy), [*keys, _B], "left")
+    res = (null_safe_join(ranged.withColumn("__in_range", prev), carry, [*keys, _B])
            .withColumn(out, F.when(F.col("__in_range").isNotNull(), F.col("__in_range")["v"])
                        .when(F.col("_carry").isNotNull(), F.col("_carry")["v"])
                        .otherwise(default)))
@@ -135,7 +114,7 @@ def row_number_in_order(df: DataFrame, keys: Sequence[str], order_cols: Sequence
     """``row_number()`` (and optionally ``count(*)``) over ``PARTITION BY keys ORDER BY order_cols``
     (ascending, NULLs last, as in :func:`lag_in_order`)."""
     order = [F.col(c).asc_nulls_last() for c in order_cols]
-    hot = split_groups(df, keys, order_cols[0], policy)
+    hot = split_groups(df, keys, order_cols, policy)
     if hot is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         res = df.withColumn(out, F.row_number().over(w))
@@ -143,7 +122,7 @@ def row_number_in_order(df: DataFrame, keys: Sequence[str], order_cols: Sequence
             res = res.withColumn(count_out, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
         return res
 
-    ranged = with_ranges(df, keys, order_cols[0], hot)
+    ranged = with_ranges(df, keys, order_cols, hot)
     sizes = ranged.where("_hot").groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("__cnt"))
     wr = Window.partitionBy(*keys).orderBy(_B)
     offsets = sizes.select(
@@ -151,9 +130,9 @@ def row_number_in_order(df: DataFrame, keys: Sequence[str], order_cols: Sequence
         F.coalesce(F.sum("__cnt").over(wr.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"),
         F.sum("__cnt").over(Window.partitionBy(*keys)).alias("__tot"))
     w = Window.partitionBy(*keys, _B).orderBy(*order)
-    res = (ranged.withColumn("__rn", F.row_number().over(w))
-           .withColumn("__cnt_local", F.count(F.lit(1)).over(Window.partitionBy(*keys, _B)))
-           .join(_small_side(offsets, hot, policy), [*keys, _B], "left")
+    numbered = (ranged.withColumn("__rn", F.row_number().over(w))
+                .withColumn("__cnt_local", F.count(F.lit(1)).over(Window.partitionBy(*keys, _B))))
+    res = (null_safe_join(numbered, offsets, [*keys, _B])
            .withColumn(out, F.col("__rn") + F.coalesce(F.col("__off"), F.lit(0))))
     if count_out:
         res = res.withColumn(count_out, F.coalesce(F.col("__tot"), F.col("__cnt_local")))

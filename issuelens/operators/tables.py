@@ -33,11 +33,6 @@ def natural_full_join(a: DataFrame, b: DataFrame) -> DataFrame:
     return joined.select(*out)
 
 
-def append_pages(pages: Sequence[DataFrame]) -> DataFrame:
-    """Default page append: one union by name; new columns on later pages are added."""
-    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), pages)
-
-
 def option_values(long: DataFrame, key: str, pos: str, value: str, blank: str = "Blank",
                   distinct: bool = True) -> DataFrame:
     """F15 + P11 + A3: (key, option) rows for an indicator matrix.
@@ -51,13 +46,48 @@ def option_values(long: DataFrame, key: str, pos: str, value: str, blank: str =
     return labelled.dropDuplicates([key, "Value"]) if distinct else labelled
 
 
-def indicator_matrix(options: DataFrame, key: str, values: Sequence[str], value_col: str = "Value") -> DataFrame:
-    """R2 + J2 + F13: one 0/1 column per option, zero-filled (``pivot_wider`` + ``replace_na(0)``).
+# One output column per distinct name: a table wider than this is a modelling error, not a report.
+MAX_SPREAD_COLUMNS = 5_000
+
+
+def vocabulary(rows: DataFrame, name_col: str) -> list:
+    """The distinct non-NULL names of a column, sorted: the columns a spread will have."""
+    found = rows.select(name_col).where(F.col(f"`{name_col}`").isNotNull()).distinct().limit(MAX_SPREAD_COLUMNS + 1).collect()
+    if len(found) > MAX_SPREAD_COLUMNS:
+        raise ValueError(f"{name_col} has more than {MAX_SPREAD_COLUMNS} distinct values, one column each")
+    return sorted(r[0] for r in found)
+
+
+def known_value(value: Column, values: Sequence) -> Column:
+    """``value``, or an error for one that ``values`` does not list (NULL passes)."""
+    unknown = F.raise_error(F.concat(F.lit("value not listed: "), value.cast("string"))).cast("string")
+    return F.when(value.isNull() | value.isin(list(values)), value).otherwise(unknown)
+
+
+def spread(long: DataFrame, key: str, name_col: str, cell: Column, values: Sequence | None = None) -> DataFrame:
+    """R2, R3 ``pivot_wider``: one row per key, one column per name, ``cell`` (an aggregate input) summed up by ``max``.
 
-    ``values`` is the option list (the pivot then needs no extra job to find it).
+    The columns come from the data (one distinct job over the names) unless ``values`` lists
+    them; a name that a given list lacks is an error, never a dropped cell.  One exchange:
+    a conditional aggregate per column.
     """
-    wide = options.groupBy(key).pivot(value_col, list(values)).agg(F.max(F.lit(1.0)))
-    return wide.fillna(0.0, subset=list(values))
+    names = list(values) if values is not None else vocabulary(long, name_col)
+    name = F.col(f"`{name_col}`")
+    if values is not None:
+        long = long.withColumn(name_col, known_value(name, names))
+    return long.groupBy(key).agg(*[F.max(F.when(name == n, cell)).alias(str(n)) for n in names]) if names \
+        else long.select(key).distinct()
+
+
+def indicator_matrix(options: DataFrame, key: str, values: Sequence[str] | None = None, value_col: str = "Value") -> DataFrame:
+    """R2 + J2 + F13: one 0/1 column per option, zero-filled (``pivot_wider`` + ``replace_na(0)``)."""
+    wide = spread(options, key, value_col, F.lit(1.0), values)
+    return wide.fillna(0.0, subset=[c for c in wide.columns if c != key])
+
+
+def indicators(values: Column, options: Sequence[str]) -> list[Column]:
+    """The 0/1 columns of an options array that sits in the row: no explode, no exchange."""
+    return [F.array_contains(values, F.lit(o)).cast("double").alias(o) for o in options]
 
 
 def row_sum(df: DataFrame, cols: Sequence[str], out: str = "Count") -> DataFrame:
@@ -72,20 +102,6 @@ def unpivot_long(df: DataFrame, ids: Sequence[str], cols: Sequence[str], names_t
     return typed.unpivot(list(ids), list(cols), names_to, values_to)
 
 
-def pivot_measure(long: DataFrame, key: str, name_col: str, value_col: str,
-                  values: Sequence[str] | None = None, agg: str = "sum") -> DataFrame:
-    """R3 ``pivot_wider(names_from, values_from)``: missing cells stay NULL."""
-    fn = {"sum": F.sum, "first": F.first, "max": F.max}[agg]
-    g = long.groupBy(key)
-    g = g.pivot(name_col, list(values)) if values is not None else g.pivot(name_col)
-    return g.agg(fn(value_col))
-
-
 def left_enrich(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """J3 ``left_join(by = key)``; the planner picks broadcast (by measured size) or sort-merge."""
     return left.join(right, on=on, how="left")
-
-
-def any_missing(cols: Sequence[str]) -> Column:
-    """Helper for A5-style NA contagion across columns."""
-    return reduce(lambda x, y: x | y, [F.col(f"`{c}`").isNull() for c in cols])

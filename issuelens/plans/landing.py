@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from issuelens.session import spread
 
 PAGE_SIZE = 100
+MAX_PROJECTS = 5_000
 
 # Fixed field catalogue of the landed project: field id -> display name, in page order.
 # Two ids share the display name "Department" (the duplicate-name case).
@@ -37,8 +38,76 @@ FIELD_NAMES = [
     ("customfield_10060", "Intended audiences"),
     ("customfield_10061", "Intended Audience(s)"),
     ("customfield_10070", "Time to resolution"),
+    ("updated", "Updated"),
+    ("statuscategorychangedate", "Status Category Changed"),
+    ("customfield_10080", "Project Effective Date"),
+    ("customfield_10081", "End Date"),
+    ("duedate", "Due date"),
+    ("customfield_10082", "Initial Target Date"),
+    ("summary", "Summary"),
+    ("customfield_10083", "MYSC Req#"),
+    ("customfield_10084", "Employee ID"),
+    ("customfield_10085", "Number of Spaces to Onboard"),
+    ("customfield_10086", "Last Updated Status"),
+    ("customfield_10087", "PIN (ARE Number)"),
+    ("statusCategory", "Status Category"),
+    ("resolution", "Resolution"),
+    ("issuetype", "Issue Type"),
+    ("project", "Project"),
+    ("reporter", "Reporter"),
+    ("creator", "Creator"),
+    ("customfield_10090", "GPO Package Approver"),
+    ("customfield_10091", "Name of Space Booking Admin"),
+    ("customfield_10092", "Communication Lead"),
+    ("customfield_10093", "CSM"),
+    ("customfield_10100", "Requested Due Date"),
+    ("customfield_10101", "Service Requested"),
+    ("customfield_10102", "Project Type"),
+    ("customfield_10103", "Branch/Division"),
+    ("customfield_10104", "RPD Branch"),
+    ("customfield_10105", "Request Subtype"),
+    ("customfield_10106", "Case type"),
+    ("customfield_10107", "GPO Subtype"),
+    ("customfield_10108", "City Dropdown"),
+    ("customfield_10109", "Do you have a floor plan?"),
+    ("customfield_10110", "Do you have a furniture plan?"),
+    ("customfield_10111", "Comms Plan Required?"),
+    ("customfield_10112", "CSR Issue Subtype"),
+    ("customfield_10113", "Responsible Group"),
+    ("customfield_10120", "Address"),
+    ("customfield_10121", "Topic of Communication"),
+    ("customfield_10122", "Frequency"),
+    ("customfield_10123", "Communication Topic"),
+    ("parent", "Parent"),
+    ("progress", "Progress"),
+    ("aggregateprogress", "ΣProgress"),
 ]
 
+# How the plain fields above are landed: field id -> shape.  The value of field number n (its
+# place in this list) is ``v<n>-<order key modulo 50>``, and missing where the order key leaves
+# 0 modulo n + 3.
+PLAIN_FIELDS = [
+    ("summary", "text"), ("customfield_10083", "text"), ("customfield_10084", "text"), ("customfield_10085", "text"),
+    ("customfield_10086", "text"), ("customfield_10087", "text"),
+    ("statusCategory", "name"), ("resolution", "name"), ("issuetype", "name"), ("project", "name"),
+    ("reporter", "displayName"), ("creator", "displayName"), ("customfield_10090", "displayName"), ("customfield_10091", "displayName"),
+    ("customfield_10092", "displayName"), ("customfield_10093", "displayName"),
+    ("customfield_10100", "value"), ("customfield_10101", "value"), ("customfield_10102", "value"), ("customfield_10103", "value"),
+    ("customfield_10104", "value"), ("customfield_10105", "value"), ("customfield_10106", "value"), ("customfield_10107", "value"),
+    ("customfield_10108", "value"), ("customfield_10109", "value"), ("customfield_10110", "value"), ("customfield_10111", "value"),
+    ("customfield_10112", "value"), ("customfield_10113", "value"),
+    ("customfield_10120", "rich"), ("customfield_10121", "rich"), ("customfield_10122", "options"), ("parent", "key"),
+]
+
+
+def plain_fields() -> dict[str, Column]:
+    out = {}
+    for n, (field, shape) in enumerate(PLAIN_FIELDS):
+        value = F.concat(F.lit(f"v{n}-"), (F.col("o_orderkey") % 50).cast("string"))
+        shaped = {"text": value, "rich": _rich_text(value), "options": F.array(F.struct(value.alias("value")), F.struct(F.lit("second").alias("value")))}
+        out[field] = F.when(F.col("o_orderkey") % (n + 3) != 0, shaped.get(shape, F.struct(value.alias(shape))))
+    return out
+
 
 def load(spark: SparkSession, sf_dir: str, name: str, heavy_rows: bool = False) -> DataFrame:
     """A provided table.  ``heavy_rows``: the next stage does costly per-row work (JSON,
@@ -184,6 +253,16 @@ def issue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "customfield_10060": multi_select_audiences(),
         "customfield_10061": multi_select_audiences_2(),
         "customfield_10070": time_to_resolution(),
+        "updated": _iso(created + F.make_dt_interval(F.lit(4))),
+        "statuscategorychangedate": F.when(F.col("o_orderstatus") != "P", _iso(created + F.make_dt_interval(F.lit(5)))),
+        "customfield_10080": F.when(F.col("o_orderkey") % 3 != 0, F.date_format(created + F.make_dt_interval(F.lit(6)), "yyyy-MM-dd")),
+        "customfield_10081": F.when(F.col("o_orderkey") % 4 != 0, F.date_format(created + F.make_dt_interval(F.lit(7)), "yyyy-MM-dd")),
+        "duedate": F.when(F.col("o_orderkey") % 5 != 0, F.date_format(created + F.make_dt_interval(F.lit(8)), "yyyy-MM-dd")),
+        "customfield_10082": F.when(F.col("o_orderkey") % 6 != 0, F.date_format(created + F.make_dt_interval(F.lit(9)), "yyyy-MM-dd")),
+        "customfield_10123": F.array(F.struct(segment.alias("value"))),
+        "progress": _rec(progress=(F.col("o_orderkey") % 101).cast("int")),
+        "aggregateprogress": _rec(progress=(F.col("o_orderkey") % 102).cast("int")),
+        **plain_fields(),
     })
     issue = _rec(id=F.col("o_orderkey").cast("string"),
                  key=F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string")),
@@ -213,14 +292,20 @@ def landed_pages(spark: SparkSession, sf_dir: str, by_project: bool = False,
     pages = (docs.select(project.alias("project"), page_no.alias("page_no"), "o_orderkey", "doc")
              .groupBy("project", "page_no")
              .agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "doc"))).alias("_issues")))
-    totals = docs.groupBy(project.alias("project")).agg(F.count(F.lit(1)).alias("total"),
-                                                         F.max(page_no).alias("last_page"))
+    o = load(spark, sf_dir, "orders")
+    totals = o.groupBy(project.alias("project")).agg(F.count(F.lit(1)).alias("total"), F.max(page_no).alias("last_page"))
     if by_project:
-        pages = pages.join(totals, "project")        # one row per project: a keyed lookup
+        # One row per project (an order status), from the orders alone; looked up in the page
+        # rows, so that no page content is shuffled by its project.
+        rows = totals.limit(MAX_PROJECTS + 1).collect()
+        if len(rows) > MAX_PROJECTS:
+            raise ValueError("too many projects to look up")
+        known = F.create_map(*[x for r in rows for x in (F.lit(r.project), F.struct(F.lit(r.total).alias("total"), F.lit(r.last_page).alias("last_page")))]) \
+            if rows else F.lit(None).cast("map<string,struct<total:bigint,last_page:bigint>>")
+        pages = pages.withColumn("_p", known[F.col("project")]).select("*", "_p.total", "_p.last_page").drop("_p")
     else:
         # One project: the total and last page are scalar subqueries over the orders (one
         # issue per order), not a join.
-        o = load(spark, sf_dir, "orders")
         pages = pages.withColumns({"total": o.select(F.count(F.lit(1))).scalar(),
                                    "last_page": o.select(F.max(page_no)).scalar()})
     token = F.when(F.col("page_no") < F.col("last_page"),

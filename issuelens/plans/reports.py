@@ -15,21 +15,22 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from issuelens.functions.paths import Step, variant_path
 from issuelens.functions.scalars import (hours_between, millis_to_minutes, nan_if_null, r_date,
                                          r_timestamp, strip_commas, trim_ws)
-from issuelens.operators.columns import across, string_columns
+from issuelens.operators.columns import across, drop_all_null, string_columns
 from issuelens.operators.extract import hoist_all_expr
 from issuelens.operators.fields import (FieldCatalog, dictionary_entries, disambiguate,
                                         project_dictionary)
-from issuelens.operators.history import time_in_status
-from issuelens.operators.sequence import DEFAULT_POLICY, SkewPolicy
-from issuelens.operators.tables import indicator_matrix, row_sum
+from issuelens.operators.history import days_by_status, now_text
+from issuelens.operators.sequence import SkewPolicy
+from issuelens.operators.tables import indicators, known_value, row_sum, vocabulary
 from issuelens.plans.landing import landed_pages
-from issuelens.sources.pages import explode_issues, pages_from_text
+from issuelens.session import as_table
+from issuelens.sources.pages import explode_issues, latest_issue_version, pages_from_text
 
 BUILTIN = {"id", "key"}
 
@@ -73,15 +74,11 @@ def field_dictionary(pages: DataFrame) -> DataFrame:
 
 
 def field_catalog(pages: DataFrame) -> FieldCatalog:
-    """The field dictionary of landed pages, collected once."""
-    return FieldCatalog(field_dictionary(pages))
+    """The field dictionary of landed pages, written once; reports ask it for their names."""
+    return FieldCatalog(as_table(field_dictionary(pages), "fields"))
 
 
-def _source_expr(c: Col, fid: str | None) -> Column:
-    if c.source in BUILTIN:
-        return F.col(c.source).cast(c.dtype) if c.dtype != "string" else F.col(c.source)
-    if fid is None:
-        return F.lit(None).cast(c.dtype if c.how != "raw" else "variant")
+def _field_value(c: Col, fid: str) -> Column:
     base = variant_path((fid,))
     if c.how == "raw":
         return F.try_variant_get(F.col("fields"), base, "variant")
@@ -90,12 +87,42 @@ def _source_expr(c: Col, fid: str | None) -> Column:
     return F.try_variant_get(F.col("fields"), base + variant_path(c.path)[1:], c.dtype)
 
 
-def build_report(issues: DataFrame, catalog: FieldCatalog, spec: ReportSpec, project: str | None = None) -> DataFrame:
-    """Issues (from :func:`explode_issues`) -> the flat report of ``spec``."""
+def _source_expr(c: Col, uses: dict[str, list]) -> Column:
+    """The value of a report column; where projects keep it in different fields, by the row's project."""
+    if c.source in BUILTIN:
+        return F.col(c.source).cast(c.dtype) if c.dtype != "string" else F.col(c.source)
+    if not uses:
+        return F.lit(None).cast(c.dtype if c.how != "raw" else "variant")
+    if len(uses) == 1:
+        return _field_value(c, next(iter(uses)))
+    out = None
+    for fid, projects in sorted(uses.items()):
+        mine = F.col("project").isin(projects)
+        out = F.when(mine, _field_value(c, fid)) if out is None else out.when(mine, _field_value(c, fid))
+    return out
+
+
+def report_sources(catalog: FieldCatalog, spec: ReportSpec, project: str | None = None) -> dict[str, dict[str, list]]:
+    """The fields of a report's columns; finding none of them is an error, not a table of NULLs."""
     wanted = sorted({c.source for c in spec.columns if c.source not in BUILTIN and not c.source.startswith("id:")})
-    ids = catalog.ids(wanted, project=project, strip_spaces=spec.strip_name_spaces)
-    ids.update({c.source: c.source[3:] for c in spec.columns if c.source.startswith("id:")})
-    out = issues.select(*[_source_expr(c, ids.get(c.source)).alias(c.out) for c in spec.columns])
+    found = catalog.sources(wanted, project=project, strip_spaces=spec.strip_name_spaces)
+    if wanted and not found:
+        raise ValueError(f"report {spec.name}: none of its fields is in the dictionary" + (f" of project {project}" if project else ""))
+    found.update({c.source: {c.source[3:]: []} for c in spec.columns if c.source.startswith("id:")})
+    return found
+
+
+def build_report(issues: DataFrame, catalog: FieldCatalog, spec: ReportSpec, project: str | None = None,
+                 keep: Sequence[str] = ()) -> DataFrame:
+    """Issues (from :func:`explode_issues`) -> the flat report of ``spec``, of one ``project`` or of all.
+
+    In a table of several projects every row is read through its own project's fields (P14).
+    ``keep`` names columns of ``issues`` to pass on beside the report's.
+    """
+    uses = report_sources(catalog, spec, project)
+    if project is not None:
+        issues = issues.where(F.col("project") == F.lit(project))
+    out = issues.select(*[_source_expr(c, uses.get(c.source, {})).alias(c.out) for c in spec.columns], *keep)
     for name, fn in spec.derived:
         out = out.withColumn(name, fn())
     return out
@@ -196,9 +223,6 @@ CSR = ReportSpec("CSR", (
     Col("Created", "Created"),
 ))
 
-SPECS = {s.name: s for s in (PAR, RBAS, GPOPR, SBP, COM, CSR)}
-
-
 # --------------------------------------------------------------------------------------
 # Report finishing rules per project
 # --------------------------------------------------------------------------------------
@@ -240,10 +264,16 @@ def finish_com(df: DataFrame) -> DataFrame:
     return rename_regex(rename_regex(drop_nested(out), SUFFIX_PATTERN, ""), "_", " ")
 
 
+def csr_columns(issues: DataFrame, catalog: FieldCatalog, project: str | None = None) -> DataFrame:
+    """Q11 (the intent of the unfinished script): the change log and the report's columns, but for
+    those without any value (P4)."""
+    return drop_all_null(build_report(issues, catalog, CSR, project, keep=["changelog"]).withColumnRenamed("changelog", "Changelog"))
+
+
 def finish_csr(df: DataFrame) -> DataFrame:
-    """Q11 (the intent of the unfinished script): dates and instants."""
-    out = df.withColumn("ProjectEffectiveDate", r_date(F.col("ProjectEffectiveDate")))
-    return out.withColumns({c: r_timestamp(F.col(c)) for c in ("Resolved", "Created", "Updated", "StatusCategoryChanged")})
+    """Q11: dates and instants, where the columns are there."""
+    out = df.withColumns({c: r_date(F.col(c)) for c in ("ProjectEffectiveDate",) if c in df.columns})
+    return out.withColumns({c: r_timestamp(F.col(c)) for c in ("Resolved", "Created", "Updated", "StatusCategoryChanged") if c in df.columns})
 
 
 def clean_report_strings(df: DataFrame, flatten: bool = False) -> DataFrame:
@@ -280,175 +310,221 @@ def history_items(issues: DataFrame, key_col: str = "key", created_col: str = "C
 
 
 def sbp_report(pages: DataFrame, as_of: str | None = None, statuses: Sequence[str] | None = None,
-               spec: ReportSpec = SBP, catalog: FieldCatalog | None = None,
-               policy: SkewPolicy = DEFAULT_POLICY, include_open: bool = False) -> DataFrame:
+               spec: ReportSpec = SBP, catalog: FieldCatalog | None = None, include_open: bool = False,
+               project: str | None = None) -> DataFrame:
     """Q4 + Q5 + Q6: issues with one day-count column per status left, strings cleaned.
 
-    The report projection and the change-history items are two narrow reads of the same
-    exploded issues; only the history side is shuffled (by issue), and the final left join
-    brings the durations back.  Pages (with ``body``) are first settled into the bronze
-    issue table (:func:`settle_issues`) so that the two reads do not parse pages twice;
-    an already settled issue table is used as it is.
+    An issue's change log sits in its row, so the days are worked out there: no explode, no
+    shuffle, no join.  The status columns come from the data (one distinct job over the
+    statuses), or from ``statuses``, where an unlisted status is an error.  Pages (with
+    ``body``) are first settled into the bronze issue table.
     """
     issues = settle_issues(pages) if "body" in pages.columns else pages
     catalog = catalog or field_catalog(issues)
-    report = clean_report_strings(build_report(issues, catalog, spec))
-    created_id = catalog.ids(["Created"], strip_spaces=spec.strip_name_spaces).get("Created", "created")
-    created = F.try_variant_get(F.col("fields"), variant_path((created_id,)), "string")
-    log = issues.select(F.col("key"), F.col("changelog"), created.alias("Created"))
-    durations = time_in_status(history_items(log), key="IssueKey", as_of=as_of, statuses=statuses,
-                               policy=policy, include_open=include_open)
-    return report.join(durations, "IssueKey", "left")
+    as_of = as_of or now_text()
+    uses = catalog.sources(["Created"], project, strip_spaces=spec.strip_name_spaces).get("Created") or {"created": []}
+    created = r_timestamp(_source_expr(Col("Created", "Created"), uses))
+    histories = F.try_variant_get(F.col("changelog"), "$.histories", "array<variant>")
+    spent = issues.withColumn("_days", days_by_status(histories, created, as_of, include_open=include_open))
+    names = list(statuses) if statuses is not None else vocabulary(
+        (spent if project is None else spent.where(F.col("project") == F.lit(project)))
+        .select(F.explode(F.map_keys("_days")).alias("status")), "status")
+    report = clean_report_strings(build_report(spent, catalog, spec, project, keep=["_days"]))
+    days = F.col("_days")
+    if statuses is not None:
+        days = F.transform_keys(days, lambda k, v: known_value(k, names))
+        report = report.withColumn("_days", days)
+    return report.select(*[F.col(f"`{c.out}`") for c in spec.columns],
+                         *[F.try_element_at(F.col("_days"), F.lit(n)).alias(n) for n in names])
 
 
 def settle_issues(pages: DataFrame, overlapping_pulls: bool = False) -> DataFrame:
-    """Parse once: the bronze issue table, checkpointed into the shared checkpoint folder.
+    """Parse once: the bronze issue table as Parquet in the shared folder.
 
     One row per issue with its ``fields`` and ``changelog`` VARIANTs (and the page's
-    ``names`` text on each page's first issue, for the dictionary).  Every later job --
-    dictionary, report projection, change history, hot-issue statistics -- reads these
-    values instead of re-parsing and re-exploding pages; lineage is cut, so a lost
-    executor recomputes from the checkpoint.
-
-    ``overlapping_pulls``: page sets that repeat issues (a re-pull landed over an older
-    one) keep each issue's copy from its latest page.  That is a shuffle of the issue
-    documents by issue id, so it is only done when asked for.
+    ``names`` text on each page's first issue, for the dictionary).  Every later job reads
+    this table, and only the columns it needs: a report without a change history never
+    reads the logs, the dictionary only the names.  Lineage is cut, so a lost executor
+    reads the table again instead of the pages.
+    """
+    return as_table(bronze_issues(pages, overlapping_pulls), "issues")
+
+
+def bronze_issues(pages: DataFrame, overlapping_pulls: bool = False) -> DataFrame:
+    """The rows of the bronze table; with ``overlapping_pulls`` each issue's latest copy only.
+
+    A page's names text stays with its first issue.  A copy that a later pull replaces takes
+    its names along: the later pull's pages carry names of their own, which the dictionary
+    would prefer anyway.
     """
-    from issuelens.session import settle
-    from issuelens.sources.pages import latest_issue_version
     issues = explode_issues(pages, keep_names=True)
-    if overlapping_pulls:
-        names = issues.where(F.col("names").isNotNull()).select("project", "page_no", "names").distinct()
-        latest = latest_issue_version(issues.drop("names"))
-        first = F.row_number().over(Window.partitionBy("project", "page_no").orderBy("issue_pos"))
-        issues = (latest.withColumn("_first", first == 1)
-                  .join(names, ["project", "page_no"], "left")
-                  .withColumn("names", F.when(F.col("_first"), F.col("names"))).drop("_first"))
-    return settle(issues)
+    return latest_issue_version(issues) if overlapping_pulls else issues
+
+
+def write_bronze(pages: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """The bronze issue table at a path of its own, as ``settle_issues`` and the stream write it."""
+    bronze_issues(pages).write.mode(mode).parquet(path)
 
 
-def write_bronze(pages: DataFrame, path: str) -> None:
-    """Parse once: the exploded issues (VARIANT fields and change log) as a parquet table."""
-    explode_issues(pages).write.mode("overwrite").parquet(path)
+def read_bronze(spark: SparkSession, path: str, overlapping_pulls: bool = True) -> DataFrame:
+    """A bronze table of ``write_bronze`` or the stream: by default each issue's latest copy."""
+    rows = spark.read.parquet(path)
+    return latest_issue_version(rows) if overlapping_pulls else rows
 
 
 # --------------------------------------------------------------------------------------
 # Registered queries on pages landed from the provided tables
 # --------------------------------------------------------------------------------------
 AS_OF = "2025-01-01 00:00:00"
-FLAGSHIP_STATUSES = ["InProgress", "Open"]
-FLAGSHIP_COLUMNS = ["IssueKey", "Status", "Priority", "Assignee", "RequestType", "Department",
-                    "Organization", "RequestParticipants", "Created", "Resolved"]
-
-
 def sbp_time_in_status(spark: SparkSession, sf: str) -> DataFrame:
+    """Q4-Q6, every column; the status columns come from the data."""
     issues = settle_issues(pages_from_text(landed_pages(spark, sf), "raw"))
-    rep = sbp_report(issues, as_of=AS_OF, statuses=FLAGSHIP_STATUSES)
-    return rep.select(*FLAGSHIP_COLUMNS, *[F.round(F.col(s), 6).alias(s) for s in FLAGSHIP_STATUSES])
+    rep = sbp_report(issues, as_of=AS_OF)
+    fixed = [c.out for c in SBP.columns]
+    return rep.select(*[F.col(c) for c in fixed], *[F.round(F.col(c), 6).alias(c) for c in rep.columns if c not in fixed])
+
 
+# What the landed orders look like to a report, in SQL: plain field n is v<n>-<key modulo 50> unless
+# the key leaves 0 modulo n + 3.
+def _plain(n: int) -> str:
+    return f"CASE WHEN o_orderkey % {n + 3} <> 0 THEN 'v{n}-' || CAST(o_orderkey % 50 AS VARCHAR) END"
 
-FLAGSHIP_ORACLE = f"""
+
+_BASE_SQL = """
 WITH b AS (
-  SELECT o.o_orderkey, o.o_orderstatus, o.o_orderpriority, o.o_orderdate,
-         c.c_name, c.c_mktsegment, n.n_name,
-         least(23, floor(o.o_totalprice / 25000)) AS h
+  SELECT o.o_orderkey, o.o_orderstatus, o.o_orderpriority, o.o_orderdate, o.o_totalprice,
+         c.c_name, c.c_mktsegment, n.n_name, least(23, floor(o.o_totalprice / 25000)) AS h,
+         CASE WHEN c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN NULL ELSE c_name END AS assignee
   FROM orders o
   LEFT JOIN customer c ON o.o_custkey = c.c_custkey
   LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)
-SELECT 'ORD-' || CAST(o_orderkey AS VARCHAR) AS IssueKey,
-       o_orderstatus AS Status,
-       o_orderpriority AS Priority,
-       CASE WHEN c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN NULL ELSE c_name END AS Assignee,
-       c_mktsegment AS RequestType,
-       n_name AS Department,
-       n_name || ' Branch' AS Organization,
-       c_name || ';' || n_name AS RequestParticipants,
-       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000+0000') AS Created,
-       CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate + INTERVAL 3 DAY, '%Y-%m-%dT%H:%M:%S.000+0000') END AS Resolved,
-       CASE WHEN o_orderpriority = '5-LOW' OR o_orderstatus <> 'F' THEN NULL
-            ELSE round(2 - h / 24.0, 6) END AS InProgress,
-       CASE WHEN o_orderpriority = '5-LOW' THEN NULL
-            WHEN o_orderstatus = 'P' THEN round((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(o_orderdate)) / 86400000000.0, 6)
-            ELSE round(1 + h / 24.0, 6) END AS Open
-FROM b
 """
 
-PAR_LANDED = ReportSpec("PAR-landed", (
-    Col("IssueID", "id"), Col("IssueKey", "key"),
-    Col("ProjectEffectiveDate", "Created"),
-    Col("Created", "Created"), Col("Resolved", "Resolved"),
-    Col("Organization", "Ministry/BPSOrganization", ("value",)),
-    Col("RequestType", "RequestType", ("requestType", "name")),
-    Col("Status", "Status", ("name",)), Col("StatusCategory", "StatusCategory", ("name",)),
-    Col("Assignee", "Assignee", ("displayName",)), Col("Summary", "Summary"),
-))
 
+def _day(days: int, modulus: int) -> str:
+    return f"CASE WHEN o_orderkey % {modulus} <> 0 THEN strftime(o_orderdate + INTERVAL {days} DAY, '%Y-%m-%d') END"
 
-def par_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Q1 spine on landed pages: dates as written, hours to completion, NaN when open."""
+
+def _at(days: int, form: str = "%Y-%m-%d %H:%M:%S", when: str = "true") -> str:
+    return f"CASE WHEN {when} THEN strftime(o_orderdate + INTERVAL {days} DAY, '{form}') END"
+
+
+ISO = "%Y-%m-%dT%H:%M:%S.000+0000"
+_FINAL, _NOT_P = "o_orderstatus = 'F'", "o_orderstatus <> 'P'"
+
+
+def _select(columns: dict[str, str]) -> str:
+    return "SELECT " + ",\n       ".join(f'{sql} AS "{name}"' for name, sql in columns.items()) + "\nFROM b"
+
+
+FLAGSHIP_ORACLE = _BASE_SQL + _select({
+    "IssueKey": "'ORD-' || CAST(o_orderkey AS VARCHAR)", "IssueType": _plain(8), "Address": _plain(30), "Assignee": "assignee",
+    "Created": _at(0, ISO), "RequestedDueDate": _plain(16), "SpaceBookingAdmin": _plain(13), "NumberOfSpaces": _plain(3),
+    "FloorPlan": _plain(25), "FurniturePlan": _plain(26), "LastUpdatedStatus": _plain(4), "Department": "n_name",
+    "DueDate": _day(8, 5), "Organization": "n_name || ' Branch'", "Priority": "o_orderpriority", "Reporter": _plain(10),
+    "RequestParticipants": "c_name || ';' || n_name", "RequestType": "c_mktsegment", "Resolved": _at(3, ISO, _FINAL),
+    "Status": "o_orderstatus", "Summary": _plain(0), "Updated": _at(4, ISO), "Parent": _plain(33),
+    "InProgress": "CASE WHEN o_orderpriority = '5-LOW' OR o_orderstatus <> 'F' THEN NULL ELSE round(2 - h / 24.0, 6) END",
+    "Open": f"""CASE WHEN o_orderpriority = '5-LOW' THEN NULL
+            WHEN o_orderstatus = 'P' THEN round((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(o_orderdate)) / 86400000000.0, 6)
+            ELSE round(1 + h / 24.0, 6) END"""})
+
+
+def _days_text(df: DataFrame, *cols: str) -> DataFrame:
+    return df.withColumns({c: F.date_format(F.col(f"`{c}`"), "yyyy-MM-dd") for c in cols})
+
+
+def _instants_text(df: DataFrame, *cols: str) -> DataFrame:
+    return df.withColumns({c: F.date_format(F.col(f"`{c}`"), "yyyy-MM-dd HH:mm:ss") for c in cols})
+
+
+def _landed(spark: SparkSession, sf: str, spec: ReportSpec) -> DataFrame:
     issues = settle_issues(pages_from_text(landed_pages(spark, sf), "raw"))
-    rep = finish_par(build_report(issues, field_catalog(issues), PAR_LANDED))
-    return rep.select(F.col("IssueID").cast("bigint").alias("IssueID"), "IssueKey",
-                      F.date_format("ProjectEffectiveDate", "yyyy-MM-dd").alias("ProjectEffectiveDate"),
-                      F.date_format("Created", "yyyy-MM-dd HH:mm:ss").alias("Created"),
-                      F.date_format("Resolved", "yyyy-MM-dd HH:mm:ss").alias("Resolved"),
-                      "Organization", "RequestType", "Status", "StatusCategory", "Assignee", "Summary",
-                      F.round("TimeToCompletion", 6).alias("TimeToCompletion"))
-
-
-PAR_ORACLE = """
-SELECT o.o_orderkey AS IssueID,
-       'ORD-' || CAST(o.o_orderkey AS VARCHAR) AS IssueKey,
-       strftime(o.o_orderdate, '%Y-%m-%d') AS ProjectEffectiveDate,
-       strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS Created,
-       CASE WHEN o.o_orderstatus = 'F' THEN strftime(o.o_orderdate + INTERVAL 3 DAY, '%Y-%m-%d %H:%M:%S') END AS Resolved,
-       ' ' || n.n_name || ', Branch ' AS Organization,
-       c.c_mktsegment AS RequestType,
-       o.o_orderstatus AS Status,
-       CAST(NULL AS VARCHAR) AS StatusCategory,
-       CASE WHEN c.c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN NULL ELSE c.c_name END AS Assignee,
-       CAST(NULL AS VARCHAR) AS Summary,
-       CASE WHEN o.o_orderstatus = 'F' THEN 72.0 ELSE 'NaN'::DOUBLE END AS TimeToCompletion
-FROM orders o
-LEFT JOIN customer c ON o.o_custkey = c.c_custkey
-LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
-"""
+    return build_report(issues, field_catalog(issues), spec)
+
+
+def _par_text(rep: DataFrame) -> DataFrame:
+    rep = _instants_text(_days_text(rep, "ProjectEffectiveDate"), "Created", "Resolved", "Updated", "StatusCategoryChanged")
+    return rep.withColumn("TimeToCompletion", F.round("TimeToCompletion", 6))
+
+
+def par_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Q1, every column: dates as written, hours to completion, NaN when open."""
+    return _par_text(finish_par(_landed(spark, sf, PAR)))
+
+
+_PAR_COLUMNS = {
+    "IssueID": "CAST(o_orderkey AS VARCHAR)", "IssueKey": "'ORD-' || CAST(o_orderkey AS VARCHAR)",
+    "ProjectEffectiveDate": _day(6, 3), "Created": _at(0), "Resolved": _at(3, when=_FINAL), "Updated": _at(4),
+    "Organization": "' ' || n_name || ', Branch '", "RequestType": "c_mktsegment", "Status": "o_orderstatus",
+    "StatusCategory": _plain(6), "StatusCategoryChanged": _at(5, when=_NOT_P), "Assignee": "assignee", "Reporter": _plain(10),
+    "Resolution": _plain(7), "Summary": _plain(0), "TimeToCompletion": "CASE WHEN o_orderstatus = 'F' THEN 72.0::DOUBLE ELSE 'NaN'::DOUBLE END"}
+PAR_ORACLE = _BASE_SQL + _select(_PAR_COLUMNS)
+
+
+def project_reports(spark: SparkSession, sf: str) -> DataFrame:
+    """PAR over pages of several projects, one of which keeps Request Type and Department
+    in each other's fields: every row is read through its own project's dictionary."""
+    pages = landed_pages(spark, sf, by_project=True)
+    a, b, hold = "customfield_10010", "customfield_10020", "customfield_swap"
+    swapped = F.replace(F.replace(F.replace("raw", F.lit(a), F.lit(hold)), F.lit(b), F.lit(a)), F.lit(hold), F.lit(b))
+    issues = settle_issues(pages_from_text(pages.withColumn("raw", F.when(F.col("project") == "O", swapped).otherwise(F.col("raw"))), "raw"))
+    catalog = field_catalog(issues)
+    whole = build_report(issues, catalog, PAR, keep=["project"])
+    one = build_report(issues, catalog, PAR, project="O").withColumn("project", F.lit("only O"))
+    return _par_text(finish_par(whole.unionByName(one)))
+
+
+PROJECT_REPORTS_ORACLE = _BASE_SQL + _select({**_PAR_COLUMNS, "project": "o_orderstatus"}) + "\nUNION ALL BY NAME\n" \
+    + _select({**_PAR_COLUMNS, "project": "'only O'"}) + "\nWHERE o_orderstatus = 'O'"
 
 
 # --------------------------------------------------------------------------------------
 # COM multi-select matrices (Q8-Q10)
 # --------------------------------------------------------------------------------------
-def selected_options(issues: DataFrame, catalog: FieldCatalog, key: str, sources: Sequence[str],
-                     blank: str = "Blank", leaf: str = "value") -> DataFrame:
-    """(key, Value) rows of one or more multi-select fields (N5 + R1 + W1 + F15 + P11).
+BLANK = "Blank"
+
+
+def selected_options(uses: Sequence[dict[str, list]], leaf: str = "value") -> Column:
+    """The options an issue has in one or more multi-select fields, as an array.
 
     The reference widens every option list into numbered columns, lengthens them again,
     numbers the rows per issue and calls a missing first row ``Blank``.  Its first row is
-    always slot 1 of the first source field, so the rule needs no window: ``Blank`` when
-    that slot has no value.  Every present option of every source becomes one row.
-    Nothing is gathered per issue; each option row comes from a narrow explode.
+    always slot 1 of the first source field, so the options are, in the row itself: ``Blank``
+    when that slot has no value, and every distinct value of every source.
     """
-    ids = catalog.ids(list(sources))
-    fid = [ids.get(s) for s in sources]
-    def field(f):
-        return F.try_variant_get(F.col("fields"), variant_path((f,)), "variant") if f else F.lit(None).cast("variant")
-    first = F.try_variant_get(field(fid[0]), variant_path((1, leaf)), "string") if fid[0] else F.lit(None).cast("string")
-    parts = [issues.select(F.col(key).alias(key), F.lit(blank).alias("Value")).where(first.isNull())]
-    for f in fid:
-        if f is None:
-            continue
-        opts = issues.select(F.col(key).alias(key),
-                             F.explode(F.try_variant_get(field(f), "$", "array<variant>")).alias("_o"))
-        parts.append(opts.select(key, F.try_variant_get("_o", variant_path((leaf,)), "string").alias("Value"))
-                     .where(F.col("Value").isNotNull()))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    none = F.array().cast("array<string>")
+
+    def values(use: dict[str, list]) -> Column:
+        field = _source_expr(Col("options", "options", how="raw"), use)
+        slots = F.coalesce(F.try_variant_get(field, "$", "array<variant>"), F.array().cast("array<variant>"))
+        return F.transform(slots, lambda o: F.try_variant_get(o, variant_path((leaf,)), "string"))
+
+    first = F.try_element_at(values(uses[0]), F.lit(1))
+    found = F.concat(F.when(first.isNull(), F.array(F.lit(BLANK))).otherwise(none), *[values(u) for u in uses])
+    return F.array_distinct(F.filter(found, lambda v: v.isNotNull()))
 
 
-COM_TACTICS = ["Blank", "Email", "Newsletter", "Poster", "Social Media"]
-COM_AUDIENCES = ["All Employees", "Blank", "Executive", "Managers", "Other"]
+def option_matrix(issues: DataFrame, catalog: FieldCatalog, key: str, sources: Sequence[str], project: str | None = None,
+                  options: Sequence[str] | None = None) -> DataFrame:
+    """Q8, Q9: issue x option, 0/1; the options come from the data, or from a list that must hold them all.
+
+    Every cell is read off the options array of its own row: one scan, no exchange.
+    """
+    if project is not None:
+        issues = issues.where(F.col("project") == F.lit(project))
+    found = catalog.sources(sources, project)
+    if not found:
+        raise ValueError(f"none of {list(sources)} is in the dictionary")
+    rows = issues.select(F.col(key), selected_options([found.get(s, {}) for s in sources]).alias("_options"))
+    if options is None:
+        options = vocabulary(rows.select(F.explode("_options").alias("option")), "option")
+    else:
+        rows = rows.withColumn("_options", F.transform("_options", lambda v: known_value(v, options)))
+    return rows.select(key, *indicators(F.col("_options"), options))
+
+
+AUDIENCES = ["Intended audiences", "Intended Audience(s)"]
 
 
 def _com_issues(spark: SparkSession, sf: str):
@@ -457,22 +533,19 @@ def _com_issues(spark: SparkSession, sf: str):
 
 
 def com_tactics(spark: SparkSession, sf: str) -> DataFrame:
-    """Q8: issue x tactic indicator matrix, zero filled."""
-    issues, catalog = _com_issues(spark, sf)
-    opts = selected_options(issues, catalog, "IssueKeyNumber", ["Tactics"])
-    return indicator_matrix(opts, "IssueKeyNumber", COM_TACTICS)
+    """Q8: issue x tactic indicator matrix."""
+    return option_matrix(*_com_issues(spark, sf), "IssueKeyNumber", ["Tactics"])
 
 
 def com_audiences(spark: SparkSession, sf: str) -> DataFrame:
-    """Q9: issue x audience matrix over both audience fields (distinct by construction)."""
-    issues, catalog = _com_issues(spark, sf)
-    opts = selected_options(issues, catalog, "IssueKeyNumber", ["Intended audiences", "Intended Audience(s)"])
-    return indicator_matrix(opts, "IssueKeyNumber", COM_AUDIENCES)
+    """Q9: issue x audience matrix over both audience fields."""
+    return option_matrix(*_com_issues(spark, sf), "IssueKeyNumber", AUDIENCES)
 
 
 def com_audience_count(spark: SparkSession, sf: str) -> DataFrame:
-    """Q10: audiences per issue, the row sum over the option columns."""
-    return row_sum(com_audiences(spark, sf), COM_AUDIENCES, "Count").select("IssueKeyNumber", "Count")
+    """Q10: audiences per issue, the row sum over the audience columns (``Blank`` is none)."""
+    wide = com_audiences(spark, sf)
+    return row_sum(wide, [c for c in wide.columns if c not in ("IssueKeyNumber", BLANK)], "Count").select("IssueKeyNumber", "Count")
 
 
 _COM_BASE = """
@@ -503,7 +576,7 @@ m AS (
 """
 COM_AUDIENCES_ORACLE = _COM_AUDIENCE_MATRIX + "SELECT * FROM m"
 COM_COUNT_ORACLE = _COM_AUDIENCE_MATRIX + """SELECT IssueKeyNumber,
-  "All Employees" + "Blank" + "Executive" + "Managers" + "Other" AS "Count" FROM m"""
+  "All Employees" + "Executive" + "Managers" + "Other" AS "Count" FROM m"""
 
 
 # --------------------------------------------------------------------------------------
@@ -513,131 +586,74 @@ RBAS_EXCLUDED = ["ORD-1", "ORD-2", "ORD-3", "ORD-4", "ORD-5", "ORD-6"]   # the t
 
 
 def rbas_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Q2: instants, minutes to resolution replacing the SLA millis, test tickets removed."""
-    issues = settle_issues(pages_from_text(landed_pages(spark, sf), "raw"))
-    rep = finish_rbas(build_report(issues, field_catalog(issues), RBAS), excluded=RBAS_EXCLUDED)
-    return rep.select(F.col("IssueID").cast("bigint").alias("IssueID"), "IssueKey",
-                      F.date_format("Created", "yyyy-MM-dd HH:mm:ss").alias("Created"),
-                      "Resolved", "Resolution", F.round("MinutesToResolution", 6).alias("MinutesToResolution"),
-                      "Organization", "RequestType", "Status", "Assignee", "Summary")
+    """Q2, every column: instants, minutes to resolution replacing the SLA millis, test tickets removed."""
+    rep = finish_rbas(_landed(spark, sf, RBAS), excluded=RBAS_EXCLUDED)
+    return _instants_text(rep, "Created", "Updated", "StatusCategoryChanged") \
+        .withColumn("MinutesToResolution", F.round("MinutesToResolution", 6))
+
+
+RBAS_ORACLE = _BASE_SQL + _select({
+    "IssueID": "CAST(o_orderkey AS VARCHAR)", "IssueKey": "'ORD-' || CAST(o_orderkey AS VARCHAR)", "Created": _at(0),
+    "EndDate": _day(7, 4), "RequestedDueDate": _plain(16), "Duedate": _day(8, 5), "Updated": _at(4), "Resolved": _at(3, ISO, _FINAL),
+    "Resolution": _plain(7),
+    "MinutesToResolution": "CASE WHEN o_totalprice >= 1000 THEN round(floor(o_totalprice / 1000) * 60000 / 1000.0 / 60, 6) END",
+    "ServiceRequested": _plain(17), "ProjectType": _plain(18), "Organization": "' ' || n_name || ', Branch '",
+    "BranchDivision": _plain(19), "RPDBranch": _plain(20), "MYSCReq": _plain(1), "RequestType": "c_mktsegment",
+    "RequestSubtype": _plain(21), "Casetype": _plain(22), "Status": "o_orderstatus", "StatusCategory": _plain(6),
+    "StatusCategoryChanged": _at(5, when=_NOT_P), "Assignee": "assignee", "EmployeeID": _plain(2), "Reporter": _plain(10),
+    "Summary": _plain(0)}) + "\nWHERE o_orderkey NOT IN (1, 2, 3, 4, 5, 6)"
 
 
 def gpopr_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Q3: calendar dates as written, participants joined by ``;``."""
-    issues = settle_issues(pages_from_text(landed_pages(spark, sf), "raw"))
-    rep = finish_gpopr(build_report(issues, field_catalog(issues), GPOPR))
-    return rep.select(F.col("IssueID").cast("bigint").alias("IssueID"), "IssueKey",
-                      F.date_format("Created", "yyyy-MM-dd").alias("Created"),
-                      F.date_format("Duedate", "yyyy-MM-dd").alias("Duedate"),
-                      "Priority", "Status", "Assignee", "Organization", "RequestType", "RequestParticipants")
-
-
-RBAS_ORACLE = """
-SELECT o.o_orderkey AS IssueID,
-       'ORD-' || CAST(o.o_orderkey AS VARCHAR) AS IssueKey,
-       strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS Created,
-       CASE WHEN o.o_orderstatus = 'F' THEN strftime(o.o_orderdate + INTERVAL 3 DAY, '%Y-%m-%dT%H:%M:%S.000+0000') END AS Resolved,
-       CAST(NULL AS VARCHAR) AS Resolution,
-       CASE WHEN o.o_totalprice >= 1000 THEN round(floor(o.o_totalprice / 1000) * 60000 / 1000.0 / 60, 6) END AS MinutesToResolution,
-       ' ' || n.n_name || ', Branch ' AS Organization,
-       c.c_mktsegment AS RequestType,
-       o.o_orderstatus AS Status,
-       CASE WHEN c.c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN NULL ELSE c.c_name END AS Assignee,
-       CAST(NULL AS VARCHAR) AS Summary
-FROM orders o
-LEFT JOIN customer c ON o.o_custkey = c.c_custkey
-LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
-WHERE NOT coalesce('ORD-' || CAST(o.o_orderkey AS VARCHAR) IN ('ORD-1', 'ORD-2', 'ORD-3', 'ORD-4', 'ORD-5', 'ORD-6'), false)
-"""
+    """Q3, every column: calendar dates as written, participants joined by ``;``."""
+    return _days_text(finish_gpopr(_landed(spark, sf, GPOPR)), "Created", "Updated", "Duedate")
 
-GPOPR_ORACLE = """
-SELECT o.o_orderkey AS IssueID,
-       'ORD-' || CAST(o.o_orderkey AS VARCHAR) AS IssueKey,
-       strftime(o.o_orderdate, '%Y-%m-%d') AS Created,
-       CAST(NULL AS VARCHAR) AS Duedate,
-       o.o_orderpriority AS Priority,
-       o.o_orderstatus AS Status,
-       CASE WHEN c.c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN NULL ELSE c.c_name END AS Assignee,
-       ' ' || n.n_name || ', Branch ' AS Organization,
-       c.c_mktsegment AS RequestType,
-       c.c_name || ';' || n.n_name AS RequestParticipants
-FROM orders o
-LEFT JOIN customer c ON o.o_custkey = c.c_custkey
-LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
-"""
+
+GPOPR_ORACLE = _BASE_SQL + _select({
+    "IssueID": "CAST(o_orderkey AS VARCHAR)", "IssueKey": "'ORD-' || CAST(o_orderkey AS VARCHAR)", "Created": _at(0, "%Y-%m-%d"),
+    "Updated": _at(4, "%Y-%m-%d"), "Duedate": _day(8, 5), "Priority": "o_orderpriority", "Status": "o_orderstatus",
+    "Assignee": "assignee", "GPOPackageApprover": _plain(12), "GPOSubtype": _plain(23), "Organization": "' ' || n_name || ', Branch '",
+    "City": _plain(24), "RequestType": "c_mktsegment", "RequestParticipants": "c_name || ';' || n_name", "Summary": _plain(0)})
 
 
 def com_issues(spark: SparkSession, sf: str) -> DataFrame:
     """Q7: COM issue list with the header clean-up (dates as written, nested columns dropped)."""
-    issues = settle_issues(pages_from_text(landed_pages(spark, sf), "raw"))
-    rep = finish_com(build_report(issues, field_catalog(issues), COM))
-    dates = ("Created", "Initial Target Date", "Resolved")
-    return rep.withColumns({c: F.date_format(F.col(f"`{c}`"), "yyyy-MM-dd") for c in dates})
+    return _days_text(finish_com(_landed(spark, sf, COM)), "Created", "Initial Target Date", "Resolved")
+
+
+COM_ISSUES_ORACLE = _BASE_SQL + _select({
+    "IssueKeyNumber": "CAST(o_orderkey AS VARCHAR)", "IssueKey": "'ORD-' || CAST(o_orderkey AS VARCHAR)", "Priority": "o_orderpriority",
+    "AssigneeName": "assignee", "Resolved": _at(3, "%Y-%m-%d", _FINAL), "Frequency": _plain(32), "Initial Target Date": _day(9, 6),
+    "RequestType": "c_mktsegment", "Summary": _plain(0), "IssueType": _plain(8), "Reporter": _plain(10), "CreatorName": _plain(11),
+    "Created": _at(0, "%Y-%m-%d"), "Description": "c_name", "RPD Branch": _plain(20), "RequireCommsPlan": _plain(27),
+    "CommunicationLead": _plain(14), "TopicOfCommunication": _plain(31), "Status": "o_orderstatus"})
 
 
 def csr_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Q11: the intended CSR report (dates, instants, description text)."""
+    """Q11: the intended CSR report: all-null columns dropped, dates, instants, description text, the
+    change log kept (as its number of histories here)."""
     issues = settle_issues(pages_from_text(landed_pages(spark, sf), "raw"))
-    rep = finish_csr(build_report(issues, field_catalog(issues), CSR))
-    instants = ("Resolved", "Created", "Updated", "StatusCategoryChanged")
-    return rep.withColumns({**{c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in instants},
-                            "ProjectEffectiveDate": F.date_format("ProjectEffectiveDate", "yyyy-MM-dd")})
+    rep = finish_csr(csr_columns(issues, field_catalog(issues)))
+    histories = F.array_size(F.try_variant_get("Changelog", "$.histories", "array<variant>"))
+    return _days_text(_instants_text(rep, "Resolved", "Created", "Updated", "StatusCategoryChanged"), "ProjectEffectiveDate") \
+        .withColumn("Changelog", histories.cast("bigint"))
 
 
-_LANDED_BASE = """
-FROM orders o
-LEFT JOIN customer c ON o.o_custkey = c.c_custkey
-LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
-"""
-COM_ISSUES_ORACLE = """
-SELECT CAST(o.o_orderkey AS VARCHAR) AS IssueKeyNumber,
-       'ORD-' || CAST(o.o_orderkey AS VARCHAR) AS IssueKey,
-       o.o_orderpriority AS Priority,
-       CASE WHEN c.c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN NULL ELSE c.c_name END AS AssigneeName,
-       CASE WHEN o.o_orderstatus = 'F' THEN strftime(o.o_orderdate + INTERVAL 3 DAY, '%Y-%m-%d') END AS Resolved,
-       CAST(NULL AS VARCHAR) AS Frequency,
-       CAST(NULL AS VARCHAR) AS "Initial Target Date",
-       c.c_mktsegment AS RequestType,
-       CAST(NULL AS VARCHAR) AS Summary,
-       CAST(NULL AS VARCHAR) AS IssueType,
-       CAST(NULL AS VARCHAR) AS Reporter,
-       CAST(NULL AS VARCHAR) AS CreatorName,
-       strftime(o.o_orderdate, '%Y-%m-%d') AS Created,
-       c.c_name AS Description,
-       CAST(NULL AS VARCHAR) AS "RPD Branch",
-       CAST(NULL AS VARCHAR) AS RequireCommsPlan,
-       CAST(NULL AS VARCHAR) AS CommunicationLead,
-       CAST(NULL AS VARCHAR) AS TopicOfCommunication,
-       o.o_orderstatus AS Status
-""" + _LANDED_BASE
-CSR_ORACLE = """
-SELECT CAST(o.o_orderkey AS VARCHAR) AS IssueID,
-       'ORD-' || CAST(o.o_orderkey AS VARCHAR) AS IssueKey,
-       CASE WHEN c.c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN NULL ELSE c.c_name END AS Assignee,
-       CAST(NULL AS VARCHAR) AS Creator, CAST(NULL AS VARCHAR) AS CSM, CAST(NULL AS VARCHAR) AS CSRIssueSubtype,
-       CAST(NULL AS VARCHAR) AS Reporter,
-       ' ' || n.n_name || ', Branch ' AS Organization,
-       CAST(NULL AS VARCHAR) AS ResponsibleGroup,
-       CAST(NULL AS VARCHAR) AS ProjectEffectiveDate,
-       CAST(NULL AS VARCHAR) AS StatusCategory, CAST(NULL AS VARCHAR) AS Resolution,
-       CAST(NULL AS DOUBLE) AS Progress, CAST(NULL AS VARCHAR) AS IssueType, CAST(NULL AS VARCHAR) AS Project,
-       CAST(NULL AS VARCHAR) AS PIN,
-       CASE WHEN o.o_orderstatus = 'F' THEN strftime(o.o_orderdate + INTERVAL 3 DAY, '%Y-%m-%d %H:%M:%S') END AS Resolved,
-       CAST(NULL AS VARCHAR) AS Updated,
-       c.c_name AS Description,
-       c.c_mktsegment AS RequestType,
-       CAST(NULL AS VARCHAR) AS Summary,
-       CAST(NULL AS VARCHAR) AS StatusCategoryChanged,
-       o.o_orderpriority AS Priority,
-       o.o_orderstatus AS Status,
-       CAST(NULL AS DOUBLE) AS TotalProgress,
-       strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS Created
-""" + _LANDED_BASE
+CSR_ORACLE = _BASE_SQL + _select({
+    "IssueID": "CAST(o_orderkey AS VARCHAR)", "IssueKey": "'ORD-' || CAST(o_orderkey AS VARCHAR)", "Assignee": "assignee",
+    "Creator": _plain(11), "CSM": _plain(15), "CSRIssueSubtype": _plain(28), "Reporter": _plain(10),
+    "Organization": "' ' || n_name || ', Branch '", "ResponsibleGroup": _plain(29), "ProjectEffectiveDate": _day(6, 3),
+    "StatusCategory": _plain(6), "Resolution": _plain(7), "Progress": "CAST(o_orderkey % 101 AS DOUBLE)", "IssueType": _plain(8),
+    "Project": _plain(9), "PIN": _plain(5), "Resolved": _at(3, when=_FINAL), "Updated": _at(4), "Description": "c_name",
+    "RequestType": "c_mktsegment", "Summary": _plain(0), "StatusCategoryChanged": _at(5, when=_NOT_P), "Priority": "o_orderpriority",
+    "Status": "o_orderstatus", "TotalProgress": "CAST(o_orderkey % 102 AS DOUBLE)", "Created": _at(0),
+    "Changelog": """CAST(CASE WHEN o_orderpriority = '5-LOW' THEN 0 WHEN o_orderstatus IN ('P', 'O') THEN 1 ELSE 2 END AS BIGINT)"""})
 
 
 REPORT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sbp_time_in_status": sbp_time_in_status,
     "par_report": par_report,
+    "project_reports": project_reports,
     "com_tactics": com_tactics,
     "com_audiences": com_audiences,
     "com_audience_count": com_audience_count,
@@ -648,6 +664,7 @@ REPORT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 REPORT_ORACLES: dict[str, str] = {
     "par_report": PAR_ORACLE,
+    "project_reports": PROJECT_REPORTS_ORACLE,
     "com_tactics": COM_TACTICS_ORACLE,
     "com_audiences": COM_AUDIENCES_ORACLE,
     "com_audience_count": COM_COUNT_ORACLE,

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from issuelens.functions import (days_between, hours_between, millis_to_minutes, nan_if_null,
+from issuelens.functions import (as_character, as_numeric, days_between, hours_between, millis_to_minutes, nan_if_null,
                                  paste0, r_date, r_timestamp, strip_commas, title_case, trim_ws)
 from issuelens.functions.titlecase import ALONE_WORDS, EITHER_WORDS, SMALL_WORDS
 from issuelens.operators.columns import (SUFFIX_PATTERN, across, drop_all_null, drop_nested,
@@ -27,9 +27,9 @@ from issuelens.operators.history import status_durations, status_transitions
 from issuelens.operators.tables import (indicator_matrix, left_enrich, natural_full_join,
                                         row_sum, unpivot_long)
 from issuelens.plans.landing import _rec, issue_documents, landed_pages, load
-from issuelens.sources.pages import explode_issues, page_audit, pages_from_text
+from issuelens.sources.pages import explode_issues, page_audit, pages_from_text, read_pages
 from issuelens.sources.sinks import read_csv, write_with_summary
-from issuelens.session import shared_dir
+from issuelens.session import as_table, shared_dir
 
 TS_FMT_SPARK = "yyyy-MM-dd HH:mm:ss"
 TS_FMT_DUCK = "%Y-%m-%d %H:%M:%S"
@@ -37,7 +37,6 @@ AS_OF = "2025-01-01 00:00:00"            # F11: the run's "now", fixed for repro
 EVENTS_CREATED = "2024-01-01 00:00:00"   # creation time of every events "issue"
 CUSTOMER_CREATED = "1995-01-01 00:00:00"
 EVENT_STATUSES = ["Click", "Error", "Purchase", "Signup", "View"]
-RETURN_OPTIONS = ["A", "Blank", "R"]
 EXCLUDED_KEYS = ["CUST-1", "CUST-2", "CUST-3", "CUST-4", "CUST-5", "CUST-6"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,7 +63,7 @@ def q_status_durations(spark: SparkSession, sf: str) -> DataFrame:
         F.col("event_type").alias("from_status"),
         F.lit(None).cast("string").alias("to_status"),
         F.col("event_id").alias("_o0"))
-    wide = status_durations(transitions, key="IssueKey", statuses=EVENT_STATUSES)
+    wide = status_durations(transitions, key="IssueKey")        # the statuses come from the data
     return wide.select(F.col("IssueKey").alias("user_id"), *[_r6(F.col(s)).alias(s) for s in EVENT_STATUSES])
 
 
@@ -240,6 +239,8 @@ FROM orders
 # N7 P8 R4 A2 -- record -> key/value rows -> membership filter -> back to a record
 # --------------------------------------------------------------------------------------
 def q_unnest_keyed(spark: SparkSession, sf: str) -> DataFrame:
+    """Histories arrive as key/value rows here (one per member), which is what the keyed unnest and
+    its way back are for; a record that sits in its row is read by path instead."""
     ev = load(spark, sf, "events", heavy_rows=True)
     item = _rec(field=F.col("event_type"), k=F.get_json_object("props", "$.k").cast("bigint"))
     extra = _rec(field=F.lit("value"), k=F.lit(0).cast("bigint"))
@@ -373,7 +374,7 @@ def _return_options(spark: SparkSession, sf: str) -> DataFrame:
     aggregate: the first slot (``min_by``) and the set of distinct options -- at most the
     option vocabulary, whatever the order's size.  One left join then gives every order
     its options, plus ``Blank`` when its first slot is missing (or it has no lines);
-    the indicator pivot that follows groups by the join key, so it needs no new exchange.
+    the conditional aggregate that follows groups by the join key, so it reuses that exchange.
     """
     o = load(spark, sf, "orders").select("o_orderkey")
     li = load(spark, sf, "lineitem").select(
@@ -391,13 +392,14 @@ def _return_options(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_indicator_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    m = indicator_matrix(_return_options(spark, sf), "o_orderkey", RETURN_OPTIONS)
-    return m.select(F.col("o_orderkey").alias("IssueKeyNumber"), *RETURN_OPTIONS)
+    """The option columns come from the data."""
+    m = indicator_matrix(_return_options(spark, sf), "o_orderkey")
+    return m.withColumnRenamed("o_orderkey", "IssueKeyNumber")
 
 
 def q_row_sum(spark: SparkSession, sf: str) -> DataFrame:
     m = q_indicator_matrix(spark, sf)
-    return row_sum(m, RETURN_OPTIONS, "Count").select("IssueKeyNumber", "Count")
+    return row_sum(m, [c for c in m.columns if c != "IssueKeyNumber"], "Count").select("IssueKeyNumber", "Count")
 
 
 _SQL_OPTION_VALUES = """
@@ -600,16 +602,36 @@ SELECT vec_id, CAST(len(embedding) AS BIGINT) AS dim, label FROM embeddings
 # S1 S2 A7 -- completeness audit of landed page sets per project
 # --------------------------------------------------------------------------------------
 def q_page_audit(spark: SparkSession, sf: str) -> DataFrame:
-    pages = pages_from_text(landed_pages(spark, sf, by_project=True), "raw")
-    return page_audit(pages)
+    """S1 + S2: pages written as ``project=`` files, read back and audited; beside each good set, project
+    F's pages with one page cut short, one left out and one landed twice."""
+    pages = as_table(landed_pages(spark, sf, by_project=True), "pages")
+    final = pages.where("project = 'F'")
+    second = final.where(F.col("page_no") == final.select(F.min("page_no") + 1).scalar())
+    others = final.where(F.col("page_no") != final.select(F.min("page_no") + 1).scalar())
+    named = lambda df, name: df.withColumn("project", F.lit(name))
+    sets = (pages.unionByName(named(others, "cut")).unionByName(named(second, "cut").withColumn("raw", F.substring("raw", 1, 200)))
+            .unionByName(named(others, "gap")).unionByName(named(final, "twice")).unionByName(named(second, "twice")))
+    path = shared_dir(spark, "landing")
+    sets.select("project", F.col("raw").alias("value")).write.partitionBy("project").text(path)
+    audit = page_audit(read_pages(spark, path, one_page_per_line=True))
+    one = page_audit(read_pages(spark, path, project="P", one_page_per_line=True))       # prunes the other folders
+    return audit.unionByName(named(one, "only P"))
 
 
 _SQL_PAGE_AUDIT = """
-WITH p AS (SELECT o_orderstatus AS project, o_orderkey // 100 AS page_no, count(*) AS n
-           FROM orders GROUP BY 1, 2)
-SELECT project, count(*) + 1 AS pages, count(*) AS nonempty_pages, CAST(sum(n) AS BIGINT) AS issues,
-       CAST(sum(n) AS BIGINT) AS announced_total, CAST(1 AS BIGINT) AS last_pages, true AS complete
-FROM p GROUP BY project
+WITH p AS (SELECT o_orderstatus AS project, o_orderkey // 100 AS page_no, count(*) AS n FROM orders GROUP BY 1, 2),
+f AS (SELECT * FROM p WHERE project = 'F'),
+second AS (SELECT n FROM f WHERE page_no = (SELECT min(page_no) + 1 FROM f)),
+good AS (
+  SELECT project, count(*) + 1 AS pages, count(*) AS nonempty_pages, CAST(sum(n) AS BIGINT) AS issues,
+         CAST(sum(n) AS BIGINT) AS announced_total, CAST(1 AS BIGINT) AS last_pages, CAST(0 AS BIGINT) AS broken_pages,
+         CAST(0 AS BIGINT) AS repeated_pages, CAST(max(page_no) - min(page_no) + 1 - count(*) AS BIGINT) AS missing_pages FROM p GROUP BY project),
+g AS (SELECT * FROM good WHERE project = 'F')
+SELECT *, missing_pages = 0 AS complete FROM good
+UNION ALL SELECT 'only P', pages, nonempty_pages, issues, announced_total, last_pages, 0, 0, missing_pages, missing_pages = 0 FROM good WHERE project = 'P'
+UNION ALL SELECT 'cut', pages, nonempty_pages - 1, issues - (SELECT n FROM second), announced_total, last_pages, 1, 0, missing_pages + 1, false FROM g
+UNION ALL SELECT 'gap', pages - 1, nonempty_pages - 1, issues - (SELECT n FROM second), announced_total, last_pages, 0, 0, missing_pages + 1, false FROM g
+UNION ALL SELECT 'twice', pages + 1, nonempty_pages + 1, issues, announced_total, last_pages, 0, 1, missing_pages, false FROM g
 """
 
 
@@ -633,7 +655,29 @@ def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 _SQL_CSV_ROUNDTRIP = "SELECT doc_id, text, lang, source FROM documents"
 
 
+# --------------------------------------------------------------------------------------
+# P6 A3 F14 -- columns by name pattern and range, text to number, distinct rows
+# --------------------------------------------------------------------------------------
+def q_select_patterns(spark: SparkSession, sf: str) -> DataFrame:
+    s = load(spark, sf, "supplier")
+    keys = matching(s, ends_with="key")                                     # s_suppkey, s_nationkey
+    named = matching(s, regex="^s_(name|acct)")
+    both = s.select(*[c for c in s.columns if c in keys or c in named])
+    out = both.select(as_numeric(F.regexp_extract("s_name", r"(\d+)$", 1)).alias("number"),
+                      as_numeric(F.col("s_name")).alias("not_a_number"),
+                      as_character(F.col("s_nationkey")).alias("nation"))
+    return out.select(F.pmod(F.col("number"), F.lit(10)).alias("last_digit"), "not_a_number", "nation").distinct()
+
+
+_SQL_SELECT_PATTERNS = r"""
+SELECT DISTINCT CAST(regexp_extract(s_name, '(\d+)$', 1) AS DOUBLE) % 10 AS last_digit,
+       CAST(NULL AS DOUBLE) AS not_a_number, CAST(s_nationkey AS VARCHAR) AS nation
+FROM supplier
+"""
+
+
 QUERIES: dict[str, Query] = {
+    "select_patterns": q_select_patterns,
     "status_durations": q_status_durations,
     "status_no_change": q_status_no_change,
     "hoist_fields": q_hoist_fields,
@@ -666,6 +710,7 @@ ORACLE: dict[str, str] = {
     "parallel_unnest": _SQL_PARALLEL_UNNEST,
     "dedup_names": _SQL_DEDUP_NAMES,
     "natural_full_join": _SQL_NATURAL_FULL_JOIN,
+    "select_patterns": _SQL_SELECT_PATTERNS,
     "indicator_matrix": _SQL_INDICATOR_MATRIX,
     "row_sum": _SQL_ROW_SUM,
     "unpivot_long": _SQL_UNPIVOT_LONG,

@@ -89,3 +89,14 @@ def settle(df):
     """
     shared_dir(df.sparkSession, "checkpoint")     # ensures a checkpoint folder is set
     return df.checkpoint(eager=True)
+
+
+def as_table(df, name: str):
+    """Write ``df`` as Parquet into the shared folder and read it back.
+
+    Like :func:`settle` it cuts lineage and survives lost executors; unlike a checkpoint,
+    later jobs read only the columns they need.
+    """
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,10 +9,12 @@ scan stage, and everything downstream is path extraction on that value.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PAGE_COLUMNS = ["project", "page_no", "raw", "body"]
+from issuelens.operators.sequence import null_safe_join
+
+PAGE_COLUMNS = ["project", "pull", "page_no", "raw", "body"]
 
 
 def read_pages(spark: SparkSession, path: str, project: str | None = None,
@@ -24,6 +26,8 @@ def read_pages(spark: SparkSession, path: str, project: str | None = None,
     ``page_no`` comes from the page itself (``startAt / maxResults`` for offset pages) or
     from the trailing number of the file name (token pages, one page per file).  The
     project is the ``project=`` directory when the layout is partitioned, else ``project``.
+    ``pull`` orders pulls of the same pages: the ``pull=`` directory where there is one (name
+    pulls so that they sort), else the file's modification time.
     """
     df = spark.read.text(path) if one_page_per_line else spark.read.text(path, wholetext=True)
     file_col = F.col("_metadata.file_path")
@@ -32,12 +36,21 @@ def read_pages(spark: SparkSession, path: str, project: str | None = None,
     else:
         proj = F.coalesce(F.regexp_extract(file_col, r"project=([^/]+)/", 1).cast("string"), F.lit(project))
         proj = F.when(proj == "", F.lit(project)).otherwise(proj)
-    pages = df.select(proj.alias("project"), file_col.alias("file"), F.col("value").alias("raw"))
+    # the number in a file's name is a page number only where a file is a page
+    file = F.lit("") if one_page_per_line else file_col
+    pages = df.select(proj.alias("project"), pull_of(file_col), file.alias("file"), F.col("value").alias("raw"))
     if project is not None:
         pages = pages.where(F.col("project") == F.lit(project))   # P14
     return pages_from_text(pages, "raw")
 
 
+def pull_of(file_col) -> Column:
+    """The pull a page file belongs to, as text that sorts by age."""
+    folder = F.regexp_extract(file_col, r"pull=([^/]+)/", 1)
+    at = F.date_format(F.col("_metadata.file_modification_time"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return F.when(folder != "", folder).otherwise(at).alias("pull")
+
+
 def pages_from_text(df: DataFrame, text_col: str = "raw", project_col: str = "project",
                     page_col: str | None = None) -> DataFrame:
     """Pages already held as JSON text in a DataFrame -> the page schema."""
@@ -52,14 +65,15 @@ def pages_from_text(df: DataFrame, text_col: str = "raw", project_col: str = "pr
             F.regexp_extract(F.col("file"), r"(\d+)\D*$", 1).try_cast("bigint"))
     else:
         page_no = (start / F.nullif(size, F.lit(0))).cast("bigint")
-    return df.select(F.col(project_col).cast("string").alias("project"), page_no.alias("page_no"),
+    pull = F.col("pull").cast("string") if "pull" in df.columns else F.lit(None).cast("string")
+    return df.select(F.col(project_col).cast("string").alias("project"), pull.alias("pull"), page_no.alias("page_no"),
                      F.col(text_col).alias("raw"), body.alias("body"))
 
 
 def explode_issues(pages: DataFrame, keep_names: bool = False) -> DataFrame:
     """N1 pluck ``issues`` + N2 enframe + N4 unnest_wider of the issue record.
 
-    One row per issue: (project, page_no, issue_pos, id, key, fields, changelog).  Empty
+    One row per issue: (project, pull, page_no, issue_pos, id, key, fields, changelog).  Empty
     pages produce no rows (the reference's stop test).  No shuffle.  ``keep_names`` keeps
     the page's ``names`` text on the page's first issue only (for the field dictionary,
     without copying it to every issue).
@@ -71,9 +85,9 @@ def explode_issues(pages: DataFrame, keep_names: bool = False) -> DataFrame:
     if keep_names:
         names = F.col("names") if "names" in pages.columns else F.get_json_object(F.col("raw"), "$.names")
         extra = [names.alias("names")]
-    exploded = pages.select("project", "page_no", *extra, F.posexplode(issues).alias("issue_pos", "issue"))
+    exploded = pages.select("project", "pull", "page_no", *extra, F.posexplode(issues).alias("issue_pos", "issue"))
     out = [
-        "project", "page_no", "issue_pos",
+        "project", "pull", "page_no", "issue_pos",
         F.try_variant_get("issue", "$.id", "string").alias("id"),
         F.try_variant_get("issue", "$.key", "string").alias("key"),
         F.try_variant_get("issue", "$.fields", "variant").alias("fields"),
@@ -85,13 +99,13 @@ def explode_issues(pages: DataFrame, keep_names: bool = False) -> DataFrame:
 
 
 def latest_issue_version(issues: DataFrame) -> DataFrame:
-    """When a re-pull lands an issue twice, keep the copy from the latest page.
+    """When pulls overlap, keep each issue's copy from its latest pull, then page, then position.
 
     ``max_by`` per issue id is a partial aggregate (a hot id is combined map-side); VARIANT
     values travel inside the struct, never as a grouping key.
     """
     cols = [c for c in issues.columns if c not in ("project", "id")]
-    latest = F.max_by(F.struct(*cols), F.struct("page_no", "issue_pos"))
+    latest = F.max_by(F.struct(*cols), F.struct(F.coalesce("pull", F.lit("")), F.coalesce("page_no", F.lit(-1)), "issue_pos"))
     return issues.groupBy("project", "id").agg(latest.alias("_v")).select("project", "id", "_v.*") \
         .select(*issues.columns)
 
@@ -99,21 +113,34 @@ def latest_issue_version(issues: DataFrame) -> DataFrame:
 def page_audit(pages: DataFrame) -> DataFrame:
     """S2 + A7: completeness of each project's landed page set.
 
-    Per project: pages, non-empty pages, issues, the largest announced ``total``, pages
-    without a continuation token, and whether the set looks complete (exactly one last
-    page, and the issue count reaches ``total`` when a total is announced).
+    Per project: pages, non-empty pages, distinct issues, the largest announced ``total``, last
+    pages (with issues but no continuation token), pages that do not parse, page numbers
+    landed more than once and page numbers missing between the first and the last.  A set
+    is complete when it has exactly one last page, no broken, repeated or missing page, and as
+    many distinct issues as announced.  Pages are reduced to their figures and issue ids in
+    the scan; only those are shuffled, and issues are counted from map-side combined ids.
     """
-    n_issues = F.coalesce(F.array_size(F.try_variant_get(F.col("body"), "$.issues", "array<variant>")), F.lit(0))
-    token = F.try_variant_get(F.col("body"), "$.nextPageToken", "string")
-    total = F.try_variant_get(F.col("body"), "$.total", "bigint")
-    per_page = pages.select("project", n_issues.alias("n"), token.alias("token"), total.alias("total"))
-    audit = per_page.groupBy("project").agg(
+    ids = F.transform(F.coalesce(F.try_variant_get(F.col("body"), "$.issues", "array<variant>"), F.array().cast("array<variant>")),
+                      lambda i: F.try_variant_get(i, "$.id", "string"))
+    read = pages.select("project", "page_no", F.col("body").isNull().alias("broken"), ids.alias("ids"),
+                        F.try_variant_get(F.col("body"), "$.nextPageToken", "string").alias("token"),
+                        F.try_variant_get(F.col("body"), "$.total", "bigint").alias("total"))
+    figures = read.select("project", "page_no", "broken", F.size("ids").alias("n"), "token", "total")
+    per_project = figures.groupBy("project").agg(
         F.count(F.lit(1)).alias("pages"),
         F.count_if(F.col("n") > 0).alias("nonempty_pages"),
-        F.sum("n").cast("bigint").alias("issues"),
         F.max("total").alias("announced_total"),
         F.count_if(F.col("token").isNull() & (F.col("n") > 0)).alias("last_pages"),
-    )
-    complete = (F.col("last_pages") == 1) & (F.col("announced_total").isNull()
-                                             | (F.col("issues") >= F.col("announced_total")))
-    return audit.withColumn("complete", complete)
+        F.count_if(F.col("broken")).alias("broken_pages"),
+        F.count("page_no").alias("_numbered"), F.min("page_no").alias("_first"), F.max("page_no").alias("_last"))
+    numbers = figures.where(F.col("page_no").isNotNull()).select("project", "page_no").distinct() \
+        .groupBy("project").agg(F.count(F.lit(1)).alias("_numbers"))
+    issues = read.select("project", F.explode("ids").alias("id")).distinct().groupBy("project").agg(F.count("id").alias("issues"))
+    both = null_safe_join(null_safe_join(per_project, numbers, ["project"]), issues, ["project"])
+    zero = F.lit(0).cast("bigint")
+    counted = both.select("project", "pages", "nonempty_pages", F.coalesce("issues", zero).alias("issues"), "announced_total", "last_pages",
+                          "broken_pages", (F.col("_numbered") - F.coalesce("_numbers", zero)).alias("repeated_pages"),
+                          F.coalesce(F.col("_last") - F.col("_first") + 1 - F.col("_numbers"), zero).alias("missing_pages"))
+    complete = ((F.col("last_pages") == 1) & (F.col("broken_pages") == 0) & (F.col("repeated_pages") == 0) & (F.col("missing_pages") == 0)
+                & (F.col("announced_total").isNull() | (F.col("issues") >= F.col("announced_total"))))
+    return counted.withColumn("complete", complete)

@@ -5,19 +5,18 @@ from __future__ import annotations
 import time
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType,
+from pyspark.sql.types import (BooleanType, DoubleType, LongType, StringType, StructField, StructType,
                                TimestampType)
 
 from issuelens.operators.columns import NESTED_TYPES
 
-# As R's write.csv: missing values are NA, quotes are doubled, values are quoted when they
-# contain a separator, quote or line break; an empty string stays a quoted empty string.
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true",
-               "nullValue": "NA", "emptyValue": "\"\"",
-               # Spark's CSV writer trims values unless told not to; text must survive as is.
-               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# As R's write.csv: text is quoted (quotes doubled), numbers, dates and missing values are not;
+# a missing value is NA.  A reader that, like R's, takes NA for missing cannot tell the text
+# NA from a missing value; the file can, by its quotes.
+READ_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "nullValue": "NA",
+                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def flat_for_csv(df: DataFrame) -> DataFrame:
@@ -29,24 +28,35 @@ def flat_for_csv(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def csv_lines(df: DataFrame) -> DataFrame:
+    """One text column: the CSV records, the first of each partition led by the header."""
+    def quoted(c: Column) -> Column:
+        return F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+
+    cells = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, BooleanType):
+            c = F.upper(c.cast("string"))
+        cells.append(F.coalesce(quoted(c) if isinstance(f.dataType, StringType) else c.cast("string"), F.lit("NA")))
+    header = ",".join('"' + f.name.replace('"', '""') + '"' for f in df.schema.fields)
+    # the lower 33 bits of this id number the rows of a partition from 0
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    record = F.concat_ws(",", *cells)
+    return df.select(F.when(first, F.concat(F.lit(header + "\n"), record)).otherwise(record).alias("value"))
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """S3 ``write.csv(x, path, row.names = FALSE)``: header, NA for missing, ``"``
+    """S3 ``write.csv(x, path, row.names = FALSE)``: header, quoted text, NA for missing, ``"``
     doubled, embedded newlines allowed.  One file per task; the folder is the report."""
-    out = flat_for_csv(df)
-    writer = out.write.mode(mode)
-    for k, v in CSV_OPTIONS.items():
-        if k in ("multiLine",):
-            continue
-        writer = writer.option(k, v)
-    writer.csv(path)
+    csv_lines(flat_for_csv(df)).write.mode(mode).text(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Read a report written by :func:`write_csv` back with its schema."""
     reader = spark.read.schema(schema)
-    for k in ("header", "quote", "escape", "multiLine", "nullValue", "ignoreLeadingWhiteSpace",
-              "ignoreTrailingWhiteSpace"):
-        reader = reader.option(k, CSV_OPTIONS[k])
+    for k, v in READ_OPTIONS.items():
+        reader = reader.option(k, v)
     return reader.csv(path)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
-from issuelens.sources.pages import explode_issues, pages_from_text
+from issuelens.sources.pages import explode_issues, pages_from_text, pull_of
 
 # A page file read whole is one row of text; the project comes from the
 # ``project=<P>`` directory, the page number from the page or its file name.
@@ -30,8 +30,8 @@ def stream_pages(spark: SparkSession, landing: str, max_files_per_trigger: int =
     reader = spark.readStream.schema(_TEXT).option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.text(landing) if one_page_per_line else reader.text(landing, wholetext=True)
     file_col = F.col("_metadata.file_path")
-    pages = raw.select(F.regexp_extract(file_col, r"project=([^/]+)/", 1).alias("project"),
-                       file_col.alias("file"), F.col("value").alias("raw"))
+    pages = raw.select(F.regexp_extract(file_col, r"project=([^/]+)/", 1).alias("project"), pull_of(file_col),
+                       (F.lit("") if one_page_per_line else file_col).alias("file"), F.col("value").alias("raw"))
     return pages_from_text(pages, "raw")
 
 
@@ -39,6 +39,9 @@ def ingest_issues(spark: SparkSession, landing: str, bronze: str, checkpoint: st
                   available_now: bool = True, one_page_per_line: bool = False) -> StreamingQuery:
     """Append the issues of newly landed pages to the bronze table at ``bronze``.
 
+    A page pulled again lands under a new path (a ``pull=`` folder of its own); its issues are
+    appended with that pull, and ``read_bronze`` takes the latest copy of each.
+
     ``available_now`` processes everything landed so far and stops (the scheduled run);
     otherwise the query keeps running and picks up pages as they land.
     """

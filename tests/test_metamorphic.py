@@ -6,9 +6,8 @@ from conftest import SF_SMALL
 from issuelens.functions import days_between
 from issuelens.operators.history import status_transitions
 from issuelens.plans.landing import landed_pages
-from issuelens.plans.reports import (COM_AUDIENCES, field_catalog, history_items, sbp_report, selected_options,
-                                     settle_issues)
-from issuelens.operators.tables import indicator_matrix, row_sum
+from issuelens.operators.tables import option_values, spread
+from issuelens.plans.reports import AUDIENCES, field_catalog, history_items, option_matrix, sbp_report, settle_issues
 from issuelens.sources.pages import pages_from_text
 
 AS_OF = "2025-01-01 00:00:00"
@@ -20,7 +19,7 @@ def _issues(spark, page_size):
 
 
 def _report(spark, page_size):
-    rep = sbp_report(_issues(spark, page_size), as_of=AS_OF, statuses=STATUSES)
+    rep = sbp_report(_issues(spark, page_size), as_of=AS_OF)
     return sorted(tuple(r) for r in rep.select("IssueKey", "Status", "RequestParticipants", *STATUSES).collect())
 
 
@@ -33,7 +32,7 @@ def test_durations_sum_to_last_transition(spark):
     created = F.try_variant_get("fields", "$.created", "string")
     t = status_transitions(history_items(issues.select("key", "changelog", created.alias("Created"))), as_of=AS_OF)
     span = t.groupBy("IssueKey").agg(days_between(F.max("changed_at"), F.min("ticket_created")).alias("span"))
-    rep = sbp_report(issues, as_of=AS_OF, statuses=STATUSES)
+    rep = sbp_report(issues, as_of=AS_OF)
     total = rep.select("IssueKey", F.coalesce(F.col("Open"), F.lit(0.0)) + F.coalesce(F.col("InProgress"), F.lit(0.0)))
     got = {r[0]: r[1] for r in total.collect()}
     want = {r.IssueKey: r.span for r in span.collect()}
@@ -41,11 +40,17 @@ def test_durations_sum_to_last_transition(spark):
     assert all(got[k] == 0.0 for k in got if k not in want)         # no history: nothing counted
 
 
-def test_matrix_rows_sum_to_distinct_options(spark):
+def test_row_wise_matrix_equals_the_exploded_form(spark):
+    """The options read off the row against the reference's route: long rows, Blank rule, distinct, pivot."""
     issues = _issues(spark, 100).withColumnRenamed("id", "IssueKeyNumber")
-    opts = selected_options(issues, field_catalog(issues), "IssueKeyNumber",
-                            ["Intended audiences", "Intended Audience(s)"])
-    counts = {r[0]: r[1] for r in opts.groupBy("IssueKeyNumber").agg(F.countDistinct("Value")).collect()}
-    sums = {r.IssueKeyNumber: r.Count for r in
-            row_sum(indicator_matrix(opts, "IssueKeyNumber", COM_AUDIENCES), COM_AUDIENCES).collect()}
-    assert sums == {k: float(v) for k, v in counts.items()}
+    wide = option_matrix(issues, field_catalog(issues), "IssueKeyNumber", AUDIENCES)
+    slots = None
+    for n, field in enumerate(("customfield_10060", "customfield_10061")):
+        values = F.try_variant_get("fields", f"$.{field}", "array<variant>")
+        rows = issues.select("IssueKeyNumber", F.posexplode_outer(values).alias("at", "o")).select(
+            "IssueKeyNumber", (F.coalesce("at", F.lit(0)) + 100 * n).alias("pos"), F.try_variant_get("o", "$.value", "string").alias("v"))
+        slots = rows if slots is None else slots.unionByName(rows)
+    long = option_values(slots, "IssueKeyNumber", "pos", "v")
+    want = spread(long, "IssueKeyNumber", "Value", F.lit(1.0)).fillna(0.0)
+    assert wide.columns == want.columns
+    assert sorted(map(tuple, wide.collect())) == sorted(map(tuple, want.collect()))

@@ -47,3 +47,8 @@ def test_spread_only_widens_narrow_inputs(spark):
     assert spread(narrow).rdd.getNumPartitions() == cores
     wide = spark.range(0, 100, 1, cores * 2)
     assert spread(wide) is wide
+
+
+def test_paste0_prints_missing_parts_as_NA(spark):
+    df = spark.createDataFrame([("a", None)], "s string, x string")
+    assert df.select(paste0("s", F.lit("-"), "x").alias("p")).first().p == "a-NA"

@@ -6,20 +6,20 @@ from pyspark.sql import functions as F
 
 from issuelens.operators.sequence import SkewPolicy, lag_in_order, row_number_in_order
 
-SPLIT = SkewPolicy(rows_per_task=3, max_split_groups=10)
+SPLIT = SkewPolicy(rows_per_task=3)
 
 
 def _events(spark):
     base = dt.datetime(2025, 1, 1)
     rows = [("hot", base + dt.timedelta(hours=h), h) for h in range(40)]
-    rows += [("hot", None, 100), ("hot", None, 101), ("hot", base + dt.timedelta(hours=5), 7)]   # NULLs and a tie
+    rows += [("hot", None, 100), ("hot", None, 101), ("hot", base + dt.timedelta(hours=5), 207)]   # NULLs and a tie
     rows += [("cold", base + dt.timedelta(days=1), 1), ("cold", base, 2)]
     return spark.createDataFrame(rows, "k string, t timestamp, pos int")
 
 
 def test_lag_split_equals_plain_with_nulls_and_ties(spark):
     df = _events(spark)
-    args = dict(keys=["k"], order_cols=["t", "pos"], value="pos", default=F.lit(-1), out="prev", range_col="t")
+    args = dict(keys=["k"], order_cols=["t", "pos"], value="pos", default=F.lit(-1), out="prev")
     plain = {(r.k, r.pos): r.prev for r in lag_in_order(df, policy=SkewPolicy(enabled=False), **args).collect()}
     split = {(r.k, r.pos): r.prev for r in lag_in_order(df, policy=SPLIT, **args).collect()}
     assert plain == split
@@ -34,3 +34,22 @@ def test_row_number_split_equals_plain(spark):
     split = {(r.k, r.pos): (r.rn, r.n) for r in
              row_number_in_order(df, ["k"], ["t", "pos"], "rn", "n", policy=SPLIT).collect()}
     assert plain == split and plain[("hot", 39)] == (41, 43) and plain[("hot", 101)] == (43, 43)
+
+
+def test_ranges_are_even_where_most_rows_share_one_time(spark):
+    from issuelens.operators.sequence import split_groups, with_ranges
+    same = dt.datetime(2025, 1, 1)
+    rows = [("hot", same, i) for i in range(496)] + [("hot", same + dt.timedelta(days=i), 500 + i) for i in range(1, 5)]
+    rows += [(None, same, i) for i in range(500)] + [("cold", same, 1)]
+    df = spark.createDataFrame(rows, "k string, t timestamp, pos int")
+    policy = SkewPolicy(rows_per_task=100)
+    hot = split_groups(df, ["k"], ["t", "pos"], policy)
+    assert {r.k for r in hot.collect()} == {"hot", None}          # a NULL key is a group like any other
+    sizes = with_ranges(df, ["k"], ["t", "pos"], hot).groupBy("k", "_range").count().collect()
+    assert max(r["count"] for r in sizes) <= 2 * policy.rows_per_task
+    assert len([r for r in sizes if r.k is None]) > 2
+    args = dict(keys=["k"], order_cols=["t", "pos"], value="pos", default=F.lit(-1), out="prev")
+    plain = sorted(map(str, lag_in_order(df, policy=SkewPolicy(enabled=False), **args).collect()))
+    assert plain == sorted(map(str, lag_in_order(df, policy=policy, **args).collect()))
+    plain = sorted(map(str, row_number_in_order(df, ["k"], ["t", "pos"], "rn", "n", policy=SkewPolicy(enabled=False)).collect()))
+    assert plain == sorted(map(str, row_number_in_order(df, ["k"], ["t", "pos"], "rn", "n", policy=policy).collect()))

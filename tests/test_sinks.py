@@ -32,3 +32,12 @@ def test_run_summary_appends_one_row(spark):
     assert info["rows"] == 5
     runs = spark.read.parquet(os.path.join(base, "runs")).collect()
     assert len(runs) == 1 and runs[0].rows == 5 and runs[0].project == "SBP"
+
+
+def test_text_is_quoted_and_missing_is_not(spark):
+    import glob
+    df = spark.createDataFrame([(1, "NA"), (2, None), (3, ""), (4, 'a "b"')], SCHEMA).coalesce(1)
+    path = shared_dir(spark, "csv-quotes")
+    write_csv(df, path)
+    text = "".join(open(f).read() for f in glob.glob(os.path.join(path, "part-*")))
+    assert text == '"id","text"\n1,"NA"\n2,NA\n3,""\n4,"a ""b"""\n'

@@ -26,5 +26,5 @@ def test_incremental_ingest_then_batch_report(spark, pages_dir):
     assert sorted(r.key for r in issues.collect()) == ["X-1", "X-2", "X-3", "X-4"]   # each page once
 
     rep = {r.IssueKey: (r.Open, r.InProgress) for r in
-           sbp_report(issues, as_of=AS_OF, statuses=["InProgress", "Open"]).collect()}
+           sbp_report(issues, as_of=AS_OF).collect()}
     assert rep["X-1"] == (2.0, 3.5) and rep["X-2"] == (10.0, None) and rep["X-3"] == (None, None)

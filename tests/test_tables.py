@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from issuelens.operators.columns import (SUFFIX_PATTERN, across, column_range, drop_all_null, drop_nested,
@@ -67,7 +68,7 @@ def test_disambiguate_in_key_order_and_split(spark):
     rows = [("P", "f9", "Department", 0), ("P", "f1", "Department", 1), ("P", "f2", "Team", 2),
             ("Q", "f3", "Department", 0)]
     d = spark.createDataFrame(rows, "project string, field_id string, display string, pos int")
-    for policy in (SkewPolicy(), SkewPolicy(rows_per_task=1), SkewPolicy(rows_per_task=1, broadcast_ranges=0)):
+    for policy in (SkewPolicy(), SkewPolicy(rows_per_task=1)):
         got = {r.field_id: r.name for r in disambiguate(d, policy=policy).collect()}
         assert got == {"f9": "Department-1", "f1": "Department-2", "f2": "Team", "f3": "Department"}
 
@@ -91,3 +92,37 @@ def test_select_renamed_odd_names(spark):
                               "TotalProgress": "ΣProgress", "Organization ": "Ministry/BPS Organization"})
     assert out.columns == ["Organization", "FloorPlan", "TotalProgress", "Organization "]
     assert tuple(out.first()) == (1, "a", "b", 1)
+
+
+def test_indicator_columns_come_from_the_data(spark):
+    from issuelens.operators.tables import indicator_matrix
+    options = spark.createDataFrame([(1, "A"), (2, "NEW"), (2, "A")], "k int, Value string")
+    assert sorted(map(tuple, indicator_matrix(options, "k").collect())) == [(1, 1.0, 0.0), (2, 1.0, 1.0)]
+    with pytest.raises(Exception, match="not listed: NEW"):
+        indicator_matrix(options, "k", ["A"]).collect()
+    assert indicator_matrix(options.limit(0), "k").count() == 0
+
+
+def test_missing_duplicate_names_are_numbered_as_NA(spark):
+    rows = [("P", "f1", None, 0), ("P", "f2", None, 1), ("P", "f3", "Only", 2)]
+    d = spark.createDataFrame(rows, "project string, field_id string, display string, pos int")
+    assert {r.field_id: r.name for r in disambiguate(d).collect()} == {"f1": "NA-1", "f2": "NA-2", "f3": "Only"}
+
+
+def test_dictionary_survives_missing_page_numbers_and_orders_by_pull(spark):
+    from issuelens.operators.fields import project_dictionary
+    rows = [("P", None, None, 0, "f1", "Old"), ("P", "2", 0, 0, "f1", "New"), ("P", "1", 9, 0, "f1", "Older"), ("P", None, None, 1, "f2", "Kept")]
+    e = spark.createDataFrame(rows, "project string, pull string, page_no long, pos int, field_id string, display string")
+    assert {r.field_id: r.display for r in project_dictionary(e).collect()} == {"f1": "New", "f2": "Kept"}
+
+
+def test_catalog_clashes_and_projects(spark):
+    from issuelens.operators.fields import FieldCatalog
+    rows = [("P", "cf1", "Summary"), ("Q", "cf2", "Summary"), ("P", "a", "Due date"), ("P", "b", "Duedate")]
+    catalog = FieldCatalog(spark.createDataFrame(rows, "project string, field_id string, name string"))
+    assert catalog.ids(["Summary"], project="P") == {"Summary": "cf1"}
+    assert catalog.sources(["Summary"]) == {"Summary": {"cf1": ["P"], "cf2": ["Q"]}}
+    with pytest.raises(ValueError, match="different field"):
+        catalog.ids(["Summary"])
+    with pytest.raises(ValueError, match="more than one field"):
+        catalog.ids(["Duedate"], strip_spaces=True)
