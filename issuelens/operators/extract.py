@@ -123,8 +123,25 @@ def collapse_strict(v: Column, leaf: str, sep: str = ";") -> Column:
     return F.when(~F.exists(vals, lambda x: x.isNull()), F.array_join(vals, sep))
 
 
-def numbered_columns(v: Column, leaf: str, width: int, prefix: str) -> list[Column]:
-    """N5 ``unnest_wider(names_sep = "_")`` with an explicit width: ``prefix_1_leaf`` ..."""
+# A list is widened into columns up to this length; a longer one belongs in rows.
+MAX_NUMBERED = 5_000
+
+
+def numbered_columns(df: DataFrame, col: str, leaf: str, prefix: str, width: int | None = None) -> list[Column]:
+    """N5 ``unnest_wider(names_sep = "_")``: ``prefix_1_leaf`` ... as wide as the longest list of the data.
+
+    The width is one aggregate over the list sizes (map-side combined) unless it is given; a
+    given width that an element would not fit in is an error, never a dropped element.
+    """
+    v = F.col(f"`{col}`")
+    size = F.coalesce(F.array_size(F.try_variant_get(v, "$", "array<variant>")), F.lit(0))
+    if width is None:
+        width = df.agg(F.max(size)).first()[0] or 0
+        if width > MAX_NUMBERED:
+            raise ValueError(f"a list of {width} elements is too long for columns")
+    else:
+        v = F.when(size <= width, v).otherwise(F.raise_error(F.concat(F.lit(f"{col}: more than {width} elements: "), size.cast("string"))).cast("variant")) \
+            if width else v
     return [F.try_variant_get(v, f"$[{i}]" + variant_path((leaf,))[1:], "string").alias(f"{prefix}_{i + 1}_{leaf}")
             for i in range(width)]
 

@@ -28,7 +28,7 @@ from issuelens.operators.fields import (FieldCatalog, dictionary_entries, disamb
 from issuelens.operators.history import days_by_status, now_text
 from issuelens.operators.sequence import SkewPolicy
 from issuelens.operators.tables import indicators, known_value, row_sum, vocabulary
-from issuelens.plans.landing import landed_pages
+from issuelens.fixtures import landed_pages
 from issuelens.session import as_table
 from issuelens.sources.pages import explode_issues, latest_issue_version, pages_from_text
 

@@ -26,7 +26,7 @@ from issuelens.operators.fields import disambiguate
 from issuelens.operators.history import status_durations, status_transitions
 from issuelens.operators.tables import (indicator_matrix, left_enrich, natural_full_join,
                                         row_sum, unpivot_long)
-from issuelens.plans.landing import _rec, issue_documents, landed_pages, load
+from issuelens.fixtures import _rec, issue_documents, landed_pages, load
 from issuelens.sources.pages import explode_issues, page_audit, pages_from_text, read_pages
 from issuelens.sources.sinks import read_csv, write_with_summary
 from issuelens.session import as_table, shared_dir
@@ -191,7 +191,7 @@ def q_hoist_all_join(spark: SparkSession, sf: str) -> DataFrame:
     out = out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                      F.col("RequestParticipants_displayName").alias("participants"),
                      collapse_strict(F.col("RequestParticipants"), "displayName").alias("participants_strict"),
-                     *numbered_columns(F.col("RequestParticipants"), "displayName", 3, "part"))
+                     *numbered_columns(out, "RequestParticipants", "displayName", "part"))
     return out
 
 
@@ -207,7 +207,8 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
        END AS participants_strict,
        CASE WHEN l_quantity <= 2 THEN NULL ELSE l_returnflag END AS part_1_displayName,
        CASE WHEN l_quantity <= 2 THEN NULL ELSE l_linestatus END AS part_2_displayName,
-       CASE WHEN l_quantity <= 2 OR l_discount > 0.05 THEN NULL ELSE CAST(l_linenumber AS VARCHAR) END AS part_3_displayName
+       CASE WHEN l_quantity <= 2 OR l_discount > 0.05 THEN NULL ELSE CAST(l_linenumber AS VARCHAR) END AS part_3_displayName,
+       CAST(NULL AS VARCHAR) AS part_4_displayName
 FROM lineitem
 """
 

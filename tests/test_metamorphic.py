@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from issuelens.functions import days_between
 from issuelens.operators.history import status_transitions
-from issuelens.plans.landing import landed_pages
+from issuelens.fixtures import landed_pages
 from issuelens.operators.tables import option_values, spread
 from issuelens.plans.reports import AUDIENCES, field_catalog, history_items, option_matrix, sbp_report, settle_issues
 from issuelens.sources.pages import pages_from_text
