@@ -106,6 +106,26 @@ def with_id(docs: DataFrame, doc_id: str, ddl: str) -> T.StructType:
     return T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), *T.StructType.fromDDL(ddl).fields])
 
 
+def count_floor(df: DataFrame, count: str, most: int) -> int | None:
+    """The least step of a logarithmic scale of ``count`` such that at most ``most`` rows reach it.
+
+    ``steps_of(count) >= floor`` then picks the rows of the highest counts, whole steps at a
+    time; None when even the highest step has too many rows, or there are none.
+    """
+    sizes = sorted(df.groupBy(steps_of(count).alias("s")).agg(F.count("*").alias("n")).collect(), reverse=True)   # a few thousand steps
+    total, floor = 0, None
+    for step, n in sizes:
+        total += n
+        if total > most:
+            break
+        floor = step
+    return floor
+
+
+def steps_of(count: str) -> Column:
+    return F.floor(F.log2(count) * 64)
+
+
 def held_out(doc_id: Column, modulus: int) -> Column:
     """The contracts' split: crc32 of doc_id as text leaves 2."""
     return F.crc32(doc_id.cast("string")) % modulus == 2
