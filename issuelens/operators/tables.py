@@ -64,25 +64,25 @@ def known_value(value: Column, values: Sequence) -> Column:
     return F.when(value.isNull() | value.isin(list(values)), value).otherwise(unknown)
 
 
-def spread(long: DataFrame, key: str, name_col: str, cell: Column, values: Sequence | None = None) -> DataFrame:
+def spread(long: DataFrame, key: str, name_col: str, cell: Column, values: Sequence | None = None,
+           fill: float | None = None) -> DataFrame:
     """R2, R3 ``pivot_wider``: one row per key, one column per name, ``cell`` (an aggregate input) summed up by ``max``.
 
     The columns come from the data (one distinct job over the names) unless ``values`` lists
-    them; a name that a given list lacks is an error, never a dropped cell.  One exchange:
-    a conditional aggregate per column.
+    them; a name that a given list lacks is an error, never a dropped cell.  Empty cells are
+    ``fill``.  One exchange: a conditional aggregate per column.
     """
     names = list(values) if values is not None else vocabulary(long, name_col)
     name = F.col(f"`{name_col}`")
     if values is not None:
         long = long.withColumn(name_col, known_value(name, names))
-    return long.groupBy(key).agg(*[F.max(F.when(name == n, cell)).alias(str(n)) for n in names]) if names \
-        else long.select(key).distinct()
+    cells = [F.coalesce(F.max(F.when(name == n, cell)), F.lit(fill)).alias(str(n)) for n in names]
+    return long.groupBy(key).agg(*cells) if names else long.select(key).distinct()
 
 
 def indicator_matrix(options: DataFrame, key: str, values: Sequence[str] | None = None, value_col: str = "Value") -> DataFrame:
     """R2 + J2 + F13: one 0/1 column per option, zero-filled (``pivot_wider`` + ``replace_na(0)``)."""
-    wide = spread(options, key, value_col, F.lit(1.0), values)
-    return wide.fillna(0.0, subset=[c for c in wide.columns if c != key])
+    return spread(options, key, value_col, F.lit(1.0), values, fill=0.0)
 
 
 def indicators(values: Column, options: Sequence[str]) -> list[Column]:
