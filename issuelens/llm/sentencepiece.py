@@ -192,24 +192,30 @@ class Pieces:
             stops, starts = ends.tolist(), (ends - 4 * length).tolist()
             self.solved.update((new[places[k]], (scores[k], ids[starts[k] : stops[k]])) for k in ok)
 
-    def encode(self, normal: str) -> bytes:
+    def parts(self, texts: list[str | None]) -> Iterator[tuple[int, list[list[str]]]]:
+        """Texts as their words, in parts of about ``WORDS_KEPT`` / 4 distinct words that are solved together.
+
+        Yields the place of a part's first text and the words of its texts.
+        """
+        at, found, words = 0, [], set()
+        for k, text in enumerate(texts):
+            found.append(self.split.findall(text or ""))
+            words.update(found[-1])
+            if len(words) >= WORDS_KEPT // 4 or k + 1 == len(texts):
+                self.prepare(words)
+                yield at, found
+                at, found, words = k + 1, [], set()
+
+    def ids_of(self, words: list[str]) -> bytes:
         solved, solve = self.solved.get, self.solve
-        return b"".join([(solved(w) or solve(w))[1] for w in self.split.findall(normal)])
+        return b"".join([(solved(w) or solve(w))[1] for w in words])
+
+    def encode(self, normal: str) -> bytes:
+        return self.ids_of(self.split.findall(normal))
 
     def encode_all(self, normals: list[str | None]) -> list[bytes | None]:
-        """Encode texts in parts whose words, sooner than later, are solved together."""
-        out: list[bytes | None] = []
-        at = 0
-        while at < len(normals):
-            words: set[str] = set()
-            end = at
-            while end < len(normals) and (end == at or len(words) < WORDS_KEPT // 4):
-                words.update(self.split.findall(normals[end] or ""))
-                end += 1
-            self.prepare(words)
-            out += [None if t is None else self.encode(t) for t in normals[at:end]]
-            at = end
-        return out
+        return [None if normals[at + k] is None else self.ids_of(words)
+                for at, found in self.parts(normals) for k, words in enumerate(found)]
 
     def decode(self, ids: list[int]) -> str:
         text, byte_of = self.text, self.byte_of
@@ -366,9 +372,9 @@ def boundary_states(chunks: DataFrame, held, k: int) -> DataFrame:
         pieces = Pieces(held.value)
         for b in batches:
             found = []
-            for before, body, size, c, n in zip(*[b.column(i).to_pylist() for i in (2, 3, 4, 1, 5)]):
-                pieces.prepare(set(pieces.split.findall(body)))
-                found.append(pack(pieces.transfer(before, body, size, c + 1 == n)))
+            rows = list(zip(*[b.column(i).to_pylist() for i in (2, 3, 4, 1, 5)]))
+            for at, part in pieces.parts([r[1] for r in rows]):
+                found += [pack(pieces.transfer(before, body, size, c + 1 == n)) for before, body, size, c, n in rows[at : at + len(part)]]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.binary())], schema=matrix_schema)
 
     def up(group: pd.DataFrame) -> pd.DataFrame:
@@ -441,11 +447,10 @@ def encode(docs: DataFrame, model_path: str = PIECE_MODEL, text: str = "text", c
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(held.value)
         for b in batches:
-            cols = [b.column(i).to_pylist() for i in range(2, 9)]
+            rows = list(zip(*[b.column(i).to_pylist() for i in range(2, 9)]))
             found = []
-            for before, body, size, c, n, s, e in zip(*cols):
-                pieces.prepare(set(pieces.split.findall(body)))
-                found.append(pieces.backtrace(before, body, size, c + 1 == n, s, e))
+            for at, part in pieces.parts([r[1] for r in rows]):
+                found += [pieces.backtrace(before, body, size, c + 1 == n, s, e) for before, body, size, c, n, s, e in rows[at : at + len(part)]]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1).cast(schema.field(0).type), b.column(5), ids_array(found).cast(schema.field(1).type)],
                 schema=chunked_schema)
