@@ -93,10 +93,10 @@ def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Preference rows of every conversation that has an assistant reply."""
     found = paired(*reply_swaps(read_table(spark, sf_dir, "conversations")))
     total = lambda spans: F.aggregate(spans, F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
+    starts = lambda c: F.array_join(F.transform(c, lambda x: x["start"].cast("string")), ",")
     return found.select(F.col("pair_id").alias("conv_id"), "n_prompt_turns", "prompt", "chosen", "rejected",
                         total(F.col("chosen_mask")).alias("chosen_trained"), total(F.col("rejected_mask")).alias("rejected_trained"),
-                        F.transform("chosen_mask", lambda x: x["start"]).alias("chosen_starts"),
-                        F.transform("rejected_mask", lambda x: x["start"]).alias("rejected_starts"))
+                        starts("chosen_mask").alias("chosen_starts"), starts("rejected_mask").alias("rejected_starts"))
 
 
 OP10_SQL = r"""
@@ -126,7 +126,7 @@ SELECT pair_id AS conv_id, max(n_prompt)::BIGINT AS n_prompt_turns,
   coalesce(string_agg(CASE WHEN side = 'r' AND place >= n_prompt THEN t END, '' ORDER BY place), '') AS rejected,
   coalesce(sum(CASE WHEN side = 'c' AND place >= n_prompt AND role = 'assistant' THEN length(body) END), 0)::BIGINT AS chosen_trained,
   coalesce(sum(CASE WHEN side = 'r' AND place >= n_prompt AND role = 'assistant' THEN length(body) END), 0)::BIGINT AS rejected_trained,
-  coalesce(list(b::BIGINT ORDER BY place) FILTER (side = 'c' AND place >= n_prompt AND role = 'assistant'), []) AS chosen_starts,
-  coalesce(list(b::BIGINT ORDER BY place) FILTER (side = 'r' AND place >= n_prompt AND role = 'assistant'), []) AS rejected_starts
+  coalesce(string_agg(CAST(b::BIGINT AS VARCHAR), ',' ORDER BY place) FILTER (side = 'c' AND place >= n_prompt AND role = 'assistant'), '') AS chosen_starts,
+  coalesce(string_agg(CAST(b::BIGINT AS VARCHAR), ',' ORDER BY place) FILTER (side = 'r' AND place >= n_prompt AND role = 'assistant'), '') AS rejected_starts
 FROM offsets GROUP BY 1
 """
