@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -64,6 +65,19 @@ def load_model(path: str) -> dict:
     return {"pieces": [(p.piece, p.score, p.type) for p in model.pieces], "prefix": spec.add_dummy_prefix}
 
 
+class Solved(dict):
+    """Ids of the stretches between forced cuts, remembered (long ones and an overflow are not)."""
+
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.pieces.solve(word)
+        if len(word) <= LONG_WORD and len(self) < 2 * WORDS_KEPT:
+            self[word] = ids
+        return ids
+
+
 class Pieces:
     """The lattice of a model: which pieces start at a character, and what they score."""
 
@@ -85,7 +99,13 @@ class Pieces:
             self.split = re.compile(f"[{alone}]|[^{alone}]+" if alone else "(?s:.+)")
         else:
             self.split = re.compile(f"{f'[{alone}]|' if alone else ''}{MARK}+[^{MARK}{alone}]*|[^{MARK}{alone}]+")
-        self.solved: dict[str, tuple[int, bytes]] = {}
+        self.solved: dict[str, bytes] = Solved(self)
+        # what each id adds to a path's score: an unknown character counts with its first byte
+        self.id_scores = np.array([round(s * SCALE) if kind in (1, 4) else 0 for _, s, kind in model["pieces"]], np.int64)
+        for b, i in self.bytes.items():
+            self.id_scores[i] = 0 if b & 0xC0 == 0x80 else self.unknown_score
+        if not self.bytes:
+            self.id_scores[self.unknown_id] = self.unknown_score
         self.trie: Trie | None = None
 
     def normal(self, text: str) -> str:
@@ -138,23 +158,22 @@ class Pieces:
                 ids.append(self.unknown_id)
         return np.array(ids, np.int32).tobytes()
 
-    def solve(self, word: str) -> tuple[int, bytes]:
-        """Score and ids of a stretch between forced cuts."""
-        found = self.solved.get(word)
-        if found is None:
-            n = len(word)
-            score, back = self.paths(word, 0, n, n)
-            found = score[n], self.emit(word, self.starts(back, n, 0), n)
-            if n <= LONG_WORD:
-                if len(self.solved) >= 2 * WORDS_KEPT:
-                    self.solved.clear()
-                self.solved[word] = found
-        return found
+    def solve(self, word: str) -> bytes:
+        """Ids of a stretch between forced cuts."""
+        n = len(word)
+        _, back = self.paths(word, 0, n, n)
+        return self.emit(word, self.starts(back, n, 0), n)
+
+    def score(self, ids: bytes) -> int:
+        return int(self.id_scores[np.frombuffer(ids, np.int32)].sum())
 
     def prepare(self, words: set[str]) -> None:
         """Solve many new words at once: the same Viterbi, all words position by position."""
         if len(self.solved) + len(words) > WORDS_KEPT:
+            # the words met first are mostly the frequent ones: they stay
+            kept = dict(islice(self.solved.items(), max(0, WORDS_KEPT // 2 - len(words) // 2)))
             self.solved.clear()
+            self.solved.update(kept)
         new = [w for w in words.difference(self.solved) if len(w) <= LONG_WORD]
         if len(new) < 64:                          # not worth the arrays
             return
@@ -187,10 +206,10 @@ class Pieces:
             step = np.arange(len(column)) - np.repeat(np.cumsum(length) - length, length)
             ids = self.piece_ids[taken[length[column] - 1 - step, column]].tobytes()
             ends = 4 * np.cumsum(length)
-            scores = score[sizes, np.arange(n)].tolist()
             ok = np.flatnonzero(~unknown).tolist()                     # unknown characters need bytes: left to ``solve``
             stops, starts = ends.tolist(), (ends - 4 * length).tolist()
-            self.solved.update((new[places[k]], (scores[k], ids[starts[k] : stops[k]])) for k in ok)
+            at = places.tolist()
+            self.solved.update((new[at[k]], ids[starts[k] : stops[k]]) for k in ok)
 
     def parts(self, texts: list[str | None]) -> Iterator[tuple[int, list[list[str]]]]:
         """Texts as their words, in parts of about ``WORDS_KEPT`` / 4 distinct words that are solved together.
@@ -207,8 +226,7 @@ class Pieces:
                 at, found, words = k + 1, [], set()
 
     def ids_of(self, words: list[str]) -> bytes:
-        solved, solve = self.solved.get, self.solve
-        return b"".join([(solved(w) or solve(w))[1] for w in words])
+        return b"".join(map(self.solved.__getitem__, words))
 
     def encode(self, normal: str) -> bytes:
         return self.ids_of(self.split.findall(normal))
@@ -248,7 +266,7 @@ class Pieces:
         between = self.cuts(before, text, size, ends)
         if between is not None:
             first, last = between
-            middle = sum(self.solve(w)[0] for w in self.split.findall(text[first:last]))
+            middle = self.score(self.ids_of(self.split.findall(text[first:last])))
             exits, _ = self.paths(text, last, size, stop)
             order = []
             for s in range(min(k, first + 1)):

@@ -89,6 +89,7 @@ def test_many_words_at_once_equal_one_by_one():
     assert len(together.solved) > 250
     for w, found in together.solved.items():
         assert found == single.solve(w), w
+        assert together.score(found) == single.paths(w, 0, len(w), len(w))[0][-1]
     texts = [None, "", " ".join(w[1:] for w in sorted(words))]
     normals = [None if t is None else single.normal(t) for t in texts]
     assert together.encode_all(normals) == [None if t is None else single.encode(t) for t in normals]
