@@ -1,6 +1,8 @@
 """License scan: MinHash bands over overlapping text windows retrieve templates, shingles verify.
 
-Words are runs of letters and digits, lower-cased; shingles are five consecutive words.  The
+Words are runs of letters and digits, lower-cased; shingles are five consecutive words.  A
+template of fewer words is one shingle of all its words, in a group of its own length, and is
+found as that sequence of words; one without words is an error.  The
 shingles of the texts lie in windows of three blocks, one block apart, so that every stretch of
 up to two blocks is inside a window.  Templates are grouped by length; a group's block is
 its longest template (``MIN_BLOCK`` at least).  A window that holds c = ceil(least * s) of the s
@@ -17,8 +19,8 @@ template's shingles, as words, in the window.  A document has a license when a w
 contains at least ``least`` of the template.
 
 A task works on the texts of an Arrow batch, part by part; templates are a fixed list.
-Defined results: NULL or empty texts, and texts under five words, have no license.  Repeated
-rows each get their rows, NULL doc_id included.  Only the named columns are read.
+Defined results: NULL or empty texts, and texts shorter than a template's shingle, do not have
+that license.  Repeated rows each get their rows, NULL doc_id included.  Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -76,8 +78,8 @@ def words_of(text: str | None) -> list[str]:
     return TOKEN.findall((text or "").lower())
 
 
-def shingles(words: list[str]) -> set[tuple[str, ...]]:
-    return {tuple(words[i : i + SHINGLE_WORDS]) for i in range(len(words) - SHINGLE_WORDS + 1)}
+def shingles(words: list[str], gram: int = SHINGLE_WORDS) -> set[tuple[str, ...]]:
+    return {tuple(words[i : i + gram]) for i in range(len(words) - gram + 1)}
 
 
 def bands_for(s: int, window: int, least: float = LEAST, probability: float = PROBABILITY) -> int:
@@ -87,15 +89,16 @@ def bands_for(s: int, window: int, least: float = LEAST, probability: float = PR
 
 
 class Group:
-    """Templates of similar length with their MinHash signatures."""
+    """Templates of similar length, by shingles of ``gram`` words, with their MinHash signatures."""
 
-    def __init__(self, templates: dict[str, list[str]], least: float):
-        self.sets = {name: shingles(words) for name, words in templates.items()}
+    def __init__(self, templates: dict[str, list[str]], least: float, gram: int = SHINGLE_WORDS):
+        self.gram = gram
+        self.sets = {name: shingles(words, gram) for name, words in templates.items()}
         sizes = [len(s) for s in self.sets.values()]
         self.block = max(MIN_BLOCK, *sizes)
         self.bands = bands_for(min(sizes), 3 * self.block, least)
         memory = TextHash()
-        own = [base_hash(gram_hashes(np.fromiter(map(memory.__getitem__, w), np.uint64, len(w)), SHINGLE_WORDS)) for w in templates.values()]
+        own = [base_hash(gram_hashes(np.fromiter(map(memory.__getitem__, w), np.uint64, len(w)), gram)) for w in templates.values()]
         self.names = list(templates)
         self.signatures = np.array([[(h * m).min() for h in own] for m in multipliers(self.bands)], np.uint32)     # bands x templates
 
@@ -109,15 +112,23 @@ def base_hash(grams: np.ndarray) -> np.ndarray:
 
 
 def grouped(templates: dict[str, str], least: float = LEAST) -> list[Group]:
-    """Templates by length: a group's longest has at most four times the shingles of its shortest, or fits MIN_BLOCK."""
-    by_size = sorted(((len(shingles(words_of(t))), n, words_of(t)) for n, t in templates.items() if shingles(words_of(t))))
+    """Templates by length: a group's longest has at most four times the shingles of its shortest, or fits MIN_BLOCK.
+
+    Templates of fewer than ``SHINGLE_WORDS`` words are grouped by their number of words.
+    """
+    words_by = {n: words_of(t) for n, t in templates.items()}
+    if empty := sorted(n for n, words in words_by.items() if not words):
+        raise ValueError(f"license templates without a word: {', '.join(empty)}")
+    by_size = sorted((len(shingles(words)), n, words) for n, words in words_by.items() if len(words) >= SHINGLE_WORDS)
     groups: list[list] = []
     for size, name, words in by_size:
         if groups and size <= max(MIN_BLOCK, 4 * groups[-1][0][0]):
             groups[-1].append((size, name, words))
         else:
             groups.append([(size, name, words)])
-    return [Group({n: w for _, n, w in g}, least) for g in groups]
+    short = [Group({n: words for n, words in words_by.items() if len(words) == gram}, least, gram)
+             for gram in sorted({len(words) for words in words_by.values() if len(words) < SHINGLE_WORDS})]
+    return short + [Group({n: w for _, n, w in g}, least) for g in groups]
 
 
 def colliding(hashes: np.ndarray, group: Group) -> list[tuple[int, str]]:
@@ -140,33 +151,38 @@ def colliding(hashes: np.ndarray, group: Group) -> list[tuple[int, str]]:
 def found_in(texts: list[list[str]], groups: list[Group], memory: TextHash, least: float) -> list[dict[str, list]]:
     """Per text {license: [shingles found, first word, windows]}, of its best window."""
     out: list[dict[str, list]] = [{} for _ in texts]
-    long = [i for i, w in enumerate(texts) if len(w) >= SHINGLE_WORDS]
-    if not long:
-        return out
-    streams = [base_hash(gram_hashes(np.fromiter(map(memory.__getitem__, texts[i]), np.uint64, len(texts[i])), SHINGLE_WORDS)) for i in long]
-    begins = np.cumsum([0, *map(len, streams)])
-    stream = np.concatenate(streams)
-    for group in groups:
-        for first, name in colliding(stream, group):
-            # the part of the window in each text it lies in
-            last = min(first + 3 * group.block, len(stream))
-            k = int(np.searchsorted(begins, first, side="right")) - 1
-            while k < len(long) and begins[k] < last:
-                low, high = max(first, begins[k]) - begins[k], min(last, begins[k + 1]) - begins[k]
-                words = texts[long[k]][low : high + SHINGLE_WORDS - 1]
-                wanted = group.sets[name]
-                common = len(wanted & shingles(words))
-                if common >= least * len(wanted):
-                    got = out[long[k]].setdefault(name, [0, int(low), 0])
-                    got[2] += 1
-                    if common > got[0]:
-                        got[0], got[1] = common, int(low)
-                k += 1
+    hashes = [np.fromiter(map(memory.__getitem__, w), np.uint64, len(w)) for w in texts]
+    for gram in sorted({group.gram for group in groups}):
+        long = [i for i, w in enumerate(texts) if len(w) >= gram]
+        if not long:
+            continue
+        streams = [base_hash(gram_hashes(hashes[i], gram)) for i in long]
+        begins = np.cumsum([0, *map(len, streams)])
+        stream = np.concatenate(streams)
+        for group in groups:
+            if group.gram != gram:
+                continue
+            for first, name in colliding(stream, group):
+                # the part of the window in each text it lies in
+                last = min(first + 3 * group.block, len(stream))
+                k = int(np.searchsorted(begins, first, side="right")) - 1
+                while k < len(long) and begins[k] < last:
+                    low, high = max(first, begins[k]) - begins[k], min(last, begins[k + 1]) - begins[k]
+                    words = texts[long[k]][low : high + gram - 1]
+                    wanted = group.sets[name]
+                    common = len(wanted & shingles(words, gram))
+                    if common >= least * len(wanted):
+                        got = out[long[k]].setdefault(name, [0, int(low), 0])
+                        got[2] += 1
+                        if common > got[0]:
+                            got[0], got[1] = common, int(low)
+                    k += 1
     return out
 
 
 def scanned(docs: DataFrame, templates: dict[str, str] = TEMPLATES, text: str = "text", doc_id: str = "doc_id", least: float = LEAST) -> DataFrame:
     """(doc_id, license, n_template, n_found, containment, first_word, n_windows) of every license in a row of ``docs``."""
+    grouped(templates, least)               # templates without words fail here, not in a task
     out = with_id(docs, doc_id, "license string, n_template long, n_found long, containment double, first_word long, n_windows long")
     schema = schema_of(out)
 

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from conftest import SF_SMALL
 from issuelens.llm import licenses as li
 
@@ -53,3 +55,20 @@ def test_defined_results(spark):
     got = sorted((r.doc_id or 0, r.license, r.containment) for r in li.scanned(docs).collect())
     assert got == [(0, "mit", 1.0), (4, "mit", 1.0), (4, "mit", 1.0), (5, "mit", 1.0)]
     assert li.scanned(docs.limit(0)).count() == 0
+
+
+def test_templates_under_five_words(spark):
+    short = {"arr": "All rights reserved.", "pd": "Public domain", "one": "Unlicense", "cc0": "CC0 1.0 Universal", "mit": li.TEMPLATES["mit"]}
+    rng = random.Random(5)
+    rows = [(0, "All rights"), (1, "ALL RIGHTS\nRESERVED"), (2, "all rights were reserved"), (3, "unlicense"), (4, None), (5, "public"), (6, "domain public")]
+    for name, t in short.items():
+        for _ in range(25):
+            body = [f"w{rng.randrange(10**5)}" for _ in range(rng.randrange(0, 300))]
+            at = rng.randrange(len(body) + 1)
+            rows.append((len(rows), " ".join(body[:at] + [t] + body[at:])))
+    plain = lambda t: " " + " ".join(li.words_of(t)) + " "
+    want = {(i, n) for i, t in rows for n, x in short.items() if plain(x) in plain(t)}
+    got = {(r.doc_id, r.license) for r in li.scanned(spark.createDataFrame(rows, "doc_id long, text string"), short).collect()}
+    assert got == want and {n for _, n in got} == set(short)
+    with pytest.raises(ValueError, match="bare"):
+        li.scanned(spark.createDataFrame(rows, "doc_id long, text string"), {"bare": " ... "})
