@@ -11,6 +11,7 @@ from issuelens.llm.quality import OP2_SQL, op2_quality_lines
 from issuelens.llm.sentencepiece import op1_sentencepiece
 from issuelens.llm.substrings import op6_substring_dedup
 from issuelens.llm.suffix_tree import op4_suffix_tree_score
+from issuelens.llm.toxicity import op12_toxicity
 from issuelens.llm.warc import op3_warc_derivatives
 
 QUERIES = {
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_benchmark_hits": op8_benchmark_hits,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_preferences": op10_preferences,
+    "op12_toxicity": op12_toxicity,
 }
 
 ORACLE: dict[str, str] = {
