@@ -12,13 +12,12 @@ assignee/reporter, nation = department, order status/priority = status/priority.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from issuelens.session import spread
 
 PAGE_SIZE = 100
-MAX_PROJECTS = 5_000
 
 # Fixed field catalogue of the landed project: field id -> display name, in page order.
 # Two ids share the display name "Department" (the duplicate-name case).
@@ -155,7 +154,9 @@ def issue_histories() -> Column:
     * status ``P``: one priority change only (no status item -> synthetic No-Change row);
     * status ``O``: ``Open -> In Progress`` after 1 day + up to 23 hours;
     * status ``F``: as ``O``, then an assignee change and ``in progress -> Done`` at 3 days
-      (lower-case spelling, merged by title case).
+      (lower-case spelling, merged by title case); where the key is divisible by 4 also, at 5 days
+      and written first, ``Resolved -> In Review`` and ``in review -> Closed`` in one history (more
+      statuses, a tie, histories out of order, and a status called like a report column).
     """
     created = F.col("o_orderdate").cast("timestamp")
     hours = F.least(F.lit(23), F.floor(F.col("o_totalprice") / 25000)).cast("int")
@@ -166,10 +167,13 @@ def issue_histories() -> Column:
     h1 = _rec(id=F.lit("1"), created=_iso(t1), items=F.array(_item("status", "Open", "In Progress")))
     h2 = _rec(id=F.lit("2"), created=_iso(t2),
               items=F.array(_item("assignee", "Ann", "Bob"), _item("status", "in progress", "Done")))
+    h3 = _rec(id=F.lit("3"), created=_iso(created + F.make_dt_interval(F.lit(5))),
+              items=F.array(_item("status", "Resolved", "In Review"), _item("status", "in review", "Closed")))
     status = F.col("o_orderstatus")
     return (F.when(F.col("o_orderpriority") == "5-LOW", F.slice(F.array(h1), 1, 0))
             .when(status == "P", F.array(h_prio))
             .when(status == "O", F.array(h1))
+            .when(F.col("o_orderkey") % 4 == 0, F.array(h3, h1, h2))
             .otherwise(F.array(h1, h2)))
 
 
@@ -182,14 +186,25 @@ def _no_options() -> Column:
     return F.slice(_options(F.lit("")), 1, 0)
 
 
+# Options that Spark cannot tell apart from another, or not address by their text: order keys
+# divisible by the number have the option (the first that applies).
+AWKWARD_OPTIONS = [(11, "email"), (13, ""), (17, "Paper `A4`"), (19, "IssueKeyNumber")]
+
+
 def multi_select_tactics() -> Column:
     """Tactics: empty for ``5-LOW``; first slot from the priority (``4-NOT SPECIFIED`` is an
-    unset option), second slot from the status when it has one."""
+    unset option), second slot from the status when it has one, and on some issues a third whose
+    text makes an awkward column name."""
     prio, status = F.col("o_orderpriority"), F.col("o_orderstatus")
     t1 = (F.when(prio == "1-URGENT", F.lit("Social Media")).when(prio == "2-HIGH", F.lit("Email"))
           .when(prio == "3-MEDIUM", F.lit("Newsletter")))
     t2 = F.when(status == "F", F.lit("Email")).when(status == "O", F.lit("Poster"))
+    t3 = None
+    for modulus, option in AWKWARD_OPTIONS:
+        rule = F.col("o_orderkey") % modulus == 0
+        t3 = F.when(rule, F.lit(option)) if t3 is None else t3.when(rule, F.lit(option))
     return (F.when(prio == "5-LOW", _no_options())
+            .when(t3.isNotNull(), _options(t1, t2, t3))
             .when(t2.isNull(), _options(t1))
             .otherwise(_options(t1, t2)))
 
@@ -203,9 +218,11 @@ def multi_select_audiences() -> Column:
 
 
 def multi_select_audiences_2() -> Column:
-    """Second audience field: two options for urgent and high priority, else JSON null."""
-    return F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"),
-                  _options(F.lit("Executive"), F.lit("Other")))
+    """Second audience field: two options for urgent and high priority, on some issues one more that
+    differs from the first by its case only; else JSON null."""
+    two = [F.lit("Executive"), F.lit("Other")]
+    some = F.when(F.col("o_orderkey") % 11 == 0, _options(*two, F.lit("executive"))).otherwise(_options(*two))
+    return F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), some)
 
 
 def time_to_resolution() -> Column:
@@ -284,7 +301,7 @@ def landed_pages(spark: SparkSession, sf_dir: str, by_project: bool = False,
     Columns: project, page_no, raw (the page JSON).  Pages carry ``startAt``,
     ``maxResults``, ``names`` and, except on each project's last page, ``nextPageToken``;
     ``total`` is the project's issue count.  With ``by_project`` the order status is the
-    project and every project also gets one trailing empty page.
+    project, so pages are of different sizes, and every project also gets one trailing empty page.
     """
     docs = issue_documents(spark, sf_dir)
     project = F.col("o_orderstatus") if by_project else F.lit("ORD")
@@ -295,23 +312,22 @@ def landed_pages(spark: SparkSession, sf_dir: str, by_project: bool = False,
     o = load(spark, sf_dir, "orders")
     totals = o.groupBy(project.alias("project")).agg(F.count(F.lit(1)).alias("total"), F.max(page_no).alias("last_page"))
     if by_project:
-        # One row per project (an order status), from the orders alone; looked up in the page
-        # rows, so that no page content is shuffled by its project.
-        rows = totals.limit(MAX_PROJECTS + 1).collect()
-        if len(rows) > MAX_PROJECTS:
-            raise ValueError("too many projects to look up")
-        known = F.create_map(*[x for r in rows for x in (F.lit(r.project), F.struct(F.lit(r.total).alias("total"), F.lit(r.last_page).alias("last_page")))]) \
-            if rows else F.lit(None).cast("map<string,struct<total:bigint,last_page:bigint>>")
-        pages = pages.withColumn("_p", known[F.col("project")]).select("*", "_p.total", "_p.last_page").drop("_p")
+        # Offsets count the project's issues on the pages before: a window over page counts (one row a
+        # page, from the orders alone), which a page looks up by its number.
+        counts = o.groupBy(project.alias("project"), page_no.alias("page_no")).agg(F.count(F.lit(1)).alias("n"))
+        whole = Window.partitionBy("project")
+        placed = counts.select("project", "page_no", F.sum("n").over(whole).alias("total"), F.max("page_no").over(whole).alias("last_page"),
+                               (F.sum("n").over(whole.orderBy("page_no")) - F.col("n")).alias("start_at"))
+        pages = pages.join(placed, ["project", "page_no"])
     else:
-        # One project: the total and last page are scalar subqueries over the orders (one
-        # issue per order), not a join.
-        pages = pages.withColumns({"total": o.select(F.count(F.lit(1))).scalar(),
+        # One project, whose order keys are its offsets: the total and last page are scalar subqueries
+        # over the orders (one issue per order), not a join.
+        pages = pages.withColumns({"total": o.select(F.count(F.lit(1))).scalar(), "start_at": F.col("page_no") * page_size,
                                    "last_page": o.select(F.max(page_no)).scalar()})
     token = F.when(F.col("page_no") < F.col("last_page"),
                    F.concat(F.lit("tok-"), (F.col("page_no") + 1).cast("string")))
     body = F.concat(
-        F.lit('{"startAt":'), (F.col("page_no") * page_size).cast("string"),
+        F.lit('{"startAt":'), F.col("start_at").cast("string"),
         F.lit(f',"maxResults":{page_size},"total":'), F.col("total").cast("string"),
         F.coalesce(F.concat(F.lit(',"nextPageToken":"'), token, F.lit('"')), F.lit("")),
         F.lit(',"names":'), F.lit(_names_json()),
@@ -320,7 +336,7 @@ def landed_pages(spark: SparkSession, sf_dir: str, by_project: bool = False,
     if by_project:
         empty = totals.select(
             "project", (F.col("last_page") + 1).alias("page_no"),
-            F.concat(F.lit('{"startAt":'), ((F.col("last_page") + 1) * page_size).cast("string"),
+            F.concat(F.lit('{"startAt":'), F.col("total").cast("string"),
                      F.lit(f',"maxResults":{page_size},"total":'), F.col("total").cast("string"),
                      F.lit(',"issues":[]}')).alias("raw"))
         out = out.unionByName(empty)

@@ -10,12 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructType, VariantType
 
-NESTED_TYPES = (ArrayType, MapType, StructType, VariantType)
-
+from issuelens.operators.names import q
 
-def q(name: str) -> Column:
-    """A column by its exact name (spaces, ``/``, ``?``, ``#``, ``Σ`` allowed)."""
-    return F.col(f"`{name}`")
+NESTED_TYPES = (ArrayType, MapType, StructType, VariantType)
 
 
 def select_renamed(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -75,9 +72,9 @@ def matching(df: DataFrame, starts_with: str | None = None, ends_with: str | Non
 
 
 def column_range(df: DataFrame, first: str, last: str) -> list[str]:
-    """P6 ``first:last`` by position."""
+    """P6 ``first:last`` by position, from right to left where ``last`` comes first."""
     i, j = df.columns.index(first), df.columns.index(last)
-    return df.columns[i:j + 1]
+    return df.columns[i:j + 1] if i <= j else df.columns[j:i + 1][::-1]
 
 
 def mutate_after(df: DataFrame, name: str, expr: Column, after: str, consumed: Sequence[str] = ()) -> DataFrame:

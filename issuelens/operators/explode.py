@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from issuelens.functions.paths import Step, variant_path
+from issuelens.operators.names import q
 
 
 def unnest_longer(df: DataFrame, col: str, values_to: str | None = None, pos_to: str | None = None,
@@ -26,7 +27,7 @@ def unnest_longer(df: DataFrame, col: str, values_to: str | None = None, pos_to:
     pos_to = pos_to or f"{values_to}_pos"
     arr = F.try_variant_get(F.col(col), "$", "array<variant>")
     gen = F.posexplode_outer(arr) if keep_empty else F.posexplode(arr)
-    others = [F.col(f"`{c}`") for c in df.columns if c != col]
+    others = [q(c) for c in df.columns if c != col]
     return df.select(*others, gen.alias(pos_to, values_to))
 
 
@@ -38,7 +39,7 @@ def unnest_keyed(df: DataFrame, col: str, key_to: str = "column", values_to: str
     which is how VARIANT stores them.
     Rows whose cell is not an object disappear.
     """
-    others = [F.col(f"`{c}`") for c in df.columns if c != col]
+    others = [q(c) for c in df.columns if c != col]
     as_map = F.try_variant_get(F.col(col), "$", "map<string,variant>")
     out = df.select(*others, F.posexplode(as_map).alias(pos_to or "_kpos", key_to, values_to))
     return out if pos_to else out.drop("_kpos")
@@ -52,9 +53,9 @@ def parallel_unnest(df: DataFrame, cols: Sequence[str], pos_to: str = "pos") ->
     """
     arrays = [F.try_variant_get(F.col(c), "$", "array<variant>").alias(c) for c in cols]
     zipped = F.arrays_zip(*arrays)
-    others = [F.col(f"`{c}`") for c in df.columns if c not in cols]
+    others = [q(c) for c in df.columns if c not in cols]
     out = df.select(*others, F.posexplode(zipped).alias(pos_to, "_z"))
-    return out.select(*[F.col(f"`{c}`") for c in df.columns if c not in cols], pos_to,
+    return out.select(*[q(c) for c in df.columns if c not in cols], pos_to,
                       *[F.col(f"_z.{c}").alias(c) for c in cols])
 
 
@@ -69,6 +70,6 @@ def keyed_to_record(df: DataFrame, ids: Sequence[str], key_col: str, value_col:
     val = F.struct(F.col(order_col), F.col(value_col)) if order_col else F.col(value_col)
     pivoted = df.groupBy(*ids).pivot(key_col, list(keys)).agg(F.collect_list(val))
     if order_col:
-        pivoted = pivoted.withColumns({k: F.transform(F.array_sort(F.col(f"`{k}`")), lambda s: s[value_col])
+        pivoted = pivoted.withColumns({k: F.transform(F.array_sort(q(k)), lambda s: s[value_col])
                                        for k in keys})
     return pivoted

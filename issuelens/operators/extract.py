@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import VariantType
 
 from issuelens.functions.paths import Step, as_steps, variant_path
+from issuelens.operators.names import q
 
 PathSpec = Step | Sequence[Step] | tuple  # ("a", 1) or (("a", 1), "double")
 
@@ -30,7 +31,7 @@ def _place(df: DataFrame, anchor: str, new_cols: dict[str, Column], after: bool)
     for c in existing:
         if c == anchor and not after:
             out.extend(v.alias(k) for k, v in pending.items())
-        out.append(new_cols[c].alias(c) if c in new_cols else F.col(f"`{c}`"))
+        out.append(new_cols[c].alias(c) if c in new_cols else q(c))
         if c == anchor and after:
             out.extend(v.alias(k) for k, v in pending.items())
     return df.select(*out)
@@ -50,7 +51,7 @@ def hoist(df: DataFrame, col: str, outputs: Mapping[str, PathSpec], remove: bool
     for name, spec in outputs.items():
         steps, dtype = _split_spec(spec)
         if is_variant:
-            new_cols[name] = F.try_variant_get(F.col(f"`{col}`"), variant_path(steps), dtype)
+            new_cols[name] = F.try_variant_get(q(col), variant_path(steps), dtype)
         else:
             new_cols[name] = F.lit(None).cast(dtype)
     out = _place(df, col, new_cols, after=False)
@@ -107,7 +108,7 @@ def hoist_all(df: DataFrame, col: str, path: Sequence[Step], sep: str = ";", rem
     name = name or f"{col}_" + "_".join(str(s) for s in steps)
     field = df.schema[col]
     if isinstance(field.dataType, VariantType):
-        expr = hoist_all_expr(F.col(f"`{col}`"), steps, sep)
+        expr = hoist_all_expr(q(col), steps, sep)
     else:
         expr = F.lit(None).cast("string")
     out = _place(df, col, {name: expr}, after=True)
@@ -133,7 +134,7 @@ def numbered_columns(df: DataFrame, col: str, leaf: str, prefix: str, width: int
     The width is one aggregate over the list sizes (map-side combined) unless it is given; a
     given width that an element would not fit in is an error, never a dropped element.
     """
-    v = F.col(f"`{col}`")
+    v = q(col)
     size = F.coalesce(F.array_size(F.try_variant_get(v, "$", "array<variant>")), F.lit(0))
     if width is None:
         width = df.agg(F.max(size)).first()[0] or 0

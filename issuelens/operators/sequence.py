@@ -70,10 +70,26 @@ def split_groups(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
     return as_table(sample.select(*keys, F.array_distinct(borders).alias("_borders")), "borders")
 
 
+def borders_below(borders: Column, key: Column) -> Column:
+    """How many of the ascending ``borders`` are at most ``key``: a binary search, so a row of a group with a
+    million ranges looks at twenty borders."""
+    halvings = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.log2(F.size(borders) + F.lit(1))).cast("int")))
+    start = F.struct(F.lit(0).alias("low"), F.size(borders).alias("high"))
+
+    def halve(span: Column, _: Column) -> Column:
+        middle = F.floor((span["low"] + span["high"]) / 2).cast("int")
+        below = F.get(borders, middle) <= key
+        return F.when(span["low"] >= span["high"], span) \
+            .when(below, F.struct((middle + 1).alias("low"), span["high"].alias("high"))) \
+            .otherwise(F.struct(span["low"].alias("low"), middle.alias("high")))
+
+    return F.aggregate(halvings, start, halve, lambda span: span["low"])
+
+
 def with_ranges(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], hot: DataFrame) -> DataFrame:
     """Attach ``_range`` (0 for ordinary groups) and ``_hot``; equal ordering keys share a range."""
     joined = null_safe_join(df, hot, keys).withColumn("_order", ordering_key(order_cols))
-    rng = F.size(F.filter("_borders", lambda b: b <= F.col("_order")))
+    rng = borders_below(F.col("_borders"), F.col("_order"))
     return (joined.withColumn(_B, F.when(F.col("_borders").isNull(), F.lit(0)).otherwise(rng).cast("long"))
             .withColumn("_hot", F.col("_borders").isNotNull())
             .drop("_borders", "_order"))
@@ -109,6 +125,25 @@ def lag_in_order(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
     return res.drop("__in_range", "_carry", _B, "_hot")
 
 
+def running_max_in_order(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], value: str, out: str,
+                         policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+    """``max(value) OVER (PARTITION BY keys ORDER BY order_cols ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)``
+    (ascending, NULLs last); NULL on a group's first row."""
+    order = [F.col(c).asc_nulls_last() for c in order_cols]
+    hot = split_groups(df, keys, order_cols, policy)
+    if hot is None:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn(out, F.max(value).over(w))
+
+    ranged = with_ranges(df, keys, order_cols, hot)
+    tops = ranged.where("_hot").groupBy(*keys, _B).agg(F.max(value).alias("_top"))
+    earlier = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    carry = tops.select(*keys, _B, F.max("_top").over(earlier).alias("_carry"))
+    w = Window.partitionBy(*keys, _B).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    res = null_safe_join(ranged.withColumn("__in_range", F.max(value).over(w)), carry, [*keys, _B])
+    return res.withColumn(out, F.greatest("__in_range", "_carry")).drop("__in_range", "_carry", _B, "_hot")
+
+
 def row_number_in_order(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], out: str,
                         count_out: str | None = None, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """``row_number()`` (and optionally ``count(*)``) over ``PARTITION BY keys ORDER BY order_cols``

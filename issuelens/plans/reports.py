@@ -26,11 +26,13 @@ from issuelens.operators.extract import hoist_all_expr
 from issuelens.operators.fields import (FieldCatalog, dictionary_entries, disambiguate,
                                         project_dictionary)
 from issuelens.operators.history import days_by_status, now_text
+from issuelens.operators.names import distinct_names, join_labels, named, q
 from issuelens.operators.sequence import SkewPolicy
 from issuelens.operators.tables import indicators, known_value, row_sum, vocabulary
 from issuelens.fixtures import landed_pages
-from issuelens.session import as_table
+from issuelens.session import as_table, shared_dir
 from issuelens.sources.pages import explode_issues, latest_issue_version, pages_from_text
+from issuelens.sources.sinks import csv_header, read_csv, write_csv
 
 BUILTIN = {"id", "key"}
 
@@ -242,7 +244,7 @@ def finish_rbas(df: DataFrame, excluded: Sequence[str] = ()) -> DataFrame:
     for c in out.columns:
         if c == "TimeToResolution":
             continue
-        cols.append(F.col(f"`{c}`"))
+        cols.append(q(c))
         if c == "Resolution":
             cols.append(millis_to_minutes(F.col("TimeToResolution")).alias("MinutesToResolution"))
     out = out.select(*cols)
@@ -260,7 +262,7 @@ def finish_com(df: DataFrame) -> DataFrame:
     """Q7: dates as written, then the header clean-up: drop still-nested columns (P3),
     strip the ``_name``/``_text``/``_val``/``_value`` suffixes (P5), underscores to spaces."""
     from issuelens.operators.columns import SUFFIX_PATTERN, drop_nested, rename_regex
-    out = df.withColumns({c: r_date(F.col(f"`{c}`")) for c in ("Created", "Initial Target Date", "Resolved")})
+    out = df.withColumns({c: r_date(q(c)) for c in ("Created", "Initial Target Date", "Resolved")})
     return rename_regex(rename_regex(drop_nested(out), SUFFIX_PATTERN, ""), "_", " ")
 
 
@@ -334,8 +336,11 @@ def sbp_report(pages: DataFrame, as_of: str | None = None, statuses: Sequence[st
     if statuses is not None:
         days = F.transform_keys(days, lambda k, v: known_value(k, names))
         report = report.withColumn("_days", days)
-    return report.select(*[F.col(f"`{c.out}`") for c in spec.columns],
-                         *[F.try_element_at(F.col("_days"), F.lit(n)).alias(n) for n in names])
+    # The join on the issue key in the reference: a status called like a report column gets a suffix, and so does the column.
+    mine, theirs = join_labels([spec.columns[0].out], [c.out for c in spec.columns], names)
+    cells = [q(c.out) for c in spec.columns] + [F.try_element_at(F.col("_days"), F.lit(n)) for n in names]
+    found = mine + theirs
+    return report.select(*[named(x, n, c) for x, n, c in zip(cells, distinct_names(found), found)])
 
 
 def settle_issues(pages: DataFrame, overlapping_pulls: bool = False) -> DataFrame:
@@ -380,8 +385,8 @@ def sbp_time_in_status(spark: SparkSession, sf: str) -> DataFrame:
     """Q4-Q6, every column; the status columns come from the data."""
     issues = settle_issues(pages_from_text(landed_pages(spark, sf), "raw"))
     rep = sbp_report(issues, as_of=AS_OF)
-    fixed = [c.out for c in SBP.columns]
-    return rep.select(*[F.col(c) for c in fixed], *[F.round(F.col(c), 6).alias(c) for c in rep.columns if c not in fixed])
+    fixed = len(SBP.columns)
+    return rep.select(*[q(c) for c in rep.columns[:fixed]], *[F.round(q(c), 6).alias(c) for c in rep.columns[fixed:]])
 
 
 # What the landed orders look like to a report, in SQL: plain field n is v<n>-<key modulo 50> unless
@@ -410,6 +415,7 @@ def _at(days: int, form: str = "%Y-%m-%d %H:%M:%S", when: str = "true") -> str:
 
 
 ISO = "%Y-%m-%dT%H:%M:%S.000+0000"
+_REVIEWED = "o_orderpriority <> '5-LOW' AND o_orderstatus = 'F' AND o_orderkey % 4 = 0"
 _FINAL, _NOT_P = "o_orderstatus = 'F'", "o_orderstatus <> 'P'"
 
 
@@ -422,8 +428,9 @@ FLAGSHIP_ORACLE = _BASE_SQL + _select({
     "Created": _at(0, ISO), "RequestedDueDate": _plain(16), "SpaceBookingAdmin": _plain(13), "NumberOfSpaces": _plain(3),
     "FloorPlan": _plain(25), "FurniturePlan": _plain(26), "LastUpdatedStatus": _plain(4), "Department": "n_name",
     "DueDate": _day(8, 5), "Organization": "n_name || ' Branch'", "Priority": "o_orderpriority", "Reporter": _plain(10),
-    "RequestParticipants": "c_name || ';' || n_name", "RequestType": "c_mktsegment", "Resolved": _at(3, ISO, _FINAL),
+    "RequestParticipants": "c_name || ';' || n_name", "RequestType": "c_mktsegment", "Resolved.x": _at(3, ISO, _FINAL),
     "Status": "o_orderstatus", "Summary": _plain(0), "Updated": _at(4, ISO), "Parent": _plain(33),
+    "InReview": f"CASE WHEN {_REVIEWED} THEN 0.0::DOUBLE END", "Resolved.y": f"CASE WHEN {_REVIEWED} THEN 2.0::DOUBLE END",
     "InProgress": "CASE WHEN o_orderpriority = '5-LOW' OR o_orderstatus <> 'F' THEN NULL ELSE round(2 - h / 24.0, 6) END",
     "Open": f"""CASE WHEN o_orderpriority = '5-LOW' THEN NULL
             WHEN o_orderstatus = 'P' THEN round((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(o_orderdate)) / 86400000000.0, 6)
@@ -431,11 +438,11 @@ FLAGSHIP_ORACLE = _BASE_SQL + _select({
 
 
 def _days_text(df: DataFrame, *cols: str) -> DataFrame:
-    return df.withColumns({c: F.date_format(F.col(f"`{c}`"), "yyyy-MM-dd") for c in cols})
+    return df.withColumns({c: F.date_format(q(c), "yyyy-MM-dd") for c in cols})
 
 
 def _instants_text(df: DataFrame, *cols: str) -> DataFrame:
-    return df.withColumns({c: F.date_format(F.col(f"`{c}`"), "yyyy-MM-dd HH:mm:ss") for c in cols})
+    return df.withColumns({c: F.date_format(q(c), "yyyy-MM-dd HH:mm:ss") for c in cols})
 
 
 def _landed(spark: SparkSession, sf: str, spec: ReportSpec) -> DataFrame:
@@ -521,7 +528,7 @@ def option_matrix(issues: DataFrame, catalog: FieldCatalog, key: str, sources: S
         options = vocabulary(rows.select(F.explode("_options").alias("option")), "option")
     else:
         rows = rows.withColumn("_options", F.transform("_options", lambda v: known_value(v, options)))
-    return rows.select(key, *indicators(F.col("_options"), options))
+    return rows.select(key, *indicators(F.col("_options"), options, [key]))
 
 
 AUDIENCES = ["Intended audiences", "Intended Audience(s)"]
@@ -537,6 +544,16 @@ def com_tactics(spark: SparkSession, sf: str) -> DataFrame:
     return option_matrix(*_com_issues(spark, sf), "IssueKeyNumber", ["Tactics"])
 
 
+def com_tactics_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Q8 + S3: the tactics matrix as CSV, whose header has the options' exact texts, read back by place."""
+    matrix = com_tactics(spark, sf)
+    path = shared_dir(spark, "matrix")
+    write_csv(matrix, path)
+    if spark.read.text(path).where(F.col("value") == F.lit(csv_header(matrix))).isEmpty():
+        raise RuntimeError("the report has no header with the options' texts")
+    return read_csv(spark, path, matrix.schema)
+
+
 def com_audiences(spark: SparkSession, sf: str) -> DataFrame:
     """Q9: issue x audience matrix over both audience fields."""
     return option_matrix(*_com_issues(spark, sf), "IssueKeyNumber", AUDIENCES)
@@ -550,7 +567,7 @@ def com_audience_count(spark: SparkSession, sf: str) -> DataFrame:
 
 _COM_BASE = """
 WITH b AS (
-  SELECT CAST(o.o_orderkey AS VARCHAR) AS IssueKeyNumber, o.o_orderpriority AS prio, o.o_orderstatus AS status,
+  SELECT CAST(o.o_orderkey AS VARCHAR) AS IssueKeyNumber, o.o_orderkey AS k, o.o_orderpriority AS prio, o.o_orderstatus AS status,
          CASE c.c_mktsegment WHEN 'BUILDING' THEN 'All Employees' WHEN 'AUTOMOBILE' THEN 'Executive'
                              WHEN 'MACHINERY' THEN 'Managers' ELSE 'Other' END AS seg_aud
   FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey)
@@ -561,7 +578,11 @@ SELECT IssueKeyNumber,
   CASE WHEN prio <> '5-LOW' AND (prio = '2-HIGH' OR status = 'F') THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS "Email",
   CASE WHEN prio = '3-MEDIUM' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS "Newsletter",
   CASE WHEN prio <> '5-LOW' AND status = 'O' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS "Poster",
-  CASE WHEN prio = '1-URGENT' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS "Social Media"
+  CASE WHEN prio = '1-URGENT' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS "Social Media",
+  CAST(prio <> '5-LOW' AND k % 11 = 0 AS DOUBLE) AS "email.2",
+  CAST(prio <> '5-LOW' AND k % 11 <> 0 AND k % 13 = 0 AS DOUBLE) AS "(empty)",
+  CAST(prio <> '5-LOW' AND k % 11 <> 0 AND k % 13 <> 0 AND k % 17 = 0 AS DOUBLE) AS "Paper `A4`",
+  CAST(prio <> '5-LOW' AND k % 11 <> 0 AND k % 13 <> 0 AND k % 17 <> 0 AND k % 19 = 0 AS DOUBLE) AS "IssueKeyNumber.2"
 FROM b
 """
 _COM_AUDIENCE_MATRIX = _COM_BASE + """,
@@ -571,12 +592,13 @@ m AS (
     CASE WHEN status = 'O' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS "Blank",
     CASE WHEN (status <> 'O' AND seg_aud = 'Executive') OR prio IN ('1-URGENT', '2-HIGH') THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS "Executive",
     CASE WHEN status <> 'O' AND seg_aud = 'Managers' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS "Managers",
-    CASE WHEN (status <> 'O' AND seg_aud = 'Other') OR prio IN ('1-URGENT', '2-HIGH') THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS "Other"
+    CASE WHEN (status <> 'O' AND seg_aud = 'Other') OR prio IN ('1-URGENT', '2-HIGH') THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS "Other",
+    CAST(prio IN ('1-URGENT', '2-HIGH') AND k % 11 = 0 AS DOUBLE) AS "executive.2"
   FROM b)
 """
 COM_AUDIENCES_ORACLE = _COM_AUDIENCE_MATRIX + "SELECT * FROM m"
 COM_COUNT_ORACLE = _COM_AUDIENCE_MATRIX + """SELECT IssueKeyNumber,
-  "All Employees" + "Executive" + "Managers" + "Other" AS "Count" FROM m"""
+  "All Employees" + "Executive" + "Managers" + "Other" + "executive.2" AS "Count" FROM m"""
 
 
 # --------------------------------------------------------------------------------------
@@ -647,7 +669,8 @@ CSR_ORACLE = _BASE_SQL + _select({
     "Project": _plain(9), "PIN": _plain(5), "Resolved": _at(3, when=_FINAL), "Updated": _at(4), "Description": "c_name",
     "RequestType": "c_mktsegment", "Summary": _plain(0), "StatusCategoryChanged": _at(5, when=_NOT_P), "Priority": "o_orderpriority",
     "Status": "o_orderstatus", "TotalProgress": "CAST(o_orderkey % 102 AS DOUBLE)", "Created": _at(0),
-    "Changelog": """CAST(CASE WHEN o_orderpriority = '5-LOW' THEN 0 WHEN o_orderstatus IN ('P', 'O') THEN 1 ELSE 2 END AS BIGINT)"""})
+    "Changelog": """CAST(CASE WHEN o_orderpriority = '5-LOW' THEN 0 WHEN o_orderstatus IN ('P', 'O') THEN 1
+                          WHEN o_orderkey % 4 = 0 THEN 3 ELSE 2 END AS BIGINT)"""})
 
 
 REPORT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -655,6 +678,7 @@ REPORT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "par_report": par_report,
     "project_reports": project_reports,
     "com_tactics": com_tactics,
+    "com_tactics_csv": com_tactics_csv,
     "com_audiences": com_audiences,
     "com_audience_count": com_audience_count,
     "rbas_report": rbas_report,
@@ -666,6 +690,7 @@ REPORT_ORACLES: dict[str, str] = {
     "par_report": PAR_ORACLE,
     "project_reports": PROJECT_REPORTS_ORACLE,
     "com_tactics": COM_TACTICS_ORACLE,
+    "com_tactics_csv": COM_TACTICS_ORACLE,
     "com_audiences": COM_AUDIENCES_ORACLE,
     "com_audience_count": COM_COUNT_ORACLE,
     "rbas_report": RBAS_ORACLE,

@@ -24,6 +24,7 @@ from issuelens.operators.explode import keyed_to_record, parallel_unnest, unnest
 from issuelens.operators.extract import collapse_strict, ensure_columns, hoist, hoist_all, numbered_columns
 from issuelens.operators.fields import disambiguate
 from issuelens.operators.history import status_durations, status_transitions
+from issuelens.operators.sequence import SkewPolicy, lag_in_order, row_number_in_order, running_max_in_order
 from issuelens.operators.tables import (indicator_matrix, left_enrich, natural_full_join,
                                         row_sum, unpivot_long)
 from issuelens.fixtures import _rec, issue_documents, landed_pages, load
@@ -604,14 +605,18 @@ SELECT vec_id, CAST(len(embedding) AS BIGINT) AS dim, label FROM embeddings
 # --------------------------------------------------------------------------------------
 def q_page_audit(spark: SparkSession, sf: str) -> DataFrame:
     """S1 + S2: pages written as ``project=`` files, read back and audited; beside each good set, project
-    F's pages with one page cut short, one left out and one landed twice."""
+    F's pages with one page cut short, one left out, the first left out, one landed twice, and one that
+    begins an issue too soon."""
     pages = as_table(landed_pages(spark, sf, by_project=True), "pages")
     final = pages.where("project = 'F'")
-    second = final.where(F.col("page_no") == final.select(F.min("page_no") + 1).scalar())
-    others = final.where(F.col("page_no") != final.select(F.min("page_no") + 1).scalar())
+    at = F.col("page_no") - final.select(F.min("page_no")).scalar()
+    second, others = final.where(at == 1), final.where(at != 1)
     named = lambda df, name: df.withColumn("project", F.lit(name))
+    start = F.get_json_object("raw", "$.startAt").cast("bigint")
+    early = second.withColumn("raw", F.concat(F.lit('{"startAt":'), (start - 1).cast("string"), F.substring("raw", F.instr("raw", ","), F.length("raw"))))
     sets = (pages.unionByName(named(others, "cut")).unionByName(named(second, "cut").withColumn("raw", F.substring("raw", 1, 200)))
-            .unionByName(named(others, "gap")).unionByName(named(final, "twice")).unionByName(named(second, "twice")))
+            .unionByName(named(others, "gap")).unionByName(named(final, "twice")).unionByName(named(second, "twice"))
+            .unionByName(named(final.where(at != 0), "head")).unionByName(named(others, "overlap")).unionByName(named(early, "overlap")))
     path = shared_dir(spark, "landing")
     sets.select("project", F.col("raw").alias("value")).write.partitionBy("project").text(path)
     audit = page_audit(read_pages(spark, path, one_page_per_line=True))
@@ -622,17 +627,52 @@ def q_page_audit(spark: SparkSession, sf: str) -> DataFrame:
 _SQL_PAGE_AUDIT = """
 WITH p AS (SELECT o_orderstatus AS project, o_orderkey // 100 AS page_no, count(*) AS n FROM orders GROUP BY 1, 2),
 f AS (SELECT * FROM p WHERE project = 'F'),
+first AS (SELECT n FROM f WHERE page_no = (SELECT min(page_no) FROM f)),
 second AS (SELECT n FROM f WHERE page_no = (SELECT min(page_no) + 1 FROM f)),
 good AS (
   SELECT project, count(*) + 1 AS pages, count(*) AS nonempty_pages, CAST(sum(n) AS BIGINT) AS issues,
          CAST(sum(n) AS BIGINT) AS announced_total, CAST(1 AS BIGINT) AS last_pages, CAST(0 AS BIGINT) AS broken_pages,
-         CAST(0 AS BIGINT) AS repeated_pages, CAST(max(page_no) - min(page_no) + 1 - count(*) AS BIGINT) AS missing_pages FROM p GROUP BY project),
+         CAST(0 AS BIGINT) AS repeated_pages, CAST(0 AS BIGINT) AS missing_pages, CAST(0 AS BIGINT) AS missing_issues,
+         CAST(0 AS BIGINT) AS overlapping_issues FROM p GROUP BY project),
 g AS (SELECT * FROM good WHERE project = 'F')
-SELECT *, missing_pages = 0 AS complete FROM good
-UNION ALL SELECT 'only P', pages, nonempty_pages, issues, announced_total, last_pages, 0, 0, missing_pages, missing_pages = 0 FROM good WHERE project = 'P'
-UNION ALL SELECT 'cut', pages, nonempty_pages - 1, issues - (SELECT n FROM second), announced_total, last_pages, 1, 0, missing_pages + 1, false FROM g
-UNION ALL SELECT 'gap', pages - 1, nonempty_pages - 1, issues - (SELECT n FROM second), announced_total, last_pages, 0, 0, missing_pages + 1, false FROM g
-UNION ALL SELECT 'twice', pages + 1, nonempty_pages + 1, issues, announced_total, last_pages, 0, 1, missing_pages, false FROM g
+SELECT *, true AS complete FROM good
+UNION ALL SELECT 'only P', * EXCLUDE (project), true FROM good WHERE project = 'P'
+UNION ALL SELECT 'cut', pages, nonempty_pages - 1, issues - s.n, announced_total, last_pages, 1, 0, 0, s.n, 0, false FROM g, second s
+UNION ALL SELECT 'gap', pages - 1, nonempty_pages - 1, issues - s.n, announced_total, last_pages, 0, 0, 0, s.n, 0, false FROM g, second s
+UNION ALL SELECT 'head', pages - 1, nonempty_pages - 1, issues - s.n, announced_total, last_pages, 0, 0, 0, s.n, 0, false FROM g, first s
+UNION ALL SELECT 'twice', pages + 1, nonempty_pages + 1, issues, announced_total, last_pages, 0, 1, 0, 0, s.n, false FROM g, second s
+UNION ALL SELECT 'overlap', pages, nonempty_pages, issues, announced_total, last_pages, 0, 0, 0, 1, 1, false FROM g
+"""
+
+
+# --------------------------------------------------------------------------------------
+# W1 W3 A6 -- hot groups split into ranges: NULL keys, ties, missing ordering values
+# --------------------------------------------------------------------------------------
+FEW_ROWS = SkewPolicy(rows_per_task=50, sample_per_range=20)
+
+
+def q_hot_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """A few users (one of them missing) have all the events; days are missing or shared by many.  Every group
+    is cut into ranges of some 50 rows, whose numbers, lags and running maxima must join up."""
+    ev = load(spark, sf, "events").select(
+        "event_id", F.when(F.col("user_id") % 3 != 0, F.col("user_id") % 5).alias("user"), F.col("value"),
+        F.when(F.col("event_id") % 7 != 0, F.date_trunc("day", F.col("ts").cast("timestamp"))).alias("day"))
+    order = ["day", "event_id"]
+    out = row_number_in_order(ev, ["user"], order, "row_no", "n_rows", policy=FEW_ROWS)
+    out = lag_in_order(out, ["user"], order, "value", F.lit(-1.0), "value_before", policy=FEW_ROWS)
+    out = running_max_in_order(out, ["user"], order, "value", "most_before", policy=FEW_ROWS)
+    return out.select("event_id", F.col("row_no").cast("bigint").alias("row_no"), F.col("n_rows").cast("bigint").alias("n_rows"),
+                      _r6(F.col("value_before")).alias("value_before"), _r6(F.col("most_before")).alias("most_before"))
+
+
+_SQL_HOT_RANGES = """
+WITH e AS (
+  SELECT event_id, CASE WHEN user_id % 3 <> 0 THEN user_id % 5 END AS u, value,
+         CASE WHEN event_id % 7 <> 0 THEN date_trunc('day', ts) END AS day FROM events)
+SELECT event_id, row_number() OVER w AS row_no, count(*) OVER (PARTITION BY u) AS n_rows,
+       round(lag(value, 1, -1.0) OVER w, 6) AS value_before,
+       round(max(value) OVER (PARTITION BY u ORDER BY day NULLS LAST, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 6) AS most_before
+FROM e WINDOW w AS (PARTITION BY u ORDER BY day NULLS LAST, event_id)
 """
 
 
@@ -698,6 +738,7 @@ QUERIES: dict[str, Query] = {
     "nan_fill": q_nan_fill,
     "drop_columns": q_drop_columns,
     "page_audit": q_page_audit,
+    "hot_ranges": q_hot_ranges,
     "csv_roundtrip": q_csv_roundtrip,
 }
 
@@ -722,5 +763,6 @@ ORACLE: dict[str, str] = {
     "nan_fill": _SQL_NAN_FILL,
     "drop_columns": _SQL_DROP_COLUMNS,
     "page_audit": _SQL_PAGE_AUDIT,
+    "hot_ranges": _SQL_HOT_RANGES,
     "csv_roundtrip": _SQL_CSV_ROUNDTRIP,
 }

@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelens.operators.sequence import null_safe_join
+from issuelens.operators.sequence import DEFAULT_POLICY, SkewPolicy, null_safe_join, running_max_in_order
+from issuelens.session import as_table
 
 PAGE_COLUMNS = ["project", "pull", "page_no", "raw", "body"]
 
@@ -110,37 +111,80 @@ def latest_issue_version(issues: DataFrame) -> DataFrame:
         .select(*issues.columns)
 
 
-def page_audit(pages: DataFrame) -> DataFrame:
-    """S2 + A7: completeness of each project's landed page set.
+def page_figures(pages: DataFrame) -> DataFrame:
+    """Every page reduced to what the audit needs, in the scan: one parse a page.
 
-    Per project: pages, non-empty pages, distinct issues, the largest announced ``total``, last
-    pages (with issues but no continuation token), pages that do not parse, page numbers
-    landed more than once and page numbers missing between the first and the last.  A set
-    is complete when it has exactly one last page, no broken, repeated or missing page, and as
-    many distinct issues as announced.  Pages are reduced to their figures and issue ids in
-    the scan; only those are shuffled, and issues are counted from map-side combined ids.
+    ``begin``/``finish`` is the part of its set that a page covers: the issues
+    [startAt, startAt + issues) of a page with an offset, else its page number.
     """
     ids = F.transform(F.coalesce(F.try_variant_get(F.col("body"), "$.issues", "array<variant>"), F.array().cast("array<variant>")),
                       lambda i: F.try_variant_get(i, "$.id", "string"))
     read = pages.select("project", "page_no", F.col("body").isNull().alias("broken"), ids.alias("ids"),
-                        F.try_variant_get(F.col("body"), "$.nextPageToken", "string").alias("token"),
-                        F.try_variant_get(F.col("body"), "$.total", "bigint").alias("total"))
-    figures = read.select("project", "page_no", "broken", F.size("ids").alias("n"), "token", "total")
-    per_project = figures.groupBy("project").agg(
+                        F.try_variant_get(F.col("body"), "$.nextPageToken", "string").isNotNull().alias("continued"),
+                        F.try_variant_get(F.col("body"), "$.total", "bigint").alias("total"),
+                        F.try_variant_get(F.col("body"), "$.startAt", "bigint").alias("offset"))
+    n = F.size("ids").cast("bigint")
+    return read.select("*", n.alias("n"), F.col("offset").isNotNull().alias("by_offset"), F.coalesce("offset", "page_no").alias("begin"),
+                       (F.coalesce("offset", "page_no") + F.when(F.col("offset").isNotNull(), n).otherwise(1)).alias("finish"))
+
+
+def coverage(figures: DataFrame, first_offset: int = 0, first_page: int = 0, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+    """What the pages of a set leave out or hold twice: a sweep over their parts in order of their begins.
+
+    A page leaves a hole where it begins after everything before it has ended (the first one: after
+    the set's beginning), and overlaps where it begins sooner.  The running maximum of the ends makes
+    this right for pages of any size, and is carried over ranges where a project has very many pages.
+    """
+    parts = figures.where(F.col("begin").isNotNull() & ((F.col("finish") > F.col("begin")) | ~F.col("by_offset")))
+    swept = running_max_in_order(parts.select("project", "by_offset", "begin", "finish", "n"), ["project", "by_offset"], ["begin", "finish", "n"],
+                                 "finish", "_before", policy)
+    before = F.coalesce("_before", F.when(F.col("by_offset"), F.lit(first_offset)).otherwise(F.lit(first_page)))
+    hole = F.greatest(F.col("begin") - before, F.lit(0))
+    twice = F.when(F.col("_before").isNotNull(), F.greatest(F.least("finish", "_before") - F.col("begin"), F.lit(0)))
+    again = F.coalesce(F.col("_before").isNotNull() & (F.col("finish") <= F.col("_before")), F.lit(False))
+    zero = F.lit(0).cast("bigint")
+    return swept.groupBy("project").agg(
+        F.coalesce(F.sum(F.when(~F.col("by_offset"), hole)), zero).alias("missing_pages"),
+        F.coalesce(F.sum(F.when(F.col("by_offset"), hole)), zero).alias("_holes"),
+        F.coalesce(F.sum(F.when(F.col("by_offset"), twice)), zero).alias("overlapping_issues"),
+        F.count_if(again).alias("repeated_pages"),
+        F.max(F.when(F.col("by_offset"), F.col("finish"))).alias("_end"))
+
+
+def page_audit(pages: DataFrame, first_offset: int = 0, first_page: int = 0, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+    """S2 + A7: completeness of each project's landed page set.
+
+    Per project: pages, non-empty pages, distinct issues, the largest announced ``total``, last
+    pages, pages that do not parse, pages that lie wholly in what earlier ones cover, missing pages
+    (of sets without offsets; numbered from ``first_page``), missing issues (of sets with
+    offsets, from ``first_offset`` to the announced total) and issues that two pages cover.  A last page
+    has issues and no continuation token; in a set without any token it is one that reaches the
+    announced total.  A set is complete when it has exactly one last page, nothing broken,
+    repeated, missing or overlapping, and exactly as many distinct issues as announced.
+
+    Pages are parsed once, into a written table of their figures and issue ids; issues are
+    counted from map-side combined ids, and the sweep orders only begins and ends.
+    """
+    read = as_table(page_figures(pages), "page-figures")
+    per_project = read.groupBy("project").agg(
         F.count(F.lit(1)).alias("pages"),
         F.count_if(F.col("n") > 0).alias("nonempty_pages"),
         F.max("total").alias("announced_total"),
-        F.count_if(F.col("token").isNull() & (F.col("n") > 0)).alias("last_pages"),
-        F.count_if(F.col("broken")).alias("broken_pages"),
-        F.count("page_no").alias("_numbered"), F.min("page_no").alias("_first"), F.max("page_no").alias("_last"))
-    numbers = figures.where(F.col("page_no").isNotNull()).select("project", "page_no").distinct() \
-        .groupBy("project").agg(F.count(F.lit(1)).alias("_numbers"))
+        F.count_if(F.col("continued")).alias("_tokens"),
+        F.count_if(~F.col("continued") & (F.col("n") > 0)).alias("_without_token"),
+        F.count_if((F.col("n") > 0) & (F.col("finish") >= F.col("total"))).alias("_at_total"),
+        F.count_if(F.col("broken")).alias("broken_pages"))
     issues = read.select("project", F.explode("ids").alias("id")).distinct().groupBy("project").agg(F.count("id").alias("issues"))
-    both = null_safe_join(null_safe_join(per_project, numbers, ["project"]), issues, ["project"])
+    covered = coverage(read, first_offset, first_page, policy)
+    both = null_safe_join(null_safe_join(per_project, issues, ["project"]), covered, ["project"])
     zero = F.lit(0).cast("bigint")
-    counted = both.select("project", "pages", "nonempty_pages", F.coalesce("issues", zero).alias("issues"), "announced_total", "last_pages",
-                          "broken_pages", (F.col("_numbered") - F.coalesce("_numbers", zero)).alias("repeated_pages"),
-                          F.coalesce(F.col("_last") - F.col("_first") + 1 - F.col("_numbers"), zero).alias("missing_pages"))
-    complete = ((F.col("last_pages") == 1) & (F.col("broken_pages") == 0) & (F.col("repeated_pages") == 0) & (F.col("missing_pages") == 0)
-                & (F.col("announced_total").isNull() | (F.col("issues") >= F.col("announced_total"))))
-    return counted.withColumn("complete", complete)
+    by_token = (F.col("_tokens") > 0) | F.col("announced_total").isNull() | F.col("_end").isNull()
+    tail = F.greatest(F.coalesce(F.col("announced_total") - F.col("_end"), zero), zero)
+    counted = both.select(
+        "project", "pages", "nonempty_pages", F.coalesce("issues", zero).alias("issues"), "announced_total",
+        F.when(by_token, F.col("_without_token")).otherwise(F.col("_at_total")).alias("last_pages"), "broken_pages",
+        F.coalesce("repeated_pages", zero).alias("repeated_pages"), F.coalesce("missing_pages", zero).alias("missing_pages"),
+        (F.coalesce("_holes", zero) + tail).alias("missing_issues"), F.coalesce("overlapping_issues", zero).alias("overlapping_issues"))
+    defects = F.col("broken_pages") + F.col("repeated_pages") + F.col("missing_pages") + F.col("missing_issues") + F.col("overlapping_issues")
+    return counted.withColumn("complete", (F.col("last_pages") == 1) & (defects == 0)
+                              & (F.col("announced_total").isNull() | (F.col("issues") == F.col("announced_total"))))

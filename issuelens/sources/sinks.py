@@ -11,6 +11,7 @@ from pyspark.sql.types import (BooleanType, DoubleType, LongType, StringType, St
                                TimestampType)
 
 from issuelens.operators.columns import NESTED_TYPES
+from issuelens.operators.names import by_place, label_of, labels, named
 
 # As R's write.csv: text is quoted (quotes doubled), numbers, dates and missing values are not;
 # a missing value is NA.  A reader that, like R's, takes NA for missing cannot tell the text
@@ -20,12 +21,18 @@ READ_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "tru
 
 
 def flat_for_csv(df: DataFrame) -> DataFrame:
-    """CSV cannot hold nested columns: nested ones are written as JSON text."""
+    """CSV cannot hold nested columns: nested ones are written as JSON text.  Columns are taken by place."""
+    placed = by_place(df)
     cols = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        cols.append(F.to_json(c).alias(f.name) if isinstance(f.dataType, NESTED_TYPES) else c)
-    return df.select(*cols)
+    for f, c in zip(df.schema.fields, placed.columns):
+        text = F.to_json(c) if isinstance(f.dataType, NESTED_TYPES) else F.col(c)
+        cols.append(named(text, f.name, label_of(f)))
+    return placed.select(*cols)
+
+
+def csv_header(df: DataFrame) -> str:
+    """The header record: the columns' exact labels, quoted."""
+    return ",".join('"' + c.replace('"', '""') + '"' for c in labels(df))
 
 
 def csv_lines(df: DataFrame) -> DataFrame:
@@ -33,23 +40,27 @@ def csv_lines(df: DataFrame) -> DataFrame:
     def quoted(c: Column) -> Column:
         return F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
 
-    cells = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+    cells, placed = [], by_place(df)
+    for f, name in zip(df.schema.fields, placed.columns):
+        c = F.col(name)
         if isinstance(f.dataType, BooleanType):
             c = F.upper(c.cast("string"))
         cells.append(F.coalesce(quoted(c) if isinstance(f.dataType, StringType) else c.cast("string"), F.lit("NA")))
-    header = ",".join('"' + f.name.replace('"', '""') + '"' for f in df.schema.fields)
     # the lower 33 bits of this id number the rows of a partition from 0
     first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
     record = F.concat_ws(",", *cells)
-    return df.select(F.when(first, F.concat(F.lit(header + "\n"), record)).otherwise(record).alias("value"))
+    return placed.select(F.when(first, F.concat(F.lit(csv_header(df) + "\n"), record)).otherwise(record).alias("value"))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """S3 ``write.csv(x, path, row.names = FALSE)``: header, quoted text, NA for missing, ``"``
-    doubled, embedded newlines allowed.  One file per task; the folder is the report."""
-    csv_lines(flat_for_csv(df)).write.mode(mode).text(path)
+    doubled, embedded newlines allowed.  One file per task; the folder is the report.  A report
+    without rows is its header."""
+    flat = flat_for_csv(df)
+    csv_lines(flat).write.mode(mode).text(path)
+    spark = df.sparkSession
+    if spark.read.text(path).isEmpty():      # reads no further than the first line
+        spark.createDataFrame([(csv_header(flat),)], "value string").coalesce(1).write.mode("append").text(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

@@ -7,7 +7,8 @@ from issuelens.functions import days_between
 from issuelens.operators.history import status_transitions
 from issuelens.fixtures import landed_pages
 from issuelens.operators.tables import option_values, spread
-from issuelens.plans.reports import AUDIENCES, field_catalog, history_items, option_matrix, sbp_report, settle_issues
+from issuelens.operators.names import q
+from issuelens.plans.reports import SBP, AUDIENCES, field_catalog, history_items, option_matrix, sbp_report, settle_issues
 from issuelens.sources.pages import pages_from_text
 
 AS_OF = "2025-01-01 00:00:00"
@@ -33,7 +34,9 @@ def test_durations_sum_to_last_transition(spark):
     t = status_transitions(history_items(issues.select("key", "changelog", created.alias("Created"))), as_of=AS_OF)
     span = t.groupBy("IssueKey").agg(days_between(F.max("changed_at"), F.min("ticket_created")).alias("span"))
     rep = sbp_report(issues, as_of=AS_OF)
-    total = rep.select("IssueKey", F.coalesce(F.col("Open"), F.lit(0.0)) + F.coalesce(F.col("InProgress"), F.lit(0.0)))
+    statuses = rep.columns[len(SBP.columns):]
+    assert len(statuses) == 4
+    total = rep.select("IssueKey", sum(F.coalesce(q(c), F.lit(0.0)) for c in statuses))
     got = {r[0]: r[1] for r in total.collect()}
     want = {r.IssueKey: r.span for r in span.collect()}
     assert want and all(abs(got[k] - v) < 1e-9 for k, v in want.items())

@@ -101,3 +101,46 @@ def test_json_lines_landing_reads_the_same_pages(spark, pages_dir):
     whole = read_pages(spark, pages_dir)
     key = lambda df: sorted((r.project, r.page_no, r.issue_pos, r.key) for r in explode_issues(df).collect())
     assert key(lines) == key(whole) and lines.count() == 3
+
+
+def audited(spark, rows, **kwargs):
+    from issuelens.sources.pages import pages_from_text
+    pages = pages_from_text(spark.createDataFrame(rows, "project string, page_no long, raw string"), page_col="page_no")
+    return {r.project: r for r in page_audit(pages, **kwargs).collect()}
+
+
+def offset_page(start, ids, total=9):
+    import json
+    return json.dumps({"startAt": start, "maxResults": 4, "total": total, "issues": [{"id": str(i)} for i in ids]})
+
+
+def test_audit_sees_a_lost_first_page(spark):
+    token, last = '{"nextPageToken":"t","issues":[{"id":"%s"}]}', '{"issues":[{"id":"%s"}]}'
+    rows = [("tokens", 1, token % 1), ("tokens", 2, last % 2), ("offsets", None, offset_page(4, range(4, 9)))]
+    got = audited(spark, rows)
+    assert (got["tokens"].missing_pages, got["tokens"].complete) == (1, False)
+    assert (got["offsets"].missing_issues, got["offsets"].missing_pages, got["offsets"].complete) == (4, 0, False)
+    assert audited(spark, rows[:2], first_page=1)["tokens"].complete
+    assert audited(spark, [("o", 0, offset_page(1, range(8), 9))], first_offset=1)["o"].missing_issues == 0
+
+
+def test_audit_of_pages_whose_sizes_change(spark):
+    pages = {"good": [(0, range(4)), (4, range(4, 6)), (6, range(6, 9))], "hole": [(0, range(4)), (5, range(5, 9))],
+             "overlap": [(0, range(4)), (3, range(3, 9))], "inside": [(0, range(9)), (2, range(2, 4))], "tail": [(0, range(4))],
+             "empty end": [(0, range(9)), (9, [])], "too many": [(0, range(10))]}
+    got = audited(spark, [(name, None, offset_page(a, ids)) for name, of in pages.items() for a, ids in of])
+    found = {n: (r.missing_issues, r.overlapping_issues, r.repeated_pages, r.last_pages, r.complete) for n, r in got.items()}
+    assert found == {"good": (0, 0, 0, 1, True), "hole": (1, 0, 0, 1, False), "overlap": (0, 1, 0, 1, False), "inside": (0, 2, 1, 1, False),
+                     "tail": (5, 0, 0, 0, False), "empty end": (0, 0, 0, 1, True), "too many": (0, 0, 0, 1, False)}
+
+
+def test_audit_is_the_same_where_projects_are_split_into_ranges(spark):
+    import random
+    from issuelens.operators.sequence import SkewPolicy
+    rng = random.Random(3)
+    starts = [s for s in range(0, 400, 4) if rng.random() < 0.8] + [rng.randrange(400) for _ in range(20)]
+    rows = [("P", None, offset_page(s, range(s, s + 4), 400)) for s in starts] + [(None, None, offset_page(s, range(s, s + 3), 400)) for s in starts]
+    plain = audited(spark, rows)
+    assert plain == audited(spark, rows, policy=SkewPolicy(rows_per_task=10, sample_per_range=20))
+    covered = {i for s in starts for i in range(s, s + 4)}
+    assert plain["P"].missing_issues == len(set(range(400)) - covered) and plain["P"].issues == len(covered)

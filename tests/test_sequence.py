@@ -53,3 +53,12 @@ def test_ranges_are_even_where_most_rows_share_one_time(spark):
     assert plain == sorted(map(str, lag_in_order(df, policy=policy, **args).collect()))
     plain = sorted(map(str, row_number_in_order(df, ["k"], ["t", "pos"], "rn", "n", policy=SkewPolicy(enabled=False)).collect()))
     assert plain == sorted(map(str, row_number_in_order(df, ["k"], ["t", "pos"], "rn", "n", policy=policy).collect()))
+
+
+def test_borders_are_found_by_halving(spark):
+    from pyspark.sql import functions as F
+    from issuelens.operators.sequence import borders_below
+    for borders in ([], [3], [1, 3, 3, 7], list(range(0, 50, 5))):
+        df = spark.range(-1, 52).select("id", F.lit(borders).cast("array<long>").alias("b"))
+        got = {r.id: r.n for r in df.select("id", borders_below(F.col("b"), F.col("id")).alias("n")).collect()}
+        assert got == {i: sum(b <= i for b in borders) for i in range(-1, 52)}
