@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from issuelens.session import spread
+from issuelens.session import shared_dir, spread
 
 PAGE_SIZE = 100
 
@@ -341,3 +341,16 @@ def landed_pages(spark: SparkSession, sf_dir: str, by_project: bool = False,
                      F.lit(',"issues":[]}')).alias("raw"))
         out = out.unionByName(empty)
     return out
+
+
+_LANDED: dict[tuple, str] = {}
+
+
+def landed_table(spark: SparkSession, sf_dir: str, by_project: bool = False) -> DataFrame:
+    """``landed_pages`` as a table, written once by an application: pages lie landed before any report runs."""
+    key = (spark.sparkContext.applicationId, sf_dir, by_project)
+    if key not in _LANDED:
+        path = shared_dir(spark, "landed")
+        landed_pages(spark, sf_dir, by_project).write.parquet(path)
+        _LANDED[key] = path
+    return spread(spark.read.parquet(_LANDED[key]))

@@ -117,11 +117,35 @@ def hoist_all(df: DataFrame, col: str, path: Sequence[Step], sep: str = ";", rem
     return out
 
 
-def collapse_strict(v: Column, leaf: str, sep: str = ";") -> Column:
-    """A5 row-wise collapse that is NA-contagious: NULL if any element lacks ``leaf``."""
+def list_size(v: Column) -> Column:
+    """Elements of a VARIANT list; 0 for anything else."""
+    return F.coalesce(F.array_size(F.try_variant_get(v, "$", "array<variant>")), F.lit(0))
+
+
+def page_width(issues: Column, path: Sequence[Step]) -> Column:
+    """N5 over a page: the longest list that an issue of the page (an array of VARIANT) has at ``path``.
+
+    Worked out inside the page's own array, before its issues are exploded, so it costs no exchange.
+    """
+    at = variant_path(as_steps(path))
+    return F.coalesce(F.array_max(F.transform(issues, lambda i: list_size(F.try_variant_get(i, at, "variant")))), F.lit(0))
+
+
+def collapse_strict(v: Column, leaf: str, sep: str = ";", width: Column | int | None = None) -> Column:
+    """A5 row-wise collapse that is NA-contagious: NULL if any slot lacks ``leaf``.
+
+    The slots are the numbered columns of the issue's page: ``width`` many, as many as the page's longest
+    list has (``page_width``), so a shorter, empty or missing list gives NULL too; on a page where no
+    issue has an element there are no slots and the result is empty text.  Without ``width`` an issue's
+    slots are its own elements.
+    """
     elems = F.try_variant_get(v, "$", "array<variant>")
     vals = F.transform(elems, lambda e: F.try_variant_get(e, variant_path((leaf,)), "string"))
-    return F.when(~F.exists(vals, lambda x: x.isNull()), F.array_join(vals, sep))
+    joined = F.when(~F.exists(vals, lambda x: x.isNull()), F.array_join(vals, sep))
+    if width is None:
+        return joined
+    slots = width if isinstance(width, Column) else F.lit(width)
+    return F.when(slots == 0, F.lit("")).when(F.size(F.coalesce(elems, F.array().cast("array<variant>"))) == slots, joined)
 
 
 # A list is widened into columns up to this length; a longer one belongs in rows.
@@ -135,7 +159,7 @@ def numbered_columns(df: DataFrame, col: str, leaf: str, prefix: str, width: int
     given width that an element would not fit in is an error, never a dropped element.
     """
     v = q(col)
-    size = F.coalesce(F.array_size(F.try_variant_get(v, "$", "array<variant>")), F.lit(0))
+    size = list_size(v)
     if width is None:
         width = df.agg(F.max(size)).first()[0] or 0
         if width > MAX_NUMBERED:

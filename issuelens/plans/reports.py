@@ -12,8 +12,9 @@ separate keyed stage joined back on the issue key.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,18 +22,18 @@ from pyspark.sql import functions as F
 from issuelens.functions.paths import Step, variant_path
 from issuelens.functions.scalars import (hours_between, millis_to_minutes, nan_if_null, r_date,
                                          r_timestamp, strip_commas, trim_ws)
-from issuelens.operators.columns import across, drop_all_null, string_columns
-from issuelens.operators.extract import hoist_all_expr
-from issuelens.operators.fields import (FieldCatalog, dictionary_entries, disambiguate,
-                                        project_dictionary)
+from issuelens.operators.columns import across, string_columns
+from issuelens.operators.extract import collapse_strict, hoist_all_expr
+from issuelens.operators.fields import FieldCatalog, dictionary_versions, disambiguate, field_presence
 from issuelens.operators.history import days_by_status, now_text
 from issuelens.operators.names import distinct_names, join_labels, named, q
 from issuelens.operators.sequence import SkewPolicy
 from issuelens.operators.tables import indicators, known_value, row_sum, vocabulary
-from issuelens.fixtures import landed_pages
+from issuelens.fixtures import landed_table
 from issuelens.session import as_table, shared_dir
 from issuelens.sources.pages import explode_issues, latest_issue_version, pages_from_text
 from issuelens.sources.sinks import csv_header, read_csv, write_csv
+from issuelens.streaming.compact import compact_batch, read_compacted
 
 BUILTIN = {"id", "key"}
 
@@ -43,7 +44,8 @@ class Col:
 
     ``source`` is a display name (matched after the spec's name normalisation), a field
     id written ``id:<field id>`` (immune to display names that shift), or the builtins
-    ``id`` / ``key``; ``how="all"`` joins ``path[-1]`` of every element (N10);
+    ``id`` / ``key``; ``how="all"`` joins ``path[-1]`` of every element (N10), ``how="strict"`` does
+    when the list is as long as the page's longest and nothing is missing (A5);
     ``how="raw"`` keeps the field value as VARIANT (for the change log).
     """
     out: str
@@ -61,23 +63,20 @@ class ReportSpec:
     derived: tuple[tuple[str, Callable[[], Column]], ...] = field(default_factory=tuple)
 
 
-# The per-project dictionary is a field catalogue (one row per field id after the first
-# aggregate), so numbering duplicate names needs no hot-group split.
+# A dictionary version is one page's names, so numbering duplicate names needs no hot-group split.
 CATALOG_POLICY = SkewPolicy(enabled=False)
 
 
 def field_dictionary(pages: DataFrame) -> DataFrame:
-    """N12 over every page of every project: (project, field_id, display, pos, name).
-
-    Page entries are first reduced per (project, field id) -- a partial aggregate, so a
-    project with millions of pages is combined map-side -- then duplicates are numbered.
-    """
-    return disambiguate(project_dictionary(dictionary_entries(pages)), policy=CATALOG_POLICY)
+    """N12 over every page of every project: (project, names_id, first, last, field_id, display, pos, name)."""
+    return disambiguate(dictionary_versions(pages), group_cols=["project", "names_id"], policy=CATALOG_POLICY)
 
 
 def field_catalog(pages: DataFrame) -> FieldCatalog:
-    """The field dictionary of landed pages, written once; reports ask it for their names."""
-    return FieldCatalog(as_table(field_dictionary(pages), "fields"))
+    """The field dictionary of landed pages, written once, and of a bronze table also which fields have values;
+    reports ask it for their names."""
+    presence = as_table(field_presence(pages), "presence") if "present" in pages.columns else None
+    return FieldCatalog(as_table(field_dictionary(pages), "fields"), presence=presence)
 
 
 def _field_value(c: Col, fid: str) -> Column:
@@ -86,30 +85,50 @@ def _field_value(c: Col, fid: str) -> Column:
         return F.try_variant_get(F.col("fields"), base, "variant")
     if c.how == "all":
         return hoist_all_expr(F.try_variant_get(F.col("fields"), base, "variant"), c.path)
+    if c.how == "strict":
+        width = F.coalesce(F.try_element_at(F.col("widths"), F.lit(fid)), F.lit(0))
+        return collapse_strict(F.try_variant_get(F.col("fields"), base, "variant"), str(c.path[-1]), width=width)
     return F.try_variant_get(F.col("fields"), base + variant_path(c.path)[1:], c.dtype)
 
 
 def _source_expr(c: Col, uses: dict[str, list]) -> Column:
-    """The value of a report column; where projects keep it in different fields, by the row's project."""
+    """The value of a report column; where projects or pages keep it in different fields, by the row's project
+    and the version of its page's dictionary."""
     if c.source in BUILTIN:
         return F.col(c.source).cast(c.dtype) if c.dtype != "string" else F.col(c.source)
     if not uses:
         return F.lit(None).cast(c.dtype if c.how != "raw" else "variant")
     if len(uses) == 1:
         return _field_value(c, next(iter(uses)))
+    rules = [(where, fid) for fid, places in sorted(uses.items()) for where in places]
     out = None
-    for fid, projects in sorted(uses.items()):
-        mine = F.col("project").isin(projects)
+    for where, fid in sorted(rules, key=lambda r: not isinstance(r[0], tuple)):      # single versions before whole projects
+        if isinstance(where, tuple):
+            mine = F.col("project").eqNullSafe(F.lit(where[0])) & F.col("names_id").isin(where[1])
+        else:
+            mine = F.col("project").eqNullSafe(F.lit(where))
         out = F.when(mine, _field_value(c, fid)) if out is None else out.when(mine, _field_value(c, fid))
     return out
 
 
+def wanted_names(spec: ReportSpec) -> list[str]:
+    return sorted({c.source for c in spec.columns if c.source not in BUILTIN and not c.source.startswith("id:")})
+
+
+def unresolved_columns(catalog: FieldCatalog, spec: ReportSpec, project: str | None = None) -> DataFrame:
+    """(project, name): display names of the report that a project's dictionary never had, so its cells are NULL."""
+    return catalog.unresolved(wanted_names(spec), project, spec.strip_name_spaces)
+
+
 def report_sources(catalog: FieldCatalog, spec: ReportSpec, project: str | None = None) -> dict[str, dict[str, list]]:
-    """The fields of a report's columns; finding none of them is an error, not a table of NULLs."""
-    wanted = sorted({c.source for c in spec.columns if c.source not in BUILTIN and not c.source.startswith("id:")})
+    """The fields of a report's columns; finding none of them is an error, not a table of NULLs, and the names
+    that are not found are listed in a warning (``unresolved_columns`` lists them by project)."""
+    wanted = wanted_names(spec)
     found = catalog.sources(wanted, project=project, strip_spaces=spec.strip_name_spaces)
     if wanted and not found:
         raise ValueError(f"report {spec.name}: none of its fields is in the dictionary" + (f" of project {project}" if project else ""))
+    if len(found) < len(wanted):
+        warnings.warn(f"report {spec.name}: no field is called {', '.join(sorted(set(wanted) - set(found)))}", stacklevel=3)
     found.update({c.source: {c.source[3:]: []} for c in spec.columns if c.source.startswith("id:")})
     return found
 
@@ -268,8 +287,12 @@ def finish_com(df: DataFrame) -> DataFrame:
 
 def csr_columns(issues: DataFrame, catalog: FieldCatalog, project: str | None = None) -> DataFrame:
     """Q11 (the intent of the unfinished script): the change log and the report's columns, but for
-    those without any value (P4)."""
-    return drop_all_null(build_report(issues, catalog, CSR, project, keep=["changelog"]).withColumnRenamed("changelog", "Changelog"))
+    those whose field no issue has a value for (P4, read off the catalogue's presence table)."""
+    uses = report_sources(catalog, CSR, project)
+    fields = sorted({fid for use in uses.values() for fid in use})
+    empty = catalog.empty_fields(fields, project)
+    kept = tuple(c for c in CSR.columns if c.source in BUILTIN or set(uses.get(c.source, {})) - empty)
+    return build_report(issues, catalog, replace(CSR, columns=kept), project, keep=["changelog"]).withColumnRenamed("changelog", "Changelog")
 
 
 def finish_csr(df: DataFrame) -> DataFrame:
@@ -346,8 +369,9 @@ def sbp_report(pages: DataFrame, as_of: str | None = None, statuses: Sequence[st
 def settle_issues(pages: DataFrame, overlapping_pulls: bool = False) -> DataFrame:
     """Parse once: the bronze issue table as Parquet in the shared folder.
 
-    One row per issue with its ``fields`` and ``changelog`` VARIANTs (and the page's
-    ``names`` text on each page's first issue, for the dictionary).  Every later job reads
+    One row per issue with its ``fields`` and ``changelog`` VARIANTs, the page's ``names`` text on each
+    page's first issue and its hash on every one (for the dictionary), the fields that have
+    values, and the page's list widths.  Every later job reads
     this table, and only the columns it needs: a report without a change history never
     reads the logs, the dictionary only the names.  Lineage is cut, so a lost executor
     reads the table again instead of the pages.
@@ -381,9 +405,23 @@ def read_bronze(spark: SparkSession, path: str, overlapping_pulls: bool = True)
 # Registered queries on pages landed from the provided tables
 # --------------------------------------------------------------------------------------
 AS_OF = "2025-01-01 00:00:00"
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+def landed_issues(spark: SparkSession, sf: str) -> DataFrame:
+    """The bronze issue table of the landed pages, written once by an application: a report reads it, as it
+    would read the table that the ingest keeps."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _LANDED:
+        path = shared_dir(spark, "bronze")
+        write_bronze(pages_from_text(landed_table(spark, sf), "raw"), path)
+        _LANDED[key] = path
+    return spark.read.parquet(_LANDED[key])
+
+
 def sbp_time_in_status(spark: SparkSession, sf: str) -> DataFrame:
     """Q4-Q6, every column; the status columns come from the data."""
-    issues = settle_issues(pages_from_text(landed_pages(spark, sf), "raw"))
+    issues = landed_issues(spark, sf)
     rep = sbp_report(issues, as_of=AS_OF)
     fixed = len(SBP.columns)
     return rep.select(*[q(c) for c in rep.columns[:fixed]], *[F.round(q(c), 6).alias(c) for c in rep.columns[fixed:]])
@@ -446,7 +484,7 @@ def _instants_text(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def _landed(spark: SparkSession, sf: str, spec: ReportSpec) -> DataFrame:
-    issues = settle_issues(pages_from_text(landed_pages(spark, sf), "raw"))
+    issues = landed_issues(spark, sf)
     return build_report(issues, field_catalog(issues), spec)
 
 
@@ -472,7 +510,7 @@ PAR_ORACLE = _BASE_SQL + _select(_PAR_COLUMNS)
 def project_reports(spark: SparkSession, sf: str) -> DataFrame:
     """PAR over pages of several projects, one of which keeps Request Type and Department
     in each other's fields: every row is read through its own project's dictionary."""
-    pages = landed_pages(spark, sf, by_project=True)
+    pages = landed_table(spark, sf, by_project=True)
     a, b, hold = "customfield_10010", "customfield_10020", "customfield_swap"
     swapped = F.replace(F.replace(F.replace("raw", F.lit(a), F.lit(hold)), F.lit(b), F.lit(a)), F.lit(hold), F.lit(b))
     issues = settle_issues(pages_from_text(pages.withColumn("raw", F.when(F.col("project") == "O", swapped).otherwise(F.col("raw"))), "raw"))
@@ -486,6 +524,39 @@ PROJECT_REPORTS_ORACLE = _BASE_SQL + _select({**_PAR_COLUMNS, "project": "o_orde
     + _select({**_PAR_COLUMNS, "project": "'only O'"}) + "\nWHERE o_orderstatus = 'O'"
 
 
+PLACES = ReportSpec("places", (Col("IssueKey", "key"), Col("Branch", "Branch/Division", ("value",)), Col("RPDBranch", "RPDBranch", ("value",)),
+                               Col("RequestParticipants", "Requestparticipants", ("displayName",), how="strict")))
+
+
+def renamed_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """J1, N12, N13, A5 over two pulls: the second lands every other page again, with new values, one field
+    under another name and two fields under each other's.  The table is merged batch by batch and holds an
+    issue once; every row is read by its own page's dictionary."""
+    pages = landed_table(spark, sf)
+    swap = [("\"customfield_10103\": \"Branch/Division\"", "\"customfield_10103\": \"Branch\""),
+            ("\"customfield_10104\": \"RPD Branch\"", "\"customfield_10104\": \"Case type\""),
+            ("\"customfield_10106\": \"Case type\"", "\"customfield_10106\": \"RPD Branch\""),
+            ("\"customfield_10103\":{\"value\":\"v19-", "\"customfield_10103\":{\"value\":\"new-")]
+    raw = F.col("raw")
+    for old, new in swap:
+        raw = F.replace(raw, F.lit(old), F.lit(new))
+    table = shared_dir(spark, "latest")
+    first = pages.withColumn("pull", F.lit("2025-01-01"))
+    again = pages.where(F.col("page_no") % 2 == 0).withColumn("pull", F.lit("2025-01-02")).withColumn("raw", raw)
+    for version, pull in enumerate((first, again)):
+        compact_batch(explode_issues(pages_from_text(pull, "raw"), keep_names=True), table, version, buckets=16)
+    issues = read_compacted(spark, table)
+    return build_report(issues, field_catalog(issues), PLACES, keep=["pull"])
+
+
+_AGAIN = "o_orderkey // 100 % 2 = 0"
+RENAMED_FIELDS_ORACLE = _BASE_SQL + _select({
+    "IssueKey": "'ORD-' || CAST(o_orderkey AS VARCHAR)", "pull": f"CASE WHEN {_AGAIN} THEN '2025-01-02' ELSE '2025-01-01' END",
+    "Branch": f"CASE WHEN {_AGAIN} THEN replace({_plain(19)}, 'v19-', 'new-') ELSE {_plain(19)} END",
+    "RPDBranch": f"CASE WHEN {_AGAIN} THEN {_plain(22)} ELSE {_plain(20)} END",
+    "RequestParticipants": "c_name || ';' || n_name"})
+
+
 # --------------------------------------------------------------------------------------
 # COM multi-select matrices (Q8-Q10)
 # --------------------------------------------------------------------------------------
@@ -535,7 +606,7 @@ AUDIENCES = ["Intended audiences", "Intended Audience(s)"]
 
 
 def _com_issues(spark: SparkSession, sf: str):
-    issues = settle_issues(pages_from_text(landed_pages(spark, sf), "raw"))
+    issues = landed_issues(spark, sf)
     return issues.withColumnRenamed("id", "IssueKeyNumber"), field_catalog(issues)
 
 
@@ -654,7 +725,7 @@ COM_ISSUES_ORACLE = _BASE_SQL + _select({
 def csr_report(spark: SparkSession, sf: str) -> DataFrame:
     """Q11: the intended CSR report: all-null columns dropped, dates, instants, description text, the
     change log kept (as its number of histories here)."""
-    issues = settle_issues(pages_from_text(landed_pages(spark, sf), "raw"))
+    issues = landed_issues(spark, sf)
     rep = finish_csr(csr_columns(issues, field_catalog(issues)))
     histories = F.array_size(F.try_variant_get("Changelog", "$.histories", "array<variant>"))
     return _days_text(_instants_text(rep, "Resolved", "Created", "Updated", "StatusCategoryChanged"), "ProjectEffectiveDate") \
@@ -677,6 +748,7 @@ REPORT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sbp_time_in_status": sbp_time_in_status,
     "par_report": par_report,
     "project_reports": project_reports,
+    "renamed_fields": renamed_fields,
     "com_tactics": com_tactics,
     "com_tactics_csv": com_tactics_csv,
     "com_audiences": com_audiences,
@@ -689,6 +761,7 @@ REPORT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 REPORT_ORACLES: dict[str, str] = {
     "par_report": PAR_ORACLE,
     "project_reports": PROJECT_REPORTS_ORACLE,
+    "renamed_fields": RENAMED_FIELDS_ORACLE,
     "com_tactics": COM_TACTICS_ORACLE,
     "com_tactics_csv": COM_TACTICS_ORACLE,
     "com_audiences": COM_AUDIENCES_ORACLE,

@@ -18,19 +18,19 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from issuelens.functions import (as_character, as_numeric, days_between, hours_between, millis_to_minutes, nan_if_null,
                                  paste0, r_date, r_timestamp, strip_commas, title_case, trim_ws)
 from issuelens.functions.titlecase import ALONE_WORDS, EITHER_WORDS, SMALL_WORDS
-from issuelens.operators.columns import (SUFFIX_PATTERN, across, drop_all_null, drop_nested,
-                                         matching, mutate_after, rename_regex, string_columns)
+from issuelens.operators.columns import (SUFFIX_PATTERN, across, column_range, drop_all_null, drop_nested,
+                                         matching, mutate_after, rename_regex, select_renamed, string_columns)
 from issuelens.operators.explode import keyed_to_record, parallel_unnest, unnest_keyed
-from issuelens.operators.extract import collapse_strict, ensure_columns, hoist, hoist_all, numbered_columns
+from issuelens.operators.extract import collapse_strict, ensure_columns, hoist, hoist_all, numbered_columns, page_width
 from issuelens.operators.fields import disambiguate
 from issuelens.operators.history import status_durations, status_transitions
 from issuelens.operators.sequence import SkewPolicy, lag_in_order, row_number_in_order, running_max_in_order
 from issuelens.operators.tables import (indicator_matrix, left_enrich, natural_full_join,
                                         row_sum, unpivot_long)
-from issuelens.fixtures import _rec, issue_documents, landed_pages, load
+from issuelens.fixtures import _rec, issue_documents, landed_table, load
 from issuelens.sources.pages import explode_issues, page_audit, pages_from_text, read_pages
 from issuelens.sources.sinks import read_csv, write_with_summary
-from issuelens.session import as_table, shared_dir
+from issuelens.session import shared_dir
 
 TS_FMT_SPARK = "yyyy-MM-dd HH:mm:ss"
 TS_FMT_DUCK = "%Y-%m-%d %H:%M:%S"
@@ -187,11 +187,18 @@ def _participants(li: DataFrame) -> DataFrame:
 
 
 def q_hoist_all_join(spark: SparkSession, sf: str) -> DataFrame:
-    li = _participants(load(spark, sf, "lineitem", heavy_rows=True))
+    """An order is a page and its line items the page's issues: the strict collapse wants every issue's list to
+    be as long as the page's longest, which is worked out in the page's array before it is exploded."""
+    keys = ["l_linenumber", "l_partkey", "l_suppkey"]
+    pages = _participants(load(spark, sf, "lineitem", heavy_rows=True)).groupBy("l_orderkey") \
+        .agg(F.collect_list(F.struct(*keys, "RequestParticipants")).alias("issues"))
+    width = page_width(F.transform("issues", lambda i: i["RequestParticipants"]), ())
+    li = pages.withColumn("page_width", width).select("l_orderkey", "page_width", F.explode("issues").alias("i")) \
+        .select("l_orderkey", "page_width", "i.*")
     out = hoist_all(li, "RequestParticipants", ["displayName"])
     out = out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                      F.col("RequestParticipants_displayName").alias("participants"),
-                     collapse_strict(F.col("RequestParticipants"), "displayName").alias("participants_strict"),
+                     collapse_strict(F.col("RequestParticipants"), "displayName", width=F.col("page_width")).alias("participants_strict"),
                      *numbered_columns(out, "RequestParticipants", "displayName", "part"))
     return out
 
@@ -202,15 +209,17 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
             ELSE concat_ws(';', l_returnflag, l_linestatus,
                            CASE WHEN l_discount > 0.05 THEN NULL ELSE CAST(l_linenumber AS VARCHAR) END)
        END AS participants,
-       CASE WHEN l_quantity <= 2 THEN ''
-            WHEN l_discount > 0.05 OR l_tax = 0 THEN NULL
-            ELSE l_returnflag || ';' || l_linestatus || ';' || CAST(l_linenumber AS VARCHAR)
-       END AS participants_strict,
+       -- slots of a page: the longest list of any of its issues
+       CASE max(n) OVER (PARTITION BY l_orderkey) WHEN 0 THEN '' WHEN n THEN list_reduce(cells, lambda a, b: a || ';' || b) END AS participants_strict,
        CASE WHEN l_quantity <= 2 THEN NULL ELSE l_returnflag END AS part_1_displayName,
        CASE WHEN l_quantity <= 2 THEN NULL ELSE l_linestatus END AS part_2_displayName,
        CASE WHEN l_quantity <= 2 OR l_discount > 0.05 THEN NULL ELSE CAST(l_linenumber AS VARCHAR) END AS part_3_displayName,
        CAST(NULL AS VARCHAR) AS part_4_displayName
-FROM lineitem
+FROM (
+  SELECT *, CASE WHEN l_quantity <= 2 THEN 0 WHEN l_tax = 0 THEN 4 ELSE 3 END AS n,
+         [l_returnflag, l_linestatus, CASE WHEN l_discount <= 0.05 THEN CAST(l_linenumber AS VARCHAR) END,
+          CASE WHEN l_tax <> 0 THEN '' END][1:CASE WHEN l_tax = 0 THEN 4 ELSE 3 END] AS cells
+  FROM lineitem)
 """
 
 
@@ -218,7 +227,7 @@ FROM lineitem
 # S1 N1 N2 N6 -- landed pages -> one row per issue, page order kept
 # --------------------------------------------------------------------------------------
 def q_unnest_long(spark: SparkSession, sf: str) -> DataFrame:
-    pages = pages_from_text(landed_pages(spark, sf), "raw")
+    pages = pages_from_text(landed_table(spark, sf), "raw")
     issues = explode_issues(pages)
     issues = hoist(issues, "fields", {"Status": ("status", "name"), "Priority": ("priority", "name")})
     return issues.select("page_no", F.col("issue_pos").cast("bigint").alias("issue_pos"),
@@ -607,7 +616,7 @@ def q_page_audit(spark: SparkSession, sf: str) -> DataFrame:
     """S1 + S2: pages written as ``project=`` files, read back and audited; beside each good set, project
     F's pages with one page cut short, one left out, the first left out, one landed twice, and one that
     begins an issue too soon."""
-    pages = as_table(landed_pages(spark, sf, by_project=True), "pages")
+    pages = landed_table(spark, sf, by_project=True)
     final = pages.where("project = 'F'")
     at = F.col("page_no") - final.select(F.min("page_no")).scalar()
     second, others = final.where(at == 1), final.where(at != 1)
@@ -648,12 +657,12 @@ UNION ALL SELECT 'overlap', pages, nonempty_pages, issues, announced_total, last
 # --------------------------------------------------------------------------------------
 # W1 W3 A6 -- hot groups split into ranges: NULL keys, ties, missing ordering values
 # --------------------------------------------------------------------------------------
-FEW_ROWS = SkewPolicy(rows_per_task=50, sample_per_range=20)
+FEW_ROWS = SkewPolicy(rows_per_task=400, sample_per_range=20)
 
 
 def q_hot_ranges(spark: SparkSession, sf: str) -> DataFrame:
     """A few users (one of them missing) have all the events; days are missing or shared by many.  Every group
-    is cut into ranges of some 50 rows, whose numbers, lags and running maxima must join up."""
+    is cut into ranges of some 400 rows, whose numbers, lags and running maxima must join up."""
     ev = load(spark, sf, "events").select(
         "event_id", F.when(F.col("user_id") % 3 != 0, F.col("user_id") % 5).alias("user"), F.col("value"),
         F.when(F.col("event_id") % 7 != 0, F.date_trunc("day", F.col("ts").cast("timestamp"))).alias("day"))
@@ -703,10 +712,12 @@ def q_select_patterns(spark: SparkSession, sf: str) -> DataFrame:
     s = load(spark, sf, "supplier")
     keys = matching(s, ends_with="key")                                     # s_suppkey, s_nationkey
     named = matching(s, regex="^s_(name|acct)")
-    both = s.select(*[c for c in s.columns if c in keys or c in named])
-    out = both.select(as_numeric(F.regexp_extract("s_name", r"(\d+)$", 1)).alias("number"),
-                      as_numeric(F.col("s_name")).alias("not_a_number"),
-                      as_character(F.col("s_nationkey")).alias("nation"))
+    ranged = column_range(s, keys[0], keys[-1])                             # s_suppkey:s_nationkey, s_name between them
+    both = s.select(*[c for c in ranged if c in keys or c in named])
+    renamed = select_renamed(both, {"name": "s_name", "nation": keys[-1], "id": keys[0]})      # P1
+    out = renamed.select(as_numeric(F.regexp_extract("name", r"(\d+)$", 1)).alias("number"),
+                         as_numeric(F.col("name")).alias("not_a_number"),
+                         as_character(F.col("nation")).alias("nation"))
     return out.select(F.pmod(F.col("number"), F.lit(10)).alias("last_digit"), "not_a_number", "nation").distinct()
 
 

@@ -71,32 +71,61 @@ def pages_from_text(df: DataFrame, text_col: str = "raw", project_col: str = "pr
                      F.col(text_col).alias("raw"), body.alias("body"))
 
 
+def field_entries(issue: Column) -> Column:
+    """The fields an issue has a value for: array of (id, kind of value, elements when it is a list)."""
+    fields = F.map_entries(F.coalesce(F.try_variant_get(issue, "$.fields", "map<string,variant>"), F.create_map().cast("map<string,variant>")))
+    kind = lambda v: F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+    found = F.transform(fields, lambda e: F.struct(
+        e["key"].alias("id"), F.coalesce(kind(e["value"]), F.lit("VOID")).alias("kind"),
+        F.array_size(F.try_variant_get(e["value"], "$", "array<variant>")).alias("size")))
+    return F.filter(found, lambda e: e["kind"] != "VOID")
+
+
+def list_widths(entries: Column) -> Column:
+    """Field id -> the longest list that an issue of the page has in it, from the page's ``field_entries``."""
+    lists = F.filter(F.flatten(entries), lambda e: e["size"].isNotNull())
+    ids = F.array_distinct(F.transform(lists, lambda e: e["id"]))
+    widest = F.transform(ids, lambda i: F.array_max(F.transform(F.filter(lists, lambda e: e["id"] == i), lambda e: e["size"])))
+    return F.map_from_arrays(ids, widest)
+
+
 def explode_issues(pages: DataFrame, keep_names: bool = False) -> DataFrame:
     """N1 pluck ``issues`` + N2 enframe + N4 unnest_wider of the issue record.
 
     One row per issue: (project, pull, page_no, issue_pos, id, key, fields, changelog).  Empty
-    pages produce no rows (the reference's stop test).  No shuffle.  ``keep_names`` keeps
-    the page's ``names`` text on the page's first issue only (for the field dictionary,
-    without copying it to every issue).
+    pages produce no rows (the reference's stop test).  No shuffle.
+
+    ``keep_names`` adds what reports look up later, all of it worked out on the page's row: the
+    page's ``names`` text (on the page's first issue only, so that it is not copied to every
+    issue), ``names_id`` (which dictionary the issue's page has), ``present`` (the fields that the
+    issue has a value for, with their kinds) and ``widths`` (the page's longest list per field).
     """
     if "body" not in pages.columns:          # already one row per issue
         return pages
     issues = F.try_variant_get(F.col("body"), "$.issues", "array<variant>")
-    extra = []
+    base = ["project", "pull", "page_no"]
     if keep_names:
         names = F.col("names") if "names" in pages.columns else F.get_json_object(F.col("raw"), "$.names")
-        extra = [names.alias("names")]
-    exploded = pages.select("project", "pull", "page_no", *extra, F.posexplode(issues).alias("issue_pos", "issue"))
+        found = F.transform(issues, lambda i: F.struct(i.alias("issue"), field_entries(i).alias("entries")))
+        # bound to a lambda variable, so that the entries are worked out once
+        page = F.element_at(F.transform(F.array(found), lambda x: F.struct(
+            x.alias("found"), list_widths(F.transform(x, lambda y: y["entries"])).alias("widths"))), 1)
+        read = pages.select(*base, names.alias("names"), page.alias("page")) \
+            .select(*base, "names", F.xxhash64("names").alias("names_id"), "page.widths", F.posexplode("page.found").alias("issue_pos", "both")) \
+            .select(*base, "names", F.when(F.col("names").isNotNull(), F.col("names_id")).alias("names_id"), "widths", "issue_pos",
+                    F.col("both.issue").alias("issue"), F.transform("both.entries", lambda e: F.struct(e["id"], e["kind"])).alias("present"))
+    else:
+        read = pages.select(*base, F.posexplode(issues).alias("issue_pos", "issue"))
     out = [
-        "project", "pull", "page_no", "issue_pos",
+        *base, "issue_pos",
         F.try_variant_get("issue", "$.id", "string").alias("id"),
         F.try_variant_get("issue", "$.key", "string").alias("key"),
         F.try_variant_get("issue", "$.fields", "variant").alias("fields"),
         F.try_variant_get("issue", "$.changelog", "variant").alias("changelog"),
     ]
     if keep_names:
-        out.append(F.when(F.col("issue_pos") == 0, F.col("names")).alias("names"))
-    return exploded.select(*out)
+        out += [F.when(F.col("issue_pos") == 0, F.col("names")).alias("names"), "names_id", "present", "widths"]
+    return read.select(*out)
 
 
 def latest_issue_version(issues: DataFrame) -> DataFrame:
