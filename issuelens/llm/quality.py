@@ -4,9 +4,9 @@ A task reads every text once and keeps one row per document: the base figures, a
 distinct normalised line (A-Z lower-cased, white space runs to one space) its 64-bit hash and
 how many words of the text stand in such lines.  That small table is written to the shared
 folder; the lines are counted per host by a map-side combined aggregate (a line is counted once
-a row, so the count is the number of distinct documents), and only lines above both limits go
-on: more than ``max_docs`` documents of the host, and more than ``max_share`` of them.  A hot
-line or host is never gathered: the join back is split by ``hot_split``.
+a row, so the count is the number of distinct documents), and only lines that more than
+``max_docs`` documents of the host have go on, whatever the size of the host.  A hot line or host
+is never gathered: the join back is split by ``hot_split``.
 
 A document is depleted when fewer than ``min_words`` words or less than ``min_left`` of its
 words are left after the removal.
@@ -27,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from issuelens.llm.text import WordHash, gram_hashes, hash_words, hot_split, in_arrow, read_table, schema_of, with_id, written
 
@@ -34,7 +35,6 @@ MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
 WINDOW = 8
 MAX_DOCS = 20
-MAX_SHARE = 0.01
 MIN_LEFT = 0.5
 SYMBOL = re.compile(rb"[#*$%&|<>]")
 
@@ -100,21 +100,18 @@ def measured(docs: DataFrame, text: str = "text", host: str = "source", doc_id:
     return in_arrow(narrow, run, out).withColumn("row_no", F.monotonically_increasing_id())
 
 
-def shared_lines(rows: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
-    """(host, line, n_left): lines above both limits, with the number of documents that have them."""
-    sizes = rows.groupBy("host").agg(F.count("*").alias("host_docs"))
+def shared_lines(rows: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
+    """(host, line, n_left): lines above the limit, with the number of documents that have them."""
     lines = rows.select("host", F.explode("line_keys").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n_left"))
-    often = lines.filter(F.col("n_left") > max_docs)
-    return often.join(sizes, often["host"].eqNullSafe(sizes["host"])) \
-        .filter(F.col("n_left") > max_share * F.col("host_docs")).select(often["host"], "line", "n_left")
+    return lines.filter(F.col("n_left") > max_docs)
 
 
 def judged(docs: DataFrame, text: str = "text", host: str = "source", doc_id: str = "doc_id", max_docs: int = MAX_DOCS,
-           max_share: float = MAX_SHARE, min_words: int = MIN_WORDS, min_left: float = MIN_LEFT) -> DataFrame:
+           min_words: int = MIN_WORDS, min_left: float = MIN_LEFT) -> DataFrame:
     """Figures and verdict per row of ``docs``, with the hashes of the lines to remove."""
     rows = written(measured(docs, text, host, doc_id), "lines")
     named = rows.withColumn("host", F.coalesce(F.concat(F.lit("="), "host"), F.lit("null")))   # joins need a value
-    shared = written(shared_lines(named, max_docs, max_share), "shared")
+    shared = written(shared_lines(named, max_docs), "shared")
     each = named.select("row_no", "host", F.explode(F.arrays_zip(F.col("line_keys").alias("line"), F.col("line_words").alias("words"))).alias("x")) \
         .select("row_no", "host", "x.line", "x.words")
     removed = hot_split(each, ["host", "line"], shared) \
@@ -140,16 +137,26 @@ def without_lines(text: bytes | None, removed: set[int]) -> bytes | None:
 def cleaned(docs: DataFrame, shared: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
     """``docs`` with the shared lines (host, line) taken out of their texts; all columns kept.
 
-    Each row gets the removed hashes of its host's lines through one join by row.
+    A row travels as one struct, so no column of the input can clash.  Each row gets the removed
+    hashes of its host's lines through one join by row; texts are cut in Arrow batches.
     """
-    rows = written(docs.withColumn("_row_no", F.monotonically_increasing_id()), "numbered")
-    keys = measured(rows, text, host, "_row_no").select(F.col("doc_id").alias("_row_no"), "host", F.explode("line_keys").alias("line"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = written(docs.select(row, F.monotonically_increasing_id().alias("row_no")), "numbered")
+    flat = rows.select("row_no", F.col("row")[text].alias("text"), F.col("row")[host].alias("host"))
+    keys = measured(flat, "text", "host", "row_no").select(F.col("doc_id").alias("row_no"), "host", F.explode("line_keys").alias("line"))
     named = keys.withColumn("host", F.coalesce(F.concat(F.lit("="), "host"), F.lit("null")))
-    hit = hot_split(named, ["host", "line"], shared).groupBy("_row_no").agg(F.collect_list("line").alias("_removed"))
-    both = rows.join(hit, "_row_no", "left")
-    take = F.udf(lambda t, r: (without_lines(bytes(t), set(r)) if t is not None and r else t), "binary")
-    return both.withColumn(text, F.decode(take(F.col(text).cast("binary"), F.col("_removed")), "UTF-8")) \
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+    hit = hot_split(named, ["host", "line"], shared).groupBy("row_no").agg(F.collect_list("line").alias("removed"))
+    out = T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField("cut", T.StringType())])
+    schema = schema_of(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cut = [without_lines(t.as_py(), set(r.as_py() or ())) for t, r in zip(b.column(1), b.column(2))]
+            cut = [None if t is None else t.decode(errors="replace") for t in cut]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cut, pa.string())], schema=schema)
+
+    both = rows.join(hit, "row_no", "left").select("row", F.col("row")[text].cast("binary").alias("text"), "removed")
+    return in_arrow(both, run, out).select(*[(F.col("cut") if c == text else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def op2_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,10 +184,7 @@ full_lines AS (
          translate(array_to_string(lw, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
   FROM lines WHERE len(lw) > 0),
 dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM full_lines GROUP BY 1),
-host_docs AS (SELECT host, count(*) AS n FROM d GROUP BY 1),
-shared AS (
-  SELECT f.host, f.norm FROM (SELECT host, norm, count(DISTINCT doc_id) AS n FROM full_lines GROUP BY 1, 2) f
-  JOIN host_docs h ON f.host = h.host WHERE f.n > 20 AND f.n > 0.01 * h.n),
+shared AS (SELECT host, norm FROM full_lines GROUP BY 1, 2 HAVING count(DISTINCT doc_id) > 20),
 removed AS (SELECT doc_id, sum(n) AS n FROM full_lines JOIN shared USING (host, norm) GROUP BY 1),
 base AS (
   SELECT d.doc_id, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS word_chars,

@@ -1,5 +1,7 @@
 """Quality rules on small fixtures; the whole query is compared with SQL in test_oracles."""
 
+from pyspark.sql import functions as F
+
 from issuelens.llm import quality
 
 DDL = "doc_id long, text string, source string, kept string"
@@ -33,3 +35,25 @@ def test_defined_results(spark):
     assert (by[5].n_words, by[5].word_chars, by[5].n_symbols) == (4, 6, 2)
     assert by[6].n_repeat_words == 30000 and by[6].base_failed
     assert quality.judged(spark.createDataFrame([], DDL)).count() == 0
+
+
+def test_the_limit_is_a_number_of_documents_whatever_the_host(spark):
+    own = lambda i: " ".join(f"{w}{i}" for w in ("a", "b", "c", "d", "e"))
+    shared = " ".join(f"s{k}" for k in range(30))
+    rows = [(i, f"{shared if i < 21 else own(i) * 8}\n{own(i)}", "big", "") for i in range(3000)]
+    rows += [(5000 + i, f"{shared}\n{own(i)}", "small", "") for i in range(20)]
+    docs = spark.createDataFrame(rows, DDL)
+    found = {r.doc_id: r.n_removed_words for r in quality.judged(docs).collect()}
+    assert all(found[i] == 30 for i in range(21)) and not any(found[i] for i in found if i >= 21)
+
+
+def test_cleaned_keeps_every_column_and_row(spark):
+    rows = [(1, "Same line\nown", "h", "x", 7), (1, "same   LINE", "h", None, 8), (None, None, None, "x", 9), (2, "", "h", "x", 1), (3, "same line", None, "x", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, removed string, row_no long")
+    key = quality.measured(docs.filter("doc_id = 3")).select(F.explode("line_keys").alias("line"))
+    shared = key.select(F.lit("=h").alias("host"), "line", F.lit(3).cast("long").alias("n_left"))
+    got = quality.cleaned(docs, shared)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [(1, "own", "h", "x", 7), (1, "", "h", None, 8), (None, None, None, "x", 9), (2, "", "h", "x", 1), (3, "same line", None, "x", 2)], key=str)
+    assert quality.cleaned(docs.limit(0), shared).count() == 0
