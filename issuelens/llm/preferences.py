@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from issuelens.llm.text import read_table
+from issuelens.llm.text import read_table, written
 
 START, END = "<|im_start|>", "<|im_end|>"
 
@@ -47,10 +47,10 @@ def paired(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
         .withColumn("n_prompt", F.coalesce(F.min(F.when(F.col("differs"), F.col("place"))).over(in_pair),
                                            F.max("place").over(in_pair) + 1))
     head, body, tail = rendered(F.col("role"), F.col("text"))
-    written = placed.withColumn("head", head).withColumn("body", body).withColumn("turn_text", F.concat("head", "body", tail))
+    rendered_turns = placed.withColumn("head", head).withColumn("body", body).withColumn("turn_text", F.concat("head", "body", tail))
     after = F.col("place") >= F.col("n_prompt")
     so_far = Window.partitionBy("pair_id", "side").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    begun = written.withColumn("begin", F.coalesce(
+    begun = rendered_turns.withColumn("begin", F.coalesce(
         F.sum(F.when(after, F.length("turn_text")).otherwise(0)).over(so_far), F.lit(0)) + F.length("head"))
     trained = after & (F.col("role") == "assistant")
     spans = F.struct("begin", (F.col("begin") + F.length("body")).alias("stop"))
@@ -72,9 +72,25 @@ def paired(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
         mask_of("chosen").alias("chosen_mask"), mask_of("rejected").alias("rejected_mask"))
 
 
+def following(ids: DataFrame, column: str) -> DataFrame:
+    """(column, next): every value of ``column`` (distinct, not NULL) with the next one, the last with the first.
+
+    Values are dealt to ranges, each of which is a window of its own; a table with one row per range
+    carries the first value of the next range over.
+    """
+    dealt = written(ids.select(column).repartitionByRange(column).withColumn("at", F.spark_partition_id()), "ids")
+    firsts = dealt.groupBy("at").agg(F.min(column).alias("first"))
+    along = Window.orderBy("at")               # one row per range
+    borders = firsts.select("at", F.coalesce(F.lead("first").over(along), F.first("first").over(along)).alias("over"))
+    in_range = Window.partitionBy("at").orderBy(column)
+    return dealt.withColumn("next", F.lead(column).over(in_range)).join(borders, "at") \
+        .select(column, F.coalesce("next", "over").alias("next"))
+
+
 def reply_swaps(conversations: DataFrame, conv_id: str = "conv_id") -> tuple[DataFrame, DataFrame]:
     """Chosen and rejected turns: a conversation up to its last assistant reply, and the same with
-    that reply replaced by the last reply of conversation conv_id + 1 (left away where there is none).
+    that reply replaced by the last reply of the next conversation, in order of ids of any type, that has one
+    (after the last conversation, the first; left away where there is no other).
 
     Conversations without an assistant turn, or without an id, make no pair.
     """
@@ -83,7 +99,8 @@ def reply_swaps(conversations: DataFrame, conv_id: str = "conv_id") -> tuple[Dat
     chosen = turns.join(last.select("pair_id", F.col("last.turn").alias("end")), "pair_id")
     chosen = chosen.filter((F.col("turn") < F.col("end")) | ((F.col("turn") == F.col("end")) & (F.col("role") == "assistant"))
                            | F.col("turn").isNull())
-    other = last.select((F.col("pair_id") - 1).alias("pair_id"), F.col("last.text").alias("text"))
+    partner = following(last, "pair_id").filter(F.col("next") != F.col("pair_id"))
+    other = partner.join(last.select(F.col("pair_id").alias("next"), F.col("last.text").alias("text")), "next").select("pair_id", "text")
     swapped = last.select("pair_id", F.col("last.turn").alias("turn"), F.lit("assistant").alias("role")).join(other, "pair_id")
     kept = chosen.filter((F.col("turn") < F.col("end")) | F.col("turn").isNull()).drop("end")
     return chosen.drop("end"), kept.unionByName(swapped)
@@ -105,10 +122,12 @@ last AS (
   SELECT pair_id, turn AS last_turn, text AS last_text FROM (
     SELECT *, row_number() OVER (PARTITION BY pair_id ORDER BY turn DESC, text DESC) AS rn FROM turns WHERE role = 'assistant')
   WHERE rn = 1),
+partner AS (SELECT pair_id, coalesce(lead(pair_id) OVER (ORDER BY pair_id), min(pair_id) OVER ()) AS next_id FROM last),
 chosen AS (SELECT t.* FROM turns t JOIN last l USING (pair_id) WHERE turn < last_turn OR (turn = last_turn AND role = 'assistant')),
 rejected AS (
   SELECT t.* FROM turns t JOIN last l USING (pair_id) WHERE turn < last_turn
-  UNION ALL SELECT l.pair_id, l.last_turn, 'assistant', n.last_text FROM last l JOIN last n ON n.pair_id = l.pair_id + 1),
+  UNION ALL SELECT l.pair_id, l.last_turn, 'assistant', n.last_text FROM partner p JOIN last l USING (pair_id)
+  JOIN last n ON n.pair_id = p.next_id WHERE p.next_id <> p.pair_id),
 sides AS (SELECT *, 'c' AS side FROM chosen UNION ALL SELECT *, 'r' FROM rejected),
 placed AS (SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY turn, role, text) - 1 AS place,
                   replace(text, '<|', '< |') || '<|im_end|>' AS body, '<|im_start|>' || role || chr(10) AS head FROM sides),

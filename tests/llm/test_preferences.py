@@ -39,7 +39,18 @@ def test_reply_swaps(spark):
                                   (None, 0, "assistant", "x")], "conv_id long, turn long, role string, text string")
     chosen, rejected = reply_swaps(conv)
     assert sorted((r.pair_id, r.turn, r.text) for r in chosen.collect()) == [(1, 0, "q"), (1, 1, "a1"), (2, 0, "p"), (2, 1, "a2")]
-    assert sorted((r.pair_id, r.turn, r.text) for r in rejected.collect()) == [(1, 0, "q"), (1, 1, "a2"), (2, 0, "p")]
+    assert sorted((r.pair_id, r.turn, r.text) for r in rejected.collect()) == [(1, 0, "q"), (1, 1, "a2"), (2, 0, "p"), (2, 1, "a1")]
+
+
+def test_partners_over_gaps_ranges_and_text_ids(spark):
+    from issuelens.llm.preferences import following
+    ids = [3 * i * i for i in range(50)]
+    got = {r.i: r.next for r in following(spark.createDataFrame([(i,) for i in ids], "i long").repartition(3), "i").collect()}
+    assert got == dict(zip(ids, ids[1:] + ids[:1]))
+    one = spark.createDataFrame([("b", 0, "assistant", "only")], "conv_id string, turn long, role string, text string")
+    assert reply_swaps(one)[1].count() == 0
+    conv = spark.createDataFrame([(c, 0, "assistant", f"says {c}") for c in ("b", "a10", "a9")], one.schema)
+    assert sorted((r.pair_id, r.text) for r in reply_swaps(conv)[1].collect()) == [("a10", "says a9"), ("a9", "says b"), ("b", "says a10")]
 
 
 def test_plan_has_no_python_and_no_cross_join(spark):
