@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from issuelens.llm.text import in_arrow, read_table, schema_of, written
+from issuelens.llm.text import in_arrow, read_table, schema_of, sql_crc32, written
 
 FANOUT = 2
 SPAN = 4096                    # leaves of a chunk at most
@@ -418,3 +418,53 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("offered", F.coalesce("other", "digest")).drop("other")
     return verified(manifest(rows, ["doc_id"]), "offered") \
         .select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def _sql_field(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL THEN '-' ELSE CAST(strlen(CAST({x} AS VARCHAR)) AS VARCHAR) || ':' || CAST({x} AS VARCHAR) END"
+
+
+def _sql_leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_sql_field(n_chars if f == "n_chars" else f) for f in FIELDS) + ")"
+
+
+# Every level of every tree is written out; nothing is resumed.
+OP11_SQL = f"""
+WITH RECURSIVE
+docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || lang, '') AS grp, {_sql_leaf("n_chars")} AS leaf, {_sql_leaf("n_chars + 1")} AS other,
+         coalesce({sql_crc32("doc_id")} % {TAMPER_MODULUS} = 0, false) AS tampered
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY grp) AS n FROM docs),
+nodes AS (
+  SELECT grp, 0 AS lvl, pos, n, leaf AS h FROM leaves
+  UNION ALL
+  SELECT grp, lvl + 1, pos // 2, (max(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY grp, lvl, pos // 2),
+subroots AS (
+  SELECT grp, lvl AS height, h, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS lvl, pos, n, h FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 2, (max(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY lvl, pos // 2),
+root AS (SELECT lvl AS height, h FROM tops WHERE n = 1),
+siblings AS (
+  SELECT l.rid, 0 AS tree, s.lvl, s.h FROM leaves l JOIN nodes s ON s.grp = l.grp AND s.pos = xor(l.pos >> s.lvl, 1)
+  UNION ALL
+  SELECT l.rid, 1, s.lvl, s.h FROM leaves l JOIN subroots g ON g.grp = l.grp JOIN tops s ON s.pos = xor(g.pos >> s.lvl, 1)),
+proofs AS (SELECT rid, sha256(string_agg(h, '' ORDER BY tree, lvl)) AS proof FROM siblings GROUP BY rid),
+low AS (
+  SELECT rid, grp, 0 AS lvl, pos, other AS h FROM leaves WHERE tampered AND other IS NOT NULL
+  UNION ALL
+  SELECT f.rid, f.grp, f.lvl + 1, f.pos // 2, sha256(CASE WHEN f.pos % 2 = 0 THEN f.h || coalesce(s.h, '') ELSE s.h || f.h END)
+  FROM low f JOIN subroots g ON g.grp = f.grp AND f.lvl < g.height LEFT JOIN nodes s ON s.grp = f.grp AND s.lvl = f.lvl AND s.pos = xor(f.pos, 1)),
+high AS (
+  SELECT f.rid, 0 AS lvl, g.pos, f.h FROM low f JOIN subroots g ON g.grp = f.grp AND f.lvl = g.height
+  UNION ALL
+  SELECT f.rid, f.lvl + 1, f.pos // 2, sha256(CASE WHEN f.pos % 2 = 0 THEN f.h || coalesce(s.h, '') ELSE s.h || f.h END)
+  FROM high f JOIN root r ON f.lvl < r.height LEFT JOIN tops s ON s.lvl = f.lvl AND s.pos = xor(f.pos, 1)),
+folded AS (SELECT f.rid, f.h FROM high f JOIN root r ON f.lvl = r.height)
+SELECT l.doc_id, l.leaf, g.h AS subroot, (SELECT h FROM root) AS root, coalesce(p.proof, sha256('')) AS proof_sha256,
+       coalesce(f.h, (SELECT h FROM root)) AS folded_root, coalesce(f.h, (SELECT h FROM root)) = (SELECT h FROM root) AS verified
+FROM leaves l JOIN subroots g ON g.grp = l.grp LEFT JOIN proofs p ON p.rid = l.rid LEFT JOIN folded f ON f.rid = l.rid
+"""

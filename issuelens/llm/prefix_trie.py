@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from issuelens.llm.text import hot_split, in_arrow, read_table, schema_of, written
+from issuelens.llm.text import hot_split, in_arrow, read_table, schema_of, sql_crc32, written
 from issuelens.operators.sequence import row_number_in_order
 
 BLOCK = 4                      # turns of a block
@@ -241,3 +241,40 @@ def op13(conversations: DataFrame) -> DataFrame:
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prefix trie of all rebuilt conversations."""
     return op13(read_table(spark, sf_dir, "conversations"))
+
+
+# Every prefix is compared as a whole, and every subtree walked.
+OP13_SQL = f"""
+WITH hashed AS (
+  SELECT conv_id, turn, coalesce(text, '') AS text,
+         sha256(CAST(strlen(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS said
+  FROM conversations WHERE conv_id IS NOT NULL),
+turns AS (
+  SELECT conv_id, said, length(text) AS chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, said) AS rn FROM hashed),
+sizes AS (SELECT conv_id, max(rn) AS n_own FROM turns GROUP BY 1),
+convs AS (
+  SELECT c.conv_id, c.n_own, c.h, c.base, least(c.h, coalesce(b.n_own, 0)) AS n_head
+  FROM (SELECT *, conv_id - conv_id % {GROUP} AS base, {sql_crc32("conv_id")} % {MOST_HEAD + 1} AS h FROM sizes) c
+  LEFT JOIN sizes b ON b.conv_id = c.base),
+rebuilt AS (
+  SELECT c.conv_id, t.rn AS pos, t.said, t.chars FROM convs c JOIN turns t ON t.conv_id = c.base AND t.rn <= c.h
+  UNION ALL
+  SELECT c.conv_id, t.rn - c.h + c.n_head, t.said, t.chars FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.rn > c.h),
+prefixes AS (
+  SELECT conv_id, pos, chars, sha256(string_agg(said, '') OVER (PARTITION BY conv_id ORDER BY pos)) AS p FROM rebuilt
+  UNION ALL
+  SELECT conv_id, 0, 0, '' FROM convs),
+paths AS (SELECT *, lag(p) OVER (PARTITION BY conv_id ORDER BY pos) AS up, max(pos) OVER (PARTITION BY conv_id) AS len FROM prefixes),
+nodes AS (
+  SELECT pos AS depth, p, min(conv_id) AS conv_id, count(*) AS n, max(chars) AS chars, max(up) AS up,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (pos = len), '') AS ends
+  FROM paths GROUP BY 1, 2),
+children AS (SELECT depth - 1 AS depth, up AS p, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1, 2),
+full_nodes AS (SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c ON c.depth = n.depth AND c.p = n.p),
+sums AS (
+  SELECT a.pos AS depth, a.p, sum((u.n - 1) * u.chars) AS saved, count(*) FILTER (u.n_children = 0) AS leaves
+  FROM full_nodes u JOIN paths a ON a.conv_id = u.conv_id AND a.pos <= u.depth GROUP BY 1, 2)
+SELECT v.conv_id, CAST(v.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, CAST(v.n AS BIGINT) AS n_convs, CAST(v.n_children AS BIGINT) AS n_children,
+       CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM full_nodes v JOIN sums s ON s.depth = v.depth AND s.p = v.p LEFT JOIN nodes up ON up.depth = v.depth - 1 AND up.p = v.up
+"""

@@ -6,9 +6,9 @@ from issuelens.llm.decontaminate import OP8_SQL, op8_benchmark_hits
 from issuelens.llm.jaccard import op9_ngram_jaccard
 from issuelens.llm.langid import op7_language_id
 from issuelens.llm.licenses import op5_license_scan
-from issuelens.llm.merkle import op11_merkle_manifest
+from issuelens.llm.merkle import OP11_SQL, op11_merkle_manifest
 from issuelens.llm.preferences import OP10_SQL, op10_preferences
-from issuelens.llm.prefix_trie import op13_prefix_trie
+from issuelens.llm.prefix_trie import OP13_SQL, op13_prefix_trie
 from issuelens.llm.quality import OP2_SQL, op2_quality_lines
 from issuelens.llm.sentencepiece import op1_sentencepiece
 from issuelens.llm.substrings import op6_substring_dedup
@@ -36,4 +36,6 @@ ORACLE: dict[str, str] = {
     "op2_quality_lines": OP2_SQL,
     "op8_benchmark_hits": OP8_SQL,
     "op10_preferences": OP10_SQL,
+    "op11_merkle_manifest": OP11_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }

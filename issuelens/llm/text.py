@@ -147,3 +147,10 @@ def hot_split(left: DataFrame, keys: list[str], right: DataFrame, how: str = "in
     rest = marked.filter("is_hot is null").drop("is_hot").join(
         right.filter(F.col("n_left") <= limit).drop("n_left"), keys, how)
     return to_hot.unionByName(rest)
+
+
+def sql_crc32(number: str) -> str:
+    """DuckDB SQL for the crc32 of a number's decimal text, which it has no function for (tests and oracles)."""
+    byte = "list_reduce(list_prepend(xor(a, b) & 255, range(8)), lambda k, i: CASE WHEN k & 1 = 1 THEN xor(k >> 1, 3988292384::BIGINT) ELSE k >> 1 END)"
+    codes = f"list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda a, b: xor(a >> 8, {byte})), 4294967295::BIGINT)"
