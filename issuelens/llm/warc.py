@@ -3,12 +3,16 @@
 A record is a row: page_id, warc_type, record_id, refers_to, target_uri, date, content_type,
 block (binary), block_digest, payload_digest, headers (array of name/value, in order).  Every
 response yields two records.  The conversion holds the page's text; the metadata holds, as JSON,
-the source's WARC headers, HTTP status and headers, title, language and links, its digests and
-the conversion's id.  Both refer to the response (WARC-Refers-To, with its target URI and date) and
+the source's WARC headers and HTTP headers (as lists of pairs, in order, so repeated names stay), HTTP
+status, charset, title, language and links, its digests and the conversion's id.  Both refer to the response (WARC-Refers-To, with its target URI and date) and
 keep the source's payload digest and headers; digests are SHA-1 in base 32, as is usual.
 
 Everything is one narrow pass per row: no shuffle, and a page is the most a task holds.
-``write_warc`` writes WARC files, one per partition, and ``read_warc`` reads them back.
+``write_warc`` writes WARC files, one per partition, plain or compressed, and ``read_warc`` reads them
+back record by record: plain files are split among tasks, and no task holds more than a record.
+
+A payload is decoded by the charset of its Content-Type, else of its ``meta`` element, else as UTF-8;
+bytes that the charset does not have become U+FFFD; an unknown charset means UTF-8.
 
 Record ids are made from the content (same rows, same ids), so a lost and repeated task yields
 the same records.  Defined results: a NULL url is an empty target URI; NULL or empty html is an
@@ -20,6 +24,7 @@ rows yield equal records.  Other columns of the input are not read.
 from __future__ import annotations
 
 import base64
+import codecs
 import hashlib
 import html as entities
 import json
@@ -50,6 +55,8 @@ TAG = re.compile(r"<[/!?a-zA-Z][^>]*(?:>|\Z)")
 SPACES = re.compile(r"[^\S\n]+")
 TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title|\Z)", re.S | re.I)
 LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
+CHARSET = re.compile(rb"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
+META_CHARSET = re.compile(rb"<meta\b[^>]*?charset\s*=\s*[\"']?([\w.:-]+)", re.I)
 LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 
 
@@ -89,6 +96,18 @@ def http_parts(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     return lines[0], [tuple(map(str.strip, x.partition(":")[::2])) for x in lines[1:] if x], payload
 
 
+def charset_of(http: list[tuple[str, str]], payload: bytes) -> str:
+    """The charset that a page declares, as Python names it."""
+    declared = [CHARSET.search(v.encode()) for n, v in http if n.lower() == "content-type"]
+    for found in [*declared, META_CHARSET.search(payload[:4096])]:     # standards put the element in the first bytes
+        if found:
+            try:
+                return codecs.lookup(found[1].decode("ascii", "replace")).name
+            except LookupError:
+                pass
+    return "utf-8"
+
+
 def record(kind: str, rid: str, refers_to: str | None, uri: str, date: str, content_type: str, block: bytes,
            payload_digest: str | None, more: list[tuple[str, str]] = ()) -> tuple:
     headers = [("WARC-Type", kind), ("WARC-Record-ID", rid), ("WARC-Date", date), ("WARC-Target-URI", uri)]
@@ -110,14 +129,15 @@ def response(page_id: object, url: str | None, page: str | None, date: str = NO_
 def derived(source: dict) -> list[tuple]:
     """The conversion and metadata records of a response record."""
     status, http, payload = http_parts(source["block"])
-    page, uri, rid = payload.decode(errors="replace"), source["target_uri"] or "", source["record_id"]
+    charset = charset_of(http, payload)
+    page, uri, rid = payload.decode(charset, errors="replace"), source["target_uri"] or "", source["record_id"]
     about = [("WARC-Refers-To-Target-URI", uri), ("WARC-Refers-To-Date", source["date"])]
     facts = described(page, uri)
     language = [("WARC-Identified-Content-Language", facts["lang"])] if facts["lang"] else []
     text = record("conversion", record_id("conversion", rid), rid, uri, source["date"], "text/plain; charset=utf-8",
                   plain_text(page).encode(), source["payload_digest"], about + language)
-    envelope = {"refers_to": rid, "conversion": text[1], "warc_headers": {h["name"]: h["value"] for h in source["headers"]},
-                "http_status": status, "http_headers": dict(http), "payload_length": len(payload), **facts}
+    envelope = {"refers_to": rid, "conversion": text[1], "warc_headers": [[h["name"], h["value"]] for h in source["headers"]],
+                "http_status": status, "http_headers": http, "charset": charset, "payload_length": len(payload), **facts}
     meta = record("metadata", record_id("metadata", rid), rid, uri, source["date"], "application/json",
                   json.dumps(envelope, ensure_ascii=False, sort_keys=True).encode(), source["payload_digest"], about)
     return [meta, text]
@@ -164,15 +184,18 @@ def serialized(headers: list[dict], block: bytes) -> bytes:
     return head.encode() + block + b"\r\n\r\n"
 
 
-def parsed(data: bytes) -> Iterator[tuple[list[tuple[str, str]], bytes]]:
-    """Headers and block of the records of a WARC file's content, one after the other."""
-    at = 0
-    while (at := data.find(b"WARC/1.", at)) >= 0:
-        end = data.index(b"\r\n\r\n", at)
-        headers = [tuple(x.split(": ", 1)) for x in data[at:end].decode().split("\r\n")[1:]]
-        size = int(dict(headers)["Content-Length"])
-        yield headers, data[end + 4 : end + 4 + size]
-        at = end + 4 + size
+# What lies between two records: the end of one and the beginning of the next one's version line.
+BETWEEN = "\r\n\r\nWARC/1."
+
+
+def parsed(record: bytes) -> tuple[list[tuple[str, str]], bytes]:
+    """Headers and block of a record, as cut at ``BETWEEN``."""
+    head, _, rest = record.partition(b"\r\n\r\n")
+    headers = [tuple(map(str.strip, x.partition(":")[::2])) for x in head.decode(errors="replace").split("\r\n")[1:]]
+    size = int(next((v for n, v in headers if n.lower() == "content-length"), 0))
+    if len(rest) < size:
+        raise ValueError(f"a record of {size} bytes ends after {len(rest)}: its block holds a record's beginning, or the file is cut short")
+    return headers, rest[:size]
 
 
 def write_warc(records: DataFrame, path: str, compression: str = "none") -> None:
@@ -187,22 +210,27 @@ def write_warc(records: DataFrame, path: str, compression: str = "none") -> None
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records (page_id NULL) of the uncompressed WARC files below ``path``; a file is read by one task."""
+    """Records (page_id NULL) of the WARC files below ``path``, compressed ones (``.gz``) included.
+
+    Spark cuts the files at the line between records, so a plain file is shared by many tasks.  A block
+    that holds such a line itself is an error, as is a file that is cut short.
+    """
     out = record_schema(T.LongType())
     schema = schema_of(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            made = []
             for content in b.column(0):
-                made = []
-                for headers, block in parsed(content.as_py()):
-                    h = dict(headers)
-                    made.append((h["WARC-Type"], h["WARC-Record-ID"], h.get("WARC-Refers-To"), h.get("WARC-Target-URI"), h.get("WARC-Date"),
-                                 h.get("Content-Type"), block, h.get("WARC-Block-Digest"), h.get("WARC-Payload-Digest"),
-                                 [{"name": n, "value": v} for n, v in headers]))
-                yield as_batch(pa.array([None] * len(made), pa.int64()), made, schema)
-
-    return in_arrow(spark.read.format("binaryFile").load(path).select("content"), run, out)
+                headers, block = parsed(content.as_py())
+                h = dict(reversed(headers))              # the first of repeated names
+                made.append((h.get("WARC-Type"), h.get("WARC-Record-ID"), h.get("WARC-Refers-To"), h.get("WARC-Target-URI"), h.get("WARC-Date"),
+                             h.get("Content-Type"), block, h.get("WARC-Block-Digest"), h.get("WARC-Payload-Digest"),
+                             [{"name": n, "value": v} for n, v in headers]))
+            yield as_batch(pa.array([None] * len(made), pa.int64()), made, schema)
+
+    cut = spark.read.option("lineSep", BETWEEN).text(path).select(F.col("value").cast("binary").alias("record"))
+    return in_arrow(cut.filter(F.length("record") > 4), run, out)
 
 
 def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
