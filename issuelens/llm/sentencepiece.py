@@ -14,7 +14,9 @@ held as whole numbers (score x 1024, rounded), so sums are exact in any order.
   entry states for each exit, so that ties are decided as in one pass.  Matrices are combined
   associatively, ``FAN`` at a time and level by level, up to one per document; then, level by
   level down, each block gets its entry and exit state, and finally every chunk is backtraced
-  alone.  No task ever holds more than ``FAN`` matrices or one chunk of a giant document.
+  alone.  What lies between a chunk's first and last forced cut has the same pieces whatever the
+  states: its ids are kept beside the matrix, and only the two ends are traced.  No task ever holds
+  more than ``FAN`` matrices or one chunk of a giant document.
 
 Models with normalisation tables are refused.  The public SentencePiece model at hand is of the
 BPE type; its pieces and scores serve as a unigram model here (see the README).  Characters
@@ -260,13 +262,17 @@ class Pieces:
 
     def transfer(self, before: str, text: str, size: int, ends: bool) -> tuple[np.ndarray, np.ndarray]:
         """Transfer matrix of a chunk, and for each exit the rank of every entry (0: preferred)."""
+        between = self.cuts(before, text, size, ends)
+        return self.matrix(text, size, between, self.encode(text[between[0] : between[1]]) if between else b"")
+
+    def matrix(self, text: str, size: int, between: tuple[int, int] | None, middle_ids: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """``transfer``, given the forced cuts and the ids between them."""
         k = self.longest
         value, rank = np.full((k, k), NONE, np.int64), np.zeros((k, k), np.int16)
         stop = min(len(text), size + k - 1)
-        between = self.cuts(before, text, size, ends)
         if between is not None:
             first, last = between
-            middle = self.score(self.ids_of(self.split.findall(text[first:last])))
+            middle = self.score(middle_ids)
             exits, _ = self.paths(text, last, size, stop)
             order = []
             for s in range(min(k, first + 1)):
@@ -292,15 +298,15 @@ class Pieces:
     def backtrace(self, before: str, text: str, size: int, ends: bool, entry: int, exit_: int) -> bytes:
         """Ids of the pieces that start in this chunk, given its states at both borders."""
         between = self.cuts(before, text, size, ends)
-        end = size + exit_
         if between is None:
-            _, back = self.paths(text, entry, size, end)
-            return self.emit(text, self.starts(back, end, entry), end)
+            return self.trace(text, size, entry, exit_)
         first, last = between
-        _, left = self.paths(text, entry, first, first)
-        _, right = self.paths(text, last, size, end)
-        return (self.emit(text, self.starts(left, first, entry), first) + self.encode(text[first:last])
-                + self.emit(text, self.starts(right, end, last), end))
+        return self.trace(text[:first], first, entry, 0) + self.encode(text[first:last]) + self.trace(text[last:], size - last, 0, exit_)
+
+    def trace(self, text: str, size: int, entry: int, exit_: int) -> bytes:
+        """Ids of the best path from ``entry`` to ``exit_`` characters after ``size``, of pieces that start before ``size``."""
+        _, back = self.paths(text, entry, size, size + exit_)
+        return self.emit(text, self.starts(back, size + exit_, entry), size + exit_)
 
 
 Matrix = tuple[np.ndarray, np.ndarray]
@@ -382,9 +388,24 @@ def split_documents(docs: DataFrame, held, text: str, chunk: int) -> DataFrame:
     return in_arrow(numbered, run, out).repartition("row_no", "chunk")
 
 
-def boundary_states(chunks: DataFrame, held, k: int) -> DataFrame:
-    """(row_no, chunk, entry, exit) by the scan: matrices up a tree of fan ``FAN``, states down it."""
-    matrix_schema = schema_of("row_no long, at long, matrix binary")
+MATRIX = "row_no long, at long, matrix binary"
+
+
+def boundary_states(chunks: DataFrame, held, k: int) -> tuple[DataFrame, DataFrame]:
+    """(row_no, chunk, entry, exit) by the scan: matrices up a tree of fan ``FAN``, states down it; and the table of
+    the chunks' matrices with what backtracing needs: the text up to the first cut and from the last one
+    (``left``, ``right``; without cuts all is ``left``), the size of each, and the ids in between.
+    """
+    ddl = MATRIX + ", left string, left_size int, middle binary, right string, right_size int"
+    matrix_schema = schema_of(ddl)
+
+    def solved(pieces: Pieces, before: str, text: str, size: int, ends: bool) -> tuple:
+        between = pieces.cuts(before, text, size, ends)
+        if between is None:
+            return pack(pieces.matrix(text, size, None, b"")), text, size, b"", "", 0
+        first, last = between
+        ids = pieces.encode(text[first:last])
+        return pack(pieces.matrix(text, size, between, ids)), text[:first], first, ids, text[last:], size - last
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(held.value)
@@ -392,8 +413,10 @@ def boundary_states(chunks: DataFrame, held, k: int) -> DataFrame:
             found = []
             rows = list(zip(*[b.column(i).to_pylist() for i in (2, 3, 4, 1, 5)]))
             for at, part in pieces.parts([r[1] for r in rows]):
-                found += [pack(pieces.transfer(before, body, size, c + 1 == n)) for before, body, size, c, n in rows[at : at + len(part)]]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.binary())], schema=matrix_schema)
+                found += [solved(pieces, before, body, size, c + 1 == n) for before, body, size, c, n in rows[at : at + len(part)]]
+            cols = list(zip(*found)) or [[]] * 6
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(c, f.type) for c, f in zip(cols, list(matrix_schema)[2:])]],
+                                             schema=matrix_schema)
 
     def up(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("at")
@@ -407,13 +430,12 @@ def boundary_states(chunks: DataFrame, held, k: int) -> DataFrame:
         states = resolve([unpack(m, k) for m in group["matrix"]], int(group["entry"].iloc[0]), int(group["exit"].iloc[0]))
         return pd.DataFrame({"row_no": group["row_no"], "at": group["at"], "entry": states[:-1], "exit": states[1:]})
 
-    base = in_arrow(chunks.select("row_no", "chunk", "before", "body", "size", "n_chunks"), matrices,
-                    "row_no long, at long, matrix binary")
-    levels = [written(base, "matrices")]
+    base = written(in_arrow(chunks.select("row_no", "chunk", "before", "body", "size", "n_chunks"), matrices, ddl), "matrices")
+    levels = [base.select("row_no", "at", "matrix")]
     most = chunks.agg(F.max("n_chunks")).first()[0] or 1
     while most > 1:
         parents = levels[-1].groupBy("row_no", F.floor(F.col("at") / FAN).alias("block")).applyInPandas(
-            lambda g: up(g), "row_no long, at long, matrix binary")
+            lambda g: up(g), MATRIX)
         levels.append(written(parents, "matrices"))
         most = -(-most // FAN)
     # a document starts and ends on a piece boundary: state 0 on both sides
@@ -424,7 +446,7 @@ def boundary_states(chunks: DataFrame, held, k: int) -> DataFrame:
             .groupBy("row_no", "block").applyInPandas(lambda g: down(g), "row_no long, at long, entry int, exit int")
         if level is not levels[0]:
             states = written(states, "states")
-    return states.withColumnRenamed("at", "chunk")
+    return states.withColumnRenamed("at", "chunk"), base.drop("matrix").withColumnRenamed("at", "chunk")
 
 
 def ids_array(found: list[bytes | None]) -> pa.Array:
@@ -465,21 +487,23 @@ def encode(docs: DataFrame, model_path: str = PIECE_MODEL, text: str = "text", c
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(held.value)
         for b in batches:
-            rows = list(zip(*[b.column(i).to_pylist() for i in range(2, 9)]))
             found = []
-            for at, part in pieces.parts([r[1] for r in rows]):
-                found += [pieces.backtrace(before, body, size, c + 1 == n, s, e) for before, body, size, c, n, s, e in rows[at : at + len(part)]]
+            for left, left_size, middle, right, right_size, entry, exit_ in zip(*[b.column(i).to_pylist() for i in range(3, 10)]):
+                if middle or right or right_size:          # there is a cut: the path passes it
+                    found.append(pieces.trace(left, left_size, entry, 0) + middle + pieces.trace(right, right_size, 0, exit_))
+                else:
+                    found.append(pieces.trace(left, left_size, entry, exit_))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1).cast(schema.field(0).type), b.column(5), ids_array(found).cast(schema.field(1).type)],
+                [b.column(0), b.column(1).cast(schema.field(0).type), b.column(2), ids_array(found).cast(schema.field(1).type)],
                 schema=chunked_schema)
 
     struct = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)] or [F.lit(None).cast("string").alias("none")])
     short = in_arrow(docs.filter(~F.coalesce(giant, F.lit(False))).select(struct.alias("rest"), F.col(f"`{text}`").alias("t")), small, out) \
         .withColumn("n_chunks", F.lit(1).cast("long"))
     chunks = written(split_documents(docs.filter(giant), held, text, chunk), "chunks")
-    states = boundary_states(chunks, held, k)
-    traced = in_arrow(chunks.join(states, ["row_no", "chunk"]).select(
-        "row_no", "rest", "before", "body", "size", "chunk", "n_chunks", "entry", "exit"), back, chunked)
+    states, ends = boundary_states(chunks, held, k)
+    traced = in_arrow(chunks.select("row_no", "chunk", "rest").join(ends, ["row_no", "chunk"]).join(states, ["row_no", "chunk"]).select(
+        "row_no", "rest", "chunk", "left", "left_size", "middle", "right", "right_size", "entry", "exit"), back, chunked)
     # One row is one document: only here do its ids come together.
     whole = traced.groupBy("row_no").agg(
         F.max_by("rest", -F.col("chunk")).alias("rest"),
