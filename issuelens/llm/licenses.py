@@ -100,11 +100,17 @@ class Group:
         memory = TextHash()
         own = [base_hash(gram_hashes(np.fromiter(map(memory.__getitem__, w), np.uint64, len(w)), gram)) for w in templates.values()]
         self.names = list(templates)
-        self.signatures = np.array([[(h * m).min() for h in own] for m in multipliers(self.bands)], np.uint32)     # bands x templates
+        signatures = np.array([[(h * m).min() for h in own] for m in multipliers(self.bands)], np.uint32)     # bands x templates
+        # Per band its buckets: ascending values, and the templates in each.
+        self.buckets: list[tuple[np.ndarray, list[list[int]]]] = []
+        for signature in signatures:
+            values, at = np.unique(signature, return_inverse=True)
+            self.buckets.append((values, [np.flatnonzero(at == i).tolist() for i in range(len(values))]))
 
 
 def multipliers(n: int) -> np.ndarray:
-    return (np.random.default_rng(20).integers(0, 1 << 31, 4096, dtype=np.uint32)[:n] << np.uint32(1)) | np.uint32(1)
+    """``n`` odd multipliers; the first ones are the same for every ``n``."""
+    return (np.random.default_rng(20).integers(0, 1 << 31, max(n, 4096), dtype=np.uint32)[:n] << np.uint32(1)) | np.uint32(1)
 
 
 def base_hash(grams: np.ndarray) -> np.ndarray:
@@ -137,15 +143,16 @@ def colliding(hashes: np.ndarray, group: Group) -> list[tuple[int, str]]:
     padded = np.full(blocks * group.block, hashes[-1], np.uint32)
     padded[: len(hashes)] = hashes
     columns = np.ascontiguousarray(padded.reshape(blocks, group.block).T)
-    hit = np.zeros((len(group.names), blocks), bool)
-    for m, signature in zip(multipliers(group.bands), group.signatures):
+    hit: set[tuple[int, int]] = set()
+    for m, (values, members) in zip(multipliers(group.bands), group.buckets):
         lowest = (columns * m).min(axis=0)
         window = lowest.copy()
         window[:-1] = np.minimum(window[:-1], lowest[1:])
         window[:-2] = np.minimum(window[:-2], lowest[2:])
-        for k, value in enumerate(signature):
-            hit[k] |= window == value
-    return [(int(w) * group.block, group.names[k]) for k, w in zip(*np.nonzero(hit))]
+        bucket = np.minimum(np.searchsorted(values, window), len(values) - 1)      # looked up, however many templates there are
+        for w in np.flatnonzero(values[bucket] == window).tolist():
+            hit.update((k, w) for k in members[bucket[w]])
+    return [(w * group.block, group.names[k]) for k, w in sorted(hit)]
 
 
 def found_in(texts: list[list[str]], groups: list[Group], memory: TextHash, least: float) -> list[dict[str, list]]:

@@ -72,3 +72,16 @@ def test_templates_under_five_words(spark):
     assert got == want and {n for _, n in got} == set(short)
     with pytest.raises(ValueError, match="bare"):
         li.scanned(spark.createDataFrame(rows, "doc_id long, text string"), {"bare": " ... "})
+
+
+def test_many_templates_and_bands_without_a_ceiling(spark):
+    import numpy as np
+    rng = random.Random(9)
+    made = {f"t{k}": " ".join(f"x{rng.randrange(400)}" for _ in range(rng.randrange(8, 60))) for k in range(150)}
+    made["same as t3"] = made["t3"]
+    texts = [(i, " ".join(f"w{rng.randrange(10**5)}" for _ in range(120)) + " " + t + " tail of the text") for i, t in enumerate(made.values())]
+    got = {(r.doc_id, r.license) for r in li.scanned(spark.createDataFrame(texts, "doc_id long, text string"), templates=made).collect()}
+    share = lambda t, text: len(li.shingles(li.words_of(t)) & li.shingles(li.words_of(text))) / len(li.shingles(li.words_of(t)))
+    assert got == {(i, n) for i, text in texts for n, t in made.items() if share(t, text) >= li.LEAST}
+    assert (3, "t3") in got and (3, "same as t3") in got
+    assert (li.multipliers(6000)[:50] == li.multipliers(50)).all() and len(np.unique(li.multipliers(6000))) > 5990
