@@ -12,6 +12,9 @@ assignee/reporter, nation = department, order status/priority = status/priority.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -346,11 +349,21 @@ def landed_pages(spark: SparkSession, sf_dir: str, by_project: bool = False,
 _LANDED: dict[tuple, str] = {}
 
 
+def landed_once(spark: SparkSession, name: str, sf_dir: str, write: Callable[[str], None]) -> DataFrame:
+    """A table that an application writes the first time it is asked for (and again, should its folder be gone)."""
+    key = (spark.sparkContext.applicationId, name, sf_dir)
+    if key in _LANDED:
+        try:
+            return spark.read.parquet(_LANDED[key])
+        except AnalysisException:
+            pass
+    path = shared_dir(spark, name)
+    write(path)
+    _LANDED[key] = path
+    return spark.read.parquet(path)
+
+
 def landed_table(spark: SparkSession, sf_dir: str, by_project: bool = False) -> DataFrame:
     """``landed_pages`` as a table, written once by an application: pages lie landed before any report runs."""
-    key = (spark.sparkContext.applicationId, sf_dir, by_project)
-    if key not in _LANDED:
-        path = shared_dir(spark, "landed")
-        landed_pages(spark, sf_dir, by_project).write.parquet(path)
-        _LANDED[key] = path
-    return spread(spark.read.parquet(_LANDED[key]))
+    return spread(landed_once(spark, "landed-by-project" if by_project else "landed", sf_dir,
+                              lambda path: landed_pages(spark, sf_dir, by_project).write.parquet(path)))

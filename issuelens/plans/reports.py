@@ -29,7 +29,7 @@ from issuelens.operators.history import days_by_status, now_text
 from issuelens.operators.names import distinct_names, join_labels, named, q
 from issuelens.operators.sequence import SkewPolicy
 from issuelens.operators.tables import indicators, known_value, row_sum, vocabulary
-from issuelens.fixtures import landed_table
+from issuelens.fixtures import landed_once, landed_table
 from issuelens.session import as_table, shared_dir
 from issuelens.sources.pages import explode_issues, latest_issue_version, pages_from_text
 from issuelens.sources.sinks import csv_header, read_csv, write_csv
@@ -405,18 +405,10 @@ def read_bronze(spark: SparkSession, path: str, overlapping_pulls: bool = True)
 # Registered queries on pages landed from the provided tables
 # --------------------------------------------------------------------------------------
 AS_OF = "2025-01-01 00:00:00"
-_LANDED: dict[tuple[str, str], str] = {}
-
-
 def landed_issues(spark: SparkSession, sf: str) -> DataFrame:
     """The bronze issue table of the landed pages, written once by an application: a report reads it, as it
     would read the table that the ingest keeps."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _LANDED:
-        path = shared_dir(spark, "bronze")
-        write_bronze(pages_from_text(landed_table(spark, sf), "raw"), path)
-        _LANDED[key] = path
-    return spark.read.parquet(_LANDED[key])
+    return landed_once(spark, "bronze", sf, lambda path: write_bronze(pages_from_text(landed_table(spark, sf), "raw"), path))
 
 
 def sbp_time_in_status(spark: SparkSession, sf: str) -> DataFrame:
