@@ -394,10 +394,11 @@ MATRIX = "row_no long, at long, matrix binary"
 def boundary_states(chunks: DataFrame, held, k: int) -> tuple[DataFrame, DataFrame]:
     """(row_no, chunk, entry, exit) by the scan: matrices up a tree of fan ``FAN``, states down it; and the table of
     the chunks' matrices with what backtracing needs: the text up to the first cut and from the last one
-    (``left``, ``right``; without cuts all is ``left``), the size of each, and the ids in between.
+    (``left``, ``right``; without cuts all is ``left``), the size of each, and the ids in between; and ``rest``.
     """
-    ddl = MATRIX + ", left string, left_size int, middle binary, right string, right_size int"
-    matrix_schema = schema_of(ddl)
+    ends = T.StructType.fromDDL("left string, left_size int, middle binary, right string, right_size int")
+    out = T.StructType([*T.StructType.fromDDL(MATRIX).fields, *ends.fields, chunks.schema["rest"]])
+    matrix_schema = schema_of(out)
 
     def solved(pieces: Pieces, before: str, text: str, size: int, ends: bool) -> tuple:
         between = pieces.cuts(before, text, size, ends)
@@ -410,13 +411,14 @@ def boundary_states(chunks: DataFrame, held, k: int) -> tuple[DataFrame, DataFra
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(held.value)
         for b in batches:
-            found = []
             rows = list(zip(*[b.column(i).to_pylist() for i in (2, 3, 4, 1, 5)]))
             for at, part in pieces.parts([r[1] for r in rows]):
-                found += [solved(pieces, before, body, size, c + 1 == n) for before, body, size, c, n in rows[at : at + len(part)]]
-            cols = list(zip(*found)) or [[]] * 6
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(c, f.type) for c, f in zip(cols, list(matrix_schema)[2:])]],
-                                             schema=matrix_schema)
+                size_of_part = len(part)
+                some = rows[at : at + size_of_part]
+                cols = zip(*[solved(pieces, before, body, size, c + 1 == n) for before, body, size, c, n in some])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, size_of_part), b.column(1).slice(at, size_of_part),
+                                                  *[pa.array(c, f.type) for c, f in zip(cols, list(matrix_schema)[2:])],
+                                                  b.column(6).slice(at, size_of_part).cast(matrix_schema.field("rest").type)], schema=matrix_schema)
 
     def up(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("at")
@@ -430,7 +432,7 @@ def boundary_states(chunks: DataFrame, held, k: int) -> tuple[DataFrame, DataFra
         states = resolve([unpack(m, k) for m in group["matrix"]], int(group["entry"].iloc[0]), int(group["exit"].iloc[0]))
         return pd.DataFrame({"row_no": group["row_no"], "at": group["at"], "entry": states[:-1], "exit": states[1:]})
 
-    base = written(in_arrow(chunks.select("row_no", "chunk", "before", "body", "size", "n_chunks"), matrices, ddl), "matrices")
+    base = written(in_arrow(chunks.select("row_no", "chunk", "before", "body", "size", "n_chunks", "rest"), matrices, out), "matrices")
     levels = [base.select("row_no", "at", "matrix")]
     most = chunks.agg(F.max("n_chunks")).first()[0] or 1
     while most > 1:
@@ -486,23 +488,25 @@ def encode(docs: DataFrame, model_path: str = PIECE_MODEL, text: str = "text", c
 
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(held.value)
-        for b in batches:
-            found = []
-            for left, left_size, middle, right, right_size, entry, exit_ in zip(*[b.column(i).to_pylist() for i in range(3, 10)]):
-                if middle or right or right_size:          # there is a cut: the path passes it
-                    found.append(pieces.trace(left, left_size, entry, 0) + middle + pieces.trace(right, right_size, 0, exit_))
-                else:
-                    found.append(pieces.trace(left, left_size, entry, exit_))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1).cast(schema.field(0).type), b.column(2), ids_array(found).cast(schema.field(1).type)],
-                schema=chunked_schema)
+        for whole_batch in batches:
+            for at in range(0, whole_batch.num_rows, FAN):           # few chunks at a time, to hold little
+                b = whole_batch.slice(at, FAN)
+                found = []
+                for left, left_size, middle, right, right_size, entry, exit_ in zip(*[b.column(i).to_pylist() for i in range(3, 10)]):
+                    if middle or right or right_size:      # there is a cut: the path passes it
+                        found.append(pieces.trace(left, left_size, entry, 0) + middle + pieces.trace(right, right_size, 0, exit_))
+                    else:
+                        found.append(pieces.trace(left, left_size, entry, exit_))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), b.column(1).cast(schema.field(0).type), b.column(2), ids_array(found).cast(schema.field(1).type)],
+                    schema=chunked_schema)
 
     struct = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)] or [F.lit(None).cast("string").alias("none")])
     short = in_arrow(docs.filter(~F.coalesce(giant, F.lit(False))).select(struct.alias("rest"), F.col(f"`{text}`").alias("t")), small, out) \
         .withColumn("n_chunks", F.lit(1).cast("long"))
     chunks = written(split_documents(docs.filter(giant), held, text, chunk), "chunks")
     states, ends = boundary_states(chunks, held, k)
-    traced = in_arrow(chunks.select("row_no", "chunk", "rest").join(ends, ["row_no", "chunk"]).join(states, ["row_no", "chunk"]).select(
+    traced = in_arrow(ends.join(states, ["row_no", "chunk"]).select(
         "row_no", "rest", "chunk", "left", "left_size", "middle", "right", "right_size", "entry", "exit"), back, chunked)
     # One row is one document: only here do its ids come together.
     whole = traced.groupBy("row_no").agg(
