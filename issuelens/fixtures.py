@@ -21,6 +21,11 @@ from pyspark.sql import functions as F
 from issuelens.session import shared_dir, spread
 
 PAGE_SIZE = 100
+ORDERS_PER_TASK = 10_000       # orders whose documents a task gathers into pages
+# A page text has some 500 KB, so pages are written in small row groups, each some ten pages: a reader holds
+# one row group at a time, a writer one more.
+LANDED = {"compression": "zstd", "parquet.block.size": 8 << 20, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 10,
+          "parquet.block.size.row.check.min": 1, "parquet.block.size.row.check.max": 10, "parquet.enable.dictionary": "false"}
 
 # Fixed field catalogue of the landed project: field id -> display name, in page order.
 # Two ids share the display name "Department" (the duplicate-name case).
@@ -239,17 +244,27 @@ def time_to_resolution() -> Column:
 _ASSIGNEE_SLOT = '"@@assignee@@"'
 
 
+def issue_rows(spark: SparkSession, sf_dir: str, heavy_rows: bool = True) -> DataFrame:
+    """One narrow row per order, with the columns that its issue document is made of."""
+    o = load(spark, sf_dir, "orders", heavy_rows=heavy_rows) \
+        .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate", "o_totalprice")
+    c = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    n = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return o.join(c, o.o_custkey == c.c_custkey, "left").join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+
+
 def issue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON issue document per order: (o_orderkey, o_orderstatus, doc).
+    """One JSON issue document per order: (o_orderkey, o_orderstatus, doc)."""
+    return issue_rows(spark, sf_dir).select("o_orderkey", "o_orderstatus", issue_document().alias("doc"))
+
+
+def issue_document() -> Column:
+    """The JSON issue document of an ``issue_rows`` row.
 
     The document is one struct serialised once (NULL members written as JSON null); only
     the assignee, which is an object, a bare string or null depending on the customer's
     segment, is put in as text afterwards.
     """
-    o = load(spark, sf_dir, "orders", heavy_rows=True)
-    c = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    n = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = o.join(c, o.o_custkey == c.c_custkey, "left").join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     created = F.col("o_orderdate").cast("timestamp")
     resolved = F.when(F.col("o_orderstatus") == "F", _iso(created + F.make_dt_interval(F.lit(3))))
     segment = F.col("c_mktsegment")
@@ -288,8 +303,7 @@ def issue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                  key=F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string")),
                  fields=fields,
                  changelog=_rec(startAt=F.lit(0), histories=issue_histories()))
-    doc = F.replace(F.to_json(issue, {"ignoreNullFields": "false"}), F.lit(_ASSIGNEE_SLOT), assignee)
-    return j.select("o_orderkey", "o_orderstatus", doc.alias("doc"))
+    return F.replace(F.to_json(issue, {"ignoreNullFields": "false"}), F.lit(_ASSIGNEE_SLOT), assignee)
 
 
 def _names_json() -> str:
@@ -306,13 +320,16 @@ def landed_pages(spark: SparkSession, sf_dir: str, by_project: bool = False,
     ``total`` is the project's issue count.  With ``by_project`` the order status is the
     project, so pages are of different sizes, and every project also gets one trailing empty page.
     """
-    docs = issue_documents(spark, sf_dir)
+    o = load(spark, sf_dir, "orders")
     project = F.col("o_orderstatus") if by_project else F.lit("ORD")
     page_no = F.floor(F.col("o_orderkey") / page_size).cast("bigint")
-    pages = (docs.select(project.alias("project"), page_no.alias("page_no"), "o_orderkey", "doc")
+    # The narrow rows are shuffled to their pages, and become documents there: no document is ever shuffled
+    # or sorted, and a task holds the documents of about ``ORDERS_PER_TASK`` orders.
+    tasks = max(spark.sparkContext.defaultParallelism, -(-o.count() // ORDERS_PER_TASK))
+    rows = issue_rows(spark, sf_dir, heavy_rows=False).withColumn("page_no", page_no).repartition(tasks, "page_no")
+    pages = (rows.select(project.alias("project"), "page_no", "o_orderkey", issue_document().alias("doc"))
              .groupBy("project", "page_no")
              .agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "doc"))).alias("_issues")))
-    o = load(spark, sf_dir, "orders")
     totals = o.groupBy(project.alias("project")).agg(F.count(F.lit(1)).alias("total"), F.max(page_no).alias("last_page"))
     if by_project:
         # Offsets count the project's issues on the pages before: a window over page counts (one row a
@@ -366,4 +383,4 @@ def landed_once(spark: SparkSession, name: str, sf_dir: str, write: Callable[[st
 def landed_table(spark: SparkSession, sf_dir: str, by_project: bool = False) -> DataFrame:
     """``landed_pages`` as a table, written once by an application: pages lie landed before any report runs."""
     return spread(landed_once(spark, "landed-by-project" if by_project else "landed", sf_dir,
-                              lambda path: landed_pages(spark, sf_dir, by_project).write.parquet(path)))
+                              lambda path: landed_pages(spark, sf_dir, by_project).write.options(**LANDED).parquet(path)))

@@ -73,9 +73,9 @@ def field_dictionary(pages: DataFrame) -> DataFrame:
 
 
 def field_catalog(pages: DataFrame) -> FieldCatalog:
-    """The field dictionary of landed pages, written once, and of a bronze table also which fields have values;
-    reports ask it for their names."""
-    presence = as_table(field_presence(pages), "presence") if "present" in pages.columns else None
+    """The field dictionary of landed pages, written once, and of a bronze table also which fields have values
+    (worked out when a report asks for it); reports ask it for their names."""
+    presence = field_presence(pages) if "present" in pages.columns else None
     return FieldCatalog(as_table(field_dictionary(pages), "fields"), presence=presence)
 
 

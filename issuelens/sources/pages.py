@@ -9,6 +9,8 @@ scan stage, and everything downstream is path extraction on that value.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,10 +56,14 @@ def pull_of(file_col) -> Column:
 
 def pages_from_text(df: DataFrame, text_col: str = "raw", project_col: str = "project",
                     page_col: str | None = None) -> DataFrame:
-    """Pages already held as JSON text in a DataFrame -> the page schema."""
-    body = F.try_parse_json(F.col(text_col))
-    start = F.try_variant_get(body, "$.startAt", "bigint")
-    size = F.try_variant_get(body, "$.maxResults", "bigint")
+    """Pages already held as JSON text in a DataFrame -> the page schema.
+
+    A page is parsed once: what is read of it travels in one struct, which the optimiser does not take apart."""
+    read = once(F.try_parse_json(F.col(text_col)), lambda body: F.struct(
+        F.try_variant_get(body, "$.startAt", "bigint").alias("start"), F.try_variant_get(body, "$.maxResults", "bigint").alias("size"),
+        body.alias("body")))
+    df = df.withColumn("_page", read)
+    start, size = F.col("_page.start"), F.col("_page.size")
     if page_col is not None:
         page_no = F.col(page_col).cast("bigint")
     elif "file" in df.columns:
@@ -68,25 +74,36 @@ def pages_from_text(df: DataFrame, text_col: str = "raw", project_col: str = "pr
         page_no = (start / F.nullif(size, F.lit(0))).cast("bigint")
     pull = F.col("pull").cast("string") if "pull" in df.columns else F.lit(None).cast("string")
     return df.select(F.col(project_col).cast("string").alias("project"), pull.alias("pull"), page_no.alias("page_no"),
-                     F.col(text_col).alias("raw"), body.alias("body"))
+                     F.col(text_col).alias("raw"), F.col("_page.body").alias("body"))
 
 
 def field_entries(issue: Column) -> Column:
-    """The fields an issue has a value for: array of (id, kind of value, elements when it is a list)."""
+    """The fields an issue has a value for: array of (id, kind of value, elements when it is a list).
+
+    A record or a list is told by a probe that reads no members; only a scalar's schema is worked out.
+    """
     fields = F.map_entries(F.coalesce(F.try_variant_get(issue, "$.fields", "map<string,variant>"), F.create_map().cast("map<string,variant>")))
-    kind = lambda v: F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
-    found = F.transform(fields, lambda e: F.struct(
-        e["key"].alias("id"), F.coalesce(kind(e["value"]), F.lit("VOID")).alias("kind"),
+    probed = F.transform(F.filter(fields, lambda e: ~F.is_variant_null(e["value"])), lambda e: F.struct(
+        e["key"].alias("id"), e["value"].alias("value"), F.try_variant_get(e["value"], "$", "struct<>").isNotNull().alias("record"),
         F.array_size(F.try_variant_get(e["value"], "$", "array<variant>")).alias("size")))
-    return F.filter(found, lambda e: e["kind"] != "VOID")
+    scalar = lambda v: F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+    return F.transform(probed, lambda e: F.struct(
+        e["id"].alias("id"), F.when(e["record"], F.lit("OBJECT")).when(e["size"].isNotNull(), F.lit("ARRAY")).otherwise(scalar(e["value"])).alias("kind"),
+        e["size"].alias("size")))
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value bound to a lambda variable, so that it is worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def list_widths(entries: Column) -> Column:
     """Field id -> the longest list that an issue of the page has in it, from the page's ``field_entries``."""
-    lists = F.filter(F.flatten(entries), lambda e: e["size"].isNotNull())
-    ids = F.array_distinct(F.transform(lists, lambda e: e["id"]))
-    widest = F.transform(ids, lambda i: F.array_max(F.transform(F.filter(lists, lambda e: e["id"] == i), lambda e: e["size"])))
-    return F.map_from_arrays(ids, widest)
+    def widest(lists: Column) -> Column:
+        return once(F.array_distinct(F.transform(lists, lambda e: e["id"])), lambda ids: F.map_from_arrays(ids, F.transform(
+            ids, lambda i: F.array_max(F.transform(F.filter(lists, lambda e: e["id"] == i), lambda e: e["size"])))))
+
+    return once(F.flatten(F.transform(entries, lambda es: F.filter(es, lambda e: e["size"].isNotNull()))), widest)
 
 
 def explode_issues(pages: DataFrame, keep_names: bool = False) -> DataFrame:
@@ -107,9 +124,7 @@ def explode_issues(pages: DataFrame, keep_names: bool = False) -> DataFrame:
     if keep_names:
         names = F.col("names") if "names" in pages.columns else F.get_json_object(F.col("raw"), "$.names")
         found = F.transform(issues, lambda i: F.struct(i.alias("issue"), field_entries(i).alias("entries")))
-        # bound to a lambda variable, so that the entries are worked out once
-        page = F.element_at(F.transform(F.array(found), lambda x: F.struct(
-            x.alias("found"), list_widths(F.transform(x, lambda y: y["entries"])).alias("widths"))), 1)
+        page = once(found, lambda x: F.struct(x.alias("found"), list_widths(F.transform(x, lambda y: y["entries"])).alias("widths")))
         read = pages.select(*base, names.alias("names"), page.alias("page")) \
             .select(*base, "names", F.xxhash64("names").alias("names_id"), "page.widths", F.posexplode("page.found").alias("issue_pos", "both")) \
             .select(*base, "names", F.when(F.col("names").isNotNull(), F.col("names_id")).alias("names_id"), "widths", "issue_pos",

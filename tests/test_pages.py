@@ -144,3 +144,24 @@ def test_audit_is_the_same_where_projects_are_split_into_ranges(spark):
     assert plain == audited(spark, rows, policy=SkewPolicy(rows_per_task=10, sample_per_range=20))
     covered = {i for s in starts for i in range(s, s + 4)}
     assert plain["P"].missing_issues == len(set(range(400)) - covered) and plain["P"].issues == len(covered)
+
+
+def test_a_page_is_parsed_once(spark):
+    from issuelens.sources.pages import pages_from_text
+    pages = spark.createDataFrame([("P", '{"startAt":0,"maxResults":2,"issues":[{"id":"1","fields":{"a":[1,2],"b":{"c":1},"d":null,"e":"x","f":1.5,"g":true}},'
+                                         '{"id":"2","fields":{"a":[],"h":[3]}}]}')], "project string, raw string")
+    issues = explode_issues(pages_from_text(pages), keep_names=True)
+    plan = issues._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson") + plan.lower().count("parse_json") == 1
+    first, second = issues.orderBy("id").collect()
+    assert {e.id: e.kind for e in first.present} == {"a": "ARRAY", "b": "OBJECT", "e": "STRING", "f": "DECIMAL", "g": "BOOLEAN"}
+    assert first.widths == second.widths == {"a": 2, "h": 1} and {e.id: e.kind for e in second.present} == {"a": "ARRAY", "h": "ARRAY"}
+
+
+def test_landing_shuffles_rows_and_not_documents(spark):
+    from issuelens.fixtures import landed_pages
+    for by_project in (False, True):
+        plan = landed_pages(spark, "/root/testdata/sf0.001", by_project)._jdf.queryExecution().sparkPlan().toString().split("\n")
+        made = [i for i, line in enumerate(plan) if "to_json" in line.lower() or "structstojson" in line.lower()]
+        dealt = [i for i, line in enumerate(plan) if "REPARTITION_BY_NUM" in line]
+        assert made and dealt and max(made) < min(dealt)
