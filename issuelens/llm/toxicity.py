@@ -1,7 +1,7 @@
 """Toxicity by two class-conditional Kneser-Ney models that share their backoff counts.
 
-A word (A-Z lower-cased, cut at space and 0x09-0x0D) is spelt byte by byte: its first ``SPELT``
-bytes, or all of them and an end.  The model of a class c gives the next byte x after the bytes
+A word (A-Z lower-cased, cut at space and 0x09-0x0D) is spelt byte by byte, all of its bytes and an
+end.  The model of a class c gives the next byte x after the bytes
 h of a word so far
 
     P_c(x | h) = (max(n_c(hx) - D, 0) + back_c(h) * P_shared(x | h)) / (n_c(h) + STRENGTH)
@@ -47,7 +47,8 @@ from pyspark.sql import functions as F
 
 from issuelens.llm.text import count_floor, in_arrow, mix, read_table, schema_of, steps_of, with_id, written
 
-SPELT = 12
+SPELT = 12                     # lengths of prefixes that are counted in the first round; each round doubles them
+CELLS = 1 << 24                # bytes of words that are looked up at once
 DISCOUNT = 0.75
 STRENGTH = 50.0
 RARE = 5
@@ -61,8 +62,8 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def spelt(word: bytes) -> bytes:
-    """What the models see of a word: its first bytes, or all of them and the end."""
-    return word[:SPELT] if len(word) >= SPELT else word + END
+    """What the models see of a word: all of its bytes and the end."""
+    return word + END
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -107,11 +108,26 @@ def tail(column: str, n) -> Column:
     return F.substring(F.col(column), F.length(column) - n + 1, n)
 
 
-def prefix_counts(spelled: DataFrame) -> DataFrame:
-    """(prefix, n_toxic, n_ordinary): how often words begin with each prefix of the spellings."""
-    each = spelled.select("n_toxic", "n_ordinary", F.col("spelling"), F.explode(F.sequence(F.lit(1), F.length("spelling"))).alias("k"))
-    return each.groupBy(head("spelling", F.col("k")).alias("prefix")) \
-        .agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_ordinary").alias("n_ordinary"))
+def prefix_counts(spelled: DataFrame, rare: int = RARE) -> DataFrame:
+    """(prefix, n_toxic, n_ordinary): how often words begin with each prefix of the spellings.
+
+    Words have any length: they are counted in rounds, of prefixes of up to ``SPELT`` bytes, twice as many and
+    so on, and a spelling goes on to the next round while its longest counted prefix is not ``rare``.  What is
+    left out lies after a rare prefix, where the models do not look.
+    """
+    sums = [F.sum("n_toxic").alias("n_toxic"), F.sum("n_ordinary").alias("n_ordinary")]
+    done, width, out = 0, SPELT, None
+    while True:
+        each = spelled.select("n_toxic", "n_ordinary", "spelling",
+                              F.explode(F.sequence(F.lit(done + 1), F.least(F.length("spelling"), F.lit(width)))).alias("k"))
+        counted = written(each.groupBy(head("spelling", F.col("k")).alias("prefix")).agg(*sums), "prefixes")
+        out = counted if out is None else out.unionByName(counted)
+        on = counted.filter((F.length("prefix") == width) & (F.col("n_toxic") + F.col("n_ordinary") >= rare)).select("prefix")
+        spelled = written(spelled.filter(F.length("spelling") > width).withColumn("prefix", head("spelling", F.lit(width)))
+                          .join(on, "prefix", "left_semi").drop("prefix"), "spellings")
+        if spelled.isEmpty():
+            return out
+        done, width = width, 2 * width
 
 
 def continuations(spelled: DataFrame, low: int = LOW, discount: float = DISCOUNT) -> DataFrame:
@@ -148,7 +164,7 @@ def steps(spelled: DataFrame, rare: int = RARE, discount: float = DISCOUNT, stre
 
     The row with the empty prefix is the word's begin.
     """
-    counts = written(prefix_counts(spelled).withColumn("n", F.col("n_toxic") + F.col("n_ordinary")).withColumn(
+    counts = written(prefix_counts(spelled, rare).withColumn("n", F.col("n_toxic") + F.col("n_ordinary")).withColumn(
         "h", head("prefix", F.length("prefix") - 1)), "prefixes")
     kept = F.col("n") >= rare
     if counts.filter(kept).count() > most:
@@ -180,7 +196,7 @@ def steps(spelled: DataFrame, rare: int = RARE, discount: float = DISCOUNT, stre
 def spelt_matrix(spelled: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Byte strings as rows of a matrix padded with zeros, and their lengths."""
     lengths = np.fromiter(map(len, spelled), np.int64, len(spelled))
-    width = max(SPELT, int(lengths.max(initial=0)))
+    width = max(1, int(lengths.max(initial=0)))
     return np.array(spelled, f"S{width}").view(np.uint8).reshape(len(spelled), width), lengths
 
 
@@ -200,17 +216,33 @@ class Ratios:
         self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         above = np.zeros(len(prefixes))
         hashes = np.zeros(len(prefixes), np.uint64)
-        for k in range(1, SPELT + 1):
-            hashes = next_hash(hashes, matrix[:, k - 1])
+        longest = int(lengths.max(initial=0))
+        for k in range(1, longest + 1):
+            longer = lengths >= k
+            hashes[longer] = next_hash(hashes[longer], matrix[longer, k - 1])
             rows = np.flatnonzero(lengths == k)
             order = rows[np.argsort(hashes[rows])]
             keys, total = hashes[order], above[order] + step[order]
             self.levels.append((keys, total, miss[order]))
             if len(keys):      # a prefix's own ratio is what its longer ones start from
                 at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-                above = np.where(keys[at] == hashes, total[at], above)
+                above = np.where(longer & (keys[at] == hashes), total[at], above)
+        # one byte more than the longest prefix: a word that goes on after it misses there
+        self.levels.append((np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)))
 
     def of(self, spelled: list[bytes]) -> np.ndarray:
+        """The ratios, looked up in parts of about ``CELLS`` bytes, words of about one length together."""
+        spelled = [s[: len(self.levels)] for s in spelled]
+        out = np.zeros(len(spelled))
+        order = sorted(range(len(spelled)), key=lambda i: len(spelled[i]), reverse=True)
+        at = 0
+        while at < len(order):
+            part = order[at : at + max(1, CELLS // max(1, len(spelled[order[at]])))]
+            out[part] = self.looked_up([spelled[i] for i in part])
+            at += len(part)
+        return out
+
+    def looked_up(self, spelled: list[bytes]) -> np.ndarray:
         matrix, lengths = spelt_matrix(spelled)
         out = np.zeros(len(spelled))
         rows = np.arange(len(spelled))

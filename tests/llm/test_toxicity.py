@@ -167,3 +167,15 @@ def test_labels_of_documents_that_were_held_out(spark):
     cells = Counter((r.toxic, r.predicted) for r in found.join(labels, "doc_id").filter("held_out").collect())
     assert cells[1, 1] >= 0.85 * (cells[1, 1] + cells[1, 0])            # some labels are noise
     assert cells[0, 1] <= 0.05 * (cells[0, 0] + cells[0, 1])
+
+
+def test_every_byte_of_a_word_counts(spark, monkeypatch):
+    """Words that differ after their first twelve bytes, and a very long one."""
+    stem, long = "abcdefghijklmnop", "x" * 100
+    rows = [(f"{stem}toxic {long}bad", 1), (f"{stem}plain {long}good", 0)] * 20
+    table = tx.steps(tx.spellings(spark.createDataFrame(rows, "text string, toxic int"))).toArrow()
+    bad, good, short, worse, best = tx.Ratios(table).of([tx.spelt(w.encode()) for w in (stem + "toxic", stem + "plain", stem, long + "bad", long + "good")])
+    assert bad > 0.2 and worse > 0.2 and good < -0.1 and best < -0.1 and good < short < bad
+    want = tx.Ratios(table).of([b"abc ", tx.spelt((long + "bad").encode()), b"abcdefghijklmnoptoxic "])
+    monkeypatch.setattr(tx, "CELLS", 1)
+    assert list(tx.Ratios(table).of([b"abc ", tx.spelt((long + "bad").encode()), b"abcdefghijklmnoptoxic "])) == list(want)
