@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from issuelens.session import shared_dir, spread
+from issuelens.session import shared_dir, small_methods, spread
 
 PAGE_SIZE = 100
 ORDERS_PER_TASK = 10_000       # orders whose documents a task gathers into pages
@@ -241,9 +241,6 @@ def time_to_resolution() -> Column:
     return F.when(F.col("o_totalprice") >= 1000, cycle)
 
 
-_ASSIGNEE_SLOT = '"@@assignee@@"'
-
-
 def issue_rows(spark: SparkSession, sf_dir: str, heavy_rows: bool = True) -> DataFrame:
     """One narrow row per order, with the columns that its issue document is made of."""
     o = load(spark, sf_dir, "orders", heavy_rows=heavy_rows) \
@@ -261,9 +258,9 @@ def issue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def issue_document() -> Column:
     """The JSON issue document of an ``issue_rows`` row.
 
-    The document is one struct serialised once (NULL members written as JSON null); only
-    the assignee, which is an object, a bare string or null depending on the customer's
-    segment, is put in as text afterwards.
+    Every member is serialised once (NULL members written as JSON null); the assignee, which is an
+    object, a bare string or null depending on the customer's segment, is put in as text between
+    the members before it and those after it.
     """
     created = F.col("o_orderdate").cast("timestamp")
     resolved = F.when(F.col("o_orderstatus") == "F", _iso(created + F.make_dt_interval(F.lit(3))))
@@ -272,10 +269,8 @@ def issue_document() -> Column:
                 .when(segment == "AUTOMOBILE", _json_text(F.col("c_name")))
                 .otherwise(F.to_json(_rec(displayName=F.col("c_name")))))
     participants = F.array(_rec(displayName=F.col("c_name")), _rec(displayName=F.col("n_name")))
+    first = _rec(status=_rec(name=F.col("o_orderstatus")), priority=_rec(name=F.col("o_orderpriority")))
     fields = _rec(**{
-        "status": _rec(name=F.col("o_orderstatus")),
-        "priority": _rec(name=F.col("o_orderpriority")),
-        "assignee": F.lit(_ASSIGNEE_SLOT[1:-1]),
         "customfield_10010": _rec(requestType=_rec(name=segment)),
         "customfield_10020": _rec(value=F.col("n_name")),
         "customfield_10021": F.lit(None).cast("string"),
@@ -299,11 +294,10 @@ def issue_document() -> Column:
         "aggregateprogress": _rec(progress=(F.col("o_orderkey") % 102).cast("int")),
         **plain_fields(),
     })
-    issue = _rec(id=F.col("o_orderkey").cast("string"),
-                 key=F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string")),
-                 fields=fields,
-                 changelog=_rec(startAt=F.lit(0), histories=issue_histories()))
-    return F.replace(F.to_json(issue, {"ignoreNullFields": "false"}), F.lit(_ASSIGNEE_SLOT), assignee)
+    whole = {"ignoreNullFields": "false"}
+    head = F.to_json(_rec(id=F.col("o_orderkey").cast("string"), key=F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string")), fields=first), whole)
+    return F.concat(head.substr(F.lit(1), F.length(head) - 2), F.lit(',"assignee":'), assignee, F.lit(","), F.ltrim(F.to_json(fields, whole), F.lit("{")),
+                    F.lit(',"changelog":'), F.to_json(_rec(startAt=F.lit(0), histories=issue_histories()), whole), F.lit("}"))
 
 
 def _names_json() -> str:
@@ -375,7 +369,8 @@ def landed_once(spark: SparkSession, name: str, sf_dir: str, write: Callable[[st
         except AnalysisException:
             pass
     path = shared_dir(spark, name)
-    write(path)
+    with small_methods(spark):
+        write(path)
     _LANDED[key] = path
     return spark.read.parquet(path)
 

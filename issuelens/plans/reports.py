@@ -30,7 +30,7 @@ from issuelens.operators.names import distinct_names, join_labels, named, q
 from issuelens.operators.sequence import SkewPolicy
 from issuelens.operators.tables import indicators, known_value, row_sum, vocabulary
 from issuelens.fixtures import landed_once, landed_table
-from issuelens.session import as_table, shared_dir
+from issuelens.session import as_table, shared_dir, small_methods
 from issuelens.sources.pages import explode_issues, latest_issue_version, pages_from_text
 from issuelens.sources.sinks import csv_header, read_csv, write_csv
 from issuelens.streaming.compact import compact_batch, read_compacted
@@ -376,7 +376,8 @@ def settle_issues(pages: DataFrame, overlapping_pulls: bool = False) -> DataFram
     reads the logs, the dictionary only the names.  Lineage is cut, so a lost executor
     reads the table again instead of the pages.
     """
-    return as_table(bronze_issues(pages, overlapping_pulls), "issues")
+    with small_methods(pages.sparkSession):
+        return as_table(bronze_issues(pages, overlapping_pulls), "issues")
 
 
 def bronze_issues(pages: DataFrame, overlapping_pulls: bool = False) -> DataFrame:
@@ -536,7 +537,8 @@ def renamed_fields(spark: SparkSession, sf: str) -> DataFrame:
     first = pages.withColumn("pull", F.lit("2025-01-01"))
     again = pages.where(F.col("page_no") % 2 == 0).withColumn("pull", F.lit("2025-01-02")).withColumn("raw", raw)
     for version, pull in enumerate((first, again)):
-        compact_batch(explode_issues(pages_from_text(pull, "raw"), keep_names=True), table, version, buckets=16)
+        with small_methods(spark):
+            compact_batch(explode_issues(pages_from_text(pull, "raw"), keep_names=True), table, version, buckets=16)
     issues = read_compacted(spark, table)
     return build_report(issues, field_catalog(issues), PLACES, keep=["pull"])
 

@@ -77,19 +77,16 @@ def pages_from_text(df: DataFrame, text_col: str = "raw", project_col: str = "pr
                      F.col(text_col).alias("raw"), F.col("_page.body").alias("body"))
 
 
-def field_entries(issue: Column) -> Column:
-    """The fields an issue has a value for: array of (id, kind of value, elements when it is a list).
+def field_kinds(fields: Column) -> Column:
+    """The fields that an issue's ``fields`` VARIANT has a value for: array of (id, kind of value).
 
     A record or a list is told by a probe that reads no members; only a scalar's schema is worked out.
     """
-    fields = F.map_entries(F.coalesce(F.try_variant_get(issue, "$.fields", "map<string,variant>"), F.create_map().cast("map<string,variant>")))
-    probed = F.transform(F.filter(fields, lambda e: ~F.is_variant_null(e["value"])), lambda e: F.struct(
-        e["key"].alias("id"), e["value"].alias("value"), F.try_variant_get(e["value"], "$", "struct<>").isNotNull().alias("record"),
-        F.array_size(F.try_variant_get(e["value"], "$", "array<variant>")).alias("size")))
-    scalar = lambda v: F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
-    return F.transform(probed, lambda e: F.struct(
-        e["id"].alias("id"), F.when(e["record"], F.lit("OBJECT")).when(e["size"].isNotNull(), F.lit("ARRAY")).otherwise(scalar(e["value"])).alias("kind"),
-        e["size"].alias("size")))
+    found = F.map_entries(F.coalesce(F.try_variant_get(fields, "$", "map<string,variant>"), F.create_map().cast("map<string,variant>")))
+    scalar = lambda v: F.substring_index(F.substring_index(F.schema_of_variant(v), "(", 1), "_", 1)
+    return F.transform(F.filter(found, lambda e: ~F.is_variant_null(e["value"])), lambda e: F.struct(
+        e["key"].alias("id"), F.when(F.try_variant_get(e["value"], "$", "struct<>").isNotNull(), F.lit("OBJECT"))
+        .when(F.try_variant_get(e["value"], "$", "array<struct<>>").isNotNull(), F.lit("ARRAY")).otherwise(scalar(e["value"])).alias("kind")))
 
 
 def once(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -97,13 +94,18 @@ def once(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def list_widths(entries: Column) -> Column:
-    """Field id -> the longest list that an issue of the page has in it, from the page's ``field_entries``."""
-    def widest(lists: Column) -> Column:
-        return once(F.array_distinct(F.transform(lists, lambda e: e["id"])), lambda ids: F.map_from_arrays(ids, F.transform(
-            ids, lambda i: F.array_max(F.transform(F.filter(lists, lambda e: e["id"] == i), lambda e: e["size"])))))
+def list_widths(issues: Column) -> Column:
+    """Field id -> the longest list that an issue of the page (an array of VARIANT) has in it; no member of a list is read."""
+    def lists(issue: Column) -> Column:
+        found = F.map_entries(F.try_variant_get(issue, "$.fields", "map<string,array<struct<>>>"))
+        return F.transform(F.filter(found, lambda e: e["value"].isNotNull()), lambda e: F.struct(e["key"].alias("id"), F.size(e["value"]).alias("size")))
 
-    return once(F.flatten(F.transform(entries, lambda es: F.filter(es, lambda e: e["size"].isNotNull()))), widest)
+    def widest(sizes: Column) -> Column:
+        return once(F.array_distinct(F.transform(sizes, lambda e: e["id"])), lambda ids: F.map_from_arrays(ids, F.transform(
+            ids, lambda i: F.array_max(F.transform(F.filter(sizes, lambda e: e["id"] == i), lambda e: e["size"])))))
+
+    found = F.flatten(F.array_compact(F.transform(F.coalesce(issues, F.array().cast("array<variant>")), lists)))
+    return once(F.array_distinct(found.cast("array<struct<id:string,size:int>>")), widest)
 
 
 def explode_issues(pages: DataFrame, keep_names: bool = False) -> DataFrame:
@@ -123,12 +125,12 @@ def explode_issues(pages: DataFrame, keep_names: bool = False) -> DataFrame:
     base = ["project", "pull", "page_no"]
     if keep_names:
         names = F.col("names") if "names" in pages.columns else F.get_json_object(F.col("raw"), "$.names")
-        found = F.transform(issues, lambda i: F.struct(i.alias("issue"), field_entries(i).alias("entries")))
-        page = once(found, lambda x: F.struct(x.alias("found"), list_widths(F.transform(x, lambda y: y["entries"])).alias("widths")))
+        # the fields' kinds are worked out issue by issue: a page's row holds the issues once, and nothing about each
+        page = once(issues, lambda x: F.struct(x.alias("issues"), list_widths(x).alias("widths")))
         read = pages.select(*base, names.alias("names"), page.alias("page")) \
-            .select(*base, "names", F.xxhash64("names").alias("names_id"), "page.widths", F.posexplode("page.found").alias("issue_pos", "both")) \
-            .select(*base, "names", F.when(F.col("names").isNotNull(), F.col("names_id")).alias("names_id"), "widths", "issue_pos",
-                    F.col("both.issue").alias("issue"), F.transform("both.entries", lambda e: F.struct(e["id"], e["kind"])).alias("present"))
+            .select(*base, "names", F.xxhash64("names").alias("names_id"), "page.widths", F.posexplode("page.issues").alias("issue_pos", "issue")) \
+            .select(*base, F.when(F.col("issue_pos") == 0, F.col("names")).alias("names"), F.when(F.col("names").isNotNull(), F.col("names_id")).alias("names_id"),
+                    "widths", "issue_pos", "issue")
     else:
         read = pages.select(*base, F.posexplode(issues).alias("issue_pos", "issue"))
     out = [
@@ -139,7 +141,8 @@ def explode_issues(pages: DataFrame, keep_names: bool = False) -> DataFrame:
         F.try_variant_get("issue", "$.changelog", "variant").alias("changelog"),
     ]
     if keep_names:
-        out += [F.when(F.col("issue_pos") == 0, F.col("names")).alias("names"), "names_id", "present", "widths"]
+        read = read.select(*out, "names", "names_id", "widths")
+        return read.select(*base, "issue_pos", "id", "key", "fields", "changelog", "names", "names_id", field_kinds(F.col("fields")).alias("present"), "widths")
     return read.select(*out)
 
 
