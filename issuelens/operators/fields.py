@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from issuelens.operators.sequence import DEFAULT_POLICY, SkewPolicy, row_number_in_order
+from issuelens.sources.pages import field_kinds
+
 
 def dictionary_entries(pages: DataFrame, raw_col: str = "raw", project_col: str = "project",
                        page_col: str = "page_no") -> DataFrame:
@@ -55,9 +57,11 @@ def dictionary_versions(pages: DataFrame) -> DataFrame:
 def field_presence(issues: DataFrame) -> DataFrame:
     """(project, field_id, n, kinds): how many issues have a value for a field, and of what kinds.
 
-    Read off the ``present`` column that the bronze table is written with; no VARIANT is opened.
+    Worked out from ``fields`` row by row, but for rows that were written with their ``present`` column.
     """
-    each = issues.select("project", F.explode("present").alias("e"))
+    kinds = field_kinds(F.col("fields"))
+    present = F.coalesce(F.col("present"), kinds) if "present" in issues.columns else kinds
+    each = issues.select("project", F.explode(present).alias("e"))
     return each.groupBy("project", F.col("e.id").alias("field_id")) \
         .agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set("e.kind")).alias("kinds"))
 

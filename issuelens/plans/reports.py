@@ -75,7 +75,7 @@ def field_dictionary(pages: DataFrame) -> DataFrame:
 def field_catalog(pages: DataFrame) -> FieldCatalog:
     """The field dictionary of landed pages, written once, and of a bronze table also which fields have values
     (worked out when a report asks for it); reports ask it for their names."""
-    presence = field_presence(pages) if "present" in pages.columns else None
+    presence = field_presence(pages) if {"present", "widths"} & set(pages.columns) else None
     return FieldCatalog(as_table(field_dictionary(pages), "fields"), presence=presence)
 
 
@@ -366,18 +366,21 @@ def sbp_report(pages: DataFrame, as_of: str | None = None, statuses: Sequence[st
     return report.select(*[named(x, n, c) for x, n, c in zip(cells, distinct_names(found), found)])
 
 
+BRONZE = {"compression": "zstd"}        # VARIANTs repeat their field ids in every issue
+
+
 def settle_issues(pages: DataFrame, overlapping_pulls: bool = False) -> DataFrame:
     """Parse once: the bronze issue table as Parquet in the shared folder.
 
     One row per issue with its ``fields`` and ``changelog`` VARIANTs, the page's ``names`` text on each
-    page's first issue and its hash on every one (for the dictionary), the fields that have
-    values, and the page's list widths.  Every later job reads
+    page's first issue and its hash on every one (for the dictionary), and the page's list widths;
+    which fields have values is read off ``fields`` when a report asks for it.  Every later job reads
     this table, and only the columns it needs: a report without a change history never
     reads the logs, the dictionary only the names.  Lineage is cut, so a lost executor
     reads the table again instead of the pages.
     """
     with small_methods(pages.sparkSession):
-        return as_table(bronze_issues(pages, overlapping_pulls), "issues")
+        return as_table(bronze_issues(pages, overlapping_pulls), "issues", **BRONZE)
 
 
 def bronze_issues(pages: DataFrame, overlapping_pulls: bool = False) -> DataFrame:
@@ -387,13 +390,14 @@ def bronze_issues(pages: DataFrame, overlapping_pulls: bool = False) -> DataFram
     its names along: the later pull's pages carry names of their own, which the dictionary
     would prefer anyway.
     """
-    issues = explode_issues(pages, keep_names=True)
+    issues = explode_issues(pages, keep_names=True).drop("present")
     return latest_issue_version(issues) if overlapping_pulls else issues
 
 
 def write_bronze(pages: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """The bronze issue table at a path of its own, as ``settle_issues`` and the stream write it."""
-    bronze_issues(pages).write.mode(mode).parquet(path)
+    """The bronze issue table at a path of its own, as ``settle_issues`` writes it."""
+    with small_methods(pages.sparkSession):
+        bronze_issues(pages).write.options(**BRONZE).mode(mode).parquet(path)
 
 
 def read_bronze(spark: SparkSession, path: str, overlapping_pulls: bool = True) -> DataFrame:

@@ -18,6 +18,7 @@ from issuelens.operators.sequence import DEFAULT_POLICY, SkewPolicy, null_safe_j
 from issuelens.session import as_table
 
 PAGE_COLUMNS = ["project", "pull", "page_no", "raw", "body"]
+ISSUES = "array<struct<id:string,key:string,fields:variant,changelog:variant>>"
 
 
 def read_pages(spark: SparkSession, path: str, project: str | None = None,
@@ -95,16 +96,16 @@ def once(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def list_widths(issues: Column) -> Column:
-    """Field id -> the longest list that an issue of the page (an array of VARIANT) has in it; no member of a list is read."""
+    """Field id -> the longest list that an issue of the page (an array of ``ISSUES``) has in it; no member of a list is read."""
     def lists(issue: Column) -> Column:
-        found = F.map_entries(F.try_variant_get(issue, "$.fields", "map<string,array<struct<>>>"))
+        found = F.map_entries(F.try_variant_get(issue["fields"], "$", "map<string,array<struct<>>>"))
         return F.transform(F.filter(found, lambda e: e["value"].isNotNull()), lambda e: F.struct(e["key"].alias("id"), F.size(e["value"]).alias("size")))
 
     def widest(sizes: Column) -> Column:
         return once(F.array_distinct(F.transform(sizes, lambda e: e["id"])), lambda ids: F.map_from_arrays(ids, F.transform(
             ids, lambda i: F.array_max(F.transform(F.filter(sizes, lambda e: e["id"] == i), lambda e: e["size"])))))
 
-    found = F.flatten(F.array_compact(F.transform(F.coalesce(issues, F.array().cast("array<variant>")), lists)))
+    found = F.flatten(F.array_compact(F.transform(F.coalesce(issues, F.array().cast(ISSUES)), lists)))
     return once(F.array_distinct(found.cast("array<struct<id:string,size:int>>")), widest)
 
 
@@ -121,29 +122,20 @@ def explode_issues(pages: DataFrame, keep_names: bool = False) -> DataFrame:
     """
     if "body" not in pages.columns:          # already one row per issue
         return pages
-    issues = F.try_variant_get(F.col("body"), "$.issues", "array<variant>")
+    # One cast takes an issue apart: a cast to VARIANT builds the value anew, so it is done once a member, never for the whole issue.
+    issues = F.try_variant_get(F.col("body"), "$.issues", ISSUES)
     base = ["project", "pull", "page_no"]
-    if keep_names:
-        names = F.col("names") if "names" in pages.columns else F.get_json_object(F.col("raw"), "$.names")
-        # the fields' kinds are worked out issue by issue: a page's row holds the issues once, and nothing about each
-        page = once(issues, lambda x: F.struct(x.alias("issues"), list_widths(x).alias("widths")))
-        read = pages.select(*base, names.alias("names"), page.alias("page")) \
-            .select(*base, "names", F.xxhash64("names").alias("names_id"), "page.widths", F.posexplode("page.issues").alias("issue_pos", "issue")) \
-            .select(*base, F.when(F.col("issue_pos") == 0, F.col("names")).alias("names"), F.when(F.col("names").isNotNull(), F.col("names_id")).alias("names_id"),
-                    "widths", "issue_pos", "issue")
-    else:
-        read = pages.select(*base, F.posexplode(issues).alias("issue_pos", "issue"))
-    out = [
-        *base, "issue_pos",
-        F.try_variant_get("issue", "$.id", "string").alias("id"),
-        F.try_variant_get("issue", "$.key", "string").alias("key"),
-        F.try_variant_get("issue", "$.fields", "variant").alias("fields"),
-        F.try_variant_get("issue", "$.changelog", "variant").alias("changelog"),
-    ]
-    if keep_names:
-        read = read.select(*out, "names", "names_id", "widths")
-        return read.select(*base, "issue_pos", "id", "key", "fields", "changelog", "names", "names_id", field_kinds(F.col("fields")).alias("present"), "widths")
-    return read.select(*out)
+    members = [F.col(f"issue.{c}").alias(c) for c in ("id", "key", "fields", "changelog")]
+    if not keep_names:
+        return pages.select(*base, F.posexplode(issues).alias("issue_pos", "issue")).select(*base, "issue_pos", *members)
+    names = F.col("names") if "names" in pages.columns else F.get_json_object(F.col("raw"), "$.names")
+    # the fields' kinds are worked out issue by issue: a page's row holds the issues once, and nothing about each
+    page = once(issues, lambda x: F.struct(x.alias("issues"), list_widths(x).alias("widths")))
+    read = pages.select(*base, names.alias("names"), page.alias("page")) \
+        .select(*base, "names", F.xxhash64("names").alias("names_id"), "page.widths", F.posexplode("page.issues").alias("issue_pos", "issue")) \
+        .select(*base, F.when(F.col("issue_pos") == 0, F.col("names")).alias("names"), F.when(F.col("names").isNotNull(), F.col("names_id")).alias("names_id"),
+                "widths", "issue_pos", *members)
+    return read.select(*base, "issue_pos", "id", "key", "fields", "changelog", "names", "names_id", field_kinds(F.col("fields")).alias("present"), "widths")
 
 
 def latest_issue_version(issues: DataFrame) -> DataFrame:
