@@ -65,9 +65,13 @@ def split_groups(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
     sample = null_safe_join(df, sizes, keys, "inner").where(drawn) \
         .groupBy(*keys).agg(F.array_sort(F.collect_list(ordering_key(order_cols))).alias("_s"), F.first(ranges).alias("_nr"))
     step = F.size("_s") / F.col("_nr")
-    borders = F.when(F.col("_nr") > 1, F.transform(F.sequence(F.lit(1).cast("bigint"), F.col("_nr") - 1),
-                                                   lambda i: F.col("_s")[F.floor(i * step).cast("int")]))
-    return as_table(sample.select(*keys, F.array_distinct(borders).alias("_borders")), "borders")
+
+    def border(i: Column) -> Column:
+        return F.col("_s")[F.floor(i * step).cast("int")]
+
+    # ascending, so a border that repeats is equal to the one before
+    new = F.filter(F.sequence(F.lit(1).cast("bigint"), F.col("_nr") - 1), lambda i: (i == 1) | (border(i) != border(i - 1)))
+    return as_table(sample.select(*keys, F.when(F.col("_nr") > 1, F.transform(new, border)).alias("_borders")), "borders")
 
 
 def borders_below(borders: Column, key: Column) -> Column:
@@ -86,13 +90,44 @@ def borders_below(borders: Column, key: Column) -> Column:
     return F.aggregate(halvings, start, halve, lambda span: span["low"])
 
 
+NODE = 64            # borders that a row looks through at once
+
+
+def border_nodes(hot: DataFrame, keys: Sequence[str]) -> list[DataFrame]:
+    """The borders of every group as a tree: for each level, from the top, a table (keys, _node, _borders) of at most
+    ``NODE`` borders a row, every ``NODE ** k``-th one at k levels above the lowest."""
+    most = hot.agg(F.max(F.size("_borders"))).first()[0] or 0
+    depth = 1
+    while NODE ** depth < most:
+        depth += 1
+    levels = []
+    for level in range(depth):
+        step = NODE ** (depth - 1 - level)
+        taken = F.floor(F.size("_borders") / step).cast("int")            # borders of the group that are on this level
+        last = F.greatest(F.ceil(taken / NODE).cast("int") - 1, F.lit(0))
+        nodes = hot.where("_borders is not null").select(*keys, "_borders", taken.alias("_taken"), F.explode(F.sequence(F.lit(0), last)).alias("_node"))
+        left = F.least(F.lit(NODE), F.col("_taken") - F.col("_node") * NODE)
+        at = F.when(left > 0, F.sequence(F.lit(1), left)).otherwise(F.array().cast("array<int>"))
+        levels.append(nodes.select(*keys, "_node", F.transform(
+            at, lambda j: F.element_at("_borders", ((F.col("_node") * NODE + j) * step).cast("int"))).alias("_borders")))
+    return [as_table(nodes, "border-nodes") for nodes in levels] if depth > 1 else levels
+
+
 def with_ranges(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], hot: DataFrame) -> DataFrame:
-    """Attach ``_range`` (0 for ordinary groups) and ``_hot``; equal ordering keys share a range."""
-    joined = null_safe_join(df, hot, keys).withColumn("_order", ordering_key(order_cols))
-    rng = borders_below(F.col("_borders"), F.col("_order"))
-    return (joined.withColumn(_B, F.when(F.col("_borders").isNull(), F.lit(0)).otherwise(rng).cast("long"))
-            .withColumn("_hot", F.col("_borders").isNotNull())
-            .drop("_borders", "_order"))
+    """Attach ``_range`` (0 for ordinary groups) and ``_hot``; equal ordering keys share a range.
+
+    A row goes down its group's tree of borders, so it meets at most ``NODE`` borders a level, however many ranges
+    the group has.  The result is a written table: it is read for the ranges' summaries and for their rows, and what
+    ``df`` is made of is not worked out for each.
+    """
+    ranged = df.withColumn("_order", ordering_key(order_cols))
+    for level, nodes in enumerate(border_nodes(hot, keys)):
+        found = null_safe_join(ranged, nodes.where("_node = 0").drop("_node"), keys).withColumn("_hot", F.col("_borders").isNotNull()) \
+            if level == 0 else null_safe_join(ranged, nodes, [*keys, "_node"])
+        above = F.lit(0) if level == 0 else F.col("_node") * NODE
+        node = F.when(F.col("_borders").isNull(), above).otherwise(above + borders_below(F.col("_borders"), F.col("_order")))
+        ranged = found.withColumn("_node", node.cast("int")).drop("_borders")
+    return as_table(ranged.withColumn(_B, F.col("_node").cast("long")).drop("_node", "_order"), "ranged")
 
 
 def lag_in_order(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], value: str,
