@@ -13,6 +13,7 @@ from pyspark.sql.types import VariantType
 
 from issuelens.functions.paths import Step, as_steps, variant_path
 from issuelens.operators.names import q
+from issuelens.sources.pages import once
 
 PathSpec = Step | Sequence[Step] | tuple  # ("a", 1) or (("a", 1), "double")
 
@@ -86,19 +87,22 @@ def hoist_all_expr(v: Column, path: Sequence[Step], sep: str = ";") -> Column:
     cur = F.try_variant_get(v, variant_path(lead), "variant") if lead else v
     as_array = F.try_variant_get(cur, "$", "array<variant>")
     as_object = F.map_values(F.try_variant_get(cur, "$", "map<string,variant>"))
-    elems = F.coalesce(as_array, as_object)
     leaf_path = variant_path((leaf,))
     # Per element: is it a record, the value's JSON form (tells a logical from text and a
     # nested value from a scalar), and the value as text.
-    cells = F.transform(elems, lambda e: F.struct(
+    cells = F.transform(F.coalesce(as_array, as_object), lambda e: F.struct(
         (~_is_list(e)).alias("bad"),
         F.to_json(F.try_variant_get(e, leaf_path, "variant")).alias("j"),
         F.try_variant_get(e, leaf_path, "string").alias("s")))
-    nested = F.array_join(cells["j"], _SEP).rlike("(^|" + _SEP + ")[\\[{]")
-    ok = (F.size(elems) > 0) & ~F.coalesce(F.array_contains(cells["bad"], True), F.lit(False)) & ~nested
-    text = F.array_compact(F.transform(
-        cells, lambda c: F.when(c["j"].isin("true", "false"), F.upper(c["j"])).otherwise(c["s"])))
-    return F.when(ok & (F.size(text) > 0), F.array_join(text, sep))
+
+    def joined(cells: Column) -> Column:
+        nested = F.array_join(cells["j"], _SEP).rlike("(^|" + _SEP + ")[\\[{]")
+        ok = (F.size(cells) > 0) & ~F.coalesce(F.array_contains(cells["bad"], True), F.lit(False)) & ~nested
+        text = F.array_compact(F.transform(
+            cells, lambda c: F.when(c["j"].isin("true", "false"), F.upper(c["j"])).otherwise(c["s"])))
+        return F.when(ok, once(text, lambda t: F.when(F.size(t) > 0, F.array_join(t, sep))))
+
+    return once(cells, joined)
 
 
 def hoist_all(df: DataFrame, col: str, path: Sequence[Step], sep: str = ";", remove: bool = False,
@@ -141,11 +145,15 @@ def collapse_strict(v: Column, leaf: str, sep: str = ";", width: Column | int |
     """
     elems = F.try_variant_get(v, "$", "array<variant>")
     vals = F.transform(elems, lambda e: F.try_variant_get(e, variant_path((leaf,)), "string"))
-    joined = F.when(~F.exists(vals, lambda x: x.isNull()), F.array_join(vals, sep))
+
+    def joined(vals: Column) -> Column:
+        return F.when(~F.exists(vals, lambda x: x.isNull()), F.array_join(vals, sep))
+
     if width is None:
-        return joined
+        return once(vals, joined)
     slots = width if isinstance(width, Column) else F.lit(width)
-    return F.when(slots == 0, F.lit("")).when(F.size(F.coalesce(elems, F.array().cast("array<variant>"))) == slots, joined)
+    return once(vals, lambda x: F.when(slots == 0, F.lit(""))
+                .when(F.size(F.coalesce(x, F.array().cast("array<string>"))) == slots, joined(x)))
 
 
 # A list is widened into columns up to this length; a longer one belongs in rows.

@@ -190,7 +190,8 @@ def q_hoist_all_join(spark: SparkSession, sf: str) -> DataFrame:
     """An order is a page and its line items the page's issues: the strict collapse wants every issue's list to
     be as long as the page's longest, which is worked out in the page's array before it is exploded."""
     keys = ["l_linenumber", "l_partkey", "l_suppkey"]
-    pages = _participants(load(spark, sf, "lineitem", heavy_rows=True)).groupBy("l_orderkey") \
+    lines = _participants(load(spark, sf, "lineitem", heavy_rows=True))
+    pages = lines.groupBy("l_orderkey") \
         .agg(F.collect_list(F.struct(*keys, "RequestParticipants")).alias("issues"))
     width = page_width(F.transform("issues", lambda i: i["RequestParticipants"]), ())
     li = pages.withColumn("page_width", width).select("l_orderkey", "page_width", F.explode("issues").alias("i")) \
@@ -199,7 +200,8 @@ def q_hoist_all_join(spark: SparkSession, sf: str) -> DataFrame:
     out = out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                      F.col("RequestParticipants_displayName").alias("participants"),
                      collapse_strict(F.col("RequestParticipants"), "displayName", width=F.col("page_width")).alias("participants_strict"),
-                     *numbered_columns(out, "RequestParticipants", "displayName", "part"))
+                     # as wide as the longest list of the lines, which the pages hold all of: counted where they are scanned, not after the shuffle
+                     *numbered_columns(lines, "RequestParticipants", "displayName", "part"))
     return out
 
 
