@@ -10,7 +10,7 @@ The query takes four words and 85, the pipeline stage five words and 80.
    of documents, by hash, then the frequent ones.  Linked sets share one of their first
    n - ceil(percent n / 100) + 1 tokens in any such order, so only these are indexed, in lists by token
    and size class; the sample decides how short the lists are, never what is found.
-3. *Groups.*  In every list all nodes meet one leader; each node is compared with the leader it
+3. *Groups.*  In every list all nodes meet one leader, first the one with the least tokens of its own; each node is compared with the leader it
    shares most lists with, and links merge nodes into groups of similar documents.  A few rounds
    with other leaders merge what the first missed.  This costs one comparison per node and
    round, never a pair of all members.
@@ -220,21 +220,23 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def listed_entries(entries: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(key, token, node, n, most, early, home): the lists by token and size class, those with two nodes or more.
+    """(key, token, node, n, most, own, early, home): the lists by token and size class, those with two nodes or more.
 
     ``entries`` has the index tokens (token, node, n, place, early) that two nodes or more have.  A node's
     other index tokens may lie in another set behind its index.  But a node that holds ``token`` in its
     index has there all its tokens before it, so of those that only one index holds none is common:
     ``most`` = n less the node's own ones before ``token`` bounds every intersection of the token's nodes.
+    ``own`` is the share of its set that its whole index holds alone.
     Sizes of linked sets differ by less than one class, so a node stands in its own class (home)
     and, as a guest, in the next; two nodes meet once, unless both are guests.
     """
     shared_before = F.dense_rank().over(Window.partitionBy("node").orderBy("place")) - 1
+    own = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - F.count("*").over(Window.partitionBy("node"))) / F.col("n")
     level = F.floor(F.log("n") / F.log(F.lit(100 / percent))).cast("int")
     places = F.array(F.struct(level.alias("level"), F.lit(True).alias("home")), F.struct((level + 1).alias("level"), F.lit(False).alias("home")))
-    each = entries.withColumn("most", F.col("n") - (F.col("place") - shared_before)) \
-        .select("token", "node", "n", "most", "early", F.explode(places).alias("p")) \
-        .select(F.xxhash64("token", "p.level").alias("key"), "token", "node", "n", "most", "early", "p.home")
+    each = entries.withColumn("most", F.col("n") - (F.col("place") - shared_before)).withColumn("own", own) \
+        .select("token", "node", "n", "most", "own", "early", F.explode(places).alias("p")) \
+        .select(F.xxhash64("token", "p.level").alias("key"), "token", "node", "n", "most", "own", "early", "p.home")
     several = each.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.max("home").alias("homes")) \
         .filter("low < high and homes").select("key")
     return each.join(several, "key")
@@ -282,19 +284,24 @@ def group_pairs(lists: DataFrame, labels: DataFrame, sizes: DataFrame, percent:
     # the label of a group of one is its node
     single = found.filter("o_members = 1").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
     open_ = found.filter("o_members > 1").drop("o_members")
+    # as for two single nodes, the smaller set's early tokens are enough to meet at
     inside = listed.select("key", F.col("node").alias("member"), F.col("label").alias("other"), F.col("home").alias("m_home"),
-                           F.col("n").alias("m_n"), F.col("most").alias("m_most"))
-    fits = (F.col("home") | F.col("m_home")) & within(F.least("most", "m_most"), F.col("n"), F.col("m_n"), percent)
-    return listed.select("key", "node", "n", "most", "home").join(open_, "node").join(inside, ["key", "other"]).filter(fits) \
+                           F.col("n").alias("m_n"), F.col("most").alias("m_most"), F.col("early").alias("m_early"))
+    fits = ((F.col("home") | F.col("m_home")) & F.when(F.col("n") <= F.col("m_n"), F.col("early")).otherwise(F.col("m_early"))
+            & within(F.least("most", "m_most"), F.col("n"), F.col("m_n"), percent))
+    return listed.select("key", "node", "n", "most", "early", "home").join(open_, "node").join(inside, ["key", "other"]).filter(fits) \
         .select(F.least("node", "member").alias("a"), F.greatest("node", "member").alias("b")).unionByName(single).distinct()
 
 
 def leader_pairs(lists: DataFrame, labels: DataFrame, turn: int, percent: int = PERCENT) -> DataFrame:
     """For each node the leader of another group that it shares most lists with, as pairs (a, b).
 
+    A list's leader is first the node with the least own tokens: what others were copied from shares all it
+    has with them, while a copy's changes are its own, so copies that link only to it meet it and not
+    each other.  Later turns take others.
     Nodes that meet it in less than a tenth of their index are left to the token-group matrix.
     """
-    rank = F.struct(F.xxhash64("node", F.lit(turn)) if turn else F.lit(0).cast("long"), "node")
+    rank = F.struct(F.lit(0.0) if turn else F.col("own"), F.xxhash64("node", F.lit(turn)), "node")
     listed = lists.join(labels, "node")
     leaders = listed.groupBy("key").agg(F.min(rank)["node"].alias("leader"), F.min_by("label", rank).alias("leader_label"),
                                         F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")

@@ -72,6 +72,37 @@ def test_copies_with_longer_variants(spark):
     check(spark, rows)
 
 
+def test_copies_around_one_text_are_not_paired_with_each_other(spark, monkeypatch):
+    """Every copy has changes of its own: most link to the text they were made from, few to each other.
+
+    The pairs that are looked at grow with the copies, not with their square."""
+    made = []
+
+    def counted(df, name="llm"):
+        out = written(df, name)
+        if name in ("open", "pairs"):
+            made.append(out.count())
+        return out
+
+    written = jaccard.written
+    monkeypatch.setattr(jaccard, "written", counted)
+
+    def most(copies):
+        rng = random.Random(25)
+        base = [f"i{i}" for i in range(150)]
+        rows = [(copies // 2, " ".join(base))]
+        for i in range(copies):
+            copy = list(base)
+            for at in rng.sample(range(150), rng.choice((2, 2, 2, 3, 3))):
+                copy[at] = f"j{rng.randrange(10**9)}"
+            rows.append((1000 + i, " ".join(copy)))
+        made.clear()
+        check(spark, rows)
+        return max(made)
+
+    assert most(300) <= 4 * 300 and most(600) <= 4 * 600
+
+
 def test_stage_takes_five_words_and_80_percent(spark):
     """Three single words changed in 150: 131 of 161 shingles of five words, 135 of 159 of four."""
     rng = random.Random(24)
