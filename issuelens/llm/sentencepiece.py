@@ -476,8 +476,9 @@ def encode(docs: DataFrame, model_path: str = PIECE_MODEL, text: str = "text", c
     out = T.StructType([T.StructField("rest", rest), T.StructField("token_ids", T.ArrayType(T.IntegerType()))])
     schema = schema_of(out)
 
+    # a chunk's ids: up to its first cut (part 0, all of them without cuts), between its cuts (1), from the last one (2)
     chunked = T.StructType([T.StructField("row_no", T.LongType()), T.StructField("rest", rest), T.StructField("chunk", T.LongType()),
-                            T.StructField("token_ids", T.ArrayType(T.IntegerType()))])
+                            T.StructField("part", T.IntegerType()), T.StructField("token_ids", T.ArrayType(T.IntegerType()))])
     chunked_schema = schema_of(chunked)
 
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -491,28 +492,44 @@ def encode(docs: DataFrame, model_path: str = PIECE_MODEL, text: str = "text", c
         for whole_batch in batches:
             for at in range(0, whole_batch.num_rows, FAN):           # few chunks at a time, to hold little
                 b = whole_batch.slice(at, FAN)
-                found = []
-                for left, left_size, middle, right, right_size, entry, exit_ in zip(*[b.column(i).to_pylist() for i in range(3, 10)]):
-                    if middle or right or right_size:      # there is a cut: the path passes it
-                        found.append(pieces.trace(left, left_size, entry, 0) + middle + pieces.trace(right, right_size, 0, exit_))
-                    else:
-                        found.append(pieces.trace(left, left_size, entry, exit_))
+                row, part, found = [], [], []
+                for i, (left, left_size, right, right_size, cut, entry, exit_) in enumerate(zip(*[b.column(i).to_pylist() for i in range(3, 10)])):
+                    row.append(i)
+                    part.append(0)
+                    found.append(pieces.trace(left, left_size, entry, 0 if cut else exit_))
+                    if cut:                                # the path passes it
+                        row.append(i)
+                        part.append(2)
+                        found.append(pieces.trace(right, right_size, 0, exit_))
+                head = pa.array([i if p == 0 else None for i, p in zip(row, part)], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(1).cast(schema.field(0).type), b.column(2), ids_array(found).cast(schema.field(1).type)],
-                    schema=chunked_schema)
+                    [b.column(0).take(pa.array(row, pa.int64())), b.column(1).take(head).cast(chunked_schema.field(1).type),
+                     b.column(2).take(pa.array(row, pa.int64())), pa.array(part, pa.int32()),
+                     ids_array(found).cast(chunked_schema.field(4).type)], schema=chunked_schema)
+
+    def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole_batch in batches:
+            for at in range(0, whole_batch.num_rows, FAN):
+                b = whole_batch.slice(at, FAN)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), pa.nulls(b.num_rows, chunked_schema.field(1).type), b.column(1), pa.array([1] * b.num_rows, pa.int32()),
+                     ids_array(b.column(2).to_pylist()).cast(chunked_schema.field(4).type)], schema=chunked_schema)
 
     struct = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)] or [F.lit(None).cast("string").alias("none")])
     short = in_arrow(docs.filter(~F.coalesce(giant, F.lit(False))).select(struct.alias("rest"), F.col(f"`{text}`").alias("t")), small, out) \
         .withColumn("n_chunks", F.lit(1).cast("long"))
     chunks = written(split_documents(docs.filter(giant), held, text, chunk), "chunks")
     states, ends = boundary_states(chunks, held, k)
-    traced = in_arrow(ends.join(states, ["row_no", "chunk"]).select(
-        "row_no", "rest", "chunk", "left", "left_size", "middle", "right", "right_size", "entry", "exit"), back, chunked)
+    cut = (F.length("middle") > 0) | (F.length("right") > 0) | (F.col("right_size") > 0)
+    traced = in_arrow(ends.withColumn("cut", cut).drop("middle").join(states, ["row_no", "chunk"]).select(
+        "row_no", "rest", "chunk", "left", "left_size", "right", "right_size", "cut", "entry", "exit"), back, chunked)
+    # ids between cuts need no state: they are not joined, only brought together
+    middles = in_arrow(ends.filter(F.length("middle") > 0).select("row_no", "chunk", "middle"), between, chunked)
     # One row is one document: only here do its ids come together.
-    whole = traced.groupBy("row_no").agg(
-        F.max_by("rest", -F.col("chunk")).alias("rest"),
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "token_ids"))), lambda x: x["token_ids"])).alias("token_ids"),
-        F.count("*").alias("n_chunks")).drop("row_no")
+    whole = traced.unionByName(middles).groupBy("row_no").agg(
+        F.max_by("rest", -(3 * F.col("chunk") + F.col("part"))).alias("rest"),
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "part", "token_ids"))), lambda x: x["token_ids"])).alias("token_ids"),
+        F.count_if(F.col("part") == 0).alias("n_chunks")).drop("row_no")
     return short.unionByName(whole).select(
         *[F.col(f"rest.c{i}").alias(c) for i, c in enumerate(others)], "token_ids",
         F.when(F.col("token_ids").isNotNull(), F.size("token_ids")).cast("long").alias("n_tokens"), "n_chunks")

@@ -147,3 +147,18 @@ def test_spark_round_trip_and_defined_results(spark):
 def test_query_gives_every_text_back(spark):
     found = sp.op1_sentencepiece(spark, SF_SMALL)
     assert found.agg(F.count("*"), F.sum(F.col("round_trip").cast("int"))).first()[:] == (200, 200)
+
+
+def test_ids_between_cuts_are_exchanged_once(spark, capsys):
+    """What lies between a chunk's cuts waits for no state: only its ids go to their document, no join moves it."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice(("the", "ing", "x" * 90, "Ünder", "")) for _ in range(400)) + "z" * (60 * i)) for i in range(5)]
+    enc = sp.encode(spark.createDataFrame(rows, "doc_id long, text string"), chunk=100)
+    pieces = sp.Pieces(sp.load_model(sp.PIECE_MODEL))
+    for r in enc.collect():
+        ids = np.frombuffer(pieces.encode(pieces.normal(dict(rows)[r.doc_id])), np.int32).tolist()
+        assert (r.token_ids, r.n_tokens) == (ids, len(ids)) and r.n_chunks == len(pieces.normal(dict(rows)[r.doc_id])) // 100 > 1
+    enc.explain("formatted")
+    steps = capsys.readouterr().out.split("\n\n")
+    moved = [s for s in steps if "Exchange" in s.split("\n")[0] and "Input" in s]
+    assert moved and not [s for s in moved if "middle" in s]
