@@ -320,20 +320,21 @@ def landed_pages(spark: SparkSession, sf_dir: str, by_project: bool = False,
     # The narrow rows are shuffled to their pages, and become documents there: no document is ever shuffled
     # or sorted, and a task holds the documents of about ``ORDERS_PER_TASK`` orders.
     tasks = max(spark.sparkContext.defaultParallelism, -(-o.count() // ORDERS_PER_TASK))
-    rows = issue_rows(spark, sf_dir, heavy_rows=False).withColumn("page_no", page_no).repartition(tasks, "page_no")
-    pages = (rows.select(project.alias("project"), "page_no", "o_orderkey", issue_document().alias("doc"))
-             .groupBy("project", "page_no")
-             .agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "doc"))).alias("_issues")))
+    rows = issue_rows(spark, sf_dir, heavy_rows=False).withColumns({"project": project, "page_no": page_no})
     totals = o.groupBy(project.alias("project")).agg(F.count(F.lit(1)).alias("total"), F.max(page_no).alias("last_page"))
     if by_project:
         # Offsets count the project's issues on the pages before: a window over page counts (one row a
-        # page, from the orders alone), which a page looks up by its number.
+        # page, from the orders alone), which a page's narrow rows look up by its number.
         counts = o.groupBy(project.alias("project"), page_no.alias("page_no")).agg(F.count(F.lit(1)).alias("n"))
         whole = Window.partitionBy("project")
         placed = counts.select("project", "page_no", F.sum("n").over(whole).alias("total"), F.max("page_no").over(whole).alias("last_page"),
                                (F.sum("n").over(whole.orderBy("page_no")) - F.col("n")).alias("start_at"))
-        pages = pages.join(placed, ["project", "page_no"])
-    else:
+        rows = rows.join(placed, ["project", "page_no"])
+    of_page = ["total", "last_page", "start_at"] if by_project else []
+    pages = (rows.repartition(tasks, "page_no").select("project", "page_no", *of_page, "o_orderkey", issue_document().alias("doc"))
+             .groupBy("project", "page_no", *of_page)
+             .agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "doc"))).alias("_issues")))
+    if not by_project:
         # One project, whose order keys are its offsets: the total and last page are scalar subqueries
         # over the orders (one issue per order), not a join.
         pages = pages.withColumns({"total": o.select(F.count(F.lit(1))).scalar(), "start_at": F.col("page_no") * page_size,

@@ -30,7 +30,7 @@ from issuelens.operators.tables import (indicator_matrix, left_enrich, natural_f
 from issuelens.fixtures import _rec, issue_documents, landed_table, load
 from issuelens.sources.pages import explode_issues, page_audit, pages_from_text, read_pages
 from issuelens.sources.sinks import read_csv, write_with_summary
-from issuelens.session import shared_dir
+from issuelens.session import shared_dir, unsorted_writes
 
 TS_FMT_SPARK = "yyyy-MM-dd HH:mm:ss"
 TS_FMT_DUCK = "%Y-%m-%d %H:%M:%S"
@@ -614,6 +614,10 @@ SELECT vec_id, CAST(len(embedding) AS BIGINT) AS dim, label FROM embeddings
 # --------------------------------------------------------------------------------------
 # S1 S2 A7 -- completeness audit of landed page sets per project
 # --------------------------------------------------------------------------------------
+PAGES_PER_FILE = 500           # some 250 MB of page texts
+LANDED_SETS = 100              # more than there are projects and sets
+
+
 def q_page_audit(spark: SparkSession, sf: str) -> DataFrame:
     """S1 + S2: pages written as ``project=`` files, read back and audited; beside each good set, project
     F's pages with one page cut short, one left out, the first left out, one landed twice, and one that
@@ -629,7 +633,10 @@ def q_page_audit(spark: SparkSession, sf: str) -> DataFrame:
             .unionByName(named(others, "gap")).unionByName(named(final, "twice")).unionByName(named(second, "twice"))
             .unionByName(named(final.where(at != 0), "head")).unionByName(named(others, "overlap")).unionByName(named(early, "overlap")))
     path = shared_dir(spark, "landing")
-    sets.select("project", F.col("raw").alias("value")).write.partitionBy("project").text(path)
+    # Page texts pack to a tenth and less; packed files are read whole, so they are kept small.
+    with unsorted_writes(spark, LANDED_SETS):
+        sets.select("project", F.col("raw").alias("value")).write.partitionBy("project") \
+            .options(compression="gzip", maxRecordsPerFile=PAGES_PER_FILE).text(path)
     audit = page_audit(read_pages(spark, path, one_page_per_line=True))
     one = page_audit(read_pages(spark, path, project="P", one_page_per_line=True))       # prunes the other folders
     return audit.unionByName(named(one, "only P"))
