@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from issuelens.session import as_table
+from issuelens.session import as_table, remove_folder, shared_dir, small_methods, unsorted_writes
 from issuelens.sources.pages import explode_issues
 from issuelens.streaming.ingest import stream_pages
 
 BUCKETS = 256                  # of a new table; a bucket should fit a task (some 100 MB to 1 GB)
 LIVE = "version long, buckets int, live map<int,long>"
+PACKED = {"compression": "zstd", "parquet.compression.codec.zstd.level": "6"}        # VARIANTs repeat their field ids in every issue
 
 
 def published(spark: SparkSession, table: str, before: int | None = None) -> tuple[int, dict[int, int]] | None:
@@ -40,32 +41,67 @@ def folders(table: str, live: dict[int, int], wanted: list[int] | None = None) -
     return [f"{table}/v={live[b]:012d}/bucket={b}" for b in sorted(live if wanted is None else set(wanted) & set(live))]
 
 
+OLDER_AT_ONCE = 500_000        # keys of replaced copies that tasks hold at once: whole buckets, one at least
+
+
+def groups_of(buckets: list[int], sizes: dict[int, int], most: int) -> list[list[int]]:
+    """The buckets in groups of at most ``most`` rows together, or of one bucket."""
+    groups, n = [], most + 1
+    for b in sorted(buckets):
+        n += sizes.get(b, 0)
+        if n > most:
+            groups.append([])
+            n = sizes.get(b, 0)
+        groups[-1].append(b)
+    return groups
+
+
 def compact_batch(issues: DataFrame, table: str, version: int, buckets: int = BUCKETS) -> None:
     """Merge ``issues`` (of ``explode_issues`` with ``keep_names``) into the table as ``version`` (ascending).
 
-    Reads the batch and the touched buckets only; the one shuffle is by bucket.  An issue's latest copy is
-    that of the latest pull, then page, then position, as in ``latest_issue_version``.
+    Reads the batch and the touched buckets only.  An issue's latest copy is that of the latest pull, then page,
+    then position, as in ``latest_issue_version``.  Older copies are found among the copies' keys, which alone are
+    shuffled; issues go from the batch and from the live folders straight to their new folders, but for those
+    copies.  Which fields have values is read off ``fields``, not stored.
     """
     spark = issues.sparkSession
     before = published(spark, table, version)
     buckets, live = before if before else (buckets, {})
-    rows = issues.withColumn("bucket", F.pmod(F.xxhash64("project", "id"), F.lit(buckets)).cast("int"))
-    if live:
-        rows = as_table(rows, "batch")           # read twice: for its buckets, and for its issues
-        touched = [r["bucket"] for r in rows.select("bucket").distinct().collect()]      # at most ``buckets``
-        old = folders(table, live, touched)
-        if old:
-            rows = rows.unionByName(spark.read.option("basePath", table).schema(rows.schema).parquet(*old).select(*rows.columns))
-    # Dealt by bucket once: the window over each bucket's issues and the files need no other exchange.
-    newest = Window.partitionBy("bucket", "project", "id").orderBy(
-        F.coalesce("pull", F.lit("")).desc(), F.coalesce("page_no", F.lit(-1)).desc(), F.col("issue_pos").desc())
-    merged = rows.repartition("bucket").withColumn("_nth", F.row_number().over(newest)).where("_nth = 1").drop("_nth")
-    folder = f"{table}/v={version:012d}"
-    merged.write.partitionBy("bucket").mode("overwrite").parquet(folder)
-    written = spark.read.schema("id string, bucket int").parquet(folder).select("bucket").distinct().collect()
-    touched = [r["bucket"] for r in written]
+    rows = issues.drop("present").withColumn("bucket", F.pmod(F.xxhash64("project", "id"), F.lit(buckets)).cast("int")) \
+        .withColumn("_row", F.monotonically_increasing_id())
+    batch, folder = shared_dir(spark, "batch"), f"{table}/v={version:012d}"
+    with small_methods(spark), unsorted_writes(spark, buckets):
+        rows.write.options(**PACKED).partitionBy("bucket").parquet(batch)
+    new = spark.read.option("basePath", batch).schema(rows.schema).parquet(batch)
+    touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]      # at most ``buckets``
     if not touched:
         return
+
+    def copies(wanted: list[int]) -> DataFrame:
+        found = new.where(F.col("bucket").isin(wanted))
+        old = folders(table, live, wanted)
+        if not old:
+            return found
+        names = [c for c in rows.columns if c != "_row"]
+        held = spark.read.option("basePath", table).schema(rows.select(*names).schema).parquet(*old).select(*names)
+        return found.unionByName(held.withColumn("_row", F.lit(-1).cast("long")))     # an issue is there once
+
+    newest = Window.partitionBy("bucket", "project", "id").orderBy(
+        F.coalesce("pull", F.lit("")).desc(), F.coalesce("page_no", F.lit(-1)).desc(), F.col("issue_pos").desc(), F.col("_row").desc())
+    keys = copies(touched).select("bucket", "project", "id", "pull", "page_no", "issue_pos", "_row")
+    older = as_table(keys.withColumn("_nth", F.row_number().over(newest)).where("_nth > 1").select("bucket", "project", "id", "_row"), "older-copies")
+    n_older = dict(older.groupBy("bucket").count().collect())
+    replace = "overwrite"
+    for some in groups_of(touched, n_older, OLDER_AT_ONCE):
+        merged = copies(some)
+        if any(b in n_older for b in some):
+            out = older.where(F.col("bucket").isin(some)).select(*[F.col(c).alias(f"_{c}") for c in ("bucket", "project", "id")], F.col("_row").alias("_older"))
+            merged = merged.join(F.broadcast(out), (F.col("bucket") == F.col("_bucket")) & F.col("project").eqNullSafe(F.col("_project"))
+                                 & F.col("id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_older")), "left_anti")
+        with small_methods(spark), unsorted_writes(spark, buckets):
+            merged.drop("_row").write.options(**PACKED).partitionBy("bucket").mode(replace).parquet(folder)
+        replace = "append"
+    remove_folder(spark, batch)
     live = {**live, **{b: version for b in touched}}
     spark.createDataFrame([(version, buckets, live)], LIVE).coalesce(1).write.mode("overwrite").parquet(f"{table}/live/n={version:012d}")
 
