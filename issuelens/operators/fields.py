@@ -12,10 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from issuelens.functions.paths import variant_path
 from issuelens.operators.sequence import DEFAULT_POLICY, SkewPolicy, row_number_in_order
+from issuelens.session import small_methods
 from issuelens.sources.pages import field_kinds
 
 
@@ -66,6 +68,22 @@ def field_presence(issues: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set("e.kind")).alias("kinds"))
 
 
+def fields_with_values(issues: DataFrame, ids: Sequence[str]) -> set[str]:
+    """Those of ``ids`` that ``field_presence`` would list: one aggregate, which looks at these fields alone."""
+    def has_value(field: str) -> Column:
+        value = F.try_variant_get(F.col("fields"), variant_path((field,)), "variant")
+        found = value.isNotNull() & ~F.is_variant_null(value)
+        if "present" not in issues.columns:
+            return found
+        return F.coalesce(F.exists(F.col("present"), lambda e: e["id"] == field), found)
+
+    if not ids:
+        return set()
+    with small_methods(issues.sparkSession):
+        row = issues.agg(*[F.max(has_value(field)) for field in ids]).first()
+    return {field for field, found in zip(ids, row) if found}
+
+
 def project_dictionary(entries: DataFrame, project_col: str = "project", page_col: str = "page_no") -> DataFrame:
     """One entry per (project, field id): the display name and position from its latest page.
 
@@ -104,17 +122,18 @@ class FieldCatalog:
 
     ``dictionary`` has a row per (project, version, field) with its numbered name, or, without
     ``names_id``, one per (project, field).  ``presence`` (``field_presence``) tells which fields have
-    values.  Only the wanted names reach the driver: at most one row per report column and
+    values, and so do the ``issues``, where given, for a few fields in one aggregate.  Only the wanted names reach the driver: at most one row per report column and
     project, and, where a project's versions disagree about a name, one per version.
     """
 
     def __init__(self, dictionary: DataFrame, name_col: str = "name", id_col: str = "field_id",
-                 project_col: str = "project", presence: DataFrame | None = None):
+                 project_col: str = "project", presence: DataFrame | None = None, issues: DataFrame | None = None):
         version = F.col("names_id") if "names_id" in dictionary.columns else F.lit(None).cast("long")
         last = F.col("last") if "last" in dictionary.columns else F.lit(None).cast("struct<pull:string,page_no:long>")
         self.dictionary = dictionary.select(F.col(project_col).alias("project"), F.col(id_col).alias("id"), F.col(name_col).alias("name"),
                                             version.alias("version"), last.alias("last"))
         self.presence = presence
+        self.issues = issues
 
     def _keyed(self, project: str | None, strip_spaces: bool) -> DataFrame:
         name = F.replace("name", F.lit(" "), F.lit("")) if strip_spaces else F.col("name")
@@ -166,6 +185,9 @@ class FieldCatalog:
 
     def empty_fields(self, ids: Sequence[str], project: str | None = None) -> set[str]:
         """Those of ``ids`` that no issue (of the project) has a value for."""
+        if self.issues is not None:
+            rows = self.issues if project is None else self.issues.where(F.col("project") == F.lit(project))
+            return set(ids) - fields_with_values(rows, sorted(ids))
         if self.presence is None:
             return set()
         rows = self.presence if project is None else self.presence.where(F.col("project") == F.lit(project))

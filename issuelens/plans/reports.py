@@ -75,8 +75,8 @@ def field_dictionary(pages: DataFrame) -> DataFrame:
 def field_catalog(pages: DataFrame) -> FieldCatalog:
     """The field dictionary of landed pages, written once, and of a bronze table also which fields have values
     (worked out when a report asks for it); reports ask it for their names."""
-    presence = field_presence(pages) if {"present", "widths"} & set(pages.columns) else None
-    return FieldCatalog(as_table(field_dictionary(pages), "fields"), presence=presence)
+    bronze = {"present", "widths"} & set(pages.columns)
+    return FieldCatalog(as_table(field_dictionary(pages), "fields"), presence=field_presence(pages) if bronze else None, issues=pages if bronze else None)
 
 
 def _field_value(c: Col, fid: str) -> Column:
@@ -725,7 +725,7 @@ def csr_report(spark: SparkSession, sf: str) -> DataFrame:
     change log kept (as its number of histories here)."""
     issues = landed_issues(spark, sf)
     rep = finish_csr(csr_columns(issues, field_catalog(issues)))
-    histories = F.array_size(F.try_variant_get("Changelog", "$.histories", "array<variant>"))
+    histories = F.array_size(F.try_variant_get("Changelog", "$.histories", "array<struct<>>"))     # none is read
     return _days_text(_instants_text(rep, "Resolved", "Created", "Updated", "StatusCategoryChanged"), "ProjectEffectiveDate") \
         .withColumn("Changelog", histories.cast("bigint"))
 
