@@ -47,3 +47,13 @@ def test_buckets_are_merged_in_groups():
     from issuelens.streaming.compact import groups_of
     assert groups_of([3, 1, 2, 0], {0: 5, 1: 5, 3: 20}, 10) == [[0, 1, 2], [3]]
     assert groups_of([0, 1], {}, 10) == [[0, 1]] and groups_of([0, 1], {0: 11, 1: 1}, 10) == [[0], [1]]
+
+
+def test_rows_are_not_sorted_by_bucket_before_they_are_written(spark):
+    """Spark falls back to a sort once as many files are open as the setting says."""
+    from issuelens.session import unsorted_writes
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    with unsorted_writes(spark, 16):
+        assert int(spark.conf.get(key)) > 16
+    assert spark.conf.get(key) == before
